@@ -1,0 +1,113 @@
+"""Joins and row repetition that hold when one key owns a large part of the rows.
+
+A key is *hot* when it has more rows than an average shuffle partition would get.
+Hot keys are found by a bounded heavy-hitter sketch over the key column alone and
+reach the main query as a scalar subquery, so nothing passes through Python and
+the list never exceeds ``HOT_LIMIT`` keys. Only hot keys are cut into slices; all
+other rows keep slice 0 and are shuffled once, as in a plain join.
+
+Being hot only decides where a row is processed, never whether it is kept.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tallyhouse.session import shuffle_width
+
+HOT_LIMIT = 256
+PIECE = 10_000
+SLICE = "_slice"
+
+
+def key_value(keys: Sequence[str]) -> Column:
+    """One comparable value per key; several columns become one exact text."""
+    if len(keys) == 1:
+        return F.col(keys[0])
+    return F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
+
+
+def any_null(keys: Sequence[str]) -> Column:
+    condition = F.lit(False)
+    for key in keys:
+        condition = condition | F.col(key).isNull()
+    return condition
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> Column:
+    """Array of the hot, non-NULL keys of ``df`` (a scalar subquery)."""
+    width = shuffle_width(df.sparkSession)
+    top = df.filter(~any_null(keys)).agg(
+        F.call_function("approx_top_k", key_value(keys), F.lit(HOT_LIMIT)).alias("top"),
+        F.count("*").alias("total"),
+    )
+    hot = F.filter("top", lambda entry: entry["count"] * F.lit(width) > F.col("total"))
+    return top.select(F.transform(hot, lambda entry: entry["item"]).alias("hot")).scalar()
+
+
+def is_hot(hot: Column, keys: Sequence[str]) -> Column:
+    return F.coalesce(F.array_contains(hot, key_value(keys)), F.lit(False))
+
+
+def slice_number(df: DataFrame) -> Column:
+    """A slice for a row, from its content and its input partition.
+
+    Different rows spread by content and equal rows by partition. Both stay the
+    same when a lost task is run again.
+    """
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), F.lit(shuffle_width(df.sparkSession))).cast("int")
+
+
+def _sliced(df: DataFrame, hot: Column, keys: Sequence[str]) -> DataFrame:
+    apart = is_hot(hot, keys) | any_null(keys)
+    return df.withColumn(SLICE, F.when(apart, slice_number(df)).otherwise(F.lit(0)))
+
+
+def _in_every_slice(df: DataFrame, hot: Column, keys: Sequence[str]) -> DataFrame:
+    width = shuffle_width(df.sparkSession)
+    everywhere = F.sequence(F.lit(0), F.lit(width - 1))
+    own = F.when(any_null(keys), F.array(slice_number(df))).otherwise(F.array(F.lit(0)))
+    return df.withColumn("_slices", F.when(is_hot(hot, keys), everywhere).otherwise(own)).withColumn(
+        SLICE, F.explode("_slices")
+    ).drop("_slices")
+
+
+def keyed_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """``left JOIN right USING (keys)`` for large sides with hot keys.
+
+    ``inner``, ``left_semi``, ``left_anti``: hot keys of the left side are sliced
+    and the right side's rows for them repeated per slice.
+    ``left``: the other way round, since there a hot right key is what one task
+    would have to emit; left rows without a key are spread as they match nothing.
+    """
+    keys = list(keys)
+    right = right.filter(~any_null(keys))
+    on = [*keys, SLICE]
+    if how in ("inner", "left_semi", "left_anti"):
+        hot = hot_keys(left, keys)
+        joined = _sliced(left, hot, keys).join(_in_every_slice(right, hot, keys), on, how)
+        return joined.drop(SLICE)
+    if how == "left":
+        hot = hot_keys(right, keys)
+        joined = _in_every_slice(left, hot, keys).join(
+            _sliced(right, hot, keys).withColumn("_hit", F.lit(True)), on, how
+        )
+        # A hot key has rows on the right, so a slice of it without a match is only a copy.
+        return joined.filter(F.col("_hit").isNotNull() | ~is_hot(hot, keys)).drop(SLICE, "_hit")
+    raise ValueError(f"unsupported join type {how!r}")
+
+
+def repeat_rows(df: DataFrame, times: str) -> DataFrame:
+    """Emit every row ``times`` times and drop that column.
+
+    A large count is first cut into pieces that are spread over the cluster.
+    """
+    columns = [c for c in df.columns if c != times]
+    last_piece = F.floor((F.col(times) - 1) / F.lit(PIECE))
+    pieces = df.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("long"), last_piece)))
+    pieces = pieces.withColumn("_take", F.least(F.lit(PIECE).cast("long"), F.col(times) - F.col("_piece") * PIECE))
+    spread = pieces.repartition(shuffle_width(df.sparkSession), *columns, "_piece")
+    return spread.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_take")))).select(*columns)
