@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import sys
-import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -21,7 +20,7 @@ from tallyhouse.plans.pipeline import run_pipeline  # noqa: E402
 from tallyhouse.plans.runs import run_metrics  # noqa: E402
 from tallyhouse.plans.samples import EVENTS_AS_OF, ORDERS_AS_OF, WINDOW_DAYS, Samples  # noqa: E402
 from tallyhouse.schemas import conform  # noqa: E402
-from tallyhouse.session import shared_folder  # noqa: E402
+from tallyhouse.session import new_folder  # noqa: E402
 from tallyhouse.sources import csv, lineage  # noqa: E402
 from tallyhouse.sources.warehouse import Warehouse  # noqa: E402
 
@@ -32,13 +31,9 @@ DAYS = WINDOW_DAYS
 RUN_AT = datetime(2001, 8, 1, 6, 0)
 
 
-def _new_folder(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
-
-
 def _ingest_csv(s: Samples) -> DataFrame:
     """Write the orders as CSV, then load them as the first load does."""
-    folder = _new_folder(s.spark)
+    folder = new_folder(s.spark)
     csv.write_csv(s.raw_orders.select(*ORDER), f"{folder}/orders.csv")
     loaded = csv.read_csv(s.spark, f"{folder}/orders.csv", schemas.ORDERS_CSV)
     return lineage.tag(loaded, "orders.csv", lineage.BOOTSTRAP)
@@ -64,7 +59,7 @@ def _lineage_tag(s: Samples) -> DataFrame:
 
 def _pipeline_fact(s: Samples) -> DataFrame:
     """The fact a whole pipeline run publishes from raw tables written to a new warehouse."""
-    warehouse = Warehouse(s.spark, _new_folder(s.spark))
+    warehouse = Warehouse(s.spark, new_folder(s.spark))
     for table, df, schema in (
         ("raw.orders", s.raw_orders, schemas.RAW_ORDERS),
         ("raw.payments", s.raw_payments, schemas.RAW_PAYMENTS),
@@ -163,7 +158,7 @@ REGISTERED: dict[str, Callable[[Samples], DataFrame]] = {
     "quality_gate": _gate,
     # Fact and dimensions.
     "fact_orders_full": lambda s: s.fact_full,
-    "fact_orders_window": lambda s: model.fact_orders(s.orders_clean, s.payments_clean, ORDERS_AS_OF, DAYS),
+    "fact_orders_window": lambda s: model.fact_orders(*s.staging, ORDERS_AS_OF, DAYS),
     "fact_orders_upsert": _upserted,
     "pipeline_fact": _pipeline_fact,
     "dim_customer": lambda s: model.dim_customer(s.raw_customers),
@@ -177,10 +172,10 @@ REGISTERED: dict[str, Callable[[Samples], DataFrame]] = {
     "revenue_anomalies": lambda s: reports.revenue_anomalies(s.fact_events),
     "anomaly_log": lambda s: _anomaly_log(s).drop("run_id", "detected_at"),
     # Reports.
-    "kpi_summary": lambda s: reports.kpi_summary(s.fact_full),
-    "daily_revenue": lambda s: reports.daily_revenue(s.fact_full),
-    "orders_per_day": lambda s: reports.orders_per_day(s.fact_full),
-    "payment_status_dist": lambda s: reports.payment_status_dist(s.fact_full),
+    "kpi_summary": lambda s: reports.kpi_summary(s.fact_events),
+    "daily_revenue": lambda s: reports.daily_revenue(s.fact_events),
+    "orders_per_day": lambda s: reports.orders_per_day(s.fact_events),
+    "payment_status_dist": lambda s: reports.payment_status_dist(s.fact_events),
     "top_cities": lambda s: reports.top_cities(s.fact_full, model.dim_customer(s.raw_customers)),
     # Run metrics and contracts.
     "pipeline_metrics": _pipeline_metrics,

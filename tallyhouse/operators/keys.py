@@ -69,11 +69,11 @@ def duplicates(
     """
     keys = list(keys)
     rows = df
+    order = _total_order(df, keys, order_by)
+    hot = hot_keys(df, keys)
     if repeated is not None:
-        rows = keyed_join(df.filter(~any_null(keys)), repeated, keys, "left_semi")
+        rows = keyed_join(df.filter(~any_null(keys)), repeated, keys, "left_semi", hot)
         rows = rows.select(*df.columns).unionByName(df.filter(any_null(keys)))
-    order = _total_order(df, keys, order_by)
-    hot = hot_keys(rows, keys)
     cut = rows.withColumn("_hot", is_hot(hot, keys) | any_null(keys)).withColumn(
         SLICE, F.when(F.col("_hot"), slice_number(df)).otherwise(F.lit(0))
     )

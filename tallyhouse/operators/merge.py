@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import cutoff
 from tallyhouse.operators.keys import first_per_key, require_key
-from tallyhouse.operators.skew import any_null
+from tallyhouse.operators.skew import any_null, keyed_join
 
 
 def _without_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -22,13 +22,12 @@ def _without_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """Rows of ``batch`` to append to ``target``: unknown keys only, first row per key.
 
-    The batch is reduced to one row per key first, and only keys of the target that
-    the batch contains go on, so neither a hot key nor the size of the target
-    decides what is shuffled when the batch is small.
+    The batch is reduced to one row per key first, and of the target only keys that
+    the batch contains go on: a small batch is sent to the target's keys, not the reverse.
     """
     keys = list(keys)
     first = first_per_key(_without_null_keys(batch, keys), keys, order_by)
-    known = target.select(*keys).join(first.select(*keys), keys, "left_semi").distinct()
+    known = keyed_join(target.select(*keys), first.select(*keys), keys, "left_semi").distinct()
     return first.join(known, keys, "left_anti").select(*batch.columns)
 
 
@@ -67,22 +66,38 @@ def rebuild_window(
     return upsert(before_window(existing, day, as_of, days), in_window(incoming, day, as_of, days), keys)
 
 
-def rebuilt_partitions(
+def is_on(day: str, values: Collection[date | None]) -> Column:
+    """Whether a row's day is one of ``values``; None stands for a NULL day. Prunes partitions."""
+    dated = [value for value in values if value is not None]
+    listed = F.col(day).isin(dated) if dated else F.lit(False)
+    return listed | F.col(day).isNull() if None in values else F.coalesce(listed, F.lit(False))
+
+
+def moved_days(
     existing: DataFrame, incoming: DataFrame, keys: Sequence[str], day: str, as_of: date, days: int
-) -> tuple[DataFrame, DataFrame]:
-    """What ``rebuild_window`` changes, for a table partitioned by ``day``.
+) -> set[date | None]:
+    """Days before the window that lose a row to it. Runs a job that reads keys and days only.
 
-    Returns the rows of all changed days, and those days themselves. Untouched
-    days are only read for their keys; they are never shuffled whole or rewritten.
+    The result has at most one value per calendar day.
     """
     keys = list(keys)
-    older = before_window(existing, day, as_of, days)
-    fresh = require_key(in_window(incoming, day, as_of, days), keys, "the rebuilt window")
-    moved = older.select(*keys, day).join(fresh.select(*keys), keys, "left_semi").select(day).distinct()
-    same_day = F.col("_day").eqNullSafe(F.col(day))
-    remaining = older.join(moved.withColumnRenamed(day, "_day"), same_day, "left_semi").join(
-        fresh.select(*keys), keys, "left_anti"
-    )
-    changed = remaining.select(*existing.columns).unionByName(fresh)
-    dropped = in_window(existing, day, as_of, days).select(day)
-    return changed, dropped.unionByName(moved).unionByName(fresh.select(day)).distinct()
+    older = before_window(existing, day, as_of, days).select(*keys, day)
+    fresh = in_window(incoming, day, as_of, days).select(*keys)
+    return {row[0] for row in older.join(fresh, keys, "left_semi").select(day).distinct().collect()}
+
+
+def rebuilt_days(
+    existing: DataFrame,
+    incoming: DataFrame,
+    keys: Sequence[str],
+    day: str,
+    as_of: date,
+    days: int,
+    moved: Collection[date | None],
+) -> DataFrame:
+    """Rows of the days ``rebuild_window`` changes: those of the window and the ``moved`` ones.
+
+    For a table partitioned by ``day``, all other partitions are neither read nor rewritten.
+    """
+    affected = before_window(existing, day, as_of, days).filter(is_on(day, moved))
+    return upsert(affected, in_window(incoming, day, as_of, days), keys)

@@ -75,19 +75,23 @@ def _in_every_slice(df: DataFrame, hot: Column, keys: Sequence[str]) -> DataFram
     ).drop("_slices")
 
 
-def keyed_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+def keyed_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", hot: Column | None = None
+) -> DataFrame:
     """``left JOIN right USING (keys)`` for large sides with hot keys.
 
     ``inner``, ``left_semi``, ``left_anti``: hot keys of the left side are sliced
     and the right side's rows for them repeated per slice.
     ``left``: the other way round, since there a hot right key is what one task
     would have to emit; left rows without a key are spread as they match nothing.
+
+    The first three take any ``hot`` list, for example one of the table ``left`` was filtered from.
     """
     keys = list(keys)
     right = right.filter(~any_null(keys))
     on = [*keys, SLICE]
     if how in ("inner", "left_semi", "left_anti"):
-        hot = hot_keys(left, keys)
+        hot = hot_keys(left, keys) if hot is None else hot
         joined = _sliced(left, hot, keys).join(_in_every_slice(right, hot, keys), on, how)
         return joined.drop(SLICE)
     if how == "left":

@@ -8,7 +8,7 @@ from datetime import date, datetime
 from tallyhouse import schemas
 from tallyhouse.operators.contracts import run_contracts, warehouse_contracts
 from tallyhouse.operators.keys import assert_key, repeated_keys
-from tallyhouse.operators.merge import rebuilt_partitions
+from tallyhouse.operators.merge import in_window, moved_days, rebuilt_days
 from tallyhouse.operators.quality import quality_gate
 from tallyhouse.operators.trends import AnomalyRule
 from tallyhouse.plans import model, reports
@@ -72,10 +72,12 @@ def run_pipeline(
 
         # Changed days of the fact, and the anomalies of the fact as it will be.
         fact = warehouse.fact()
-        changed, touched = rebuilt_partitions(fact, window, ["order_id"], "order_day", as_of, days)
-        change = warehouse.prepare_days(
-            conform(changed, schemas.FACT_ORDERS), touched, "analytics.fact_orders", "order_day", run.run_id
-        )
+        rebuild = (fact, window, ["order_id"], "order_day", as_of, days)
+        moved = moved_days(*rebuild)
+        changed = conform(rebuilt_days(*rebuild, moved), schemas.FACT_ORDERS)
+        replaced = in_window(fact, "order_day", as_of, days).select("order_day").distinct()
+        touched = moved | {row["order_day"] for row in replaced.collect()}
+        change = warehouse.prepare_days(changed, touched, "analytics.fact_orders", "order_day", run.run_id)
         log = reports.anomaly_log(change.applied_to(fact), as_of, days, run.run_id, now, settings.anomaly)
         keep(log.drop("run_id"), "analytics.revenue_anomaly_log")
 

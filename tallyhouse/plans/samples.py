@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.operators.merge import in_window
 from tallyhouse.plans import model
+from tallyhouse.session import staged
 
 # Last day of the order tables, and of the events.
 ORDERS_AS_OF = date(2001, 8, 1)
@@ -120,19 +121,28 @@ class Samples:
     def payments_clean(self) -> DataFrame:
         return model.clean_payments(self.raw_payments, self.quarantine_payments)
 
+    @cached_property
+    def staging(self) -> tuple[DataFrame, DataFrame]:
+        """Clean orders and payments as written tables, the form the fact is built from."""
+        return staged(self.orders_clean, "orders_clean"), staged(self.payments_clean, "payments_clean")
+
     @cached_property
     def fact_full(self) -> DataFrame:
-        return model.fact_orders(self.orders_clean, self.payments_clean)
+        return model.fact_orders(*self.staging)
+
+    @cached_property
+    def fact_table(self) -> DataFrame:
+        return staged(self.fact_full, "fact_orders")
 
     @cached_property
     def fact_incoming(self) -> DataFrame:
-        return in_window(self.fact_full, "order_day", ORDERS_AS_OF, WINDOW_DAYS)
+        return in_window(self.fact_table, "order_day", ORDERS_AS_OF, WINDOW_DAYS)
 
     @cached_property
     def fact_prev(self) -> DataFrame:
         """The fact as an earlier run could have left it: stale states, some orders on an older day."""
         key = F.expr("try_cast(substr(order_id, 2) AS BIGINT)")
-        return self.fact_full.filter((F.col("order_day") <= F.lit(date(2001, 7, 30))) & (key % 11 != 0)).select(
+        return self.fact_table.filter((F.col("order_day") <= F.lit(date(2001, 7, 30))) & (key % 11 != 0)).select(
             "order_id",
             "customer_id",
             F.when(

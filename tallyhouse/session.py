@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
+from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -16,11 +17,15 @@ SETTINGS = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g", folder: str | None = None
+) -> SparkSession:
     """A session for tests and the bench; on a cluster the submitter builds the session."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("tallyhouse")
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
+    if folder:
+        builder = builder.config("spark.checkpoint.dir", folder)
     spark = (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)
@@ -40,9 +45,27 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="tallyhouse-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder(spark.sparkContext.applicationId)
+
+
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"tallyhouse-{application}-")
+
+
+def new_folder(spark: SparkSession, name: str = "run") -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    For a result that several steps use: it is computed once, survives a lost
+    executor, and has a size Spark knows when it plans the next join. Runs a job.
+    """
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shuffle_width(spark: SparkSession) -> int:

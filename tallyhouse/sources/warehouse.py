@@ -8,6 +8,7 @@ table is kept in place, partitioned by day, and only its changed days are replac
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from dataclasses import dataclass
 from datetime import date
 
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 
 from tallyhouse import schemas
 from tallyhouse.operators.keys import first_per_key
+from tallyhouse.operators.merge import is_on
 from tallyhouse.schemas import conform
 
 SUCCESS = "success"
@@ -34,10 +36,7 @@ class DayChange:
 
     def applied_to(self, current: DataFrame) -> DataFrame:
         """The table as it will be. Untouched days are selected by partition value."""
-        dated = [value for value in self.touched if value is not None]
-        is_touched = F.col(self.day).isin(dated) if dated else F.lit(False)
-        is_touched = F.coalesce(is_touched, F.lit(None in self.touched))
-        return current.filter(~is_touched).unionByName(self.rows)
+        return current.filter(~is_on(self.day, self.touched | self.filled)).unionByName(self.rows)
 
 
 class Warehouse:
@@ -73,8 +72,10 @@ class Warehouse:
         # Rebalancing writes files of an even size, however small or skewed the batch is.
         df.hint("rebalance").write.mode("append").parquet(self.path(table))
 
-    def prepare_days(self, changed: DataFrame, days: DataFrame, table: str, day: str, run_id: str) -> DayChange:
-        """Write the new rows of the given days to the run's folder, leaving the table as it is.
+    def prepare_days(
+        self, changed: DataFrame, touched: Collection[date | None], table: str, day: str, run_id: str
+    ) -> DayChange:
+        """Write the new rows of the touched days to the run's folder, leaving the table as it is.
 
         They may come from the very partitions they will replace, so they must be
         written before any of those is touched.
@@ -82,9 +83,8 @@ class Warehouse:
         prepared = self.path(f"work.{table.replace('.', '_')}", run_id)
         self._partitioned_write(changed, prepared, day)
         rows = self._read(prepared, changed.schema).select(*changed.columns)
-        touched = frozenset(row[0] for row in days.collect())  # one value per calendar day
-        filled = frozenset(row[0] for row in rows.select(day).distinct().collect())
-        return DayChange(table, day, rows, touched, filled)
+        filled = frozenset(row[0] for row in rows.select(day).distinct().collect())  # calendar days
+        return DayChange(table, day, rows, frozenset(touched), filled)
 
     def publish_days(self, change: DayChange) -> None:
         """Put prepared days in place of the old ones.

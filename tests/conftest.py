@@ -10,7 +10,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark(tmp_path_factory):
     from tallyhouse.session import local_session
 
-    session = local_session(cores=8, shuffle_partitions=8)
-    session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+    session = local_session(cores=8, shuffle_partitions=8, folder=str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()

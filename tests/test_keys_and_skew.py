@@ -1,0 +1,137 @@
+"""Joins, duplicates and repetition with one key holding a large part of the rows, against brute force."""
+
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyhouse.operators.keys import (
+    KeyViolation,
+    assert_key,
+    duplicates,
+    first_per_key,
+    key_violations,
+    repeated_keys,
+    require_key,
+)
+from tallyhouse.operators.skew import hot_keys, keyed_join, repeat_rows
+
+
+def bag(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+@pytest.fixture(scope="module")
+def skewed_rows():
+    """A third of the rows has key 'hot', half of those are equal copies; some keys are NULL."""
+    rows = []
+    for i in range(400):
+        rows.append(("hot", 7 if i % 2 else i, "x"))
+    for i in range(700):
+        rows.append((f"k{i % 500}", i % 3, "y"))
+    rows += [(None, i % 2, "z") for i in range(100)]
+    return rows
+
+
+@pytest.fixture(scope="module")
+def skewed(spark, skewed_rows):
+    return spark.createDataFrame(skewed_rows, "k string, v int, t string").repartition(5)
+
+
+def test_hot_keys_are_found_and_bounded(spark, skewed):
+    assert spark.range(1).select(hot_keys(skewed, ["k"])).first()[0] == ["hot"]
+    assert spark.range(1).select(hot_keys(skewed.filter("k <> 'hot'"), ["k"])).first()[0] == []
+
+
+def test_hot_keys_of_nothing(spark, skewed):
+    empty = skewed.filter("v < 0")
+    assert keyed_join(skewed, empty, ["k"], "left_anti").count() == skewed.count()
+    assert keyed_join(empty, skewed, ["k"], "left").count() == 0
+
+
+def brute_join(left, right, how):
+    by_key = defaultdict(list)
+    for r in right:
+        by_key[r[0]].append(r[1:])
+    out = Counter()
+    for l in left:
+        matches = by_key.get(l[0], []) if l[0] is not None else []
+        if how == "inner":
+            out.update((*l, *m) for m in matches)
+        elif how == "left":
+            out.update([(*l, *m) for m in matches] or [(*l, None)])
+        elif (how == "left_semi") == bool(matches):
+            out[l] += 1
+    return out
+
+
+@pytest.mark.parametrize("how", ["inner", "left_semi", "left_anti"])
+def test_join_with_hot_left_key(spark, skewed, skewed_rows, how):
+    right = [("hot", 1.0), ("k1", 2.0), ("k1", 3.0), ("absent", 4.0), (None, 5.0)]
+    joined = keyed_join(skewed, spark.createDataFrame(right, "k string, w double"), ["k"], how)
+    assert bag(joined) == brute_join(skewed_rows, right, how)
+
+
+def test_left_join_with_hot_right_key(spark, skewed, skewed_rows):
+    left = [("hot", 1.0), ("k1", 2.0), ("absent", 4.0), (None, 5.0), (None, 5.0), ("hot", 6.0)]
+    joined = keyed_join(spark.createDataFrame(left, "k string, w double"), skewed.select("k", "v"), ["k"], "left")
+    assert bag(joined) == brute_join(left, [r[:2] for r in skewed_rows], "left")
+
+
+def test_join_on_two_columns(spark):
+    left = spark.createDataFrame([("a", 1)] * 50 + [("a", 2), (None, 1)], "k string, n int")
+    right = spark.createDataFrame([("a", 1), (None, 1)], "k string, n int")
+    assert keyed_join(left, right, ["k", "n"], "left_semi").count() == 50
+    assert keyed_join(left, right, ["k", "n"], "left_anti").count() == 2
+
+
+def brute_duplicates(rows):
+    groups = defaultdict(list)
+    for r in rows:
+        groups[r[0]].append(r)
+    out = Counter()
+    for group in groups.values():
+        out.update(sorted(group, key=lambda r: r[1:])[1:])
+    return out
+
+
+def test_duplicates_of_hot_key_copies_and_null_keys(skewed, skewed_rows):
+    expected = brute_duplicates(skewed_rows)
+    assert bag(duplicates(skewed, ["k"], ["v"])) == expected
+    assert bag(duplicates(skewed, ["k"], ["v"], repeated_keys(skewed, ["k"]))) == expected
+
+
+def test_duplicates_leave_what_first_per_key_takes(skewed):
+    together = duplicates(skewed, ["k"], ["v"]).unionByName(first_per_key(skewed, ["k"], ["v"]))
+    assert bag(together) == bag(skewed)
+
+
+def test_equal_order_values_are_decided_by_the_other_columns(spark):
+    df = spark.createDataFrame([("a", 1, "second"), ("a", 1, "first")], "k string, at int, t string")
+    assert first_per_key(df, ["k"], ["at"]).first()["t"] == "first"
+    assert [r["t"] for r in duplicates(df, ["k"], ["at"]).collect()] == ["second"]
+
+
+def test_repeat_rows_across_pieces(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 25_001), ("c", 10_000)], "k string, n long")
+    assert {r["k"]: r["count"] for r in repeat_rows(df, "n").groupBy("k").count().collect()} == {
+        "a": 1,
+        "b": 25_001,
+        "c": 10_000,
+    }
+
+
+def test_key_violations_and_assertions(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "k string")
+    assert {(r["k"], r["row_count"]) for r in key_violations(df, ["k"]).collect()} == {("a", 2), (None, 1)}
+    with pytest.raises(KeyViolation, match="orders breaks its key"):
+        assert_key(df, ["k"], "orders")
+    assert_key(df.filter("k = 'b'"), ["k"])
+    assert require_key(df.filter("k = 'b'"), ["k"]).count() == 1
+    with pytest.raises(Exception, match="2 violations of the key"):
+        require_key(df, ["k"]).collect()
+
+
+def test_first_per_key_is_limited_before_the_shuffle(spark, skewed):
+    plan = first_per_key(skewed.withColumn("x", F.lit(1)), ["k"], ["v"])._jdf.queryExecution().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan

@@ -1,0 +1,128 @@
+"""Insert-or-ignore, upsert and window rebuild."""
+
+from collections import Counter
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyhouse.operators.merge import insert_ignore, moved_days, new_rows, rebuild_window, rebuilt_days, upsert
+from tallyhouse.plans.samples import ORDERS_AS_OF, WINDOW_DAYS, Samples
+
+AS_OF, DAYS = date(2024, 1, 31), 7
+WINDOW = (["id"], "day", AS_OF, DAYS)
+
+
+def fact(spark, rows):
+    return spark.createDataFrame([(i, date.fromisoformat(d) if d else None, v) for i, d, v in rows], "id string, day date, v int")
+
+
+def result(df):
+    return {(r.id, str(r.day) if r.day else None, r.v) for r in df.collect()}
+
+
+def test_existing_row_wins_then_first_in_batch(spark):
+    target = spark.createDataFrame([("a", 1), ("b", 1)], "k string, at int")
+    batch = spark.createDataFrame([("a", 9), ("c", 5), ("c", 4), ("d", 7), ("d", 7)], "k string, at int")
+    after = insert_ignore(target, batch, ["k"], ["at"])
+    assert Counter(tuple(r) for r in after.collect()) == {("a", 1): 1, ("b", 1): 1, ("c", 4): 1, ("d", 7): 1}
+    assert new_rows(after, batch, ["k"], ["at"]).isEmpty()
+
+
+def test_null_key_in_batch_is_an_error(spark):
+    target = spark.createDataFrame([("a", 1)], "k string, at int")
+    batch = spark.createDataFrame([(None, 1)], "k string, at int")
+    with pytest.raises(Exception, match="NULL in key"):
+        insert_ignore(target, batch, ["k"], ["at"]).collect()
+
+
+def test_repeats_already_in_the_target_stay(spark):
+    target = spark.createDataFrame([("a", 1)] * 30 + [("b", 2)], "k string, at int")
+    batch = spark.createDataFrame([("a", 3), ("c", 3)], "k string, at int")
+    assert insert_ignore(target, batch, ["k"], ["at"]).count() == 32
+
+
+def test_upsert(spark):
+    existing = fact(spark, [("a", "2024-01-01", 1), ("b", "2024-01-02", 1)])
+    source = fact(spark, [("b", "2024-01-03", 2), ("c", "2024-01-04", 2)])
+    assert result(upsert(existing, source, ["id"])) == {
+        ("a", "2024-01-01", 1),
+        ("b", "2024-01-03", 2),
+        ("c", "2024-01-04", 2),
+    }
+
+
+@pytest.mark.parametrize("bad", [("b", "2024-01-03", 3), (None, "2024-01-03", 3)])
+def test_upsert_refuses_a_repeated_or_null_key(spark, bad):
+    source = fact(spark, [("b", "2024-01-03", 2), bad])
+    with pytest.raises(Exception, match="violations of the key"):
+        upsert(fact(spark, [("a", "2024-01-01", 1)]), source, ["id"]).collect()
+
+
+def existing_and_incoming(spark):
+    existing = fact(
+        spark,
+        [
+            ("stays", "2024-01-10", 1),
+            ("on_cutoff", "2024-01-24", 1),
+            ("gone", "2024-01-25", 1),
+            ("before", "2024-01-23", 1),
+            ("moves_in", "2024-01-05", 1),
+            ("neighbour", "2024-01-05", 1),
+            ("alone", "2024-01-06", 1),
+            ("corrected_out", "2024-01-30", 1),
+            ("no_day", None, 1),
+        ],
+    )
+    incoming = fact(
+        spark,
+        [
+            ("on_cutoff", "2024-01-24", 2),
+            ("moves_in", "2024-01-29", 2),
+            ("alone", "2024-01-30", 2),
+            ("corrected_out", "2024-01-02", 2),
+            ("future", "2024-02-15", 2),
+        ],
+    )
+    return existing, incoming
+
+
+EXPECTED = {
+    ("stays", "2024-01-10", 1),
+    ("before", "2024-01-23", 1),
+    ("neighbour", "2024-01-05", 1),
+    ("no_day", None, 1),
+    ("on_cutoff", "2024-01-24", 2),
+    ("moves_in", "2024-01-29", 2),
+    ("alone", "2024-01-30", 2),
+    ("future", "2024-02-15", 2),
+}
+
+
+def test_rebuild_window(spark):
+    existing, incoming = existing_and_incoming(spark)
+    once = rebuild_window(existing, incoming, *WINDOW)
+    assert result(once) == EXPECTED
+    assert result(rebuild_window(once, incoming, *WINDOW)) == EXPECTED
+
+
+def test_only_changed_days_are_rebuilt(spark):
+    existing, incoming = existing_and_incoming(spark)
+    moved = moved_days(existing, incoming, *WINDOW)
+    assert moved == {date(2024, 1, 5), date(2024, 1, 6)}
+    assert result(rebuilt_days(existing, incoming, *WINDOW, moved)) == {
+        ("neighbour", "2024-01-05", 1),
+        ("on_cutoff", "2024-01-24", 2),
+        ("moves_in", "2024-01-29", 2),
+        ("alone", "2024-01-30", 2),
+        ("future", "2024-02-15", 2),
+    }
+
+
+def test_rebuild_on_the_sample_tables_is_a_no_op_the_second_time(spark):
+    s = Samples(spark, "/root/testdata/sf0.001")
+    window = (["order_id"], "order_day", ORDERS_AS_OF, WINDOW_DAYS)
+    once = rebuild_window(s.fact_prev, s.fact_incoming, *window)
+    twice = rebuild_window(once, s.fact_incoming, *window)
+    assert Counter(once.collect()) == Counter(twice.collect())
+    assert once.filter(F.col("payment_status") == "stale").count() == 1293
