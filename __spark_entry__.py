@@ -75,7 +75,7 @@ def _yearly_metrics(s: Samples) -> DataFrame:
     """One metrics row per year of ingest, as if every year had been one run."""
     tables = {
         "raw_orders_count": s.raw_orders,
-        "quarantined_orders": quality.quarantine(s.raw_orders, model.order_rules()),
+        "quarantined_orders": quality.quarantine(s.raw_orders, model.order_rules(s.raw_orders)),
         "clean_orders_count": s.orders_clean,
         "raw_payments_count": s.raw_payments,
         "quarantined_payments": quality.quarantine(

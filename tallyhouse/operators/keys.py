@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.skew import SLICE, any_null, hot_keys, is_hot, keyed_join, slice_number
+from tallyhouse.operators.skew import SLICE, HotKeys, any_null, hot_keys, keyed_join, sliced
 
 
 class KeyViolation(ValueError):
@@ -57,34 +57,39 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -
 
 
 def duplicates(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], repeated: DataFrame | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    repeated: DataFrame | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """All rows of every key but its earliest one. Rows with equal NULL keys are duplicates too.
 
     Pass ``repeated`` (``repeated_keys`` of the same table, already written) to rank
     only rows that can be duplicates instead of shuffling the whole table.
 
-    Hot keys and NULL keys are ranked slice by slice; the first rows of the slices,
-    at most one per slice, then meet in a second, small ranking.
+    Hot keys and many NULL keys are ranked slice by slice; the first rows of the
+    slices, at most one per slice, then meet in a second, small ranking.
     """
     keys = list(keys)
-    rows = df
+    hot = hot_keys(df, keys) if hot is None else hot
     order = _total_order(df, keys, order_by)
-    hot = hot_keys(df, keys)
+    rows = df
     if repeated is not None:
         rows = keyed_join(df.filter(~any_null(keys)), repeated, keys, "left_semi", hot)
         rows = rows.select(*df.columns).unionByName(df.filter(any_null(keys)))
-    cut = rows.withColumn("_hot", is_hot(hot, keys) | any_null(keys)).withColumn(
-        SLICE, F.when(F.col("_hot"), slice_number(df)).otherwise(F.lit(0))
-    )
-    in_slice = Window.partitionBy(*keys, SLICE).orderBy(*order)
-    ranked = cut.withColumn("_rank", F.row_number().over(in_slice)).filter((F.col("_rank") > 1) | F.col("_hot"))
+    if not hot:
+        ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+        return ranked.filter(F.col("_rank") > 1).drop("_rank")
 
-    contender = F.col("_hot") & (F.col("_rank") == 1)
+    spread = hot.condition() | any_null(keys)
+    in_slice = Window.partitionBy(*keys, SLICE).orderBy(*order)
+    ranked = sliced(rows, hot).withColumn("_rank", F.row_number().over(in_slice)).filter((F.col("_rank") > 1) | spread)
     # Rows already known to be duplicates get a group of their own and stay spread out.
+    contender = spread & (F.col("_rank") == 1)
     ranked = ranked.withColumn("_group", F.when(contender, F.lit(-1)).otherwise(F.col(SLICE))).withColumn(
         "_member", F.when(contender, F.lit(0)).otherwise(F.col("_rank"))
     )
     across = Window.partitionBy(*keys, "_group", "_member").orderBy(*order)
     final = ranked.withColumn("_final", F.row_number().over(across))
-    return final.filter(~((F.col("_member") == 0) & (F.col("_final") == 1))).select(*df.columns)
+    return final.filter((F.col("_member") > 0) | (F.col("_final") > 1)).select(*df.columns)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import is_missing, moment
 from tallyhouse.operators.keys import duplicates, first_per_key, repeated_keys
-from tallyhouse.operators.skew import any_null, keyed_join, repeat_rows
+from tallyhouse.operators.skew import HotKeys, any_null, keyed_join, repeat_rows
 
 
 @dataclass(frozen=True)
@@ -37,9 +37,11 @@ class DuplicateRule:
     keys: Sequence[str]
     order_by: Sequence[str]
     repeated: DataFrame | None = None
+    hot: HotKeys | None = None
 
     def violations(self, df: DataFrame) -> DataFrame:
-        return duplicates(df, self.keys, self.order_by, self.repeated).withColumn("reason", F.lit(self.reason))
+        found = duplicates(df, self.keys, self.order_by, self.repeated, self.hot)
+        return found.withColumn("reason", F.lit(self.reason))
 
 
 @dataclass(frozen=True)
@@ -109,7 +111,9 @@ def exclude(df: DataFrame, quarantined: DataFrame, key: str) -> DataFrame:
     return keyed_join(df, quarantined.select(key).distinct(), [key], "left_anti").select(*df.columns)
 
 
-def survivors(df: DataFrame, rules: Sequence[RowRule], key: str, bad_keys: DataFrame) -> DataFrame:
+def survivors(
+    df: DataFrame, rules: Sequence[RowRule], key: str, bad_keys: DataFrame, hot: HotKeys | None = None
+) -> DataFrame:
     """Same as ``exclude`` of the full quarantine, at less cost.
 
     Holds when every key with more than one row is in ``bad_keys``: a row rule can
@@ -117,7 +121,7 @@ def survivors(df: DataFrame, rules: Sequence[RowRule], key: str, bad_keys: DataF
     ``bad_keys`` instead of the whole quarantine.
     """
     passing = df.filter(any_null([key]) | ~breaks_any(rules))
-    return keyed_join(passing, bad_keys.select(key), [key], "left_anti").select(*df.columns)
+    return keyed_join(passing, bad_keys.select(key), [key], "left_anti", hot).select(*df.columns)
 
 
 def clean_split(
@@ -127,6 +131,7 @@ def clean_split(
     order_by: Sequence[str],
     on_duplicate: str = "drop_all",
     repeated: DataFrame | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Rows that pass all row rules, with duplicates of ``key`` dropped.
 
@@ -134,7 +139,7 @@ def clean_split(
     earliest copy that passes the row rules.
     """
     if on_duplicate == "drop_all":
-        return survivors(df, rules, key, repeated if repeated is not None else repeated_keys(df, [key]))
+        return survivors(df, rules, key, repeated if repeated is not None else repeated_keys(df, [key]), hot)
     if on_duplicate == "keep_first":
         return first_per_key(df.filter(~breaks_any(rules)), [key], order_by)
     raise ValueError(f"on_duplicate must be 'drop_all' or 'keep_first', not {on_duplicate!r}")

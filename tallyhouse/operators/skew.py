@@ -1,55 +1,77 @@
 """Joins and row repetition that hold when one key owns a large part of the rows.
 
 A key is *hot* when it has more rows than an average shuffle partition would get.
-Hot keys are found by a bounded heavy-hitter sketch over the key column alone and
-reach the main query as a scalar subquery, so nothing passes through Python and
-the list never exceeds ``HOT_LIMIT`` keys. Only hot keys are cut into slices; all
-other rows keep slice 0 and are shuffled once, as in a plain join.
+Hot keys are found by a bounded heavy-hitter sketch over the key columns alone, in
+a job of its own, so both sides of a join act on the same list. Without hot keys
+a join is planned as usual. With them, only their rows are cut into slices; all
+other rows keep slice 0 and are shuffled once.
 
-Being hot only decides where a row is processed, never whether it is kept.
+Being hot decides where a row is processed, never whether it is kept.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhouse.session import shuffle_width
 
+# Length of the hot list; a key beyond it has less than 1/256 of the rows.
 HOT_LIMIT = 256
+# Copies of one row that one task may emit.
 PIECE = 10_000
 SLICE = "_slice"
 
-
-def key_value(keys: Sequence[str]) -> Column:
-    """One comparable value per key; several columns become one exact text."""
-    if len(keys) == 1:
-        return F.col(keys[0])
-    return F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
+_EXACT = (T.StringType, T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.DateType)
 
 
 def any_null(keys: Sequence[str]) -> Column:
-    condition = F.lit(False)
-    for key in keys:
-        condition = condition | F.col(key).isNull()
-    return condition
+    return reduce(lambda a, b: a | b, [F.col(key).isNull() for key in keys])
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str]) -> Column:
-    """Array of the hot, non-NULL keys of ``df`` (a scalar subquery)."""
-    width = shuffle_width(df.sparkSession)
-    top = df.filter(~any_null(keys)).agg(
-        F.call_function("approx_top_k", key_value(keys), F.lit(HOT_LIMIT)).alias("top"),
-        F.count("*").alias("total"),
-    )
-    hot = F.filter("top", lambda entry: entry["count"] * F.lit(width) > F.col("total"))
-    return top.select(F.transform(hot, lambda entry: entry["item"]).alias("hot")).scalar()
+@dataclass(frozen=True)
+class HotKeys:
+    """Keys with very many rows (at most ``HOT_LIMIT``), and whether NULL keys are that many."""
 
+    keys: tuple[str, ...]
+    values: tuple
+    nulls: bool
+    exact: bool
 
-def is_hot(hot: Column, keys: Sequence[str]) -> Column:
-    return F.coalesce(F.array_contains(hot, key_value(keys)), F.lit(False))
+    def __bool__(self) -> bool:
+        return bool(self.values) or self.nulls
+
+    def condition(self) -> Column:
+        """Whether a row has a hot key. False for a NULL key."""
+        if not self.values:
+            return F.lit(False)
+        return F.coalesce(_key_value(self.keys, self.exact).isin(list(self.values)), F.lit(False))
+
+
+def _key_value(keys: Sequence[str], exact: bool) -> Column:
+    return F.col(keys[0]) if exact else F.xxhash64(*keys)
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> HotKeys:
+    """Find the hot keys of ``df``. Runs a job that reads the key columns and returns one row."""
+    exact = len(keys) == 1 and isinstance(df.schema[keys[0]].dataType, _EXACT)
+    width = shuffle_width(df.sparkSession)
+    missing = any_null(keys)
+    found = df.agg(
+        F.call_function(
+            "approx_top_k", F.when(~missing, _key_value(keys, exact)), F.lit(HOT_LIMIT)
+        ).alias("top"),
+        F.count("*").alias("total"),
+        F.count_if(missing).alias("nulls"),
+    ).first()
+    often = [entry["item"] for entry in found["top"] or () if entry["count"] * width > found["total"]]
+    values = tuple(value for value in often if value is not None)
+    return HotKeys(tuple(keys), values, found["nulls"] * width > found["total"], exact)
 
 
 def slice_number(df: DataFrame) -> Column:
@@ -61,46 +83,53 @@ def slice_number(df: DataFrame) -> Column:
     return F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), F.lit(shuffle_width(df.sparkSession))).cast("int")
 
 
-def _sliced(df: DataFrame, hot: Column, keys: Sequence[str]) -> DataFrame:
-    apart = is_hot(hot, keys) | any_null(keys)
+def sliced(df: DataFrame, hot: HotKeys) -> DataFrame:
+    """Cut the rows of hot keys, and those without a key, into slices."""
+    apart = hot.condition() | any_null(hot.keys)
     return df.withColumn(SLICE, F.when(apart, slice_number(df)).otherwise(F.lit(0)))
 
 
-def _in_every_slice(df: DataFrame, hot: Column, keys: Sequence[str]) -> DataFrame:
-    width = shuffle_width(df.sparkSession)
-    everywhere = F.sequence(F.lit(0), F.lit(width - 1))
-    own = F.when(any_null(keys), F.array(slice_number(df))).otherwise(F.array(F.lit(0)))
-    return df.withColumn("_slices", F.when(is_hot(hot, keys), everywhere).otherwise(own)).withColumn(
-        SLICE, F.explode("_slices")
-    ).drop("_slices")
+def _in_every_slice(df: DataFrame, hot: HotKeys) -> DataFrame:
+    """Copy the rows of hot keys to every slice; rows without a key go to one of them."""
+    everywhere = F.sequence(F.lit(0), F.lit(shuffle_width(df.sparkSession) - 1))
+    own = F.when(any_null(hot.keys), F.array(slice_number(df))).otherwise(F.array(F.lit(0)))
+    slices = F.when(hot.condition(), everywhere).otherwise(own)
+    return df.withColumn("_slices", slices).withColumn(SLICE, F.explode("_slices")).drop("_slices")
 
 
 def keyed_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", hot: Column | None = None
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", hot: HotKeys | None = None
 ) -> DataFrame:
     """``left JOIN right USING (keys)`` for large sides with hot keys.
 
     ``inner``, ``left_semi``, ``left_anti``: hot keys of the left side are sliced
-    and the right side's rows for them repeated per slice.
-    ``left``: the other way round, since there a hot right key is what one task
-    would have to emit; left rows without a key are spread as they match nothing.
+    and the right side's rows for them copied to every slice. Any ``hot`` list is
+    right for these, for example one of the table ``left`` was filtered from.
 
-    The first three take any ``hot`` list, for example one of the table ``left`` was filtered from.
+    ``left``: the other way round, since there a hot right key is what one task
+    would have to emit. Left rows without a key are spread, as they match nothing.
     """
     keys = list(keys)
+    for key in keys:
+        if left.schema[key].dataType != right.schema[key].dataType:
+            raise TypeError(f"{key} has different types in the two tables")
     right = right.filter(~any_null(keys))
-    on = [*keys, SLICE]
     if how in ("inner", "left_semi", "left_anti"):
         hot = hot_keys(left, keys) if hot is None else hot
-        joined = _sliced(left, hot, keys).join(_in_every_slice(right, hot, keys), on, how)
-        return joined.drop(SLICE)
+        if not hot:
+            return left.join(right, keys, how)
+        return sliced(left, hot).join(_in_every_slice(right, hot), [*keys, SLICE], how).drop(SLICE)
     if how == "left":
         hot = hot_keys(right, keys)
-        joined = _in_every_slice(left, hot, keys).join(
-            _sliced(right, hot, keys).withColumn("_hit", F.lit(True)), on, how
-        )
+        spread = HotKeys(hot.keys, hot.values, hot_keys(left, keys).nulls, hot.exact)
+        if not spread:
+            return left.join(right, keys, how)
+        if hot.values and not hot.exact:
+            raise TypeError(f"a left join spreads hot keys of one text, integer or date column only, not {keys}")
+        hits = sliced(right, spread).withColumn("_hit", F.lit(True))
+        joined = _in_every_slice(left, spread).join(hits, [*keys, SLICE], how)
         # A hot key has rows on the right, so a slice of it without a match is only a copy.
-        return joined.filter(F.col("_hit").isNotNull() | ~is_hot(hot, keys)).drop(SLICE, "_hit")
+        return joined.filter(F.col("_hit").isNotNull() | ~spread.condition()).drop(SLICE, "_hit")
     raise ValueError(f"unsupported join type {how!r}")
 
 

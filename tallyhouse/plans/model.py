@@ -20,11 +20,15 @@ from tallyhouse.operators.quality import (
     missing,
     quarantine,
 )
-from tallyhouse.operators.skew import keyed_join
+from tallyhouse.operators.skew import HotKeys, keyed_join
 
 ORDER_COLUMNS = ["order_id", "customer_id", "order_date", "order_total"]
 PAYMENT_COLUMNS = ["payment_id", "order_id", "payment_status", "payment_amount"]
-EARLIEST = ["ingested_at"]
+
+
+def earliest(raw: DataFrame) -> list[str]:
+    """What decides which copy of a row came first; equal rows are told apart by their other columns."""
+    return [column for column in ("ingested_at", "source_file") if column in raw.columns]
 
 
 def order_row_rules() -> list[RowRule]:
@@ -35,8 +39,11 @@ def payment_row_rules() -> list[RowRule]:
     return [missing("order_id")]
 
 
-def order_rules(repeated: DataFrame | None = None) -> list[Rule]:
-    return [DuplicateRule("duplicate order_id", ["order_id"], EARLIEST, repeated), *order_row_rules()]
+def order_rules(
+    raw_orders: DataFrame, repeated: DataFrame | None = None, hot: HotKeys | None = None
+) -> list[Rule]:
+    duplicate = DuplicateRule("duplicate order_id", ["order_id"], earliest(raw_orders), repeated, hot)
+    return [duplicate, *order_row_rules()]
 
 
 def paid_mismatch(raw_orders: DataFrame) -> MismatchRule:
@@ -51,35 +58,64 @@ def paid_mismatch(raw_orders: DataFrame) -> MismatchRule:
 
 
 def quarantined_orders(
-    raw_orders: DataFrame, repeated: DataFrame | None = None, at: datetime | None = None
+    raw_orders: DataFrame,
+    repeated: DataFrame | None = None,
+    at: datetime | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
-    found = quarantine(raw_orders, order_rules(repeated), at)
+    needed = raw_orders.select(*ORDER_COLUMNS, *earliest(raw_orders))
+    found = quarantine(needed, order_rules(needed, repeated, hot), at)
     return found.select(*ORDER_COLUMNS, "reason", *(["quarantined_at"] if at else []))
 
 
 def quarantined_payments(raw_payments: DataFrame, raw_orders: DataFrame, at: datetime | None = None) -> DataFrame:
-    found = quarantine(raw_payments, [*payment_row_rules(), paid_mismatch(raw_orders)], at)
+    needed = raw_payments.select(*PAYMENT_COLUMNS)
+    found = quarantine(needed, [*payment_row_rules(), paid_mismatch(raw_orders)], at)
     return found.select(*PAYMENT_COLUMNS, "reason", *(["quarantined_at"] if at else []))
 
 
 def clean_orders(
-    raw_orders: DataFrame, on_duplicate: str = "drop_all", repeated: DataFrame | None = None
+    raw_orders: DataFrame,
+    on_duplicate: str = "drop_all",
+    repeated: DataFrame | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
-    return clean_split(raw_orders, order_row_rules(), "order_id", EARLIEST, on_duplicate, repeated)
+    return clean_split(
+        raw_orders, order_row_rules(), "order_id", earliest(raw_orders), on_duplicate, repeated, hot
+    )
 
 
 def clean_payments(raw_payments: DataFrame, quarantined: DataFrame) -> DataFrame:
     return exclude(raw_payments, quarantined, "payment_id")
 
 
+def placed_orders(orders: DataFrame, as_of: date | None = None, days: int | None = None) -> DataFrame:
+    """The order side of the fact; with ``as_of`` only the window's days."""
+    placed = orders.select("order_id", "customer_id", day_of("order_date").alias("order_day"), "order_total")
+    return placed if as_of is None else in_window(placed, "order_day", as_of, days)
+
+
+def with_payments(placed: DataFrame, payments: DataFrame) -> DataFrame:
+    """Orders with their payment, if any."""
+    return keyed_join(placed, payments.select("order_id", "payment_status", "payment_amount"), ["order_id"], "left")
+
+
+def payments_of(placed: DataFrame, payments: DataFrame, limit: int = 1_000_000) -> DataFrame:
+    """Payments that can belong to ``placed`` orders, when those are few enough to broadcast.
+
+    ``placed`` is counted first. A million order ids of at most 50 characters stay
+    near 100 MB; beyond that all payments go on to the shuffled join.
+    """
+    if placed.count() > limit:
+        return payments
+    return payments.join(F.broadcast(placed.select("order_id")), "order_id", "left_semi")
+
+
 def fact_orders(
     orders: DataFrame, payments: DataFrame, as_of: date | None = None, days: int | None = None
 ) -> DataFrame:
     """Clean orders with their payment, if any; with ``as_of`` only the window's days."""
-    placed = orders.select("order_id", "customer_id", day_of("order_date").alias("order_day"), "order_total")
-    if as_of is not None:
-        placed = in_window(placed, "order_day", as_of, days)
-    return keyed_join(placed, payments.select("order_id", "payment_status", "payment_amount"), ["order_id"], "left")
+    return with_payments(placed_orders(orders, as_of, days), payments)
 
 
 def dim_customer(raw_customers: DataFrame) -> DataFrame:

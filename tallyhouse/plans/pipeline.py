@@ -10,6 +10,7 @@ from tallyhouse.operators.contracts import run_contracts, warehouse_contracts
 from tallyhouse.operators.keys import assert_key, repeated_keys
 from tallyhouse.operators.merge import in_window, moved_days, rebuilt_days
 from tallyhouse.operators.quality import quality_gate
+from tallyhouse.operators.skew import hot_keys
 from tallyhouse.operators.trends import AnomalyRule
 from tallyhouse.plans import model, reports
 from tallyhouse.plans.runs import run_metrics, tracked_run
@@ -47,17 +48,19 @@ def run_pipeline(
         raw_payments = warehouse.read("raw.payments", schemas.RAW_PAYMENTS)
 
         # Quarantine.
+        hot = hot_keys(raw_orders, ["order_id"])
         repeated = keep(repeated_keys(raw_orders, ["order_id"]), "work.repeated_orders")
-        bad_orders = keep(model.quarantined_orders(raw_orders, repeated, now), "raw.quarantine_orders")
+        bad_orders = keep(model.quarantined_orders(raw_orders, repeated, now, hot), "raw.quarantine_orders")
         bad_payments = keep(model.quarantined_payments(raw_payments, raw_orders, now), "raw.quarantine_payments")
 
         # Clean tables.
-        orders = keep(model.clean_orders(raw_orders, settings.on_duplicate, repeated), "staging.orders_clean")
+        orders = keep(model.clean_orders(raw_orders, settings.on_duplicate, repeated, hot), "staging.orders_clean")
         payments = keep(model.clean_payments(raw_payments, bad_payments), "staging.payments_clean")
         quality_gate({"quarantined_orders": bad_orders, "quarantined_payments": bad_payments}, settings.max_errors)
 
         # Window of the fact, checked before anything is published.
-        window = keep(model.fact_orders(orders, payments, as_of, days), "work.fact_window")
+        placed = keep(model.placed_orders(orders, as_of, days), "work.window_orders")
+        window = keep(model.with_payments(placed, model.payments_of(placed, payments)), "work.fact_window")
         assert_key(window, ["order_id"], "the fact window")
 
         # Dimensions.

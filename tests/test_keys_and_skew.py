@@ -39,8 +39,12 @@ def skewed(spark, skewed_rows):
 
 
 def test_hot_keys_are_found_and_bounded(spark, skewed):
-    assert spark.range(1).select(hot_keys(skewed, ["k"])).first()[0] == ["hot"]
-    assert spark.range(1).select(hot_keys(skewed.filter("k <> 'hot'"), ["k"])).first()[0] == []
+    hot = hot_keys(skewed, ["k"])
+    assert hot.values == ("hot",) and not hot.nulls and hot.exact
+    assert not hot_keys(skewed.filter("k <> 'hot'"), ["k"])
+    assert hot_keys(skewed.filter("k IS NULL OR k = 'k1'"), ["k"]).nulls
+    many = spark.range(1000).select((F.col("id") % 5).alias("k"))
+    assert sorted(hot_keys(many, ["k"]).values) == [0, 1, 2, 3, 4]
 
 
 def test_hot_keys_of_nothing(spark, skewed):
@@ -83,6 +87,23 @@ def test_join_on_two_columns(spark):
     right = spark.createDataFrame([("a", 1), (None, 1)], "k string, n int")
     assert keyed_join(left, right, ["k", "n"], "left_semi").count() == 50
     assert keyed_join(left, right, ["k", "n"], "left_anti").count() == 2
+    with pytest.raises(TypeError, match="different types"):
+        keyed_join(left, right.withColumn("n", F.col("n").cast("long")), ["k", "n"])
+
+
+def test_without_hot_keys_the_join_is_a_plain_one(spark, skewed):
+    cold = skewed.filter("k <> 'hot'")
+    plan = keyed_join(cold, cold.select("k").distinct(), ["k"], "left_semi")._jdf.queryExecution().toString()
+    assert "_slice" not in plan
+
+
+def test_many_null_keys_are_spread(spark):
+    left = spark.createDataFrame([(None, i) for i in range(300)] + [("a", 1)], "k string, v int")
+    right = spark.createDataFrame([("a", 2), (None, 3)], "k string, w int")
+    joined = keyed_join(left, right, ["k"], "left")
+    assert joined.filter("w IS NULL").count() == 300 and joined.filter("w = 2").count() == 1
+    assert keyed_join(left, right, ["k"], "left_anti").count() == 300
+    assert duplicates(left, ["k"], ["v"]).count() == 299
 
 
 def brute_duplicates(rows):
