@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import is_missing, moment
 from tallyhouse.operators.keys import duplicates, first_per_key, repeated_keys
-from tallyhouse.operators.skew import HotKeys, any_null, keyed_join, repeat_rows
+from tallyhouse.operators.skew import HotKeys, any_null, hot_keys, keyed_join, repeat_rows
 
 
 @dataclass(frozen=True)
@@ -57,9 +57,11 @@ class MismatchRule:
     value: str
     other_value: str
     when: Column
+    other_hot: HotKeys | None = None
 
     def violations(self, df: DataFrame) -> DataFrame:
-        # Equal copies on the other side become one row with a count before they are shuffled.
+        # Equal copies on the other side become one row with a count before they are
+        # shuffled, so a key never meets itself copy by copy.
         values = (
             self.other.filter(F.col(self.other_value).isNotNull() & F.col(self.key).isNotNull())
             .groupBy(self.key, F.col(self.other_value).alias("_expected"))
@@ -67,7 +69,9 @@ class MismatchRule:
         )
         compared = df.filter(self.when & F.col(self.value).isNotNull())
         hits = keyed_join(compared, values, [self.key]).filter(F.col(self.value) != F.col("_expected"))
-        return repeat_rows(hits.select(*df.columns, "_copies"), "_copies").withColumn("reason", F.lit(self.reason))
+        many = hot_keys(self.other, [self.key]) if self.other_hot is None else self.other_hot
+        found = repeat_rows(hits.select(*df.columns, "_copies"), "_copies", spread=bool(many.values))
+        return found.withColumn("reason", F.lit(self.reason))
 
 
 Rule = RowRule | DuplicateRule | MismatchRule

@@ -133,14 +133,16 @@ def keyed_join(
     raise ValueError(f"unsupported join type {how!r}")
 
 
-def repeat_rows(df: DataFrame, times: str) -> DataFrame:
+def repeat_rows(df: DataFrame, times: str, spread: bool = True) -> DataFrame:
     """Emit every row ``times`` times and drop that column.
 
-    A large count is first cut into pieces that are spread over the cluster.
+    A large count is cut into pieces, so no task holds all copies at once; ``spread``
+    also sends the pieces to different tasks.
     """
     columns = [c for c in df.columns if c != times]
     last_piece = F.floor((F.col(times) - 1) / F.lit(PIECE))
     pieces = df.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("long"), last_piece)))
     pieces = pieces.withColumn("_take", F.least(F.lit(PIECE).cast("long"), F.col(times) - F.col("_piece") * PIECE))
-    spread = pieces.repartition(shuffle_width(df.sparkSession), *columns, "_piece")
-    return spread.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_take")))).select(*columns)
+    if spread:
+        pieces = pieces.repartition(shuffle_width(df.sparkSession), *columns, "_piece")
+    return pieces.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_take")))).select(*columns)

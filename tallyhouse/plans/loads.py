@@ -11,6 +11,7 @@ from tallyhouse import schemas
 from tallyhouse.operators.keys import assert_key
 from tallyhouse.operators.merge import new_rows
 from tallyhouse.schemas import conform
+from tallyhouse.session import staged
 from tallyhouse.sources import lineage
 from tallyhouse.sources.csv import read_csv
 from tallyhouse.sources.warehouse import Warehouse
@@ -50,6 +51,16 @@ def bootstrap(warehouse: Warehouse, folder: str, now: datetime | None = None) ->
     return loaded
 
 
+def rows_to_add(
+    warehouse: Warehouse, table: str, batch: DataFrame, source_file: str, now: datetime, run_id: str | None = None
+) -> DataFrame:
+    """Rows of a daily batch whose key a raw table does not have yet, with their lineage, as a written table."""
+    _, _, raw_schema, key, _ = RAW_TABLES[table]
+    tagged = lineage.tag(lineage.stamp(batch, now, run_id), source_file, lineage.DAILY)
+    target = warehouse.read(table, raw_schema)
+    return staged(new_rows(target, conform(tagged, raw_schema), [key], ["ingested_at"]), "rows_to_add")
+
+
 def load_batch(
     warehouse: Warehouse, table: str, batch: DataFrame, source_file: str, now: datetime, run_id: str | None = None
 ) -> None:
@@ -57,21 +68,21 @@ def load_batch(
 
     Only the new rows are appended, so running the same batch again adds nothing.
     """
-    _, _, raw_schema, key, _ = RAW_TABLES[table]
-    tagged = lineage.tag(lineage.stamp(batch, now, run_id), source_file, lineage.DAILY)
-    target = warehouse.read(table, raw_schema)
-    warehouse.append(new_rows(target, conform(tagged, raw_schema), [key], ["ingested_at"]), table)
+    warehouse.append(rows_to_add(warehouse, table, batch, source_file, now, run_id), table)
 
 
 def load_daily(
     warehouse: Warehouse, orders_csv: str, payments_csv: str, now: datetime | None = None, run_id: str | None = None
 ) -> None:
-    """Insert one day's orders and payments. Both files are checked before either is loaded."""
+    """Insert one day's orders and payments. Both files are read through before either table grows."""
     now = now or datetime.now()
-    batches = []
-    for table, path in (("raw.orders", orders_csv), ("raw.payments", payments_csv)):
+    sources = {"raw.orders": orders_csv, "raw.payments": payments_csv}
+    for path in sources.values():
         if not warehouse.exists(path):
             raise FileNotFoundError(path)
-        batches.append((table, path, read_csv(warehouse.spark, path, RAW_TABLES[table][1])))
-    for table, path, batch in batches:
-        load_batch(warehouse, table, batch, path.rstrip("/").rsplit("/", 1)[-1], now, run_id)
+    added = {}
+    for table, path in sources.items():
+        batch = read_csv(warehouse.spark, path, RAW_TABLES[table][1])
+        added[table] = rows_to_add(warehouse, table, batch, path.rstrip("/").rsplit("/", 1)[-1], now, run_id)
+    for table, rows in added.items():
+        warehouse.append(rows, table)

@@ -46,7 +46,7 @@ def order_rules(
     return [duplicate, *order_row_rules()]
 
 
-def paid_mismatch(raw_orders: DataFrame) -> MismatchRule:
+def paid_mismatch(raw_orders: DataFrame, hot_orders: HotKeys | None = None) -> MismatchRule:
     return MismatchRule(
         "paid amount != order_total",
         other=raw_orders,
@@ -54,6 +54,7 @@ def paid_mismatch(raw_orders: DataFrame) -> MismatchRule:
         value="payment_amount",
         other_value="order_total",
         when=F.col("payment_status") == "paid",
+        other_hot=hot_orders,
     )
 
 
@@ -68,9 +69,14 @@ def quarantined_orders(
     return found.select(*ORDER_COLUMNS, "reason", *(["quarantined_at"] if at else []))
 
 
-def quarantined_payments(raw_payments: DataFrame, raw_orders: DataFrame, at: datetime | None = None) -> DataFrame:
+def quarantined_payments(
+    raw_payments: DataFrame,
+    raw_orders: DataFrame,
+    at: datetime | None = None,
+    hot_orders: HotKeys | None = None,
+) -> DataFrame:
     needed = raw_payments.select(*PAYMENT_COLUMNS)
-    found = quarantine(needed, [*payment_row_rules(), paid_mismatch(raw_orders)], at)
+    found = quarantine(needed, [*payment_row_rules(), paid_mismatch(raw_orders, hot_orders)], at)
     return found.select(*PAYMENT_COLUMNS, "reason", *(["quarantined_at"] if at else []))
 
 

@@ -22,6 +22,7 @@ from tallyhouse.sources.warehouse import Warehouse
 class Settings:
     window_days: int = 7
     max_errors: int = 999_999
+    keep_runs: int | None = None
     on_duplicate: str = "drop_all"
     anomaly: AnomalyRule = field(default_factory=AnomalyRule)
 
@@ -33,7 +34,8 @@ def run_pipeline(
 
     ``as_of`` and ``now`` are taken once, so every step of the run sees the same day.
     Short intermediate tables are written and read back: Spark then knows their
-    size when it plans the joins on them.
+    size when it plans the joins on them. With ``keep_runs`` only that many runs keep
+    their full rebuilds; logs keep all.
     """
     now = now or datetime.now()
     as_of = as_of or now.date()
@@ -51,7 +53,9 @@ def run_pipeline(
         hot = hot_keys(raw_orders, ["order_id"])
         repeated = keep(repeated_keys(raw_orders, ["order_id"]), "work.repeated_orders")
         bad_orders = keep(model.quarantined_orders(raw_orders, repeated, now, hot), "raw.quarantine_orders")
-        bad_payments = keep(model.quarantined_payments(raw_payments, raw_orders, now), "raw.quarantine_payments")
+        bad_payments = keep(
+            model.quarantined_payments(raw_payments, raw_orders, now, hot), "raw.quarantine_payments"
+        )
 
         # Clean tables.
         orders = keep(model.clean_orders(raw_orders, settings.on_duplicate, repeated, hot), "staging.orders_clean")
@@ -86,6 +90,8 @@ def run_pipeline(
 
         # Publish; the success row follows at once.
         warehouse.publish_days(change)
+    if settings.keep_runs is not None:
+        warehouse.drop_old_runs(settings.keep_runs)
     return run.run_id
 
 

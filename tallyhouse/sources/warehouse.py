@@ -22,6 +22,20 @@ from tallyhouse.operators.merge import is_on
 from tallyhouse.schemas import conform
 
 SUCCESS = "success"
+# Tables every run writes anew, so that older copies can go.
+REBUILT = (
+    "raw.quarantine_orders",
+    "raw.quarantine_payments",
+    "staging.orders_clean",
+    "staging.payments_clean",
+    "analytics.dim_customer",
+    "analytics.dim_product",
+    "analytics.dim_date",
+    "work.repeated_orders",
+    "work.window_orders",
+    "work.fact_window",
+    "work.analytics_fact_orders",
+)
 
 
 @dataclass(frozen=True)
@@ -69,8 +83,7 @@ class Warehouse:
         return conform(self._read(self.path(table), schema), schema)
 
     def append(self, df: DataFrame, table: str) -> None:
-        # Rebalancing writes files of an even size, however small or skewed the batch is.
-        df.hint("rebalance").write.mode("append").parquet(self.path(table))
+        df.write.mode("append").parquet(self.path(table))
 
     def prepare_days(
         self, changed: DataFrame, touched: Collection[date | None], table: str, day: str, run_id: str
@@ -81,7 +94,8 @@ class Warehouse:
         written before any of those is touched.
         """
         prepared = self.path(f"work.{table.replace('.', '_')}", run_id)
-        self._partitioned_write(changed, prepared, day)
+        # Rebalancing splits a day with very many rows and joins small ones, so files get an even size.
+        self._write_days(changed.hint("rebalance", F.col(day)), prepared, day)
         rows = self._read(prepared, changed.schema).select(*changed.columns)
         filled = frozenset(row[0] for row in rows.select(day).distinct().collect())  # calendar days
         return DayChange(table, day, rows, frozenset(touched), filled)
@@ -94,19 +108,14 @@ class Warehouse:
         """
         path = self.path(change.table)
         if change.filled:
-            self._partitioned_write(change.rows, path, change.day)
+            self._write_days(change.rows, path, change.day)
         for emptied in change.touched - change.filled:
             self._delete_partition(path, change.day, emptied)
         self.spark.catalog.refreshByPath(path)
 
-    def _partitioned_write(self, df: DataFrame, path: str, day: str) -> None:
-        (
-            df.hint("rebalance", F.col(day))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(day)
-            .parquet(path)
-        )
+    def _write_days(self, df: DataFrame, path: str, day: str) -> None:
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(day).parquet(path)
 
     def _delete_partition(self, path: str, day: str, value: date | None) -> None:
         name = "__HIVE_DEFAULT_PARTITION__" if value is None else value.isoformat()
@@ -129,6 +138,18 @@ class Warehouse:
         state = self.spark.createDataFrame([row], schemas.PIPELINE_RUNS)
         state.coalesce(1).write.mode("append").parquet(self.path("analytics.pipeline_runs"))
 
+    def drop_old_runs(self, keep: int) -> None:
+        """Delete full rebuilds and intermediate tables of all runs but the newest ``keep`` successful ones."""
+        if keep < 1:
+            raise ValueError("the newest successful run must stay")
+        done = self.runs().filter(F.col("status") == SUCCESS).orderBy(F.desc("finished_at"), F.desc("run_id"))
+        kept = {f"run_id={row['run_id']}" for row in done.select("run_id").limit(keep).collect()}
+        for table in REBUILT:
+            files, folder = self._hadoop(self.path(table))
+            for status in files.listStatus(folder) if files.exists(folder) else ():
+                if status.getPath().getName().startswith("run_id=") and status.getPath().getName() not in kept:
+                    files.delete(status.getPath(), True)
+
     def newest(self, table: str, schema: T.StructType) -> DataFrame:
         """A fully rebuilt table, as the newest successful run left it."""
         done = self.runs().filter(F.col("status") == SUCCESS)

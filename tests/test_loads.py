@@ -110,6 +110,15 @@ def test_daily_load_needs_both_files(spark, tmp_path):
     assert warehouse.read("raw.orders", schemas.RAW_ORDERS).isEmpty()
 
 
+def test_bad_payment_file_leaves_the_orders_alone(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    orders_csv = write(tmp_path / "orders_daily.csv", ORDERS_HEADER, "O3,C1,2024-01-03 00:00:00,2")
+    payments_csv = write(tmp_path / "payments_daily.csv", PAYMENTS_HEADER, "Y3,O3,paid,two")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        load_daily(warehouse, orders_csv, payments_csv, NOW)
+    assert warehouse.read("raw.orders", schemas.RAW_ORDERS).isEmpty()
+
+
 def test_arriving_files_are_loaded_once(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path / "wh"))
     landing = tmp_path / "landing"

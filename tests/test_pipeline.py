@@ -106,7 +106,7 @@ def test_days_left_empty_disappear_and_rows_move(spark, tmp_path):
         ("UNDATED", "b", None, Decimal(1), "paid", Decimal(1)),
     ]
     df = spark.createDataFrame(previous, schemas.FACT_ORDERS)
-    warehouse._partitioned_write(df, warehouse.path("analytics.fact_orders"), "order_day")
+    warehouse._write_days(df, warehouse.path("analytics.fact_orders"), "order_day")
     for hour in (6, 7):
         run_pipeline(warehouse, AS_OF, now=at(AS_OF, hour))
         assert fact_rows(warehouse) == {
@@ -157,6 +157,18 @@ def test_two_payments_for_one_order_fail_the_run(spark, tmp_path):
     assert warehouse.fact().isEmpty()
 
 
+def test_old_runs_are_dropped_on_request(spark, tmp_path):
+    warehouse = small_warehouse(spark, tmp_path)
+    first = run_pipeline(warehouse, AS_OF, now=at(AS_OF))
+    second = run_pipeline(warehouse, AS_OF, Settings(keep_runs=1), now=at(AS_OF, 7))
+    assert not warehouse.exists(warehouse.path("staging.orders_clean", first))
+    assert warehouse.exists(warehouse.path("staging.orders_clean", second))
+    assert warehouse.newest("staging.orders_clean", schemas.RAW_ORDERS).count() == 3
+    assert warehouse.log("analytics.pipeline_metrics", schemas.PIPELINE_METRICS).count() == 2
+    with pytest.raises(ValueError):
+        warehouse.drop_old_runs(0)
+
+
 def test_order_without_id_fails_the_run(spark, tmp_path):
     warehouse = small_warehouse(spark, tmp_path)
     add_orders(warehouse, [(None, "a", "2024-01-30", 1)])
