@@ -75,7 +75,7 @@ def _yearly_metrics(s: Samples) -> DataFrame:
     """One metrics row per year of ingest, as if every year had been one run."""
     tables = {
         "raw_orders_count": s.raw_orders,
-        "quarantined_orders": quality.quarantine(s.raw_orders, model.order_rules(s.raw_orders)),
+        "quarantined_orders": quality.quarantine(s.raw_orders, model.order_rules(s.raw_orders, s.repeated)),
         "clean_orders_count": s.orders_clean,
         "raw_payments_count": s.raw_payments,
         "quarantined_payments": quality.quarantine(
@@ -141,7 +141,7 @@ REGISTERED: dict[str, Callable[[Samples], DataFrame]] = {
         s.payments_base, s.payments_load, ["payment_id"], ["ingested_at"]
     ).select(*PAYMENT),
     # Quality.
-    "q_duplicate_orders": lambda s: keys.duplicates(s.raw_orders, ["order_id"], ["ingested_at"]).select(*ORDER),
+    "q_duplicate_orders": lambda s: keys.duplicates(s.raw_orders, ["order_id"], ["ingested_at"], s.repeated).select(*ORDER),
     "q_missing_customer": lambda s: quality.missing("customer_id").violations(s.raw_orders).select(*ORDER),
     "q_negative_total": lambda s: quality.below("order_total", 0, "negative order_total")
     .violations(s.raw_orders)

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.skew import SLICE, HotKeys, any_null, hot_keys, keyed_join, sliced
+from tallyhouse.operators.skew import HOT_LIMIT, SLICE, HotKeys, any_null, is_exact, key_value, keyed_join, sliced
+from tallyhouse.session import shuffle_width, staged
 
 
 class KeyViolation(ValueError):
@@ -21,8 +23,31 @@ def _total_order(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) ->
 
 
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys with more than one row. Only key columns are shuffled, after a map-side count."""
-    return df.groupBy(*keys).agg(F.count("*").alias("copies")).filter(F.col("copies") > 1).select(*keys)
+    """Keys with more than one row, and their count. Only key columns are shuffled, after a map-side count."""
+    return df.groupBy(*keys).agg(F.count("*").alias("copies")).filter(F.col("copies") > 1)
+
+
+@dataclass(frozen=True)
+class Repeated:
+    """The repeated keys of a table, written so that Spark knows how many they are, and the hot ones."""
+
+    table: DataFrame
+    hot: HotKeys
+
+
+def find_repeated(df: DataFrame, keys: Sequence[str], written: DataFrame | None = None) -> Repeated:
+    """Find the repeated keys of ``df`` and write them; ``written`` is for a caller that did so already.
+
+    A hot key is a repeated one, so the exact counts tell which they are.
+    """
+    keys = list(keys)
+    table = staged(repeated_keys(df, keys), "repeated_keys") if written is None else written
+    fair = df.count() / shuffle_width(df.sparkSession)
+    most = table.filter((F.col("copies") > fair) & ~any_null(keys)).orderBy(F.desc("copies")).limit(HOT_LIMIT)
+    exact = is_exact(df, keys)
+    values = tuple(row["value"] for row in most.select(key_value(keys, exact).alias("value")).collect())
+    missing = table.filter(any_null(keys)).agg(F.sum("copies")).first()[0] or 0
+    return Repeated(table, HotKeys(tuple(keys), values, missing > fair, exact))
 
 
 def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -57,27 +82,22 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -
 
 
 def duplicates(
-    df: DataFrame,
-    keys: Sequence[str],
-    order_by: Sequence[str],
-    repeated: DataFrame | None = None,
-    hot: HotKeys | None = None,
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], repeated: Repeated | None = None
 ) -> DataFrame:
     """All rows of every key but its earliest one. Rows with equal NULL keys are duplicates too.
 
-    Pass ``repeated`` (``repeated_keys`` of the same table, already written) to rank
-    only rows that can be duplicates instead of shuffling the whole table.
+    Only rows with a repeated key are ranked; the rest of the table is not shuffled
+    when the repeated keys are few enough for Spark to broadcast.
 
     Hot keys and many NULL keys are ranked slice by slice; the first rows of the
     slices, at most one per slice, then meet in a second, small ranking.
     """
     keys = list(keys)
-    hot = hot_keys(df, keys) if hot is None else hot
+    repeated = find_repeated(df, keys) if repeated is None else repeated
+    hot = repeated.hot
     order = _total_order(df, keys, order_by)
-    rows = df
-    if repeated is not None:
-        rows = keyed_join(df.filter(~any_null(keys)), repeated, keys, "left_semi", hot)
-        rows = rows.select(*df.columns).unionByName(df.filter(any_null(keys)))
+    rows = keyed_join(df.filter(~any_null(keys)), repeated.table.select(*keys), keys, "left_semi", hot)
+    rows = rows.select(*df.columns).unionByName(df.filter(any_null(keys)))
     if not hot:
         ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
         return ranked.filter(F.col("_rank") > 1).drop("_rank")

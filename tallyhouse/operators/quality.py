@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import is_missing, moment
-from tallyhouse.operators.keys import duplicates, first_per_key, repeated_keys
+from tallyhouse.operators.keys import Repeated, duplicates, find_repeated, first_per_key
 from tallyhouse.operators.skew import HotKeys, any_null, hot_keys, keyed_join, repeat_rows
 
 
@@ -36,12 +36,10 @@ class DuplicateRule:
     reason: str
     keys: Sequence[str]
     order_by: Sequence[str]
-    repeated: DataFrame | None = None
-    hot: HotKeys | None = None
+    repeated: Repeated | None = None
 
     def violations(self, df: DataFrame) -> DataFrame:
-        found = duplicates(df, self.keys, self.order_by, self.repeated, self.hot)
-        return found.withColumn("reason", F.lit(self.reason))
+        return duplicates(df, self.keys, self.order_by, self.repeated).withColumn("reason", F.lit(self.reason))
 
 
 @dataclass(frozen=True)
@@ -134,8 +132,7 @@ def clean_split(
     key: str,
     order_by: Sequence[str],
     on_duplicate: str = "drop_all",
-    repeated: DataFrame | None = None,
-    hot: HotKeys | None = None,
+    repeated: Repeated | None = None,
 ) -> DataFrame:
     """Rows that pass all row rules, with duplicates of ``key`` dropped.
 
@@ -143,7 +140,8 @@ def clean_split(
     earliest copy that passes the row rules.
     """
     if on_duplicate == "drop_all":
-        return survivors(df, rules, key, repeated if repeated is not None else repeated_keys(df, [key]), hot)
+        repeated = find_repeated(df, [key]) if repeated is None else repeated
+        return survivors(df, rules, key, repeated.table, repeated.hot)
     if on_duplicate == "keep_first":
         return first_per_key(df.filter(~breaks_any(rules)), [key], order_by)
     raise ValueError(f"on_duplicate must be 'drop_all' or 'keep_first', not {on_duplicate!r}")

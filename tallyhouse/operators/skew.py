@@ -50,21 +50,26 @@ class HotKeys:
         """Whether a row has a hot key. False for a NULL key."""
         if not self.values:
             return F.lit(False)
-        return F.coalesce(_key_value(self.keys, self.exact).isin(list(self.values)), F.lit(False))
+        return F.coalesce(key_value(self.keys, self.exact).isin(list(self.values)), F.lit(False))
 
 
-def _key_value(keys: Sequence[str], exact: bool) -> Column:
+def is_exact(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether a key is listed by its value rather than by a hash."""
+    return len(keys) == 1 and isinstance(df.schema[keys[0]].dataType, _EXACT)
+
+
+def key_value(keys: Sequence[str], exact: bool) -> Column:
     return F.col(keys[0]) if exact else F.xxhash64(*keys)
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> HotKeys:
     """Find the hot keys of ``df``. Runs a job that reads the key columns and returns one row."""
-    exact = len(keys) == 1 and isinstance(df.schema[keys[0]].dataType, _EXACT)
+    exact = is_exact(df, keys)
     width = shuffle_width(df.sparkSession)
     missing = any_null(keys)
     found = df.agg(
         F.call_function(
-            "approx_top_k", F.when(~missing, _key_value(keys, exact)), F.lit(HOT_LIMIT)
+            "approx_top_k", F.when(~missing, key_value(keys, exact)), F.lit(HOT_LIMIT)
         ).alias("top"),
         F.count("*").alias("total"),
         F.count_if(missing).alias("nulls"),

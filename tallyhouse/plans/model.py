@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import blank_to_null, day_of, day_of_week
+from tallyhouse.operators.keys import Repeated
 from tallyhouse.operators.merge import in_window
 from tallyhouse.operators.quality import (
     DuplicateRule,
@@ -39,10 +40,8 @@ def payment_row_rules() -> list[RowRule]:
     return [missing("order_id")]
 
 
-def order_rules(
-    raw_orders: DataFrame, repeated: DataFrame | None = None, hot: HotKeys | None = None
-) -> list[Rule]:
-    duplicate = DuplicateRule("duplicate order_id", ["order_id"], earliest(raw_orders), repeated, hot)
+def order_rules(raw_orders: DataFrame, repeated: Repeated | None = None) -> list[Rule]:
+    duplicate = DuplicateRule("duplicate order_id", ["order_id"], earliest(raw_orders), repeated)
     return [duplicate, *order_row_rules()]
 
 
@@ -59,13 +58,10 @@ def paid_mismatch(raw_orders: DataFrame, hot_orders: HotKeys | None = None) -> M
 
 
 def quarantined_orders(
-    raw_orders: DataFrame,
-    repeated: DataFrame | None = None,
-    at: datetime | None = None,
-    hot: HotKeys | None = None,
+    raw_orders: DataFrame, repeated: Repeated | None = None, at: datetime | None = None
 ) -> DataFrame:
     needed = raw_orders.select(*ORDER_COLUMNS, *earliest(raw_orders))
-    found = quarantine(needed, order_rules(needed, repeated, hot), at)
+    found = quarantine(needed, order_rules(needed, repeated), at)
     return found.select(*ORDER_COLUMNS, "reason", *(["quarantined_at"] if at else []))
 
 
@@ -81,14 +77,9 @@ def quarantined_payments(
 
 
 def clean_orders(
-    raw_orders: DataFrame,
-    on_duplicate: str = "drop_all",
-    repeated: DataFrame | None = None,
-    hot: HotKeys | None = None,
+    raw_orders: DataFrame, on_duplicate: str = "drop_all", repeated: Repeated | None = None
 ) -> DataFrame:
-    return clean_split(
-        raw_orders, order_row_rules(), "order_id", earliest(raw_orders), on_duplicate, repeated, hot
-    )
+    return clean_split(raw_orders, order_row_rules(), "order_id", earliest(raw_orders), on_duplicate, repeated)
 
 
 def clean_payments(raw_payments: DataFrame, quarantined: DataFrame) -> DataFrame:

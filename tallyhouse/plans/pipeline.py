@@ -7,10 +7,9 @@ from datetime import date, datetime
 
 from tallyhouse import schemas
 from tallyhouse.operators.contracts import run_contracts, warehouse_contracts
-from tallyhouse.operators.keys import assert_key, repeated_keys
+from tallyhouse.operators.keys import assert_key, find_repeated, repeated_keys
 from tallyhouse.operators.merge import in_window, moved_days, rebuilt_days
 from tallyhouse.operators.quality import quality_gate
-from tallyhouse.operators.skew import hot_keys
 from tallyhouse.operators.trends import AnomalyRule
 from tallyhouse.plans import model, reports
 from tallyhouse.plans.runs import run_metrics, tracked_run
@@ -50,22 +49,22 @@ def run_pipeline(
         raw_payments = warehouse.read("raw.payments", schemas.RAW_PAYMENTS)
 
         # Quarantine.
-        hot = hot_keys(raw_orders, ["order_id"])
-        repeated = keep(repeated_keys(raw_orders, ["order_id"]), "work.repeated_orders")
-        bad_orders = keep(model.quarantined_orders(raw_orders, repeated, now, hot), "raw.quarantine_orders")
+        key = ["order_id"]
+        repeated = find_repeated(raw_orders, key, keep(repeated_keys(raw_orders, key), "work.repeated_orders"))
+        bad_orders = keep(model.quarantined_orders(raw_orders, repeated, now), "raw.quarantine_orders")
         bad_payments = keep(
-            model.quarantined_payments(raw_payments, raw_orders, now, hot), "raw.quarantine_payments"
+            model.quarantined_payments(raw_payments, raw_orders, now, repeated.hot), "raw.quarantine_payments"
         )
 
         # Clean tables.
-        orders = keep(model.clean_orders(raw_orders, settings.on_duplicate, repeated, hot), "staging.orders_clean")
+        orders = keep(model.clean_orders(raw_orders, settings.on_duplicate, repeated), "staging.orders_clean")
         payments = keep(model.clean_payments(raw_payments, bad_payments), "staging.payments_clean")
         quality_gate({"quarantined_orders": bad_orders, "quarantined_payments": bad_payments}, settings.max_errors)
 
         # Window of the fact, checked before anything is published.
         placed = keep(model.placed_orders(orders, as_of, days), "work.window_orders")
         window = keep(model.with_payments(placed, model.payments_of(placed, payments)), "work.fact_window")
-        assert_key(window, ["order_id"], "the fact window")
+        assert_key(window, key, "the fact window")
 
         # Dimensions.
         customers = warehouse.read("raw.customers", schemas.RAW_CUSTOMERS)
@@ -79,7 +78,7 @@ def run_pipeline(
 
         # Changed days of the fact, and the anomalies of the fact as it will be.
         fact = warehouse.fact()
-        rebuild = (fact, window, ["order_id"], "order_day", as_of, days)
+        rebuild = (fact, window, key, "order_day", as_of, days)
         moved = moved_days(*rebuild)
         changed = conform(rebuilt_days(*rebuild, moved), schemas.FACT_ORDERS)
         replaced = in_window(fact, "order_day", as_of, days).select("order_day").distinct()

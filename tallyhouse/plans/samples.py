@@ -13,6 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyhouse.operators.keys import Repeated, find_repeated
 from tallyhouse.operators.merge import in_window
 from tallyhouse.plans import model
 from tallyhouse.session import staged
@@ -105,9 +106,13 @@ class Samples:
             "CAST(CASE event_type WHEN 'purchase' THEN value ELSE 0 END AS DECIMAL(10,2)) AS payment_amount",
         )
 
+    @cached_property
+    def repeated(self) -> Repeated:
+        return find_repeated(self.raw_orders, ["order_id"])
+
     @cached_property
     def quarantine_orders(self) -> DataFrame:
-        return model.quarantined_orders(self.raw_orders)
+        return model.quarantined_orders(self.raw_orders, self.repeated)
 
     @cached_property
     def quarantine_payments(self) -> DataFrame:
@@ -115,11 +120,12 @@ class Samples:
 
     @cached_property
     def orders_clean(self) -> DataFrame:
-        return model.clean_orders(self.raw_orders)
+        return model.clean_orders(self.raw_orders, repeated=self.repeated)
 
     @cached_property
     def payments_clean(self) -> DataFrame:
-        return model.clean_payments(self.raw_payments, self.quarantine_payments)
+        bad = staged(self.quarantine_payments.select("payment_id"), "quarantined_payment_ids")
+        return model.clean_payments(self.raw_payments, bad)
 
     @cached_property
     def staging(self) -> tuple[DataFrame, DataFrame]:

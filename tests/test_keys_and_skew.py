@@ -9,6 +9,7 @@ from tallyhouse.operators.keys import (
     KeyViolation,
     assert_key,
     duplicates,
+    find_repeated,
     first_per_key,
     key_violations,
     repeated_keys,
@@ -119,7 +120,9 @@ def brute_duplicates(rows):
 def test_duplicates_of_hot_key_copies_and_null_keys(skewed, skewed_rows):
     expected = brute_duplicates(skewed_rows)
     assert bag(duplicates(skewed, ["k"], ["v"])) == expected
-    assert bag(duplicates(skewed, ["k"], ["v"], repeated_keys(skewed, ["k"]))) == expected
+    repeated = find_repeated(skewed, ["k"], repeated_keys(skewed, ["k"]))
+    assert repeated.hot.values == ("hot",) and not repeated.hot.nulls
+    assert bag(duplicates(skewed, ["k"], ["v"], repeated)) == expected
 
 
 def test_duplicates_leave_what_first_per_key_takes(skewed):
