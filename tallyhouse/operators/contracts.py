@@ -13,7 +13,12 @@ from tallyhouse.operators.keys import repeated_keys
 
 
 class ContractsFailed(RuntimeError):
-    """At least one contract check has status FAIL."""
+    """At least one contract check has status FAIL; ``results`` holds all checks that ran."""
+
+    def __init__(self, results: list[tuple[str, str, int]]):
+        self.results = results
+        failed = [row for row in results if row[1] == "FAIL"]
+        super().__init__("; ".join(f"{name}: {count} failing rows" for name, _, count in failed))
 
 
 def _verdict(df: DataFrame, name: str, passed: Column, failing: Column) -> DataFrame:
@@ -65,7 +70,6 @@ def warehouse_contracts(fact: DataFrame, metrics: DataFrame, anomaly_log: DataFr
 def run_contracts(checks: Sequence[DataFrame]) -> list[tuple[str, str, int]]:
     """Run all checks in one job, then raise ``ContractsFailed`` if any failed."""
     rows = [tuple(row) for row in reduce(DataFrame.unionByName, checks).collect()]
-    failed = [row for row in rows if row[1] == "FAIL"]
-    if failed:
-        raise ContractsFailed("; ".join(f"{name}: {count} failing rows" for name, _, count in failed))
+    if any(status == "FAIL" for _, status, _ in rows):
+        raise ContractsFailed(rows)
     return rows

@@ -79,6 +79,11 @@ def hot_keys(df: DataFrame, keys: Sequence[str]) -> HotKeys:
     return HotKeys(tuple(keys), values, found["nulls"] * width > found["total"], exact)
 
 
+def _many_nulls(df: DataFrame, keys: Sequence[str]) -> bool:
+    row = df.agg(F.count_if(any_null(keys)).alias("nulls"), F.count("*").alias("total")).first()
+    return row["nulls"] * shuffle_width(df.sparkSession) > row["total"]
+
+
 def slice_number(df: DataFrame) -> Column:
     """A slice for a row, from its content and its input partition.
 
@@ -126,7 +131,7 @@ def keyed_join(
         return sliced(left, hot).join(_in_every_slice(right, hot), [*keys, SLICE], how).drop(SLICE)
     if how == "left":
         hot = hot_keys(right, keys)
-        spread = HotKeys(hot.keys, hot.values, hot_keys(left, keys).nulls, hot.exact)
+        spread = HotKeys(hot.keys, hot.values, _many_nulls(left, keys), hot.exact)
         if not spread:
             return left.join(right, keys, how)
         if hot.values and not hot.exact:

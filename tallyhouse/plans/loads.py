@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from tallyhouse import schemas
 from tallyhouse.operators.keys import assert_key
 from tallyhouse.operators.merge import new_rows
-from tallyhouse.schemas import conform
+from tallyhouse.schemas import conform, limit_ids
 from tallyhouse.session import staged
 from tallyhouse.sources import lineage
 from tallyhouse.sources.csv import read_csv
@@ -43,7 +43,7 @@ def bootstrap(warehouse: Warehouse, folder: str, now: datetime | None = None) ->
         batch = read_csv(warehouse.spark, f"{folder.rstrip('/')}/{file}", csv_schema)
         if table != "raw.orders":
             assert_key(batch, [key], table)
-        batch = lineage.stamp(batch, now)
+        batch = lineage.stamp(limit_ids(batch), now)
         if with_lineage:
             batch = lineage.tag(batch, file, lineage.BOOTSTRAP)
         warehouse.append(conform(batch, raw_schema), table)
@@ -56,7 +56,7 @@ def rows_to_add(
 ) -> DataFrame:
     """Rows of a daily batch whose key a raw table does not have yet, with their lineage, as a written table."""
     _, _, raw_schema, key, _ = RAW_TABLES[table]
-    tagged = lineage.tag(lineage.stamp(batch, now, run_id), source_file, lineage.DAILY)
+    tagged = lineage.tag(lineage.stamp(limit_ids(batch), now, run_id), source_file, lineage.DAILY)
     target = warehouse.read(table, raw_schema)
     return staged(new_rows(target, conform(tagged, raw_schema), [key], ["ingested_at"]), "rows_to_add")
 

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 STRING, DATE, INT, LONG = T.StringType(), T.DateType(), T.IntegerType(), T.LongType()
 MOMENT = T.TimestampNTZType()
 MONEY = T.DecimalType(10, 2)
+ID_LENGTH = 50
 WIDE_MONEY = T.DecimalType(12, 2)
 RATE = T.DecimalType(8, 2)
 
@@ -69,6 +70,17 @@ PIPELINE_METRICS = _schema(
 )
 
 
+def limit_ids(df: DataFrame) -> DataFrame:
+    """``df`` itself, failing when it is run if an id is longer than the declared length."""
+    ids = {f.name for f in df.schema.fields if f.name.endswith("_id") and f.dataType == STRING}
+
+    def checked(name: str):
+        refuse = F.raise_error(F.lit(f"{name} is longer than {ID_LENGTH} characters"))
+        return F.when(F.length(name) > ID_LENGTH, refuse).otherwise(F.col(name)).alias(name)
+
+    return df.select(*[checked(c) if c in ids else F.col(c) for c in df.columns])
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Give ``df`` exactly the columns of ``schema``; a column it lacks is NULL."""
     return df.select(

@@ -56,6 +56,16 @@ def test_bad_cell_fails_or_is_set_aside(spark, tmp_path):
     assert [r._corrupt_record for r in bad.collect()] == ["O1,c,2024-01-01 10:00:00,abc"]
 
 
+def test_too_large_a_value_or_too_long_an_id_fails(spark, tmp_path):
+    large = write(tmp_path / "large.csv", ORDERS_HEADER, "O1,c,2024-01-01 10:00:00,123456789.00")
+    with pytest.raises(Exception):
+        read_csv(spark, large, schemas.ORDERS_CSV).collect()
+    ids = spark.createDataFrame([("x" * 50, None)], "order_id string, customer_id string")
+    assert schemas.limit_ids(ids).count() == 1
+    with pytest.raises(Exception, match="order_id is longer than 50"):
+        schemas.limit_ids(ids.selectExpr("order_id || 'y' AS order_id", "customer_id")).collect()
+
+
 def test_tag_fills_only_untagged_rows(spark):
     df = spark.createDataFrame(
         [("a", None, None), ("b", "old.csv", "OLD"), ("c", None, "x")], "k string, source_file string, batch_id string"

@@ -150,6 +150,7 @@ def test_all_contracts_run_before_failing(spark):
     for name in ("duplicate_order_id: 2", "null_order_id: 1", "quarantine_rate: 9"):
         assert name in str(failure.value)
     assert "recent_anomalies" not in str(failure.value)
+    assert len(failure.value.results) == 4
 
 
 def test_more_than_five_anomalies_fail(spark):
