@@ -1,7 +1,9 @@
 """The driver's test tables seen as this warehouse's tables.
 
 The tables are clean, so defects are planted by arithmetic on the order key, the
-same way at every size. Every row of the source tables is kept.
+same way at every size. All queries read whole tables: the arithmetic only decides
+which rows carry which defect, which orders were never paid, and which rows an
+earlier load or run had already brought in.
 """
 
 from __future__ import annotations

@@ -169,6 +169,14 @@ def test_old_runs_are_dropped_on_request(spark, tmp_path):
         warehouse.drop_old_runs(0)
 
 
+def test_run_without_any_order_publishes_an_empty_fact(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    run_pipeline(warehouse, AS_OF, now=at(AS_OF))
+    assert warehouse.fact().isEmpty()
+    metrics = warehouse.log("analytics.pipeline_metrics", schemas.PIPELINE_METRICS).collect()
+    assert [tuple(m)[2:] for m in metrics] == [(0, 0, 0, 0, 0, 0)]
+
+
 def test_order_without_id_fails_the_run(spark, tmp_path):
     warehouse = small_warehouse(spark, tmp_path)
     add_orders(warehouse, [(None, "a", "2024-01-30", 1)])
