@@ -26,6 +26,14 @@ from tallyhouse.sources.warehouse import Warehouse  # noqa: E402
 
 import oracle  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from tallyhouse.llm import queries as text_queries
+except ModuleNotFoundError as missing:  # both are optional; a fault inside them is not hidden
+    if missing.name not in ("corpus_pipeline", "tallyhouse.llm", "tallyhouse.llm.queries"):
+        raise
+    text_queries = None
+
 ORDER, PAYMENT = model.ORDER_COLUMNS, model.PAYMENT_COLUMNS
 DAYS = WINDOW_DAYS
 RUN_AT = datetime(2001, 8, 1, 6, 0)
@@ -203,11 +211,19 @@ def _registered(rule: Callable[[Samples], DataFrame]) -> Callable[[SparkSession,
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _registered(rule) for name, rule in REGISTERED.items()}
+    found = {name: _registered(rule) for name, rule in REGISTERED.items()}
+    if text_queries:
+        found |= text_queries.queries() | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.oracle_sql()
+    found = oracle.oracle_sql()
+    if text_queries:
+        found |= text_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
 
 
 def entry(spark: SparkSession) -> DataFrame:
