@@ -7,8 +7,9 @@ from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyhouse.llm import pieces, repetition, secret_scan
+from tallyhouse.llm import html_text, langid, mixing, pieces, ppm, repetition, secret_scan, simhash, topk, urls
 from tallyhouse.llm.common import table
 
 TOKENIZER = public_tokenizers.path("piece_bpe_32k.model")
@@ -18,19 +19,57 @@ def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.round_trip_digests(table(spark, folder, "documents"), Path(TOKENIZER).read_bytes())
 
 
+def op2_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.search(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge_urls(table(spark, folder, "pages"))
+
+
 def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.digests(secret_scan.find_secrets(table(spark, folder, "documents")))
 
 
+def op5_language(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.identify(table(spark, folder, "documents"))
+
+
+def op6_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(table(spark, folder, "pages"))
+
+
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.taken(table(spark, folder, "documents"))
+
+
+def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.digests(simhash.near_groups(table(spark, folder, "documents"), width=3, bits=2))
+
+
+def op9_ppm(spark: SparkSession, folder: str) -> DataFrame:
+    return ppm.score(table(spark, folder, "documents"))
+
+
 def op10_repetition(spark: SparkSession, folder: str) -> DataFrame:
     return repetition.judge(table(spark, folder, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
-        "op1_sentencepiece": op1_sentencepiece,
-        "op4_secret_scan": op4_secret_scan,
-        "op10_repetition": op10_repetition,
+        f.__name__: f
+        for f in (
+            op1_sentencepiece,
+            op2_topk,
+            op3_url_filter,
+            op4_secret_scan,
+            op5_language,
+            op6_main_text,
+            op7_mixing,
+            op8_simhash,
+            op9_ppm,
+            op10_repetition,
+        )
     }
 
 
