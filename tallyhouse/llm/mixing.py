@@ -2,8 +2,8 @@
 
 Each source's documents are dealt into blocks by a hash. A target says how many words to take: whole passes over
 the source, then blocks in a permuted order, the last one only in part (its smaller blocks, and of the
-last of these its documents, in permuted order again). The block copies drawn are the tokens of an
-urn. A tree over the output shards splits the urn: at each node a random half of the tokens, of exact size, goes left, so the
+last of these its documents, in permuted order again), then a few single documents that fill the
+gap. The block copies drawn are the tokens of an urn. A tree over the output shards splits the urn: at each node a random half of the tokens, of exact size, goes left, so the
 counts per source follow a multivariate hypergeometric law and add up to the quotas. Rows are
 then shuffled within their shard. Everything is DataFrame expressions; hashes stand in for random numbers, so reruns agree.
 """
@@ -31,6 +31,9 @@ class Mix:
     most: int = 2
     shards: int = 64
     blocks: int = 512
+    #: Documents that fill the gap to a target are looked for in so many blocks after the last, so many times.
+    reserve: int = 16
+    fills: int = 6
     seed: int = 7
 
 
@@ -81,15 +84,20 @@ def passes() -> Column:
     return F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
 
 
-def drawn(units: DataFrame, unit: str, seed: int) -> DataFrame:
+def drawn(units: DataFrame, unit: str, seed: int, reserve: int = 0) -> DataFrame:
     """Which units (sid, unit, words, budget) of each source are taken in permuted order within its budget.
 
-    ``state`` is 1 for a unit taken whole and 0 for the one after the last, of which ``left`` words may be taken.
+    ``state`` is 1 for a unit taken whole, 0 for the one after the last, of which ``left`` words may be taken, and -1 for
+    the ``reserve`` units after that.
     """
-    order = Window.partitionBy("sid").orderBy(F.xxhash64(F.lit(seed), "sid", unit), unit).rowsBetween(Window.unboundedPreceding, 0)
-    upto = F.sum("words").over(order)
-    found = units.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("words"))
-    state = F.when(F.col("upto") <= F.col("budget"), 1).when(F.col("before") < F.col("budget"), 0)
+    order = Window.partitionBy("sid").orderBy(F.xxhash64(F.lit(seed), "sid", unit), unit)
+    upto = F.sum("words").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    found = units.withColumns({"upto": upto, "rank": F.row_number().over(order)}).withColumn("before", F.col("upto") - F.col("words"))
+    whole = F.count(F.when(F.col("upto") <= F.col("budget"), 1)).over(Window.partitionBy("sid"))
+    found = found.withColumn("late", F.col("rank") - whole)
+    state = (
+        F.when(F.col("upto") <= F.col("budget"), 1).when(F.col("before") < F.col("budget"), 0).when(F.col("late") <= reserve + 1, -1)
+    )
     return found.select("sid", unit, state.alias("state"), (F.col("budget") - F.col("before")).alias("left")).where("state is not null")
 
 
@@ -100,6 +108,7 @@ class Plan:
     sources: DataFrame
     blocks: DataFrame
     smaller: DataFrame
+    fills: DataFrame
     shards: DataFrame
 
 
@@ -111,25 +120,50 @@ def plan(sized: DataFrame, mix: Mix) -> Plan:
     in_blocks = kept(
         rows.groupBy("sid", "block").agg(F.sum("size").alias("words"), budget, F.first(passes()).alias("passes")), "block_words"
     )
-    blocks = kept(drawn(in_blocks, "block", mix.seed), "blocks")
+    blocks = kept(drawn(in_blocks, "block", mix.seed, mix.reserve), "blocks")
     last = blocks.where("state = 0").select("sid", "block", F.col("left").alias("budget"))
     in_smaller = rows.join(last, ["sid", "block"]).groupBy("sid", "smaller").agg(F.sum("size").alias("words"), F.first("budget").alias("budget"))
-    smaller = kept(drawn(in_smaller, "smaller", mix.seed), "smaller_blocks")
-    return Plan(sources, blocks, smaller, kept(split(in_blocks, blocks, mix), "shards"))
+    smaller = kept(drawn(in_smaller, "smaller", mix.seed).where("state >= 0"), "smaller_blocks")
+    fills = filled(taken_rows(rows, blocks, smaller, mix), blocks, mix)
+    return Plan(sources, blocks, smaller, fills, kept(split(in_blocks, blocks, fills, mix), "shards"))
+
+
+def filled(rows: DataFrame, blocks: DataFrame, mix: Mix) -> DataFrame:
+    """Single documents that fill the gaps to the targets: sid, doc_id, block, words.
+
+    Each time every source takes the largest document of its last block and its reserve that its gap still holds and
+    that may be taken once more. The candidates are a small part of all rows, the picks a few per source.
+    """
+    rows = kept(rows.select("sid", "doc_id", "block", "size", "target", "copies"), "copies")
+    gaps = rows.groupBy("sid").agg((F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("gap"))
+    late = blocks.where("state <= 0").select("sid", "block")
+    spare = rows.where("doc_id is not null").join(late, ["sid", "block"]).groupBy("sid", "doc_id", "block")
+    spare = spare.agg(F.sum("size").alias("words"), F.max("copies").alias("copies"))
+    spare = kept(spare.where((F.col("copies") < mix.most) & (F.col("words") > 0)).join(gaps, "sid"), "spare")
+    fills = spare.select("sid", "doc_id", "block", "words").limit(0)
+    for _ in range(mix.fills):
+        done = fills.groupBy("sid").agg(F.sum("words").alias("done"))
+        open_ = spare.join(fills.select("sid", "doc_id"), ["sid", "doc_id"], "left_anti").join(done, "sid", "left")
+        fits = open_.where(F.col("words") <= F.col("gap") - F.coalesce("done", F.lit(0)))
+        pick = fits.groupBy("sid").agg(F.max(F.struct("words", (-F.col("doc_id")).alias("low"), "block")).alias("p"))
+        picks = pick.select("sid", (-F.col("p.low")).alias("doc_id"), F.col("p.block").alias("block"), F.col("p.words").alias("words"))
+        fills = kept(fills.unionByName(picks), "fills")
+    return fills
 
 
 def passes_of_group() -> Column:
     return F.first(passes()) * F.first("source_size")
 
 
-def split(in_blocks: DataFrame, blocks: DataFrame, mix: Mix) -> DataFrame:
+def split(in_blocks: DataFrame, blocks: DataFrame, fills: DataFrame, mix: Mix) -> DataFrame:
     """The shard of every block copy drawn: sid, block, copy, shard.
 
     One row per node of the tree holds its tokens; a level of the tree is one projection. There are as many
     tokens as block copies drawn: a few times ``blocks``, and a few per source.
     """
     whole = in_blocks.where("passes > 0").select("sid", "block", F.explode(F.expr("sequence(1L, passes)")).alias("copy"))
-    extra = blocks.join(in_blocks.select("sid", "block", "passes"), ["sid", "block"]).select("sid", "block", (F.col("passes") + 1).alias("copy"))
+    part = blocks.where("state >= 0").select("sid", "block").unionByName(fills.select("sid", "block")).distinct()
+    extra = part.join(in_blocks.select("sid", "block", "passes"), ["sid", "block"]).select("sid", "block", (F.col("passes") + 1).alias("copy"))
     urn = whole.unionByName(extra).agg(F.array_sort(F.collect_list(F.struct("sid", "block", "copy"))).alias("tokens"))
     nodes = urn.select(F.lit(0).alias("first"), F.lit(mix.shards).alias("width"), "tokens")
     wide, level = mix.shards, 0
@@ -156,14 +190,14 @@ def split(in_blocks: DataFrame, blocks: DataFrame, mix: Mix) -> DataFrame:
     return nodes.select(F.col("first").alias("shard"), F.explode("tokens").alias("token")).select("token.*", "shard")
 
 
-def placed(docs: DataFrame, drawn_plan: Plan, mix: Mix) -> DataFrame:
-    """``docs`` (with doc_id, source, size) with ``copies``, the times each row is taken, and what ``dealt`` adds.
+def taken_rows(rows: DataFrame, blocks: DataFrame, smaller: DataFrame, mix: Mix) -> DataFrame:
+    """What ``dealt`` gives, with ``copies``: how often a row is taken by passes and blocks.
 
     Only rows of the last smaller block of each source, at most one in ``blocks`` squared of all, are ordered one by one.
     """
-    blocks = drawn_plan.blocks.select("sid", "block", F.col("state").alias("block_state"))
-    smaller = drawn_plan.smaller.select("sid", "smaller", F.col("state").alias("smaller_state"), "left")
-    rows = dealt(docs, drawn_plan.sources, mix).join(blocks, ["sid", "block"], "left").join(smaller, ["sid", "smaller"], "left")
+    blocks = blocks.where("state >= 0").select("sid", "block", F.col("state").alias("block_state"))
+    smaller = smaller.select("sid", "smaller", F.col("state").alias("smaller_state"), "left")
+    rows = rows.join(blocks, ["sid", "block"], "left").join(smaller, ["sid", "smaller"], "left")
     edge = (F.col("block_state") == 0) & (F.col("smaller_state") == 0)
     more = F.when(F.col("block_state") == 1, 1).when((F.col("block_state") == 0) & (F.col("smaller_state") == 1), 1).otherwise(0)
     order = Window.partitionBy("sid").orderBy(F.xxhash64(F.lit(mix.seed + 2), "doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
@@ -172,6 +206,13 @@ def placed(docs: DataFrame, drawn_plan: Plan, mix: Mix) -> DataFrame:
     return settled.unionByName(last).drop("block_state", "smaller_state", "left")
 
 
+def placed(docs: DataFrame, drawn_plan: Plan, mix: Mix) -> DataFrame:
+    """``docs`` (with doc_id, source, size) with what ``dealt`` adds and ``copies``, the times each row is taken."""
+    rows = taken_rows(dealt(docs, drawn_plan.sources, mix), drawn_plan.blocks, drawn_plan.smaller, mix)
+    once_more = drawn_plan.fills.select("sid", "doc_id", F.lit(1).alias("fill"))
+    return rows.join(once_more, ["sid", "doc_id"], "left").withColumn("copies", F.col("copies") + F.coalesce("fill", F.lit(0))).drop("fill")
+
+
 def taken(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """Per row of ``docs`` (doc_id, text, source): size, its source's size and target, and the words the mix takes of it.
 

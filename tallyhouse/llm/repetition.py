@@ -8,13 +8,16 @@ for all windows of a length at once from one array of prefix sums.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import count
-from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import by_batch, utf8
 
@@ -198,3 +201,15 @@ def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
         return rows
 
     return by_batch(docs.select(docs["doc_id"].cast("long").alias("doc_id"), utf8().alias("utf8")), task, SCHEMA)
+
+
+def keep_good(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with all their columns; the verdict is taken in one pass, without a join."""
+
+    @F.pandas_udf("boolean")
+    def good(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        words, powers = Words(), Powers()
+        for batch in texts:
+            yield pd.Series([measure(t, words, powers, rules)[6] for t in batch], dtype=bool)
+
+    return docs.where(good(utf8()))
