@@ -121,7 +121,8 @@ def leaves(urls: DataFrame, tree: Tree) -> DataFrame:
     ends = ["host", "branch"]
     leaf = built.groupBy(*ends).agg(F.sum("blocked").alias("blocked"), F.sum(F.col("blocked") + F.col("allowed")).alias("labelled"))
     purity = (F.col("blocked") + tree.prior * base) / (F.col("labelled") + tree.prior)
-    leaf = leaf.select(*ends, (purity >= tree.purity).alias("rejected"))
+    # Without a label of its own a leaf is not rejected, however common blocking is elsewhere.
+    leaf = leaf.select(*ends, ((F.col("labelled") > 0) & (purity >= tree.purity)).alias("rejected"))
     return built.select("host", "template", "branch").join(leaf, ends)
 
 

@@ -1,0 +1,108 @@
+"""The corpus pipeline stage by stage, each held against plain Python on its own input."""
+
+import uuid
+from collections import Counter
+from pathlib import Path
+
+import corpus_pipeline
+import pytest
+from test_mixing import plain_targets
+from test_repetition import plain as plain_quality
+from test_simhash import plain_fingerprint, plain_groups
+
+import __spark_entry__ as registry
+from tallyhouse.llm import mixing, pieces, repetition, secret_scan
+from tallyhouse.llm.queries import TOKENIZER
+
+FOLDER = "/root/testdata/sf0.01"
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@pytest.fixture(scope="module")
+def stages(spark, tmp_path_factory):
+    """The input and output of every stage, written and read again as the driver does."""
+    folder = tmp_path_factory.mktemp("stages")
+    docs, out = spark.read.parquet(f"{FOLDER}/documents.parquet"), {}
+    for name, stage in corpus_pipeline.STAGES:
+        path = f"{folder}/{uuid.uuid4().hex}"
+        stage(spark, docs, FOLDER).write.parquet(path)
+        done = spark.read.parquet(path)
+        out[name] = (docs.collect(), done.collect(), done.columns)
+        docs = done
+    return out
+
+
+def test_columns(stages):
+    names = [name for name, _ in corpus_pipeline.STAGES]
+    assert names == ["quality_rules", "near_duplicates", "secret_scan", "mixing", "sentencepiece"]
+    assert all(stages[n][2] == COLUMNS for n in names[:-1])
+
+
+def test_quality_rules(stages):
+    before, after, _ = stages["quality_rules"]
+    rules = repetition.Rules()
+    good = []
+    for d in before:
+        figures, shares = plain_quality(d.text)
+        lines = [x for x in (d.text or "").split("\n") if x.split()]
+        times = Counter(lines)
+        line_share = sum(len(x.encode()) for x in lines if times[x] > 1) / max(1, sum(len(x.encode()) for x in lines))
+        if not figures[5] and line_share <= rules.line_share and all(s <= most for s, (_, most) in zip(shares, rules.ngram_shares)):
+            good.append(d)
+    assert Counter(after) == Counter(good) and len(good) < len(before)
+
+
+def test_near_duplicates(stages):
+    before, after, _ = stages["near_duplicates"]
+    fps = [(d.doc_id, plain_fingerprint(d.text)) for d in before]
+    first = [d for d, c in zip(before, plain_groups(fps, 2)) if d.doc_id == c]
+    assert Counter(after) == Counter(first) and len(first) < len(before)
+
+
+def test_secrets(stages):
+    before, after, _ = stages["secret_scan"]
+    got = {d.doc_id: d for d in after}
+    assert len(got) == len(before) and any("[secret]" in d.text for d in after)
+    for d in before:
+        new = got[d.doc_id]
+        assert not any(k < 3 for _, k, _ in secret_scan.scan(new.text))
+        assert new.n_chars == len(new.text) and (new.lang, new.source) == (d.lang, d.source)
+        if not secret_scan.scan(d.text):
+            assert new.text == d.text
+
+
+def test_mixing(stages):
+    before, after, _ = stages["mixing"]
+    count = {d.doc_id: len(d.text.split()) for d in before}
+    size, words, times = Counter(), Counter(), Counter(d.doc_id for d in after)
+    rows = {d.doc_id: d for d in before}
+    for d in before:
+        size[d.source] += count[d.doc_id]
+        words[d.source] += count[d.doc_id] * times[d.doc_id]
+    assert max(times.values()) == 2 and all(rows[d.doc_id] == d for d in after)
+    assert all(abs(words[s] - t) <= 0.05 * t for s, t in plain_targets(size, mixing.Mix()).items())
+
+
+def test_tokens(stages):
+    before, after, _ = stages["sentencepiece"]
+    sp = pieces.processor(Path(TOKENIZER).read_bytes())
+    expected = Counter((d.doc_id, tuple(sp.encode(d.text) + [sp.eos_id()])) for d in before)
+    assert Counter((r.doc_id, tuple(r.ids)) for r in after) == expected
+    assert all(r.text == sp.decode(r.ids) for r in after)
+
+
+def test_run_and_registry(spark, stages):
+    assert registry.queries()["pipeline"] is corpus_pipeline.run
+    got = Counter((r.doc_id, tuple(r.ids)) for r in corpus_pipeline.run(spark, FOLDER).collect())
+    assert got == Counter((r.doc_id, tuple(r.ids)) for r in stages["sentencepiece"][1])
+
+
+def test_empty_and_odd_tables(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, size string, shard int"
+    long = " ".join(f"w{i}" for i in range(80))
+    rows = [(None, long, None, None, None, "x", 1), (1, None, "en", "a", 3, None, None), (2, "", None, None, None, "x", 1)]
+    for data in ([], rows):
+        docs = spark.createDataFrame(data, schema)
+        for _, stage in corpus_pipeline.STAGES:
+            docs = stage(spark, docs, FOLDER)
+        assert len(docs.collect()) <= 2 * len(data)
