@@ -159,7 +159,8 @@ def near_groups(docs: DataFrame, width: int, bits: int) -> DataFrame:
     rooted = kept(roots(links(entries.select("fp"), bits)), "roots")
     named = rooted.join(entries.withColumnRenamed("fp", "node"), "node").groupBy("root").agg(F.min("least").alias("component"))
     grouped = rooted.join(named, "root").select(F.col("node").alias("fp"), "component")
-    labels = entries.join(grouped, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id"))
+    # Written, so that both sides of the last join come straight from a shuffle, where Spark splits a hot fingerprint.
+    labels = kept(entries.join(grouped, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id")), "labels")
     return found.join(labels, "fp").select("doc_id", "fp", "component_id")
 
 
