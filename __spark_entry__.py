@@ -6,6 +6,7 @@ import os
 import sys
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -16,8 +17,8 @@ from pyspark.sql import types as T  # noqa: E402
 from tallyhouse import schemas  # noqa: E402
 from tallyhouse.operators import contracts, keys, merge, quality, trends  # noqa: E402
 from tallyhouse.plans import loads, model, reports  # noqa: E402
-from tallyhouse.plans.pipeline import run_pipeline  # noqa: E402
-from tallyhouse.plans.runs import run_metrics  # noqa: E402
+from tallyhouse.plans.pipeline import Settings, published_contracts, run_pipeline  # noqa: E402
+from tallyhouse.plans.runs import run_metrics, tracked_run  # noqa: E402
 from tallyhouse.plans.samples import EVENTS_AS_OF, ORDERS_AS_OF, WINDOW_DAYS, Samples  # noqa: E402
 from tallyhouse.schemas import conform  # noqa: E402
 from tallyhouse.session import new_folder  # noqa: E402
@@ -39,19 +40,45 @@ DAYS = WINDOW_DAYS
 RUN_AT = datetime(2001, 8, 1, 6, 0)
 
 
+def _round_trip(table: DataFrame, file: str, schema) -> DataFrame:
+    """Write a table as CSV, then load it as the first load does."""
+    folder = new_folder(table.sparkSession)
+    csv.write_csv(table, f"{folder}/{file}")
+    return csv.read_csv(table.sparkSession, f"{folder}/{file}", schema)
+
+
 def _ingest_csv(s: Samples) -> DataFrame:
-    """Write the orders as CSV, then load them as the first load does."""
-    folder = new_folder(s.spark)
-    csv.write_csv(s.raw_orders.select(*ORDER), f"{folder}/orders.csv")
-    loaded = csv.read_csv(s.spark, f"{folder}/orders.csv", schemas.ORDERS_CSV)
-    return lineage.tag(loaded, "orders.csv", lineage.BOOTSTRAP)
+    return lineage.tag(_round_trip(s.raw_orders.select(*ORDER), "orders.csv", schemas.ORDERS_CSV), "orders.csv", lineage.BOOTSTRAP)
 
 
 def _seed_if_empty(s: Samples) -> DataFrame:
-    """An empty table takes the batch, and the table it became takes nothing more."""
-    batch = s.raw_orders.select(*ORDER)
+    """An empty table takes the batch, and the table it became takes nothing of the next one."""
+    batch = s.orders_base.select(*ORDER)
     seeded = loads.seed_if_empty(s.spark.createDataFrame([], batch.schema), batch)
-    return loads.seed_if_empty(seeded, s.spark.createDataFrame([], batch.schema))
+    return loads.seed_if_empty(seeded, s.orders_load.select(*ORDER))
+
+
+def _load_daily(s: Samples) -> DataFrame:
+    """Both raw tables after a first load and the same daily load twice, all from CSV files."""
+    folder = new_folder(s.spark)
+    warehouse = Warehouse(s.spark, f"{folder}/warehouse")
+    csv.write_csv(s.raw_customers, f"{folder}/customers.csv")
+    csv.write_csv(s.raw_products, f"{folder}/products.csv")
+    csv.write_csv(s.orders_base.select(*ORDER), f"{folder}/orders.csv")
+    csv.write_csv(s.payments_base.select(*PAYMENT), f"{folder}/payments.csv")
+    csv.write_csv(s.orders_load.select(*ORDER), f"{folder}/orders_daily.csv")
+    csv.write_csv(s.payments_load.select(*PAYMENT), f"{folder}/payments_daily.csv")
+    loads.bootstrap(warehouse, folder, RUN_AT)
+    for _ in range(2):
+        loads.load_daily(warehouse, f"{folder}/orders_daily.csv", f"{folder}/payments_daily.csv", RUN_AT)
+    tagged = [F.col(c) for c in ("source_file", "batch_id")] + [F.col("run_id").isNotNull().alias("has_run")]
+    orders = warehouse.read("raw.orders", schemas.RAW_ORDERS)
+    payments = warehouse.read("raw.payments", schemas.RAW_PAYMENTS)
+    return orders.select(
+        F.col("order_id").alias("id"), F.col("customer_id").alias("of"), F.col("order_total").alias("amount"), *tagged
+    ).unionByName(
+        payments.select(F.col("payment_id").alias("id"), F.col("order_id").alias("of"), F.col("payment_amount").alias("amount"), *tagged)
+    )
 
 
 def _lineage_tag(s: Samples) -> DataFrame:
@@ -65,20 +92,83 @@ def _lineage_tag(s: Samples) -> DataFrame:
     return lineage.tag(known, "orders.csv", lineage.BOOTSTRAP)
 
 
+def _warehouse(s: Samples) -> Warehouse:
+    """A new warehouse with the raw tables."""
+    warehouse = Warehouse(s.spark, new_folder(s.spark))
+    with warehouse.load() as load:
+        for table, df, schema in (
+            ("raw.orders", s.raw_orders, schemas.RAW_ORDERS),
+            ("raw.payments", s.raw_payments, schemas.RAW_PAYMENTS),
+            ("raw.customers", s.raw_customers, schemas.RAW_CUSTOMERS),
+            ("raw.products", s.raw_products, schemas.RAW_PRODUCTS),
+        ):
+            load.append(conform(df, schema), table)
+    return warehouse
+
+
 def _pipeline_fact(s: Samples) -> DataFrame:
     """The fact a whole pipeline run publishes from raw tables written to a new warehouse."""
-    warehouse = Warehouse(s.spark, new_folder(s.spark))
-    for table, df, schema in (
-        ("raw.orders", s.raw_orders, schemas.RAW_ORDERS),
-        ("raw.payments", s.raw_payments, schemas.RAW_PAYMENTS),
-        ("raw.customers", s.raw_customers, schemas.RAW_CUSTOMERS),
-        ("raw.products", s.raw_products, schemas.RAW_PRODUCTS),
-    ):
-        warehouse.append(conform(df, schema), table)
+    warehouse = _warehouse(s)
     run_pipeline(warehouse, ORDERS_AS_OF, now=RUN_AT)
     return warehouse.fact()
 
 
+def _with_old_fact(s: Samples) -> Warehouse:
+    """A warehouse whose fact is what an earlier run could have left: stale rows, other days, days that will be empty, rows without a day."""
+    warehouse = _warehouse(s)
+    with tracked_run(warehouse, DAYS, datetime(2001, 7, 31, 6, 0)) as run:
+        filled = warehouse.write_fact_days(conform(s.fact_undated, schemas.FACT_ORDERS), run.run_id)
+        warehouse.write_days_list([(day, run.run_id) for day in filled], run.run_id)
+    return warehouse
+
+
+def _pipeline_fact_rerun(s: Samples) -> DataFrame:
+    """The fact after a run over an older one."""
+    warehouse = _with_old_fact(s)
+    run_pipeline(warehouse, ORDERS_AS_OF, now=RUN_AT)
+    return warehouse.fact()
+
+
+def _failed_run(s: Samples) -> Warehouse:
+    """A good run, then one that the quality gate stops."""
+    warehouse = _warehouse(s)
+    run_pipeline(warehouse, ORDERS_AS_OF, now=RUN_AT)
+    try:
+        run_pipeline(warehouse, ORDERS_AS_OF, Settings(max_errors=0), now=RUN_AT)
+    except quality.QualityGateBreached:
+        pass
+    return warehouse
+
+
+def _run_states(s: Samples) -> DataFrame:
+    return _failed_run(s).runs().select("status", "started_at", F.col("finished_at").isNotNull().alias("ended"), "window_days", "notes")
+
+
+def _run_outputs(s: Samples) -> DataFrame:
+    """What is there of rebuilt tables and logs after a good and a failed run, with the moment of the run."""
+    warehouse = _failed_run(s)
+    bad = warehouse.newest("raw.quarantine_orders", schemas.QUARANTINE_ORDERS)
+    log = warehouse.log("analytics.pipeline_metrics", schemas.PIPELINE_METRICS)
+    clean = warehouse.newest("staging.payments_clean", schemas.RAW_PAYMENTS)
+    return (
+        bad.groupBy(F.lit("quarantine_orders").alias("name"), F.col("quarantined_at").alias("at")).agg(F.count("*").alias("n"))
+        .unionByName(log.groupBy(F.lit("pipeline_metrics").alias("name"), F.col("run_timestamp").alias("at")).agg(F.count("*").alias("n")))
+        .unionByName(clean.groupBy(F.lit("payments_clean").alias("name"), F.lit(RUN_AT).cast("timestamp_ntz").alias("at")).agg(F.count("*").alias("n")))
+    )
+
+
+def _contracts(s: Samples) -> DataFrame:
+    """All contracts on a warehouse after a run over an older fact."""
+    warehouse = _with_old_fact(s)
+    run_pipeline(warehouse, ORDERS_AS_OF, now=RUN_AT)
+    return reduce(DataFrame.unionByName, published_contracts(warehouse))
+
+
+def _placed(df: DataFrame) -> DataFrame:
+    """A sorted result with the place of each row, as it comes out."""
+    return df.coalesce(1).withColumn("place", F.monotonically_increasing_id())
+
+
 def _yearly_metrics(s: Samples) -> DataFrame:
     """One metrics row per year of ingest, as if every year had been one run."""
     tables = {
@@ -142,6 +232,8 @@ REGISTERED: dict[str, Callable[[Samples], DataFrame]] = {
     "ingest_csv": _ingest_csv,
     "seed_if_empty": _seed_if_empty,
     "lineage_tag": _lineage_tag,
+    "ingest_csv_customers": lambda s: _round_trip(s.raw_customers, "customers.csv", schemas.CUSTOMERS_CSV),
+    "load_daily": _load_daily,
     "insert_ignore_orders": lambda s: merge.insert_ignore(
         s.orders_base, s.orders_load, ["order_id"], ["ingested_at"]
     ).select(*ORDER),
@@ -169,6 +261,7 @@ REGISTERED: dict[str, Callable[[Samples], DataFrame]] = {
     "fact_orders_window": lambda s: model.fact_orders(*s.staging, ORDERS_AS_OF, DAYS),
     "fact_orders_upsert": _upserted,
     "pipeline_fact": _pipeline_fact,
+    "pipeline_fact_rerun": _pipeline_fact_rerun,
     "dim_customer": lambda s: model.dim_customer(s.raw_customers),
     "dim_product": lambda s: model.dim_product(s.raw_products),
     "dim_date": lambda s: model.dim_date(s.orders_clean),
@@ -185,7 +278,14 @@ REGISTERED: dict[str, Callable[[Samples], DataFrame]] = {
     "orders_per_day": lambda s: reports.orders_per_day(s.fact_events),
     "payment_status_dist": lambda s: reports.payment_status_dist(s.fact_events),
     "top_cities": lambda s: reports.top_cities(s.fact_full, model.dim_customer(s.raw_customers)),
-    # Run metrics and contracts.
+    "daily_revenue_in_order": lambda s: _placed(reports.daily_revenue(s.fact_events)),
+    "orders_per_day_in_order": lambda s: _placed(reports.orders_per_day(s.fact_events)),
+    "payment_status_in_order": lambda s: _placed(reports.payment_status_dist(s.fact_events)),
+    "revenue_anomalies_in_order": lambda s: _placed(reports.revenue_anomalies(s.fact_events)),
+    # Runs, run metrics and contracts.
+    "run_states": _run_states,
+    "run_outputs": _run_outputs,
+    "contracts": _contracts,
     "pipeline_metrics": _pipeline_metrics,
     "metrics_trend": lambda s: reports.metrics_trend(_yearly_metrics(s)),
     "latest_metrics": lambda s: contracts.latest_metrics(_yearly_metrics(s)),

@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.skew import HOT_LIMIT, SLICE, HotKeys, any_null, is_exact, key_value, keyed_join, sliced
-from tallyhouse.session import shuffle_width, staged
+# Rows of one key that are ranked together; more are ranked in slices first.
+ROWS_PER_SLICE = 100_000
 
 
 class KeyViolation(ValueError):
     """A table breaks its declared key."""
 
 
+def any_null(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(key).isNull() for key in keys])
+
+
 def _total_order(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> list[Column]:
     """``order_by``, then all remaining columns, so that ties never depend on row order."""
     rest = [c for c in df.columns if c not in order_by and c not in keys]
@@ -27,29 +31,6 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("copies")).filter(F.col("copies") > 1)
 
 
-@dataclass(frozen=True)
-class Repeated:
-    """The repeated keys of a table, written so that Spark knows how many they are, and the hot ones."""
-
-    table: DataFrame
-    hot: HotKeys
-
-
-def find_repeated(df: DataFrame, keys: Sequence[str], written: DataFrame | None = None) -> Repeated:
-    """Find the repeated keys of ``df`` and write them; ``written`` is for a caller that did so already.
-
-    A hot key is a repeated one, so the exact counts tell which they are.
-    """
-    keys = list(keys)
-    table = staged(repeated_keys(df, keys), "repeated_keys") if written is None else written
-    fair = df.count() / shuffle_width(df.sparkSession)
-    most = table.filter((F.col("copies") > fair) & ~any_null(keys)).orderBy(F.desc("copies")).limit(HOT_LIMIT)
-    exact = is_exact(df, keys)
-    values = tuple(row["value"] for row in most.select(key_value(keys, exact).alias("value")).collect())
-    missing = table.filter(any_null(keys)).agg(F.sum("copies")).first()[0] or 0
-    return Repeated(table, HotKeys(tuple(keys), values, missing > fair, exact))
-
-
 def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Every key that is repeated or has a NULL in it, with its row count."""
     counted = df.groupBy(*keys).agg(F.count("*").alias("row_count"))
@@ -57,11 +38,12 @@ def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def assert_key(df: DataFrame, keys: Sequence[str], table: str = "table") -> None:
-    """Raise ``KeyViolation`` with a few examples unless ``keys`` is a primary key. Runs a job."""
-    examples = key_violations(df, keys).limit(5).collect()
+    """Raise ``KeyViolation`` unless ``keys`` is a primary key, with the number of bad keys and a few of them. Runs a job."""
+    bad = key_violations(df, keys)
+    examples = bad.limit(5).collect()
     if examples:
         shown = "; ".join(str(row.asDict()) for row in examples)
-        raise KeyViolation(f"{table} breaks its key ({', '.join(keys)}): {shown}")
+        raise KeyViolation(f"{table} breaks its key ({', '.join(keys)}) {bad.count()} times, as in {shown}")
 
 
 def require_key(df: DataFrame, keys: Sequence[str], table: str = "table") -> DataFrame:
@@ -72,7 +54,7 @@ def require_key(df: DataFrame, keys: Sequence[str], table: str = "table") -> Dat
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """The earliest row of every key.
+    """The earliest row of every key; NULL is a key like any other.
 
     Spark limits each key to one row per input partition before the shuffle, so a
     hot key sends one row per task.
@@ -81,35 +63,34 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -
     return df.withColumn("_rank", F.row_number().over(ordered)).filter(F.col("_rank") == 1).drop("_rank")
 
 
+def with_repeated(df: DataFrame, keys: Sequence[str], repeated: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose key is in ``repeated``, with its ``copies``. NULL keys match NULL keys.
+
+    A written, short ``repeated`` is broadcast by Spark, and the rest of the table is not shuffled.
+    """
+    other = repeated.select(*[F.col(key).alias(f"_{key}") for key in keys], "copies")
+    same = reduce(lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys])
+    return df.join(other, same).drop(*[f"_{key}" for key in keys])
+
+
 def duplicates(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], repeated: Repeated | None = None
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], repeated: DataFrame | None = None
 ) -> DataFrame:
     """All rows of every key but its earliest one. Rows with equal NULL keys are duplicates too.
 
-    Only rows with a repeated key are ranked; the rest of the table is not shuffled
-    when the repeated keys are few enough for Spark to broadcast.
-
-    Hot keys and many NULL keys are ranked slice by slice; the first rows of the
-    slices, at most one per slice, then meet in a second, small ranking.
+    ``repeated`` may bring the repeated keys as a written table. Only their rows are ranked, in as many slices as
+    their count asks for, by the same plan for every key; the first rows of the slices then meet in a second, small ranking.
     """
     keys = list(keys)
-    repeated = find_repeated(df, keys) if repeated is None else repeated
-    hot = repeated.hot
+    repeated = repeated_keys(df, keys) if repeated is None else repeated
     order = _total_order(df, keys, order_by)
-    rows = keyed_join(df.filter(~any_null(keys)), repeated.table.select(*keys), keys, "left_semi", hot)
-    rows = rows.select(*df.columns).unionByName(df.filter(any_null(keys)))
-    if not hot:
-        ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-        return ranked.filter(F.col("_rank") > 1).drop("_rank")
-
-    spread = hot.condition() | any_null(keys)
-    in_slice = Window.partitionBy(*keys, SLICE).orderBy(*order)
-    ranked = sliced(rows, hot).withColumn("_rank", F.row_number().over(in_slice)).filter((F.col("_rank") > 1) | spread)
-    # Rows already known to be duplicates get a group of their own and stay spread out.
-    contender = spread & (F.col("_rank") == 1)
-    ranked = ranked.withColumn("_group", F.when(contender, F.lit(-1)).otherwise(F.col(SLICE))).withColumn(
-        "_member", F.when(contender, F.lit(0)).otherwise(F.col("_rank"))
-    )
-    across = Window.partitionBy(*keys, "_group", "_member").orderBy(*order)
-    final = ranked.withColumn("_final", F.row_number().over(across))
-    return final.filter((F.col("_member") > 0) | (F.col("_final") > 1)).select(*df.columns)
+    # Different rows spread by content and equal rows by input partition; a task that is run again repeats both.
+    spread = df.withColumn("_spread", F.xxhash64(F.spark_partition_id(), *df.columns))
+    rows = with_repeated(spread, keys, repeated)
+    slices = F.floor((F.col("copies") - 1) / F.lit(ROWS_PER_SLICE)) + 1
+    rows = rows.withColumn("_slice", F.pmod("_spread", slices))
+    ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(*order)))
+    later = ranked.filter(F.col("_rank") > 1).select(*df.columns)
+    firsts = ranked.filter(F.col("_rank") == 1).select(*df.columns)
+    across = firsts.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return later.unionByName(across.filter(F.col("_rank") > 1).select(*df.columns))

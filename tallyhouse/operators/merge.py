@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import cutoff
-from tallyhouse.operators.keys import first_per_key, require_key
-from tallyhouse.operators.skew import any_null, keyed_join
+from tallyhouse.operators.keys import any_null, first_per_key, require_key
+from tallyhouse.session import Keep, staged
 
 
 def _without_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -19,15 +19,17 @@ def _without_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.filter(F.when(any_null(keys), refuse).otherwise(F.lit(True)))
 
 
-def new_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+def new_rows(
+    target: DataFrame, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str], keep: Keep = staged
+) -> DataFrame:
     """Rows of ``batch`` to append to ``target``: unknown keys only, first row per key.
 
-    The batch is reduced to one row per key first, and of the target only keys that
-    the batch contains go on: a small batch is sent to the target's keys, not the reverse.
+    The batch, reduced to one row per key, is written once with ``keep``, which runs a job. Spark then knows how small it is,
+    sends it to the target's keys, and reads the target once.
     """
     keys = list(keys)
-    first = first_per_key(_without_null_keys(batch, keys), keys, order_by)
-    known = keyed_join(target.select(*keys), first.select(*keys), keys, "left_semi").distinct()
+    first = keep(first_per_key(_without_null_keys(batch, keys), keys, order_by), "batch")
+    known = target.select(*keys).join(first.select(*keys), keys, "left_semi").distinct()
     return first.join(known, keys, "left_anti").select(*batch.columns)
 
 
@@ -36,13 +38,13 @@ def insert_ignore(target: DataFrame, batch: DataFrame, keys: Sequence[str], orde
     return target.unionByName(new_rows(target, batch, keys, order_by), allowMissingColumns=True)
 
 
-def upsert(existing: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert(existing: DataFrame, source: DataFrame, keys: Sequence[str], checked: bool = False) -> DataFrame:
     """``existing`` with the rows of ``source`` inserted, or put in place of those with the same key.
 
-    A repeated or NULL key in ``source`` fails the query.
+    A repeated or NULL key in ``source`` fails the query; ``checked`` is for a caller that has seen to that.
     """
     keys = list(keys)
-    source = require_key(source, keys, "the upsert source")
+    source = source if checked else require_key(source, keys, "the upsert source")
     kept = existing.join(source.select(*keys), keys, "left_anti").select(*existing.columns)
     return kept.unionByName(source)
 
@@ -56,16 +58,6 @@ def before_window(df: DataFrame, day: str, as_of: date, days: int) -> DataFrame:
     return df.filter((F.col(day) < F.lit(cutoff(as_of, days))) | F.col(day).isNull())
 
 
-def rebuild_window(
-    existing: DataFrame, incoming: DataFrame, keys: Sequence[str], day: str, as_of: date, days: int
-) -> DataFrame:
-    """The whole table after deleting the window's days and upserting the incoming ones.
-
-    An older row whose key comes back inside the window moves there.
-    """
-    return upsert(before_window(existing, day, as_of, days), in_window(incoming, day, as_of, days), keys)
-
-
 def is_on(day: str, values: Collection[date | None]) -> Column:
     """Whether a row's day is one of ``values``; None stands for a NULL day. Prunes partitions."""
     dated = [value for value in values if value is not None]
@@ -94,10 +86,24 @@ def rebuilt_days(
     as_of: date,
     days: int,
     moved: Collection[date | None],
+    checked: bool = False,
 ) -> DataFrame:
     """Rows of the days ``rebuild_window`` changes: those of the window and the ``moved`` ones.
 
     For a table partitioned by ``day``, all other partitions are neither read nor rewritten.
     """
     affected = before_window(existing, day, as_of, days).filter(is_on(day, moved))
-    return upsert(affected, in_window(incoming, day, as_of, days), keys)
+    return upsert(affected, in_window(incoming, day, as_of, days), keys, checked)
+
+
+def rebuild_window(
+    existing: DataFrame, incoming: DataFrame, keys: Sequence[str], day: str, as_of: date, days: int
+) -> DataFrame:
+    """The whole table after deleting the window's days and upserting the incoming ones.
+
+    An older row whose key comes back inside the window moves there. Made of the days that change and those that
+    do not, as a run publishes it. Runs a job.
+    """
+    moved = moved_days(existing, incoming, keys, day, as_of, days)
+    untouched = before_window(existing, day, as_of, days).filter(~is_on(day, moved))
+    return untouched.unionByName(rebuilt_days(existing, incoming, keys, day, as_of, days, moved))

@@ -11,8 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import is_missing, moment
-from tallyhouse.operators.keys import Repeated, duplicates, find_repeated, first_per_key
-from tallyhouse.operators.skew import HotKeys, any_null, hot_keys, keyed_join, repeat_rows
+from tallyhouse.operators.keys import any_null, duplicates, first_per_key, repeated_keys, with_repeated
 
 
 @dataclass(frozen=True)
@@ -36,7 +35,7 @@ class DuplicateRule:
     reason: str
     keys: Sequence[str]
     order_by: Sequence[str]
-    repeated: Repeated | None = None
+    repeated: DataFrame | None = None
 
     def violations(self, df: DataFrame) -> DataFrame:
         return duplicates(df, self.keys, self.order_by, self.repeated).withColumn("reason", F.lit(self.reason))
@@ -55,21 +54,14 @@ class MismatchRule:
     value: str
     other_value: str
     when: Column
-    other_hot: HotKeys | None = None
 
     def violations(self, df: DataFrame) -> DataFrame:
-        # Equal copies on the other side become one row with a count before they are
-        # shuffled, so a key never meets itself copy by copy.
-        values = (
-            self.other.filter(F.col(self.other_value).isNotNull() & F.col(self.key).isNotNull())
-            .groupBy(self.key, F.col(self.other_value).alias("_expected"))
-            .agg(F.count("*").alias("_copies"))
-        )
+        expected = self.other.filter(F.col(self.other_value).isNotNull() & F.col(self.key).isNotNull())
+        expected = expected.select(self.key, F.col(self.other_value).alias("_expected"))
         compared = df.filter(self.when & F.col(self.value).isNotNull())
-        hits = keyed_join(compared, values, [self.key]).filter(F.col(self.value) != F.col("_expected"))
-        many = hot_keys(self.other, [self.key]) if self.other_hot is None else self.other_hot
-        found = repeat_rows(hits.select(*df.columns, "_copies"), "_copies", spread=bool(many.values))
-        return found.withColumn("reason", F.lit(self.reason))
+        # Either side is shuffled once, by the key alone; a hot key is cut up at run time.
+        hits = compared.join(expected, self.key).filter(F.col(self.value) != F.col("_expected"))
+        return hits.select(*df.columns).withColumn("reason", F.lit(self.reason))
 
 
 Rule = RowRule | DuplicateRule | MismatchRule
@@ -110,12 +102,11 @@ def quarantine(df: DataFrame, rules: Sequence[Rule], at: datetime | None = None)
 
 def exclude(df: DataFrame, quarantined: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not quarantined. A NULL key matches nothing, so its rows stay."""
-    return keyed_join(df, quarantined.select(key).distinct(), [key], "left_anti").select(*df.columns)
+    bad = quarantined.select(key).filter(F.col(key).isNotNull())
+    return df.join(bad, key, "left_anti").select(*df.columns)
 
 
-def survivors(
-    df: DataFrame, rules: Sequence[RowRule], key: str, bad_keys: DataFrame, hot: HotKeys | None = None
-) -> DataFrame:
+def survivors(df: DataFrame, rules: Sequence[RowRule], key: str, bad_keys: DataFrame) -> DataFrame:
     """Same as ``exclude`` of the full quarantine, at less cost.
 
     Holds when every key with more than one row is in ``bad_keys``: a row rule can
@@ -123,7 +114,8 @@ def survivors(
     ``bad_keys`` instead of the whole quarantine.
     """
     passing = df.filter(any_null([key]) | ~breaks_any(rules))
-    return keyed_join(passing, bad_keys.select(key), [key], "left_anti", hot).select(*df.columns)
+    bad = bad_keys.select(key).filter(F.col(key).isNotNull())
+    return passing.join(bad, key, "left_anti").select(*df.columns)
 
 
 def clean_split(
@@ -132,18 +124,23 @@ def clean_split(
     key: str,
     order_by: Sequence[str],
     on_duplicate: str = "drop_all",
-    repeated: Repeated | None = None,
+    repeated: DataFrame | None = None,
 ) -> DataFrame:
     """Rows that pass all row rules, with duplicates of ``key`` dropped.
 
-    ``drop_all`` loses every copy of a repeated key, ``keep_first`` keeps the
-    earliest copy that passes the row rules.
+    ``drop_all`` loses every copy of a repeated key. ``keep_first`` keeps the earliest copy, the one that the duplicate rule
+    does not quarantine, if it passes the row rules; no row is then both kept and quarantined. There NULL is a key like any
+    other. ``repeated`` may bring the repeated keys as a written table.
     """
+    repeated = repeated_keys(df, [key]) if repeated is None else repeated
     if on_duplicate == "drop_all":
-        repeated = find_repeated(df, [key]) if repeated is None else repeated
-        return survivors(df, rules, key, repeated.table, repeated.hot)
+        return survivors(df, rules, key, repeated)
     if on_duplicate == "keep_first":
-        return first_per_key(df.filter(~breaks_any(rules)), [key], order_by)
+        passing = df.filter(~breaks_any(rules))
+        other = repeated.select(F.col(key).alias("_key"))
+        once = passing.join(other, F.col(key).eqNullSafe(F.col("_key")), "left_anti")
+        first = first_per_key(with_repeated(df, [key], repeated).drop("copies"), [key], order_by)
+        return once.unionByName(first.filter(~breaks_any(rules))).select(*df.columns)
     raise ValueError(f"on_duplicate must be 'drop_all' or 'keep_first', not {on_duplicate!r}")
 
 
@@ -160,9 +157,14 @@ def gate_report(quarantined: dict[str, DataFrame], max_errors: int) -> DataFrame
     return report.withColumn("max_errors", F.lit(max_errors).cast("long")).withColumn("breached", breached)
 
 
-def quality_gate(quarantined: dict[str, DataFrame], max_errors: int) -> None:
+def check_gate(counts: dict[str, int], max_errors: int) -> None:
     """Raise ``QualityGateBreached`` when a quarantine table holds more than ``max_errors`` rows."""
+    if max(counts.values()) > max_errors:
+        shown = ", ".join(f"{name}={count}" for name, count in counts.items())
+        raise QualityGateBreached(f"quality gate breached (more than {max_errors} rows): {shown}")
+
+
+def quality_gate(quarantined: dict[str, DataFrame], max_errors: int) -> None:
+    """``check_gate`` of tables yet to be counted."""
     row = gate_report(quarantined, max_errors).first()
-    if row["breached"]:
-        counts = ", ".join(f"{name}={row[name]}" for name in quarantined)
-        raise QualityGateBreached(f"quality gate breached (more than {max_errors} rows): {counts}")
+    check_gate({name: row[name] for name in quarantined}, max_errors)

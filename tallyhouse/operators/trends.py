@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -61,24 +61,38 @@ def scored_days(fact: DataFrame, rows: int = 14) -> DataFrame:
     return trailing_zscore(daily_paid_revenue(fact), "order_day", "revenue", rows)
 
 
-def recent_history(fact: DataFrame, as_of: date, days: int, rows: int = 14) -> DataFrame:
-    """The part of ``fact`` that scoring the window's days needs.
+def history_start(known: Collection[date | None], as_of: date, days: int, rows: int = 14) -> date:
+    """The first day that scoring the window's days needs: the earliest of the ``rows`` data days before the window."""
+    start = cutoff(as_of, days)
+    return min(sorted(day for day in known if day is not None and day < start)[-rows:], default=start)
+
+
+def recent_history(
+    fact: DataFrame, as_of: date, days: int, rows: int = 14, known: Collection[date | None] | None = None
+) -> DataFrame:
+    """The part of ``fact`` that scoring the window's days needs: the window and the ``rows`` data days before it.
 
-    That is the window and the ``rows`` data days before it. With the fact
-    partitioned by day the subquery reads partition values only, and the filter
-    prunes all older partitions.
+    ``known`` are the days that have data, where the caller knows them, as the warehouse does for its fact; a fact partitioned
+    by day is then read for these days only. Without it the day column of all history is read first.
     """
     start = cutoff(as_of, days)
+    if known is not None:
+        return fact.filter(F.col("order_day") >= F.lit(history_start(known, as_of, days, rows)))
     prior = fact.filter(F.col("order_day") < F.lit(start)).select("order_day").distinct()
     first = prior.orderBy(F.desc("order_day")).limit(rows).agg(F.min("order_day")).scalar()
     return fact.filter(F.col("order_day") >= F.coalesce(first, F.lit(start)))
 
 
 def anomalies_in_window(
-    fact: DataFrame, as_of: date, days: int, rule: AnomalyRule = AnomalyRule(), rows: int = 14
+    fact: DataFrame,
+    as_of: date,
+    days: int,
+    rule: AnomalyRule = AnomalyRule(),
+    rows: int = 14,
+    known: Collection[date | None] | None = None,
 ) -> DataFrame:
     """Anomalous days of the window, with unrounded statistics."""
-    scored = scored_days(recent_history(fact, as_of, days, rows), rows)
+    scored = scored_days(recent_history(fact, as_of, days, rows, known), rows)
     return scored.filter((F.col("order_day") >= F.lit(cutoff(as_of, days))) & rule.condition())
 
 

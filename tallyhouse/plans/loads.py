@@ -5,16 +5,17 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse import schemas
 from tallyhouse.operators.keys import assert_key
 from tallyhouse.operators.merge import new_rows
 from tallyhouse.schemas import conform, limit_ids
-from tallyhouse.session import staged
+from tallyhouse.session import Keep, scratch
 from tallyhouse.sources import lineage
-from tallyhouse.sources.csv import read_csv
-from tallyhouse.sources.warehouse import Warehouse
+from tallyhouse.sources.csv import CORRUPT, read_csv, read_csv_split
+from tallyhouse.sources.warehouse import Load, Warehouse
 
 # table: (file, columns of the file, raw schema, key, has lineage columns)
 RAW_TABLES: dict[str, tuple[str, T.StructType, T.StructType, str, bool]] = {
@@ -30,35 +31,60 @@ def seed_if_empty(target: DataFrame, batch: DataFrame) -> DataFrame:
     return batch if target.isEmpty() else target
 
 
-def bootstrap(warehouse: Warehouse, folder: str, now: datetime | None = None) -> list[str]:
-    """Load the base CSV files into raw tables that are still empty; return the tables loaded.
+def read_batch(
+    load: Load, table: str, path: str, now: datetime, multiline: bool, set_aside: bool
+) -> tuple[DataFrame, DataFrame | None]:
+    """A CSV file as rows of a raw table, and with ``set_aside`` the lines that do not parse, which else fail the load."""
+    spark, csv_schema = load.warehouse.spark, RAW_TABLES[table][1]
+    if not set_aside:
+        return lineage.stamp(limit_ids(read_csv(spark, path, csv_schema, multiline)), now, load.run_id), None
+    rows, bad = read_csv_split(spark, path, csv_schema, multiline)
+    bad = lineage.stamp(bad.withColumnRenamed(CORRUPT, "line"), now, load.run_id)
+    return lineage.stamp(limit_ids(rows), now, load.run_id), bad.withColumn("source_file", F.lit(file_name(path)))
 
-    All tables but orders must satisfy their key; repeated orders are for the quality rules to find.
+
+def file_name(path: str) -> str:
+    return path.rstrip("/").rsplit("/", 1)[-1]
+
+
+def bootstrap(
+    warehouse: Warehouse,
+    folder: str,
+    now: datetime | None = None,
+    run_id: str | None = None,
+    multiline: bool = True,
+    set_aside: bool = False,
+) -> list[str]:
+    """Load the base CSV files into raw tables that are still empty, all or none; return the tables loaded.
+
+    All tables but orders must satisfy their key; repeated orders are for the quality rules to find. ``multiline`` allows line
+    breaks in quoted cells, as a bulk COPY does; one task then reads a file, so give large tables as folders of files, or switch
+    it off. ``set_aside`` sends lines that do not parse to ``raw.<table>_rejected`` in place of failing.
     """
     now = now or datetime.now()
     loaded = []
-    for table, (file, csv_schema, raw_schema, key, with_lineage) in RAW_TABLES.items():
-        if not warehouse.read(table, raw_schema).isEmpty():
-            continue
-        batch = read_csv(warehouse.spark, f"{folder.rstrip('/')}/{file}", csv_schema)
-        if table != "raw.orders":
-            assert_key(batch, [key], table)
-        batch = lineage.stamp(limit_ids(batch), now)
-        if with_lineage:
-            batch = lineage.tag(batch, file, lineage.BOOTSTRAP)
-        warehouse.append(conform(batch, raw_schema), table)
-        loaded.append(table)
+    with warehouse.load(run_id) as load:
+        for table, (file, _, raw_schema, key, with_lineage) in RAW_TABLES.items():
+            target = warehouse.read(table, raw_schema)
+            batch, bad = read_batch(load, table, f"{folder.rstrip('/')}/{file}", now, multiline, set_aside)
+            if seed_if_empty(target, batch) is target:
+                continue
+            if bad is not None:
+                load.append(bad, f"{table}_rejected")
+            if table != "raw.orders":
+                assert_key(batch, [key], table)
+            if with_lineage:
+                batch = lineage.tag(batch, file, lineage.BOOTSTRAP)
+            load.append(conform(batch, raw_schema), table)
+            loaded.append(table)
     return loaded
 
 
-def rows_to_add(
-    warehouse: Warehouse, table: str, batch: DataFrame, source_file: str, now: datetime, run_id: str | None = None
-) -> DataFrame:
-    """Rows of a daily batch whose key a raw table does not have yet, with their lineage, as a written table."""
+def rows_to_add(load: Load, table: str, batch: DataFrame, source_file: str, keep: Keep) -> DataFrame:
+    """Rows of a daily batch whose key a raw table does not have yet, with their lineage."""
     _, _, raw_schema, key, _ = RAW_TABLES[table]
-    tagged = lineage.tag(lineage.stamp(limit_ids(batch), now, run_id), source_file, lineage.DAILY)
-    target = warehouse.read(table, raw_schema)
-    return staged(new_rows(target, conform(tagged, raw_schema), [key], ["ingested_at"]), "rows_to_add")
+    tagged = conform(lineage.tag(batch, source_file, lineage.DAILY), raw_schema)
+    return new_rows(load.warehouse.read(table, raw_schema), tagged, [key], ["ingested_at"], keep)
 
 
 def load_batch(
@@ -68,21 +94,29 @@ def load_batch(
 
     Only the new rows are appended, so running the same batch again adds nothing.
     """
-    warehouse.append(rows_to_add(warehouse, table, batch, source_file, now, run_id), table)
+    with warehouse.load(run_id) as load, scratch(warehouse.spark) as keep:
+        stamped = lineage.stamp(limit_ids(batch), now, load.run_id)
+        load.append(rows_to_add(load, table, stamped, source_file, keep), table)
 
 
 def load_daily(
-    warehouse: Warehouse, orders_csv: str, payments_csv: str, now: datetime | None = None, run_id: str | None = None
+    warehouse: Warehouse,
+    orders_csv: str,
+    payments_csv: str,
+    now: datetime | None = None,
+    run_id: str | None = None,
+    multiline: bool = True,
+    set_aside: bool = False,
 ) -> None:
-    """Insert one day's orders and payments. Both files are read through before either table grows."""
+    """Insert one day's orders and payments: both tables grow together, or neither. See ``bootstrap`` for the options."""
     now = now or datetime.now()
     sources = {"raw.orders": orders_csv, "raw.payments": payments_csv}
     for path in sources.values():
         if not warehouse.exists(path):
             raise FileNotFoundError(path)
-    added = {}
-    for table, path in sources.items():
-        batch = read_csv(warehouse.spark, path, RAW_TABLES[table][1])
-        added[table] = rows_to_add(warehouse, table, batch, path.rstrip("/").rsplit("/", 1)[-1], now, run_id)
-    for table, rows in added.items():
-        warehouse.append(rows, table)
+    with warehouse.load(run_id) as load, scratch(warehouse.spark) as keep:
+        for table, path in sources.items():
+            batch, bad = read_batch(load, table, path, now, multiline, set_aside)
+            if bad is not None:
+                load.append(bad, f"{table}_rejected")
+            load.append(rows_to_add(load, table, batch, file_name(path), keep), table)

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import blank_to_null, day_of, day_of_week
-from tallyhouse.operators.keys import Repeated
 from tallyhouse.operators.merge import in_window
 from tallyhouse.operators.quality import (
     DuplicateRule,
@@ -21,7 +20,6 @@ from tallyhouse.operators.quality import (
     missing,
     quarantine,
 )
-from tallyhouse.operators.skew import HotKeys, keyed_join
 
 ORDER_COLUMNS = ["order_id", "customer_id", "order_date", "order_total"]
 PAYMENT_COLUMNS = ["payment_id", "order_id", "payment_status", "payment_amount"]
@@ -40,12 +38,12 @@ def payment_row_rules() -> list[RowRule]:
     return [missing("order_id")]
 
 
-def order_rules(raw_orders: DataFrame, repeated: Repeated | None = None) -> list[Rule]:
+def order_rules(raw_orders: DataFrame, repeated: DataFrame | None = None) -> list[Rule]:
     duplicate = DuplicateRule("duplicate order_id", ["order_id"], earliest(raw_orders), repeated)
     return [duplicate, *order_row_rules()]
 
 
-def paid_mismatch(raw_orders: DataFrame, hot_orders: HotKeys | None = None) -> MismatchRule:
+def paid_mismatch(raw_orders: DataFrame) -> MismatchRule:
     return MismatchRule(
         "paid amount != order_total",
         other=raw_orders,
@@ -53,31 +51,25 @@ def paid_mismatch(raw_orders: DataFrame, hot_orders: HotKeys | None = None) -> M
         value="payment_amount",
         other_value="order_total",
         when=F.col("payment_status") == "paid",
-        other_hot=hot_orders,
     )
 
 
 def quarantined_orders(
-    raw_orders: DataFrame, repeated: Repeated | None = None, at: datetime | None = None
+    raw_orders: DataFrame, repeated: DataFrame | None = None, at: datetime | None = None
 ) -> DataFrame:
     needed = raw_orders.select(*ORDER_COLUMNS, *earliest(raw_orders))
     found = quarantine(needed, order_rules(needed, repeated), at)
     return found.select(*ORDER_COLUMNS, "reason", *(["quarantined_at"] if at else []))
 
 
-def quarantined_payments(
-    raw_payments: DataFrame,
-    raw_orders: DataFrame,
-    at: datetime | None = None,
-    hot_orders: HotKeys | None = None,
-) -> DataFrame:
+def quarantined_payments(raw_payments: DataFrame, raw_orders: DataFrame, at: datetime | None = None) -> DataFrame:
     needed = raw_payments.select(*PAYMENT_COLUMNS)
-    found = quarantine(needed, [*payment_row_rules(), paid_mismatch(raw_orders, hot_orders)], at)
+    found = quarantine(needed, [*payment_row_rules(), paid_mismatch(raw_orders)], at)
     return found.select(*PAYMENT_COLUMNS, "reason", *(["quarantined_at"] if at else []))
 
 
 def clean_orders(
-    raw_orders: DataFrame, on_duplicate: str = "drop_all", repeated: Repeated | None = None
+    raw_orders: DataFrame, on_duplicate: str = "drop_all", repeated: DataFrame | None = None
 ) -> DataFrame:
     return clean_split(raw_orders, order_row_rules(), "order_id", earliest(raw_orders), on_duplicate, repeated)
 
@@ -94,18 +86,16 @@ def placed_orders(orders: DataFrame, as_of: date | None = None, days: int | None
 
 def with_payments(placed: DataFrame, payments: DataFrame) -> DataFrame:
     """Orders with their payment, if any."""
-    return keyed_join(placed, payments.select("order_id", "payment_status", "payment_amount"), ["order_id"], "left")
+    return placed.join(payments.select("order_id", "payment_status", "payment_amount"), "order_id", "left")
 
 
-def payments_of(placed: DataFrame, payments: DataFrame, limit: int = 1_000_000) -> DataFrame:
-    """Payments that can belong to ``placed`` orders, when those are few enough to broadcast.
+def payments_of(placed: DataFrame, payments: DataFrame) -> DataFrame:
+    """Payments that can belong to ``placed`` orders.
 
-    ``placed`` is counted first. A million order ids of at most 50 characters stay
-    near 100 MB; beyond that all payments go on to the shuffled join.
+    With a written ``placed`` Spark knows its size: order ids of a short window are sent to the payments, which
+    are then not shuffled; those of a long one meet them in a shuffle that the join with the orders uses again.
     """
-    if placed.count() > limit:
-        return payments
-    return payments.join(F.broadcast(placed.select("order_id")), "order_id", "left_semi")
+    return payments.join(placed.select("order_id").filter(F.col("order_id").isNotNull()), "order_id", "left_semi")
 
 
 def fact_orders(

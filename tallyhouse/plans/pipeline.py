@@ -5,12 +5,15 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
+from pyspark.sql import DataFrame
+
 from tallyhouse import schemas
+from tallyhouse.functions import cutoff
 from tallyhouse.operators.contracts import run_contracts, warehouse_contracts
-from tallyhouse.operators.keys import assert_key, find_repeated, repeated_keys
-from tallyhouse.operators.merge import in_window, moved_days, rebuilt_days
-from tallyhouse.operators.quality import quality_gate
-from tallyhouse.operators.trends import AnomalyRule
+from tallyhouse.operators.keys import assert_key, repeated_keys
+from tallyhouse.operators.merge import moved_days, rebuilt_days
+from tallyhouse.operators.quality import check_gate
+from tallyhouse.operators.trends import AnomalyRule, history_start
 from tallyhouse.plans import model, reports
 from tallyhouse.plans.runs import run_metrics, tracked_run
 from tallyhouse.schemas import conform
@@ -21,7 +24,7 @@ from tallyhouse.sources.warehouse import Warehouse
 class Settings:
     window_days: int = 7
     max_errors: int = 999_999
-    keep_runs: int | None = None
+    keep_runs: int | None = 1
     on_duplicate: str = "drop_all"
     anomaly: AnomalyRule = field(default_factory=AnomalyRule)
 
@@ -33,8 +36,8 @@ def run_pipeline(
 
     ``as_of`` and ``now`` are taken once, so every step of the run sees the same day.
     Short intermediate tables are written and read back: Spark then knows their
-    size when it plans the joins on them. With ``keep_runs`` only that many runs keep
-    their full rebuilds; logs keep all.
+    size when it plans the joins on them. Only ``keep_runs`` runs keep their full
+    rebuilds, all do with None; logs keep every run.
     """
     now = now or datetime.now()
     as_of = as_of or now.date()
@@ -50,16 +53,16 @@ def run_pipeline(
 
         # Quarantine.
         key = ["order_id"]
-        repeated = find_repeated(raw_orders, key, keep(repeated_keys(raw_orders, key), "work.repeated_orders"))
+        repeated = keep(repeated_keys(raw_orders, key), "work.repeated_orders")
         bad_orders = keep(model.quarantined_orders(raw_orders, repeated, now), "raw.quarantine_orders")
-        bad_payments = keep(
-            model.quarantined_payments(raw_payments, raw_orders, now, repeated.hot), "raw.quarantine_payments"
-        )
+        bad_payments = keep(model.quarantined_payments(raw_payments, raw_orders, now), "raw.quarantine_payments")
 
         # Clean tables.
         orders = keep(model.clean_orders(raw_orders, settings.on_duplicate, repeated), "staging.orders_clean")
         payments = keep(model.clean_payments(raw_payments, bad_payments), "staging.payments_clean")
-        quality_gate({"quarantined_orders": bad_orders, "quarantined_payments": bad_payments}, settings.max_errors)
+        metrics = run_metrics(days, now, raw_orders, bad_orders, orders, raw_payments, bad_payments, payments)
+        counted = keep(metrics, "analytics.pipeline_metrics").first()
+        check_gate({name: counted[name] for name in ("quarantined_orders", "quarantined_payments")}, settings.max_errors)
 
         # Window of the fact, checked before anything is published.
         placed = keep(model.placed_orders(orders, as_of, days), "work.window_orders")
@@ -73,33 +76,35 @@ def run_pipeline(
         keep(model.dim_product(products), "analytics.dim_product")
         keep(model.dim_date(orders), "analytics.dim_date")
 
-        metrics = run_metrics(days, now, raw_orders, bad_orders, orders, raw_payments, bad_payments, payments)
-        keep(metrics, "analytics.pipeline_metrics")
-
-        # Changed days of the fact, and the anomalies of the fact as it will be.
-        fact = warehouse.fact()
-        rebuild = (fact, window, key, "order_day", as_of, days)
+        # The days of the fact that change, written beside the old ones, and the anomalies of the fact as it will be.
+        before = warehouse.fact_days()
+        rebuild = (warehouse.fact_of(before), window, key, "order_day", as_of, days)
         moved = moved_days(*rebuild)
-        changed = conform(rebuilt_days(*rebuild, moved), schemas.FACT_ORDERS)
-        replaced = in_window(fact, "order_day", as_of, days).select("order_day").distinct()
-        touched = moved | {row["order_day"] for row in replaced.collect()}
-        change = warehouse.prepare_days(changed, touched, "analytics.fact_orders", "order_day", run.run_id)
-        log = reports.anomaly_log(change.applied_to(fact), as_of, days, run.run_id, now, settings.anomaly)
+        changed = conform(rebuilt_days(*rebuild, moved, checked=True), schemas.FACT_ORDERS)
+        filled = warehouse.write_fact_days(changed, run.run_id)
+        start = cutoff(as_of, days)
+        stale = {day for day, _ in before if day is not None and day >= start} | moved | filled
+        after = [(day, run_id) for day, run_id in before if day not in stale] + [(day, run.run_id) for day in filled]
+        warehouse.write_days_list(after, run.run_id)
+        known = [day for day, _ in after]
+        scored = history_start(known, as_of, days)
+        recent = warehouse.fact_of([(day, run_id) for day, run_id in after if day is not None and day >= scored])
+        log = reports.anomaly_log(recent, as_of, days, run.run_id, now, settings.anomaly, known)
         keep(log.drop("run_id"), "analytics.revenue_anomaly_log")
-
-        # Publish; the success row follows at once.
-        warehouse.publish_days(change)
     if settings.keep_runs is not None:
         warehouse.drop_old_runs(settings.keep_runs)
     return run.run_id
 
 
+def published_contracts(warehouse: Warehouse) -> list[DataFrame]:
+    """The contracts on the published tables, one row each."""
+    return warehouse_contracts(
+        warehouse.fact(),
+        warehouse.log("analytics.pipeline_metrics", schemas.PIPELINE_METRICS),
+        warehouse.log("analytics.revenue_anomaly_log", schemas.ANOMALY_LOG),
+    )
+
+
 def check_warehouse(warehouse: Warehouse) -> list[tuple[str, str, int]]:
     """Run the contracts on the published tables; raise if one fails."""
-    return run_contracts(
-        warehouse_contracts(
-            warehouse.fact(),
-            warehouse.log("analytics.pipeline_metrics", schemas.PIPELINE_METRICS),
-            warehouse.log("analytics.revenue_anomaly_log", schemas.ANOMALY_LOG),
-        )
-    )
+    return run_contracts(published_contracts(warehouse))

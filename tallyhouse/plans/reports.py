@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame
@@ -58,10 +59,16 @@ def _rounded_scores() -> list:
 
 
 def anomaly_log(
-    fact: DataFrame, as_of: date, days: int, run_id: str, detected_at: datetime, rule: AnomalyRule = AnomalyRule()
+    fact: DataFrame,
+    as_of: date,
+    days: int,
+    run_id: str,
+    detected_at: datetime,
+    rule: AnomalyRule = AnomalyRule(),
+    known: Collection[date | None] | None = None,
 ) -> DataFrame:
     """Rows a run adds to the anomaly log: anomalous days of its window."""
-    return anomalies_in_window(fact, as_of, days, rule).select(
+    return anomalies_in_window(fact, as_of, days, rule, known=known).select(
         F.lit(run_id).alias("run_id"),
         moment(detected_at).alias("detected_at"),
         "order_day",

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from tallyhouse import schemas
 from tallyhouse.functions import moment
 from tallyhouse.schemas import conform
-from tallyhouse.sources.warehouse import SUCCESS, Warehouse
+from tallyhouse.sources.warehouse import RUNNING, SUCCESS, Warehouse
 
 
 @dataclass(frozen=True)
@@ -31,17 +32,18 @@ def new_run_id(now: datetime) -> str:
 def tracked_run(warehouse: Warehouse, window_days: int, started_at: datetime | None = None) -> Iterator[Run]:
     """Record a run as running, then as success, or as failed with the error as its note.
 
-    The success row is the commit: it is written last, and the run's outputs count from then on.
+    The success row is the commit: it is written last, and the run's outputs count from then on. If it cannot be written
+    the run has failed like any other.
     """
     started_at = started_at or datetime.now()
     run = Run(new_run_id(started_at), started_at)
-    warehouse.record((run.run_id, started_at, None, "running", window_days, None))
+    warehouse.record((run.run_id, started_at, None, RUNNING, window_days, None))
     try:
         yield run
+        warehouse.record((run.run_id, started_at, datetime.now(), SUCCESS, window_days, None))
     except BaseException as error:
-        warehouse.record((run.run_id, started_at, datetime.now(), "failed", window_days, str(error)[:2000]))
+        warehouse.record((run.run_id, started_at, datetime.now(), "failed", window_days, str(error)))
         raise
-    warehouse.record((run.run_id, started_at, datetime.now(), SUCCESS, window_days, None))
 
 
 def run_metrics(
@@ -63,9 +65,8 @@ def run_metrics(
         "quarantined_payments": quarantined_payments,
         "clean_payments_count": clean_payments,
     }
-    row = raw_orders.sparkSession.range(1).select(
-        moment(run_timestamp).alias("run_timestamp"),
-        F.lit(window_days).alias("window_days"),
-        *[df.agg(F.count("*")).scalar().alias(name) for name, df in counted.items()],
-    )
+    # All tables are counted in one pass each and one small shuffle together.
+    rows = reduce(DataFrame.unionByName, [df.select(F.lit(name).alias("name")) for name, df in counted.items()])
+    total = rows.agg(*[F.count_if(F.col("name") == name).alias(name) for name in counted])
+    row = total.select(moment(run_timestamp).alias("run_timestamp"), F.lit(window_days).alias("window_days"), *counted)
     return conform(row, schemas.PIPELINE_METRICS)

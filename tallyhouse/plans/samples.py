@@ -15,7 +15,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.keys import Repeated, find_repeated
+from tallyhouse.operators.keys import repeated_keys
 from tallyhouse.operators.merge import in_window
 from tallyhouse.plans import model
 from tallyhouse.session import staged
@@ -109,8 +109,8 @@ class Samples:
         )
 
     @cached_property
-    def repeated(self) -> Repeated:
-        return find_repeated(self.raw_orders, ["order_id"])
+    def repeated(self) -> DataFrame:
+        return staged(repeated_keys(self.raw_orders, ["order_id"]), "repeated_orders")
 
     @cached_property
     def quarantine_orders(self) -> DataFrame:
@@ -161,6 +161,13 @@ class Samples:
             "payment_amount",
         )
 
+    @cached_property
+    def fact_undated(self) -> DataFrame:
+        """``fact_prev`` with some rows that have lost their day, and its old days drawn together by month."""
+        key = F.expr("try_cast(substr(order_id, 2) AS BIGINT)")
+        day = F.when(F.col("order_day") < F.lit(date(2001, 6, 1)), F.trunc("order_day", "month")).otherwise(F.col("order_day"))
+        return self.fact_prev.withColumn("order_day", F.when(key % 53 != 0, day))
+
     @cached_property
     def orders_base(self) -> DataFrame:
         """Orders already loaded; with ``orders_load`` this covers the whole table."""

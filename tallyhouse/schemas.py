@@ -40,6 +40,8 @@ QUARANTINE_PAYMENTS = T.StructType(PAYMENTS_CSV.fields + _VERDICT.fields)
 FACT_ORDERS = _schema(
     order_id=STRING, customer_id=STRING, order_day=DATE, order_total=MONEY, payment_status=STRING, payment_amount=MONEY
 )
+# Which run wrote each day of the fact.
+FACT_DAYS = _schema(order_day=DATE, version=STRING)
 DIM_CUSTOMER = CUSTOMERS_CSV
 DIM_PRODUCT = PRODUCTS_CSV
 DIM_DATE = _schema(date_day=DATE, year=INT, month=INT, day=INT, day_of_week=INT)
@@ -81,11 +83,18 @@ def limit_ids(df: DataFrame) -> DataFrame:
     return df.select(*[checked(c) if c in ids else F.col(c) for c in df.columns])
 
 
+# Columns a table may lack; they are then NULL.
+LINEAGE = frozenset(f.name for f in _LINEAGE.fields)
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Give ``df`` exactly the columns of ``schema``; a column it lacks is NULL."""
+    """Give ``df`` exactly the columns of ``schema``; only a lineage column it lacks becomes NULL."""
+    lacking = [f.name for f in schema.fields if f.name not in df.columns]
+    if refused := [name for name in lacking if name not in LINEAGE]:
+        raise ValueError(f"columns {', '.join(refused)} are missing")
     return df.select(
         *[
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            (F.lit(None) if f.name in lacking else F.col(f.name)).cast(f.dataType).alias(f.name)
             for f in schema.fields
         ]
     )

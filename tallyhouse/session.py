@@ -1,16 +1,17 @@
-"""Session settings the library is written for."""
+"""Session settings the library is written for, and tables written along the way."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
+    # A key with very many rows is cut up at run time, on the side of a join that has them.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # A join whose shuffled partitions turn out small is hashed instead of sorted.
@@ -18,6 +19,8 @@ SETTINGS = {
     "spark.ui.enabled": "false",
 }
 
+Keep = Callable[[DataFrame, str], DataFrame]
+
 
 def local_session(
     cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g", folder: str | None = None
@@ -38,37 +41,48 @@ def local_session(
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the session names it.
-
-    Only a local session may fall back to a temporary folder of this machine.
-    """
+    """The folder every executor can reach, as the session names it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return _local_folder(spark.sparkContext.applicationId)
-
-
-@cache
-def _local_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"tallyhouse-{application}-")
+    return folder.rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str = "run") -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def file_system(spark: SparkSession, path: str):
+    """The file system of ``path`` and the path as an object of it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, target = file_system(spark, path)
+    files.delete(target, True)
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     For a result that several steps use: it is computed once, survives a lost
     executor, and has a size Spark knows when it plans the next join. Runs a job.
+    The files stay for as long as the result may be read; see ``scratch``.
     """
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _written(df, new_folder(df.sparkSession, name))
 
 
-def shuffle_width(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Keep]:
+    """A ``staged`` whose files are removed when the block ends."""
+    folder = new_folder(spark, "scratch")
+    try:
+        yield lambda df, name: _written(df, f"{folder}/{name}-{uuid.uuid4().hex}")
+    finally:
+        remove(spark, folder)

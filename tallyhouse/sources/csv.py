@@ -8,8 +8,9 @@ from pyspark.sql import types as T
 CORRUPT = "_corrupt_record"
 
 # An unquoted empty cell is NULL, a quoted one is the empty string; a quote is
-# escaped by doubling it and a backslash is an ordinary character.
-COPY_OPTIONS = {"header": "true", "nullValue": "\\N", "escape": '"', "encoding": "UTF-8"}
+# escaped by doubling it and a backslash is an ordinary character. Spark reads an empty
+# cell as nullValue, so that is text no file has.
+COPY_OPTIONS = {"header": "true", "nullValue": "\x01\x00", "escape": '"', "encoding": "UTF-8"}
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType, multiline: bool = False) -> DataFrame:
@@ -27,7 +28,9 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType, m
     )
 
 
-def read_csv_split(spark: SparkSession, path: str | list[str], schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+def read_csv_split(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, multiline: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """Read CSV files, keeping bad lines: (rows that parse, lines that do not)."""
     with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     lines = (
@@ -35,6 +38,7 @@ def read_csv_split(spark: SparkSession, path: str | list[str], schema: T.StructT
         .options(**COPY_OPTIONS)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("multiLine", multiline)
         .csv(path)
     )
     good = lines.filter(lines[CORRUPT].isNull()).drop(CORRUPT)
@@ -43,5 +47,6 @@ def read_csv_split(spark: SparkSession, path: str | list[str], schema: T.StructT
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Write CSV files that ``read_csv`` reads back to the same rows."""
-    df.write.mode("overwrite").option("header", "true").option("escape", '"').option("quoteAll", "false").csv(path)
+    """Write CSV files that ``read_csv`` reads back to the same rows, blanks around a cell included."""
+    options = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    df.write.mode("overwrite").options(**options).csv(path)

@@ -1,15 +1,17 @@
 """Warehouse tables as Parquet folders: raw, staging and analytics layers.
 
-Every output of a pipeline run goes to ``<layer>/<table>/run_id=<run>`` and counts
-only once the run is recorded as successful, so a failed run shows nothing. Full
-rebuilds are read from the newest successful run, logs from all of them. The fact
-table is kept in place, partitioned by day, and only its changed days are replaced.
+Nothing is changed in place. A load writes its rows to ``<table>/load_id=<load>`` and a run its outputs to
+``<layer>/<table>/run_id=<run>``; they count only once the load, or the run, is recorded as done, by one small file
+that is written last. Raw tables are the rows of all loads done. Full rebuilds are read from the newest successful run,
+logs from all of them. The fact is partitioned by run and day: a run writes the days it changes, and
+a list of all days with the run that wrote each, so that the newest successful run's list is the fact.
 """
 
 from __future__ import annotations
 
-from collections.abc import Collection
-from dataclasses import dataclass
+import uuid
+from collections.abc import Collection, Iterator, Sequence
+from contextlib import contextmanager
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,10 +20,12 @@ from pyspark.sql import types as T
 
 from tallyhouse import schemas
 from tallyhouse.operators.keys import first_per_key
-from tallyhouse.operators.merge import is_on
 from tallyhouse.schemas import conform
+from tallyhouse.session import file_system, remove
 
-SUCCESS = "success"
+SUCCESS, RUNNING = "success", "running"
+FACT, FACT_DAYS, LOADS = "analytics.fact_orders", "analytics.fact_days", "raw.loads"
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 # Tables every run writes anew, so that older copies can go.
 REBUILT = (
     "raw.quarantine_orders",
@@ -34,23 +38,13 @@ REBUILT = (
     "work.repeated_orders",
     "work.window_orders",
     "work.fact_window",
-    "work.analytics_fact_orders",
+    FACT_DAYS,
 )
+# Tables that gain rows with every successful run; what a failed run wrote can go.
+LOGS = ("analytics.pipeline_metrics", "analytics.revenue_anomaly_log")
 
-
-@dataclass(frozen=True)
-class DayChange:
-    """New content of some days of a table partitioned by ``day``."""
-
-    table: str
-    day: str
-    rows: DataFrame
-    touched: frozenset[date | None]
-    filled: frozenset[date | None]
-
-    def applied_to(self, current: DataFrame) -> DataFrame:
-        """The table as it will be. Untouched days are selected by partition value."""
-        return current.filter(~is_on(self.day, self.touched | self.filled)).unionByName(self.rows)
+# A day of the fact, None for rows without one, and the run whose folder has it.
+DayVersion = tuple[date | None, str]
 
 
 class Warehouse:
@@ -63,64 +57,79 @@ class Warehouse:
         folder = f"{self.root}/{table.replace('.', '/')}"
         return folder if run_id is None else f"{folder}/run_id={run_id}"
 
-    def _hadoop(self, path: str):
-        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return target.getFileSystem(self.spark._jsc.hadoopConfiguration()), target
-
     def exists(self, path: str) -> bool:
-        files, target = self._hadoop(path)
+        files, target = file_system(self.spark, path)
         return files.exists(target)
 
+    def _folders(self, path: str) -> list[str]:
+        """Names of the folders in ``path``."""
+        files, target = file_system(self.spark, path)
+        return [s.getPath().getName() for s in files.listStatus(target) if s.isDirectory()] if files.exists(target) else []
+
     def _read(self, path: str, schema: T.StructType) -> DataFrame:
         if not self.exists(path):
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path)
 
-    # --- tables that live across runs -------------------------------------------------
+    # --- raw tables -------------------------------------------------------------------
+
+    def loads(self) -> list[str]:
+        """The loads done: one empty file each."""
+        files, folder = file_system(self.spark, self.path(LOADS))
+        return [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
 
     def read(self, table: str, schema: T.StructType) -> DataFrame:
-        """A table that is changed in place; empty before its first write."""
-        return conform(self._read(self.path(table), schema), schema)
+        """A raw table: the rows of all loads done. Other loads' folders are pruned as partitions."""
+        with_load = T.StructType([*schema.fields, T.StructField("load_id", T.StringType())])
+        rows = self._read(self.path(table), with_load)
+        return conform(rows.filter(F.col("load_id").isin(self.loads())), schema)
+
+    @contextmanager
+    def load(self, run_id: str | None = None) -> Iterator[Load]:
+        """A load of one or more raw tables; they grow together when the block ends well, else not at all."""
+        load = Load(self, f"LOAD_{uuid.uuid4().hex}", run_id)
+        try:
+            yield load
+            files, done = file_system(self.spark, f"{self.path(LOADS)}/{load.load_id}")
+            files.create(done).close()
+        except BaseException:
+            load.undo()
+            raise
 
     def append(self, df: DataFrame, table: str) -> None:
-        df.write.mode("append").parquet(self.path(table))
+        """Add rows to one raw table."""
+        with self.load() as load:
+            load.append(df, table)
 
-    def prepare_days(
-        self, changed: DataFrame, touched: Collection[date | None], table: str, day: str, run_id: str
-    ) -> DayChange:
-        """Write the new rows of the touched days to the run's folder, leaving the table as it is.
+    # --- the fact ---------------------------------------------------------------------
 
-        They may come from the very partitions they will replace, so they must be
-        written before any of those is touched.
-        """
-        prepared = self.path(f"work.{table.replace('.', '_')}", run_id)
+    def fact_days(self) -> list[DayVersion]:
+        """The days of the fact as the newest successful run left it: at most one row per calendar day."""
+        return [(row["order_day"], row["version"]) for row in self.newest(FACT_DAYS, schemas.FACT_DAYS).collect()]
+
+    def write_fact_days(self, rows: DataFrame, run_id: str) -> set[date | None]:
+        """Write the new rows of some days to the run's folder, and return the days that got rows."""
+        path = self.path(FACT, run_id)
         # Rebalancing splits a day with very many rows and joins small ones, so files get an even size.
-        self._write_days(changed.hint("rebalance", F.col(day)), prepared, day)
-        rows = self._read(prepared, changed.schema).select(*changed.columns)
-        filled = frozenset(row[0] for row in rows.select(day).distinct().collect())  # calendar days
-        return DayChange(table, day, rows, frozenset(touched), filled)
+        rows.hint("rebalance", F.col("order_day")).write.mode("overwrite").partitionBy("order_day").parquet(path)
+        names = [name.partition("=")[2] for name in self._folders(path) if name.startswith("order_day=")]
+        return {None if name == NO_DAY else date.fromisoformat(name) for name in names}
+
+    def fact_of(self, days: Sequence[DayVersion]) -> DataFrame:
+        """The fact made of these days; no other folder is looked at, and days are pruned as partitions."""
+        if not days:
+            return self.spark.createDataFrame([], schemas.FACT_ORDERS)
+        folders = [f"{self.path(FACT, run_id)}/order_day={day.isoformat() if day else NO_DAY}" for day, run_id in days]
+        rows = self.spark.read.schema(schemas.FACT_ORDERS).option("basePath", self.path(FACT)).parquet(*folders)
+        return rows.select(*schemas.FACT_ORDERS.fieldNames())
 
-    def publish_days(self, change: DayChange) -> None:
-        """Put prepared days in place of the old ones.
+    def fact(self) -> DataFrame:
+        return self.fact_of(self.fact_days())
 
-        A dynamic overwrite only touches days it has rows for, so days left without
-        rows are removed afterwards. Publishing the same change again changes nothing.
-        """
-        path = self.path(change.table)
-        if change.filled:
-            self._write_days(change.rows, path, change.day)
-        for emptied in change.touched - change.filled:
-            self._delete_partition(path, change.day, emptied)
-        self.spark.catalog.refreshByPath(path)
-
-    def _write_days(self, df: DataFrame, path: str, day: str) -> None:
-        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(day).parquet(path)
-
-    def _delete_partition(self, path: str, day: str, value: date | None) -> None:
-        name = "__HIVE_DEFAULT_PARTITION__" if value is None else value.isoformat()
-        files, target = self._hadoop(f"{path}/{day}={name}")
-        files.delete(target, True)
+    def write_days_list(self, days: Sequence[DayVersion], run_id: str) -> None:
+        """Say which run wrote each day of the fact; counts once the run is a success."""
+        listed = self.spark.createDataFrame(list(days), schemas.FACT_DAYS)
+        listed.coalesce(1).write.mode("overwrite").parquet(self.path(FACT_DAYS, run_id))
 
     # --- outputs of one run -----------------------------------------------------------
 
@@ -131,32 +140,53 @@ class Warehouse:
 
     def runs(self) -> DataFrame:
         """The last recorded state of every run."""
-        states = self.read("analytics.pipeline_runs", schemas.PIPELINE_RUNS)
+        states = self._read(self.path("analytics.pipeline_runs"), schemas.PIPELINE_RUNS)
         return first_per_key(states, ["run_id"], ["finished_at"])
 
     def record(self, row: tuple) -> None:
         state = self.spark.createDataFrame([row], schemas.PIPELINE_RUNS)
         state.coalesce(1).write.mode("append").parquet(self.path("analytics.pipeline_runs"))
 
+    def _successes(self) -> list[str]:
+        """All successful runs, newest first. There are two short rows per run."""
+        states = self._read(self.path("analytics.pipeline_runs"), schemas.PIPELINE_RUNS)
+        done = states.filter(F.col("status") == SUCCESS).select("finished_at", "run_id").collect()
+        return [row["run_id"] for row in sorted(done, reverse=True)]
+
     def drop_old_runs(self, keep: int) -> None:
-        """Delete full rebuilds and intermediate tables of all runs but the newest ``keep`` successful ones."""
+        """Delete what is not needed to read the newest ``keep`` successful runs: rebuilds and days of the fact of other runs.
+
+        Runs are taken to follow one another, so a run that never ended counts as failed. Logs stay, but for failed runs' rows.
+        """
         if keep < 1:
             raise ValueError("the newest successful run must stay")
-        done = self.runs().filter(F.col("status") == SUCCESS).orderBy(F.desc("finished_at"), F.desc("run_id"))
-        kept = {f"run_id={row['run_id']}" for row in done.select("run_id").limit(keep).collect()}
-        for table in REBUILT:
-            files, folder = self._hadoop(self.path(table))
-            for status in files.listStatus(folder) if files.exists(folder) else ():
-                if status.getPath().getName().startswith("run_id=") and status.getPath().getName() not in kept:
-                    files.delete(status.getPath(), True)
+        done = self._successes()
+        kept = set(done[:keep])
+        self._drop({table: kept for table in REBUILT} | {table: set(done) for table in LOGS})
+        needed: dict[str, set[str]] = {}
+        for run_id in kept:
+            listed = self._read(self.path(FACT_DAYS, run_id), schemas.FACT_DAYS)
+            for row in listed.collect():
+                needed.setdefault(row["version"], set()).add(row["order_day"].isoformat() if row["order_day"] else NO_DAY)
+        self._drop({FACT: set(needed)})
+        for run_id, days in needed.items():
+            for name in self._folders(self.path(FACT, run_id)):
+                if name.startswith("order_day=") and name.partition("=")[2] not in days:
+                    remove(self.spark, f"{self.path(FACT, run_id)}/{name}")
+
+    def _drop(self, kept: dict[str, Collection[str]]) -> None:
+        """Delete all runs' folders of each table but those to keep."""
+        for table, run_ids in kept.items():
+            for name in self._folders(self.path(table)):
+                if name.startswith("run_id=") and name.partition("=")[2] not in run_ids:
+                    remove(self.spark, f"{self.path(table)}/{name}")
 
     def newest(self, table: str, schema: T.StructType) -> DataFrame:
         """A fully rebuilt table, as the newest successful run left it."""
-        done = self.runs().filter(F.col("status") == SUCCESS)
-        last = done.orderBy(F.desc("finished_at"), F.desc("run_id")).select("run_id").first()
-        if last is None:
+        last = self._successes()
+        if not last:
             return self.spark.createDataFrame([], schema)
-        return conform(self._read(self.path(table, last["run_id"]), schema), schema)
+        return conform(self._read(self.path(table, last[0]), schema), schema)
 
     def log(self, table: str, schema: T.StructType) -> DataFrame:
         """A log table: the rows of all successful runs."""
@@ -165,5 +195,19 @@ class Warehouse:
         rows = self._read(self.path(table), with_run)
         return conform(rows.join(done, "run_id", "left_semi"), schema)
 
-    def fact(self) -> DataFrame:
-        return self.read("analytics.fact_orders", schemas.FACT_ORDERS)
+
+class Load:
+    """Rows on their way into raw tables. ``run_id`` names the load in their lineage."""
+
+    def __init__(self, warehouse: Warehouse, load_id: str, run_id: str | None):
+        self.warehouse, self.load_id, self.run_id = warehouse, load_id, run_id or load_id
+        self._folders: list[str] = []
+
+    def append(self, df: DataFrame, table: str) -> None:
+        folder = f"{self.warehouse.path(table)}/load_id={self.load_id}"
+        self._folders.append(folder)
+        df.write.mode("append").parquet(folder)
+
+    def undo(self) -> None:
+        for folder in self._folders:
+            remove(self.warehouse.spark, folder)

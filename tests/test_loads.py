@@ -1,5 +1,6 @@
 """CSV ingest, lineage, first load, daily loads and arriving files."""
 
+import os
 from datetime import datetime
 from decimal import Decimal
 
@@ -9,7 +10,8 @@ from tallyhouse import schemas
 from tallyhouse.plans.loads import bootstrap, load_daily, seed_if_empty
 from tallyhouse.sources import lineage
 from tallyhouse.sources.csv import read_csv, read_csv_split, write_csv
-from tallyhouse.sources.warehouse import Warehouse
+from tallyhouse.session import shared_folder
+from tallyhouse.sources.warehouse import Load, Warehouse
 from tallyhouse.streaming.arrivals import load_arrivals
 
 NOW = datetime(2024, 1, 2, 3, 4, 5)
@@ -47,6 +49,24 @@ def test_round_trip(spark, tmp_path):
     assert set(read_csv(spark, str(tmp_path / "out.csv"), schemas.ORDERS_CSV).collect()) == set(df.collect())
 
 
+def test_cells_as_a_bulk_copy_reads_them(spark, tmp_path):
+    file = write(
+        tmp_path / "customers.csv",
+        "customer_id,name,email,city,created_at",
+        'C1,"two\nlines, ""quoted""",\\N,  Rome ,2024-01-01 00:00:00',
+        "C2, padded ,,\"\",",
+    )
+    rows = {r.customer_id: r for r in read_csv(spark, file, schemas.CUSTOMERS_CSV, multiline=True).collect()}
+    assert (rows["C1"].name, rows["C1"].email, rows["C1"].city) == ('two\nlines, "quoted"', "\\N", "  Rome ")
+    assert (rows["C2"].name, rows["C2"].email, rows["C2"].city, rows["C2"].created_at) == (" padded ", None, "", None)
+
+
+def test_round_trip_keeps_blanks(spark, tmp_path):
+    df = spark.createDataFrame([("  x ", " ", "", None, None), ("\\N", "\ta\t", None, "", None)], schemas.CUSTOMERS_CSV)
+    write_csv(df, str(tmp_path / "out.csv"))
+    assert set(read_csv(spark, str(tmp_path / "out.csv"), schemas.CUSTOMERS_CSV).collect()) == set(df.collect())
+
+
 def test_bad_cell_fails_or_is_set_aside(spark, tmp_path):
     file = write(tmp_path / "o.csv", ORDERS_HEADER, "O1,c,2024-01-01 10:00:00,abc", "O2,c,2024-01-01 10:00:00,1")
     with pytest.raises(Exception, match="(?i)malformed"):
@@ -77,7 +97,7 @@ def test_tag_fills_only_untagged_rows(spark):
 def test_seed_if_empty(spark):
     full, empty = spark.range(3), spark.range(0)
     assert seed_if_empty(empty, full).count() == 3
-    assert seed_if_empty(full, empty).count() == 3
+    assert seed_if_empty(full, spark.range(7)).count() == 3
 
 
 @pytest.fixture
@@ -99,6 +119,7 @@ def test_first_load_and_daily_load(spark, tmp_path, base_files):
     assert orders.count() == 3
     first = orders.first()
     assert (first.source_file, first.batch_id, first.ingested_at) == ("orders.csv", "BOOTSTRAP", NOW)
+    assert all(r.run_id for r in orders.collect())
 
     orders_csv = write(tmp_path / "orders_daily.csv", ORDERS_HEADER, "O2,C9,2024-01-03 00:00:00,1", "O3,C1,2024-01-03 00:00:00,2")
     payments_csv = write(tmp_path / "payments_daily.csv", PAYMENTS_HEADER, "Y2,O2,failed,0", "Y3,O3,paid,2")
@@ -129,6 +150,50 @@ def test_bad_payment_file_leaves_the_orders_alone(spark, tmp_path):
     assert warehouse.read("raw.orders", schemas.RAW_ORDERS).isEmpty()
 
 
+def test_both_tables_grow_together_or_neither(spark, tmp_path, base_files, monkeypatch):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    bootstrap(warehouse, base_files, NOW)
+    orders_csv = write(tmp_path / "o.csv", ORDERS_HEADER, "O3,C1,2024-01-03 00:00:00,2")
+    payments_csv = write(tmp_path / "p.csv", PAYMENTS_HEADER, "Y3,O3,paid,2")
+    plain = Load.append
+
+    def failing(self, df, table):
+        plain(self, df, table)
+        if table == "raw.payments":
+            raise RuntimeError("lost")
+
+    monkeypatch.setattr(Load, "append", failing)
+    with pytest.raises(RuntimeError):
+        load_daily(warehouse, orders_csv, payments_csv, NOW)
+    monkeypatch.undo()
+    counts = lambda: (warehouse.read("raw.orders", schemas.RAW_ORDERS).count(), warehouse.read("raw.payments", schemas.RAW_PAYMENTS).count())
+    assert counts() == (3, 2) and len(warehouse._folders(warehouse.path("raw.orders"))) == 1
+    load_daily(warehouse, orders_csv, payments_csv, NOW)
+    assert counts() == (4, 3)
+
+
+def test_bad_lines_are_set_aside_on_request(spark, tmp_path, base_files):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    bootstrap(warehouse, base_files, NOW)
+    orders_csv = write(tmp_path / "o.csv", ORDERS_HEADER, "O3,C1,2024-01-03 00:00:00,2", "O4,C1,2024-01-03 00:00:00,two")
+    payments_csv = write(tmp_path / "p.csv", PAYMENTS_HEADER, "Y3,O3,paid,2")
+    load_daily(warehouse, orders_csv, payments_csv, NOW, set_aside=True)
+    assert warehouse.read("raw.orders", schemas.RAW_ORDERS).count() == 4
+    bad = spark.read.parquet(warehouse.path("raw.orders_rejected")).collect()
+    assert [(r.line, r.source_file) for r in bad] == [("O4,C1,2024-01-03 00:00:00,two", "o.csv")]
+
+
+def test_loads_leave_nothing_in_the_shared_folder(spark, tmp_path, base_files):
+    before = set(os.listdir(shared_folder(spark)))
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    bootstrap(warehouse, base_files, NOW)
+    orders_csv = write(tmp_path / "o.csv", ORDERS_HEADER, "O3,C1,2024-01-03 00:00:00,2")
+    payments_csv = write(tmp_path / "p.csv", PAYMENTS_HEADER, "Y3,O3,paid,2")
+    for _ in range(2):
+        load_daily(warehouse, orders_csv, payments_csv, NOW)
+    assert set(os.listdir(shared_folder(spark))) == before
+
+
 def test_arriving_files_are_loaded_once(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path / "wh"))
     landing = tmp_path / "landing"

@@ -42,6 +42,13 @@ def test_repeats_already_in_the_target_stay(spark):
     assert insert_ignore(target, batch, ["k"], ["at"]).count() == 32
 
 
+def test_target_and_batch_are_read_once(spark):
+    target = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select("o_orderkey", "o_orderstatus")
+    rows = new_rows(target, target.limit(20), ["o_orderkey"], ["o_orderstatus"])
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("orders.parquet") == 1 and "Window" not in plan  # the batch is ranked before, once
+
+
 def test_upsert(spark):
     existing = fact(spark, [("a", "2024-01-01", 1), ("b", "2024-01-02", 1)])
     source = fact(spark, [("b", "2024-01-03", 2), ("c", "2024-01-04", 2)])

@@ -1,5 +1,6 @@
 """Whole pipeline runs: results, repeatability, failures and run records."""
 
+import os
 from collections import Counter
 from datetime import date, datetime
 from decimal import Decimal
@@ -12,10 +13,13 @@ from tallyhouse.operators.contracts import ContractsFailed
 from tallyhouse.operators.keys import KeyViolation
 from tallyhouse.operators.quality import QualityGateBreached
 from tallyhouse.operators.trends import AnomalyRule
+from tallyhouse.plans import reports
 from tallyhouse.plans.pipeline import Settings, check_warehouse, run_pipeline
+from tallyhouse.plans.runs import tracked_run
 from tallyhouse.plans.samples import ORDERS_AS_OF, Samples
 from tallyhouse.schemas import conform
-from tallyhouse.sources.warehouse import Warehouse
+from tallyhouse.session import shared_folder
+from tallyhouse.sources.warehouse import REBUILT, Warehouse
 
 
 def at(day, hour=6):
@@ -96,17 +100,26 @@ def test_first_run_loads_the_window_only_and_without_payment_stays_null(spark, t
     }
 
 
+PREVIOUS = [
+    ("OLDER", "a", date(2023, 12, 1), Decimal(1), "paid", Decimal(1)),
+    ("A", "a", date(2023, 12, 1), Decimal(1), "paid", Decimal(1)),
+    ("B", "b", date(2023, 12, 2), Decimal(1), "paid", Decimal(1)),
+    ("GONE", "b", date(2024, 1, 26), Decimal(1), "paid", Decimal(1)),
+    ("UNDATED", "b", None, Decimal(1), "paid", Decimal(1)),
+]
+
+
+def publish(warehouse, rows, hour=1):
+    """Publish a fact as an earlier run would have."""
+    with tracked_run(warehouse, 7, at(AS_OF, hour)) as run:
+        filled = warehouse.write_fact_days(warehouse.spark.createDataFrame(rows, schemas.FACT_ORDERS), run.run_id)
+        warehouse.write_days_list([(day, run.run_id) for day in filled], run.run_id)
+    return run.run_id
+
+
 def test_days_left_empty_disappear_and_rows_move(spark, tmp_path):
     warehouse = small_warehouse(spark, tmp_path)
-    previous = [
-        ("OLDER", "a", date(2023, 12, 1), Decimal(1), "paid", Decimal(1)),
-        ("A", "a", date(2023, 12, 1), Decimal(1), "paid", Decimal(1)),
-        ("B", "b", date(2023, 12, 2), Decimal(1), "paid", Decimal(1)),
-        ("GONE", "b", date(2024, 1, 26), Decimal(1), "paid", Decimal(1)),
-        ("UNDATED", "b", None, Decimal(1), "paid", Decimal(1)),
-    ]
-    df = spark.createDataFrame(previous, schemas.FACT_ORDERS)
-    warehouse._write_days(df, warehouse.path("analytics.fact_orders"), "order_day")
+    old = publish(warehouse, PREVIOUS)
     for hour in (6, 7):
         run_pipeline(warehouse, AS_OF, now=at(AS_OF, hour))
         assert fact_rows(warehouse) == {
@@ -115,7 +128,81 @@ def test_days_left_empty_disappear_and_rows_move(spark, tmp_path):
             ("B", "2024-01-29", "paid"),
             ("UNDATED", "None", "paid"),
         }
-        assert not warehouse.exists(warehouse.path("analytics.fact_orders") + "/order_day=2023-12-02")
+        assert len(warehouse.fact_days()) == 4
+    # Of the old run only the day that no later run wrote is left.
+    assert warehouse._folders(warehouse.path("analytics.fact_orders", old)) == ["order_day=__HIVE_DEFAULT_PARTITION__"]
+
+
+STEPS = [
+    (Warehouse, "write_fact_days"),
+    (Warehouse, "write_days_list"),
+    (reports, "anomaly_log"),
+    (Warehouse, "record"),
+]
+
+
+@pytest.mark.parametrize("owner, step", STEPS)
+@pytest.mark.parametrize("after", [False, True])
+def test_a_run_that_fails_while_publishing_changes_nothing(spark, tmp_path, monkeypatch, owner, step, after):
+    """Also not once the window has moved on: the next run starts from what the last good one left."""
+    warehouse = small_warehouse(spark, tmp_path)
+    publish(warehouse, PREVIOUS)
+    before = fact_rows(warehouse)
+    plain = getattr(owner, step)
+
+    def failing(*arguments, **named):
+        if step == "record" and arguments[1][3] != "success":
+            return plain(*arguments, **named)
+        if after and step != "record":
+            plain(*arguments, **named)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(owner, step, failing)
+    with pytest.raises(RuntimeError):
+        run_pipeline(warehouse, AS_OF, now=at(AS_OF))
+    monkeypatch.undo()
+    assert fact_rows(warehouse) == before
+    assert Counter(r.status for r in warehouse.runs().collect()) == {"success": 1, "failed": 1}
+
+    later = date(2024, 2, 15)  # A and B are no longer in the window
+    run_pipeline(warehouse, later, now=at(later))
+    assert fact_rows(warehouse) == before
+    ids = [r.order_id for r in warehouse.fact().collect()]
+    assert len(ids) == len(set(ids))
+    run_pipeline(warehouse, AS_OF, Settings(window_days=30), now=at(later, 7))
+    assert ("A", "2024-01-30", "paid") in fact_rows(warehouse) and ("A", "2023-12-01", "paid") not in fact_rows(warehouse)
+
+
+def test_failed_run_keeps_its_whole_message(spark, tmp_path):
+    warehouse = small_warehouse(spark, tmp_path)
+    with pytest.raises(RuntimeError):
+        with tracked_run(warehouse, 7):
+            raise RuntimeError("x" * 5000)
+    assert [len(r.notes) for r in warehouse.runs().collect()] == [5000]
+
+
+def test_runs_leave_one_copy_of_each_table_and_an_empty_shared_folder(spark, tmp_path):
+    shared = set(os.listdir(shared_folder(spark)))
+    warehouse = small_warehouse(spark, tmp_path)
+    for hour in (6, 7):
+        run_pipeline(warehouse, AS_OF, now=at(AS_OF, hour))
+    with pytest.raises(QualityGateBreached):
+        add_orders(warehouse, [("X", "", "2024-01-30", 1)])
+        run_pipeline(warehouse, AS_OF, Settings(max_errors=0), now=at(AS_OF, 8))
+    last = run_pipeline(warehouse, AS_OF, now=at(AS_OF, 9))
+    for table in REBUILT:
+        assert warehouse._folders(warehouse.path(table)) == [f"run_id={last}"], table
+    assert len(warehouse._folders(warehouse.path("analytics.pipeline_metrics"))) == 3
+    assert set(os.listdir(shared_folder(spark))) == shared
+
+
+def test_a_run_starts_few_jobs(spark, tmp_path):
+    warehouse = small_warehouse(spark, tmp_path)
+    run_pipeline(warehouse, AS_OF, now=at(AS_OF))
+    jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    before = jobs()
+    run_pipeline(warehouse, AS_OF, now=at(AS_OF, 7))
+    assert jobs() - before <= 45
 
 
 def test_anomaly_log_grows_with_every_run(spark, tmp_path):
@@ -157,12 +244,13 @@ def test_two_payments_for_one_order_fail_the_run(spark, tmp_path):
     assert warehouse.fact().isEmpty()
 
 
-def test_old_runs_are_dropped_on_request(spark, tmp_path):
+def test_old_runs_are_kept_on_request(spark, tmp_path):
     warehouse = small_warehouse(spark, tmp_path)
-    first = run_pipeline(warehouse, AS_OF, now=at(AS_OF))
-    second = run_pipeline(warehouse, AS_OF, Settings(keep_runs=1), now=at(AS_OF, 7))
+    first = run_pipeline(warehouse, AS_OF, Settings(keep_runs=None), now=at(AS_OF))
+    second = run_pipeline(warehouse, AS_OF, Settings(keep_runs=2), now=at(AS_OF, 7))
+    assert all(warehouse.exists(warehouse.path("staging.orders_clean", run)) for run in (first, second))
+    warehouse.drop_old_runs(1)
     assert not warehouse.exists(warehouse.path("staging.orders_clean", first))
-    assert warehouse.exists(warehouse.path("staging.orders_clean", second))
     assert warehouse.newest("staging.orders_clean", schemas.RAW_ORDERS).count() == 3
     assert warehouse.log("analytics.pipeline_metrics", schemas.PIPELINE_METRICS).count() == 2
     with pytest.raises(ValueError):

@@ -59,9 +59,28 @@ def test_duplicates_drop_every_copy_by_default_and_keep_first_on_request(spark):
         model.clean_orders(df, "keep_last")
 
 
-def test_keep_first_takes_the_first_copy_that_passes_the_row_rules(spark):
-    df = orders(spark, [("A", None, "1", T1), ("A", "late", "1", T2)])
-    assert [r.customer_id for r in model.clean_orders(df, "keep_first").collect()] == ["late"]
+@pytest.mark.parametrize("same_moment", [False, True])
+def test_keep_first_keeps_no_row_that_is_quarantined(spark, same_moment):
+    """The earliest copy is kept if it passes; a later one never is, as it is quarantined."""
+    rows = [("A", None, "1", T1), ("A", "late", "1", T2), ("B", "b1", "1", T1), ("B", "b2", "-1", T2), ("C", "c", "1", T1), ("D", "", "1", T1)]
+    if same_moment:
+        rows = [(o, c, t, T1) for o, c, t, _ in rows]
+    df = orders(spark, rows)
+    kept = Counter((r.order_id, r.customer_id) for r in model.clean_orders(df, "keep_first").collect())
+    bad = Counter((r.order_id, r.customer_id) for r in model.quarantined_orders(df).collect())
+    assert not set(kept) & set(bad)
+    assert set(kept) | set(bad) == {(o, c) for o, c, _, _ in rows}
+    assert ("C", "c") in kept and ("B", "b1") in kept and (same_moment or not any(o == "A" for o, _ in kept))
+
+
+def test_keep_first_on_the_sample_tables_shares_no_row_with_the_quarantine(spark):
+    s = Samples(spark, "/root/testdata/sf0.001")
+    columns = ["order_id", "customer_id", "order_date", "order_total", "ingested_at"]
+    kept = model.clean_orders(s.raw_orders, "keep_first", s.repeated).select(columns)
+    from tallyhouse.operators.quality import quarantine
+
+    bad = quarantine(s.raw_orders, model.order_rules(s.raw_orders, s.repeated)).select(columns)
+    assert kept.intersect(bad).isEmpty() and kept.count() > 0
 
 
 def test_equal_copies_are_quarantined_but_one(spark):
@@ -131,6 +150,17 @@ def test_quarantined_at_is_one_moment(spark):
     assert {r.quarantined_at for r in model.quarantined_orders(df, at=at).collect()} == {at}
 
 
+def test_payment_rule_shuffles_orders_once(spark):
+    s = Samples(spark, "/root/testdata/sf0.001")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = model.paid_mismatch(s.raw_orders).violations(s.raw_payments)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
 def test_row_rules_share_one_scan(spark):
     s = Samples(spark, "/root/testdata/sf0.001")
     table = s.table("orders").withColumnsRenamed({"o_orderpriority": "customer_id"}).withColumn(
