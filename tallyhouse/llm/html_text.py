@@ -296,7 +296,8 @@ def extract(pages: DataFrame, least_share: float = 0.2) -> DataFrame:
     small table beside the pages; where it is not, Spark joins by host and splits a hot one.
     """
     read = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"), host().alias("host"))
-    agreed = kept(winners(votes(read), least_share), "host_paths")
+    # The votes are written: their two uses would else read every page twice.
+    agreed = kept(winners(kept(votes(read), "votes"), least_share), "host_paths")
     joined = read.join(agreed, "host", "left").select("page_id", "url", "html", F.coalesce("paths", F.array().cast("array<string>")).alias("paths"))
 
     def task():
