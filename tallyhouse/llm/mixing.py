@@ -10,6 +10,7 @@ then shuffled within their shard. Everything is DataFrame expressions; hashes st
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -34,6 +35,8 @@ class Mix:
     #: Documents that fill the gap to a target are looked for in so many blocks after the last, so many times.
     reserve: int = 16
     fills: int = 6
+    #: Words of a shard that are shuffled together.
+    piece_words: int = 20_000_000
     seed: int = 7
 
 
@@ -71,7 +74,7 @@ def targets(sized: DataFrame, mix: Mix) -> DataFrame:
 
 
 def dealt(docs: DataFrame, sources: DataFrame, mix: Mix) -> DataFrame:
-    """``docs`` (with doc_id, source, size) with sid, source_size, target, and the block and smaller block each row is dealt into."""
+    """``docs`` (with doc_id, source) with sid, source_size, target, and the block and smaller block each row is dealt into."""
     at = F.xxhash64(F.lit(mix.seed), F.col("doc_id"))
     joined = docs.join(sources.withColumnRenamed("source", "source_name"), docs["source"].eqNullSafe(F.col("source_name")))
     return joined.drop("source_name").withColumns(
@@ -103,12 +106,12 @@ def drawn(units: DataFrame, unit: str, seed: int, reserve: int = 0) -> DataFrame
 
 @dataclass(frozen=True)
 class Plan:
-    """The small tables that say what is taken, and where it goes."""
+    """The small tables that say what is taken, and where it goes. ``single`` has the documents taken once more by themselves."""
 
     sources: DataFrame
     blocks: DataFrame
     smaller: DataFrame
-    fills: DataFrame
+    single: DataFrame
     shards: DataFrame
 
 
@@ -116,7 +119,7 @@ def plan(sized: DataFrame, mix: Mix) -> Plan:
     """Draw the mix of ``sized`` (doc_id, source, size)."""
     sources = kept(targets(sized, mix), "sources")
     rows = dealt(sized, sources, mix)
-    budget = (F.first("target") - passes_of_group()).alias("budget")
+    budget = (F.first("target") - F.first(passes()) * F.first("source_size")).alias("budget")
     in_blocks = kept(
         rows.groupBy("sid", "block").agg(F.sum("size").alias("words"), budget, F.first(passes()).alias("passes")), "block_words"
     )
@@ -124,8 +127,16 @@ def plan(sized: DataFrame, mix: Mix) -> Plan:
     last = blocks.where("state = 0").select("sid", "block", F.col("left").alias("budget"))
     in_smaller = rows.join(last, ["sid", "block"]).groupBy("sid", "smaller").agg(F.sum("size").alias("words"), F.first("budget").alias("budget"))
     smaller = kept(drawn(in_smaller, "smaller", mix.seed).where("state >= 0"), "smaller_blocks")
-    fills = filled(taken_rows(rows, blocks, smaller, mix), blocks, mix)
-    return Plan(sources, blocks, smaller, fills, kept(split(in_blocks, blocks, fills, mix), "shards"))
+
+    # Of the last smaller block of each source, at most one in ``blocks`` squared of all rows, documents are taken one by one.
+    marked = in_states(rows, blocks, smaller)
+    edge = marked.where("block_state = 0 and smaller_state = 0").groupBy("sid", "doc_id", "block")
+    edge = edge.agg(F.sum("size").alias("words"), F.first("left").alias("left"))
+    order = Window.partitionBy("sid").orderBy(F.xxhash64(F.lit(mix.seed + 2), "doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    edge = kept(edge.withColumn("upto", F.sum("words").over(order)).where("upto <= left").select("sid", "doc_id", "block", "words"), "edge")
+
+    fills = filled(with_copies(marked, edge), blocks, mix)
+    return Plan(sources, blocks, smaller, kept(edge.unionByName(fills), "single"), kept(split(in_blocks, blocks, fills, mix), "shards"))
 
 
 def filled(rows: DataFrame, blocks: DataFrame, mix: Mix) -> DataFrame:
@@ -151,10 +162,6 @@ def filled(rows: DataFrame, blocks: DataFrame, mix: Mix) -> DataFrame:
     return fills
 
 
-def passes_of_group() -> Column:
-    return F.first(passes()) * F.first("source_size")
-
-
 def split(in_blocks: DataFrame, blocks: DataFrame, fills: DataFrame, mix: Mix) -> DataFrame:
     """The shard of every block copy drawn: sid, block, copy, shard.
 
@@ -190,27 +197,26 @@ def split(in_blocks: DataFrame, blocks: DataFrame, fills: DataFrame, mix: Mix) -
     return nodes.select(F.col("first").alias("shard"), F.explode("tokens").alias("token")).select("token.*", "shard")
 
 
-def taken_rows(rows: DataFrame, blocks: DataFrame, smaller: DataFrame, mix: Mix) -> DataFrame:
-    """What ``dealt`` gives, with ``copies``: how often a row is taken by passes and blocks.
-
-    Only rows of the last smaller block of each source, at most one in ``blocks`` squared of all, are ordered one by one.
-    """
+def in_states(rows: DataFrame, blocks: DataFrame, smaller: DataFrame) -> DataFrame:
+    """What ``dealt`` gives, with the states of each row's block and smaller block."""
     blocks = blocks.where("state >= 0").select("sid", "block", F.col("state").alias("block_state"))
     smaller = smaller.select("sid", "smaller", F.col("state").alias("smaller_state"), "left")
-    rows = rows.join(blocks, ["sid", "block"], "left").join(smaller, ["sid", "smaller"], "left")
-    edge = (F.col("block_state") == 0) & (F.col("smaller_state") == 0)
-    more = F.when(F.col("block_state") == 1, 1).when((F.col("block_state") == 0) & (F.col("smaller_state") == 1), 1).otherwise(0)
-    order = Window.partitionBy("sid").orderBy(F.xxhash64(F.lit(mix.seed + 2), "doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    settled = rows.where(~F.coalesce(edge, F.lit(False))).withColumn("copies", passes() + more)
-    last = rows.where(edge).withColumn("copies", passes() + (F.sum("size").over(order) <= F.col("left")).cast("int"))
-    return settled.unionByName(last).drop("block_state", "smaller_state", "left")
+    return rows.join(blocks, ["sid", "block"], "left").join(smaller, ["sid", "smaller"], "left")
+
+
+def with_copies(marked: DataFrame, single: DataFrame) -> DataFrame:
+    """``copies``: how often a row is taken by whole passes, by its blocks, and by itself."""
+    by_block = F.when((F.col("block_state") == 1) | ((F.col("block_state") == 0) & (F.col("smaller_state") == 1)), 1).otherwise(0)
+    more = single.groupBy(F.col("sid").alias("of"), F.col("doc_id").alias("id")).agg(F.count("*").alias("alone"))
+    rows = marked.join(more, (F.col("sid") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("id")), "left")
+    copies = passes() + by_block + F.coalesce("alone", F.lit(0))
+    return rows.withColumn("copies", copies).drop("of", "id", "alone", "block_state", "smaller_state", "left")
 
 
 def placed(docs: DataFrame, drawn_plan: Plan, mix: Mix) -> DataFrame:
-    """``docs`` (with doc_id, source, size) with what ``dealt`` adds and ``copies``, the times each row is taken."""
-    rows = taken_rows(dealt(docs, drawn_plan.sources, mix), drawn_plan.blocks, drawn_plan.smaller, mix)
-    once_more = drawn_plan.fills.select("sid", "doc_id", F.lit(1).alias("fill"))
-    return rows.join(once_more, ["sid", "doc_id"], "left").withColumn("copies", F.col("copies") + F.coalesce("fill", F.lit(0))).drop("fill")
+    """``docs`` (with doc_id, source) with what ``dealt`` adds and ``copies``, the times each row is taken; one pass over the rows."""
+    marked = in_states(dealt(docs, drawn_plan.sources, mix), drawn_plan.blocks, drawn_plan.smaller)
+    return with_copies(marked, drawn_plan.single)
 
 
 def taken(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
@@ -234,9 +240,12 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     sized = kept(narrow.select("doc_id", "source", word_count().alias("size")), "sized")
     drawn_plan = plan(sized, mix)
     whole = packed.withColumns({"doc_id": F.col("row.doc_id").cast("long"), "source": F.col("row.source")})
-    whole = whole.withColumn("size", F.coalesce(F.regexp_count(F.col("row.text"), F.lit(WORD)).cast("long"), F.lit(0).cast("long")))
     copies = placed(whole, drawn_plan, mix).where("copies > 0").withColumn("copy", F.explode(F.expr("sequence(1L, copies)")))
     at = copies.join(drawn_plan.shards, ["sid", "block", "copy"])
+    # A shard is cut by the order of its rows into pieces of bounded size, so no task holds a whole large shard.
+    words = drawn_plan.sources.agg(F.sum("target")).first()[0] or 0
+    bits = max(0, math.ceil(math.log2(max(1.0, words / mix.shards / mix.piece_words))))
     order = F.xxhash64(F.lit(mix.seed + 3), "doc_id", "copy")
-    dealt_out = at.withColumn("order", order).repartition(mix.shards, "shard").sortWithinPartitions("shard", "order")
-    return dealt_out.select("row.*", "shard")
+    piece = F.shiftrightunsigned("order", 64 - bits) if bits else F.lit(0).cast("long")
+    shuffled = at.withColumn("order", order).withColumn("piece", piece).repartition("shard", "piece")
+    return shuffled.sortWithinPartitions("shard", "piece", "order").select("row.*", "shard")
