@@ -4,10 +4,11 @@ import math
 
 import numpy as np
 import pytest
+from compare import connect, difference
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import topk
-from tallyhouse.llm.queries import op2_topk
+from tallyhouse.llm.queries import op2_topk, oracle_sql
 
 
 def brute(rows, is_query, k):
@@ -73,3 +74,8 @@ def test_query(spark):
     folder = "/root/testdata/sf0.001"
     rows = [(r.vec_id, [float(x) for x in r.embedding]) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
     assert found(op2_topk(spark, folder)) == brute(rows, lambda i: i % 100 == 0, 10)
+
+
+def test_query_against_sql(spark):
+    folder = "/root/testdata/sf0.01"
+    assert difference(op2_topk(spark, folder), connect(folder), oracle_sql()["op2_topk"]) == ""
