@@ -9,7 +9,6 @@ from __future__ import annotations
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallyhouse.llm import mixing, pieces, repetition, secret_scan, simhash
 from tallyhouse.llm.common import DOCUMENT_COLUMNS, kept, table

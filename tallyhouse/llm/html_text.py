@@ -51,7 +51,7 @@ DROPPED_WORDS = frozenset(
     "comment comments disqus replies respond share sharing social related recommended newsletter subscribe subscription signup login "
     "search toolbar widget pagination pager skip hidden".split()
 )
-HEADER_WORDS = frozenset({"header"})
+COMMENT_WORDS = frozenset({"comment", "comments"})
 ARTICLE_WORDS = frozenset("article content entry post story text".split())
 
 
@@ -64,15 +64,27 @@ def words_of(attrs: dict[str, str]) -> set[str]:
 
 
 def boilerplate(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
+    """Whether an element is none of the article by its kind, or not shown."""
     if tag in DROPPED_TAGS or tag == "header" and not in_article:
         return True
-    if not attrs or tag in ("html", "body", "article", "main"):
+    if not attrs or tag in ("html", "body"):
         return False
     style = attrs.get("style", "").replace(" ", "").lower()
-    if "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in style or attrs.get("role", "").lower() in DROPPED_ROLES:
-        return True
-    words = words_of(attrs)
-    return bool(words & DROPPED_WORDS) or (not in_article and bool(words & HEADER_WORDS))
+    return "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in style or attrs.get("role", "").lower() in DROPPED_ROLES
+
+
+def marked_off(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
+    """Whether an element is none of the article by what it is called; a class like has-sidebar says nothing of the kind."""
+    if not attrs or tag in ("html", "body"):
+        return False
+    words: set[str] = set()
+    for name in [*attrs.get("class", "").split(), attrs.get("id", "")]:
+        parts = [w.lower() for w in NAME_PART.findall(name)]
+        if parts and parts[0] not in ("has", "with", "without", "no", "is"):
+            words.update(parts)
+    if tag in ("article", "main"):
+        return bool(words & COMMENT_WORDS)
+    return bool(words & DROPPED_WORDS) or (not in_article and "header" in words)
 
 
 def label(tag: str, attrs: dict[str, str]) -> str:
@@ -94,7 +106,8 @@ class Page:
     def __init__(self, text: str):
         self.blocks: list[str] = []
         self.containers: list[Container] = []
-        self.open: list[tuple[str, Container | None, str]] = []  # tag, container, path
+        self.open: list[tuple[str, Container | None, str, int | None]] = []  # tag, container, path, what ``off`` was before it
+        self.off = 0  # how many open elements are marked off
         self.piece: list[str] = []
         self.linked = self.links = 0
         self.articles = 0
@@ -141,7 +154,7 @@ class Page:
             if boilerplate(tag, attrs, self.articles > 0):
                 if tag in BLOCK or tag in DROPPED_TAGS:
                     self.flush()
-                self.open.append((tag, None, ""))
+                self.open.append((tag, None, "", None))
                 dropped = 1
                 continue
             self.start(tag, attrs)
@@ -157,6 +170,8 @@ class Page:
         return end.end() if end else len(text)
 
     def add(self, raw: str) -> None:
+        if self.off:
+            return
         self.piece.append(raw)
         if self.links:
             self.linked += len(raw)
@@ -171,7 +186,7 @@ class Page:
             return
         self.blocks.append(text)
         worth = max(0.0, len(text) - 2.0 * linked)
-        for _, container, _ in reversed(self.open):
+        for _, container, _, _ in reversed(self.open):
             if container is not None:
                 container.score += worth
                 worth /= 2
@@ -181,6 +196,11 @@ class Page:
     def start(self, tag: str, attrs: dict[str, str]) -> None:
         if tag in BLOCK:
             self.flush()
+        before = None
+        if marked_off(tag, attrs, self.articles > 0):
+            before, self.off = self.off, self.off + 1
+        elif tag in ("article", "main") and not self.articles:
+            before, self.off = self.off, 0  # an article counts, whatever the element around it is called
         self.links += tag == "a"
         self.articles += tag in ("article", "main")
         above = self.open[-1][2] if self.open else ""
@@ -193,15 +213,17 @@ class Page:
             bonus = 1.5 if tag in ("article", "main") else 1.25 if words_of(attrs) & ARTICLE_WORDS else 1.0
             container = Container(path, len(self.blocks), bonus)
             self.containers.append(container)
-        self.open.append((tag, container, path))
+        self.open.append((tag, container, path, before))
 
     def close_last(self) -> None:
-        tag, container, _ = self.open[-1]
+        tag, container, _, before = self.open[-1]
         if tag in BLOCK:
             self.flush()
         self.open.pop()
         self.links -= tag == "a"
         self.articles -= tag in ("article", "main")
+        if before is not None:
+            self.off = before
         if container is not None:
             container.last = len(self.blocks)
 

@@ -37,6 +37,10 @@ def wrap(body):
         (wrap(f"<article><p title=\"a > b\">{P}</p><p>1 < 2 and 3 > 2</p></article>"), f"{P}\n\n1 < 2 and 3 > 2"),
         (wrap(f"<article><section><p>{P}</p></section><section><p>{P}</p></section></article>"), f"{P}\n\n{P}"),
         (wrap(f"<div hidden><p>{P}</p></div><article><p>{P}</p></article></div></span>"), P),
+        (wrap(f"<div class='layout sidebar-right'><div class='sidebar'><p>{P}</p></div><article><p>{P}</p></article></div>"), P),
+        (wrap(f"<div class='has-menu'><div class='text'><p>{P}</p></div><div class='menu'>a b</div></div>"), P),
+        (wrap(f"<article><p>{P}</p><section id='comments'><article class='comment'><p>{P}{P}</p></article></section></article>"), P),
+        (wrap(f"<article><p>one <span class='ad'>buy</span> two</p><p>{P}</p></article>"), f"one two\n\n{P}"),
         (wrap(f"<nav><ul><li>never closed<article><p>{P}</p></article>"), ""),
     ],
 )
