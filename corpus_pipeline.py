@@ -40,8 +40,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, piece ids, and the text they decode to, a row for every row of the mix."""
-    model = Path(TOKENIZER).read_bytes()
-    return pieces.decode(pieces.encode(docs, model), model)
+    return pieces.round_trip(docs, Path(TOKENIZER).read_bytes())
 
 
 STAGES = [

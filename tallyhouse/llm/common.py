@@ -35,10 +35,14 @@ def utf8(column: str = "text"):
     return F.coalesce(F.col(column), F.lit("")).cast("binary")
 
 
+#: Rows a function sees together: a whole Arrow batch and its result side by side would double a worker's memory.
+ROWS_AT_ONCE = 500
+
+
 def by_batch(
     df: DataFrame, rows: Callable[[], Callable[[pa.RecordBatch], dict[str, object]]], schema: str
 ) -> DataFrame:
-    """Run a function over the Arrow batches of every partition.
+    """Run a function over the Arrow batches of every partition, a few hundred rows at a time.
 
     ``rows()`` is called once per task, for state kept over its batches, and returns the function
     from a batch to the columns of its result.
@@ -53,8 +57,8 @@ def by_batch(
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = rows()
         for batch in batches:
-            if batch.num_rows:
-                made = function(batch)
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                made = function(batch.slice(start, ROWS_AT_ONCE))
                 yield pa.RecordBatch.from_arrays([column(made[x.name], x.type) for x in types], schema=types)
 
     return df.mapInArrow(task, schema)

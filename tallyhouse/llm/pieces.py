@@ -94,6 +94,28 @@ class ChunkTable:
         return self.ids[shift + np.arange(int(ends[-1]))]
 
 
+class Encoder:
+    """Ids of whole texts, over the table where the model allows it."""
+
+    def __init__(self, model: bytes, eos: bool):
+        self.sp = processor(model)
+        self.end = np.array([self.sp.eos_id()] if eos else [], np.int32)
+        self.table = ChunkTable(self.sp) if chunks_apart(self.sp) else None
+
+    def __call__(self, text: str) -> np.ndarray:
+        return np.r_[self.table.encode(text) if self.table else np.array(self.sp.encode(text), np.int32), self.end]
+
+
+def listed(found: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.zeros(len(found) + 1, np.int32)
+    np.cumsum([len(x) for x in found], out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found).astype(np.int32)))
+
+
+def texts_of(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+
+
 def encode(docs: DataFrame, model: bytes, eos: bool = True) -> DataFrame:
     """The piece ids of every text of ``docs`` (doc_id, text): doc_id, ids.
 
@@ -103,24 +125,14 @@ def encode(docs: DataFrame, model: bytes, eos: bool = True) -> DataFrame:
     """
 
     def task():
-        sp = processor(model)
-        end = np.array([sp.eos_id()] if eos else [], np.int32)
-        table = ChunkTable(sp) if chunks_apart(sp) else None
+        encoder = Encoder(model, eos)
 
         def rows(batch: pa.RecordBatch) -> dict:
-            texts = (x.as_py() for x in batch.column("text"))
-            found = [np.r_[table.encode(t) if table else np.array(sp.encode(t), np.int32), end] for t in texts]
-            offsets = np.zeros(len(found) + 1, np.int32)
-            np.cumsum([len(x) for x in found], out=offsets[1:])
-            return {
-                "doc_id": batch.column("doc_id"),
-                "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found).astype(np.int32))),
-            }
+            return {"doc_id": batch.column("doc_id"), "ids": listed([encoder(x.as_py()) for x in batch.column("text")])}
 
         return rows
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return by_batch(texts, task, "doc_id long, ids array<int>")
+    return by_batch(texts_of(docs), task, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, model: bytes) -> DataFrame:
@@ -138,10 +150,24 @@ def decode(encoded: DataFrame, model: bytes) -> DataFrame:
     return by_batch(encoded.select("doc_id", "ids"), task, "doc_id long, ids array<int>, text string")
 
 
+def round_trip(docs: DataFrame, model: bytes, eos: bool = True) -> DataFrame:
+    """``decode`` of ``encode`` in one pass, so that ids do not leave a worker to come back to another: doc_id, ids, text."""
+
+    def task():
+        encoder = Encoder(model, eos)
+
+        def rows(batch: pa.RecordBatch) -> dict:
+            found = [encoder(x.as_py()) for x in batch.column("text")]
+            return {"doc_id": batch.column("doc_id"), "ids": listed(found), "text": [encoder.sp.decode(x.tolist()) for x in found]}
+
+        return rows
+
+    return by_batch(texts_of(docs), task, "doc_id long, ids array<int>, text string")
+
+
 def round_trip_digests(docs: DataFrame, model: bytes) -> DataFrame:
     """Encode, decode, and reduce ids and texts to their digests."""
-    done = decode(encode(docs, model), model)
-    return done.select(
+    return round_trip(docs, model).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

@@ -27,10 +27,10 @@ def frame(spark, rows):
 
 def test_every_text_as_the_library_does(spark):
     rows = [(i, t, "x", "y") for i, t in enumerate(TEXTS)] + [(None, "no id", None, None), (3, "   ", "x", "y")]
-    got = pieces.decode(pieces.encode(frame(spark, rows), MODEL), MODEL).collect()
-    assert sorted((str(r.doc_id), list(r.ids), r.text) for r in got) == sorted(
-        (str(i), *library(t)) for i, t, _, _ in rows
-    )
+    expected = sorted((str(i), *library(t)) for i, t, _, _ in rows)
+    df = frame(spark, rows)
+    for done in (pieces.decode(pieces.encode(df, MODEL), MODEL), pieces.round_trip(df, MODEL)):
+        assert sorted((str(r.doc_id), list(r.ids), r.text) for r in done.collect()) == expected
 
 
 def test_empty_table(spark):
