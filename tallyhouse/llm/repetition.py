@@ -14,7 +14,6 @@ from dataclasses import dataclass
 from itertools import count
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,7 +49,7 @@ class Rules:
 class Words:
     """Numbers for words, with their lengths in code points."""
 
-    LIMIT = 1 << 20
+    LIMIT = 1 << 17
 
     def __init__(self) -> None:
         self.numbers: defaultdict[bytes, int] = defaultdict(count().__next__)
@@ -206,10 +205,10 @@ def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
 def keep_good(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns; the verdict is taken in one pass, without a join."""
 
-    @F.pandas_udf("boolean")
-    def good(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("boolean")
+    def good(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words, powers = Words(), Powers()
         for batch in texts:
-            yield pd.Series([measure(t, words, powers, rules)[6] for t in batch], dtype=bool)
+            yield pa.array([measure(t.as_py(), words, powers, rules)[6] for t in batch], pa.bool_())
 
     return docs.where(good(utf8()))

@@ -12,12 +12,11 @@ import math
 import re
 from collections import Counter
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import by_batch
+from tallyhouse.llm.common import ROWS_AT_ONCE, by_batch
 
 KINDS = ("assign", "access", "hex", "literal")
 
@@ -189,9 +188,11 @@ def mask_secrets(docs: DataFrame, least: float = 0.55) -> DataFrame:
     All other columns stay as they are; null texts stay null.
     """
 
-    @F.pandas_udf("string")
-    def masked(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else redacted(t, least))
+    @F.arrow_udf("string")
+    def masked(texts: pa.Array) -> pa.Array:
+        parts = [texts.slice(start, ROWS_AT_ONCE) for start in range(0, len(texts), ROWS_AT_ONCE)]
+        done = [pa.array([None if t is None else redacted(t, least) for t in part.to_pylist()], pa.string()) for part in parts]
+        return pa.concat_arrays(done) if done else pa.array([], pa.string())
 
     out = docs.withColumn("text", masked("text"))
     if "n_chars" not in docs.columns:
