@@ -3,9 +3,9 @@
 The trie holds what follows every context of up to three bytes in the training texts; Spark sums its counts
 over all of them. A symbol unseen in a context escapes to the context one byte shorter, with probability
 t / (n + t) after t different of n symbols, and symbols already ruled out by longer contexts are excluded.
-As the trained trie does not change while it scores, the code length of every symbol in every
-context is worked out once, and a text's length is added up from that table. Contexts that make up less than a stated
-part of the training bytes are left to their shorter forms, which bounds the table.
+Every context seen is kept: its escape and exclusions are worked out in Spark from its counts and those of the context one
+byte shorter. As the trained trie does not change while it scores, the code length of every gram that some text has is
+worked out once, joined with each block of texts by gram, and a text's length is added up from it.
 
 Beside it, a word model's score: counts of all training words are joined with each block of texts by word.
 """
@@ -18,7 +18,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import kept, utf8
@@ -34,10 +35,10 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 @dataclass(frozen=True)
 class Settings:
-    """``contexts``: a context of two or three bytes is kept if it holds at least one in this many training symbols, so there are
-    at most so many of each length. ``block_bytes``: text that is scored together."""
+    """``contexts``: if given, a context of two or three bytes is kept only if it holds at least one in this many training
+    symbols; else all are. ``block_bytes``: text that is scored together."""
 
-    contexts: int = 20_000
+    contexts: int | None = None
     block_bytes: int = 24_000_000
 
 
@@ -140,7 +141,7 @@ class Trie:
 
 
 def train(grams: DataFrame, settings: Settings) -> Trie:
-    """The trie of gram counts. At most ``contexts`` contexts of each order reach the driver."""
+    """The trie of gram counts as one dense table on the driver: for small corpora, ``score`` uses ``lengths``."""
     grams = grams.where("gram >= 0")
     total = grams.agg(F.sum("n")).first()[0] or 0
     contexts, counts = [], []
@@ -148,7 +149,7 @@ def train(grams: DataFrame, settings: Settings) -> Trie:
         mask = (1 << 8 * order) - 1
         context = F.shiftright("gram", 8).bitwiseAND(mask)
         level = grams.groupBy(context.alias("context"), F.col("gram").bitwiseAND(255).alias("symbol")).agg(F.sum("n").alias("n"))
-        if order > 1:
+        if order > 1 and settings.contexts:
             weight = grams.groupBy(context.alias("context")).agg(F.sum("n").alias("all"))
             level = level.join(weight.where(F.col("all") * settings.contexts >= total).select("context"), "context")
         found = level.toArrow()
@@ -182,8 +183,82 @@ def code_lengths(contexts: list[np.ndarray], counts: list[np.ndarray], order: in
     return out
 
 
+def low_bytes(gram: str, count: int) -> Column:
+    return F.col(gram).bitwiseAND((1 << 8 * count) - 1)
+
+
+def lengths(grams: DataFrame, needed: DataFrame, settings: Settings) -> DataFrame:
+    """log10 of the probability of every gram of ``needed`` (gram: a context of three bytes and a symbol) after training on ``grams``
+    (gram, n): gram, length.
+
+    The symbols of a context are among those of its shorter form, so what is excluded there, and the escape from there, depend on
+    the two alone. A row of ``contexts`` of an order has ``own``, the length that every symbol seen in it starts from, and in ``below<k>``
+    that of the symbols last seen at the shorter order k, or never (k = -1).
+    """
+    trained = grams.where("gram >= 0")
+    total = trained.agg(F.sum("n")).first()[0] or 0
+    levels, contexts = [], []
+    for order in range(ORDER + 1):
+        level = trained.groupBy(low_bytes("gram", order + 1).alias("gram")).agg(F.sum("n").alias("n"))
+        level = level.withColumn("context", F.shiftright("gram", 8))
+        if order > 1 and settings.contexts:
+            weight = level.groupBy("context").agg(F.sum("n").alias("all"))
+            level = level.join(weight.where(F.col("all") * settings.contexts >= total).select("context"), "context")
+        levels.append(kept(level.select("gram", "n", "context"), "grams_of_order"))
+        if order == 0:
+            first = levels[0].groupBy("context").agg(F.sum("n").alias("all"), F.count("*").alias("kinds"))
+            inner = first.withColumn("inner-1", -F.log10(255 - F.col("kinds")))
+        else:
+            shorter = levels[-2].select(F.col("gram").alias("short"), F.col("n").alias("excluded"))
+            shorter = F.broadcast(shorter) if order <= 2 else shorter
+            found = levels[-1].join(shorter, low_bytes("gram", order) == F.col("short")).groupBy("context")
+            found = found.agg(F.sum("n").alias("all"), F.count("*").alias("kinds"), F.sum("excluded").alias("excluded"))
+            above = contexts[-1].withColumnsRenamed({"context": "short", "all": "above_all", "kinds": "above_kinds"})
+            found = found.join(F.broadcast(above), low_bytes("context", order - 1) == F.col("short"))
+            left, kinds = F.col("above_all") - F.col("excluded"), F.col("above_kinds") - F.col("kinds")
+            down = F.when(kinds > 0, F.log10(kinds / (left + kinds))).otherwise(0.0)
+            on = [(down + F.col(f"inner{k}")).alias(f"inner{k}") for k in range(-1, order - 1)]
+            # Null where nothing is left to the shorter context: no symbol is last seen there.
+            here = F.when(kinds > 0, -F.log10(left + kinds)).alias(f"inner{order - 1}")
+            inner = found.select("context", "all", "kinds", *on, here)
+        contexts.append(kept(inner, "contexts_of_order"))
+
+    coded, length = needed, F.lit(-float(np.log10(255)))
+    for order in range(ORDER + 1):
+        level = levels[order].select(F.col("gram").alias(f"gram{order}"), F.col("n").alias(f"n{order}"))
+        escape = F.log10(F.col("kinds") / (F.col("all") + F.col("kinds")))
+        below = [(escape + F.col(f"inner{k}")).alias(f"below{order}_{k}") for k in range(-1, order)]
+        own = (-F.log10(F.col("all") + F.col("kinds"))).alias(f"own{order}")
+        context = contexts[order].select(F.col("context").alias(f"context{order}"), own, *below)
+        # What one or two bytes can make is a small table at any size.
+        level, context = (F.broadcast(level) if order < 2 else level), (F.broadcast(context) if order < 3 else context)
+        coded = coded.join(level, low_bytes("gram", order + 1) == F.col(f"gram{order}"), "left")
+        coded = coded.join(context, F.shiftright(low_bytes("gram", order + 1), 8) == F.col(f"context{order}"), "left")
+        seen = [F.log10(f"n{k}") + F.col(f"below{order}_{k}") for k in range(order - 1, -1, -1)]
+        here = F.coalesce(F.log10(f"n{order}") + F.col(f"own{order}"), *seen, F.col(f"below{order}_-1"))
+        length = F.when(F.col(f"context{order}").isNotNull(), here).otherwise(length)
+    return coded.select("gram", length.alias("length"))
+
+
+#: Symbols whose grams are looked up together.
+AT_ONCE = 2_000_000
+
+
+def grams_of(texts: pa.ChunkedArray) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """The grams of texts, some texts at a time, and where each text starts in them."""
+    waiting: list[np.ndarray] = []
+    size = 0
+    for i, value in enumerate(texts, start=1):
+        context, symbol = symbols(value.as_py().lower())
+        waiting.append((context << np.uint32(8)) | symbol)
+        size += len(symbol)
+        if size >= AT_ONCE or i == len(texts):
+            yield pa.array(np.concatenate(waiting)), np.cumsum([0, *map(len, waiting[:-1])])
+            waiting, size = [], 0
+
+
 def block_words(block: pa.Table) -> pa.Table:
-    """The different words of a block, with how often its training texts have them."""
+    """The different words of a block, with how often its training texts have them, and after them its different grams."""
     taught: Counter[bytes] = Counter()
     other: set[bytes] = set()
     for text, held in zip(block.column("utf8"), block.column("held_out"), strict=True):
@@ -197,7 +272,15 @@ def block_words(block: pa.Table) -> pa.Table:
     n = np.zeros(len(words), np.int64)
     n[: len(taught)] = np.fromiter(taught.values(), np.int64, len(taught))
     number = block.column("block")[0].as_py()
-    return pa.table({"block": pa.array(np.full(len(words), number), pa.int64()), "word": pa.array(words, pa.binary()), "n": n})
+    grams = pc.unique(pa.chunked_array([pc.unique(found) for found, _ in grams_of(block.column("utf8"))], pa.uint32())).cast(pa.int64())
+    return pa.table(
+        {
+            "block": pa.array(np.full(len(words) + len(grams), number), pa.int64()),
+            "word": pa.concat_arrays([pa.array(words, pa.binary()), pa.nulls(len(grams), pa.binary())]),
+            "gram": pa.concat_arrays([pa.nulls(len(words), pa.int64()), grams]),
+            "n": np.r_[n, np.zeros(len(grams), np.int64)],
+        }
+    )
 
 
 def score(docs: DataFrame, folds: int = 10, settings: Settings = Settings()) -> DataFrame:
@@ -207,12 +290,11 @@ def score(docs: DataFrame, folds: int = 10, settings: Settings = Settings()) ->
     empty one: it has its end alone. A row without doc_id is held out. With nothing to learn from all symbols
     are equally likely, and every word's base score is 0. Texts are read whole, other columns are not read.
 
-    Texts are dealt into blocks of a bounded size by a hash; per block only its different words are
-    sent to be counted, and only their counts come back.
+    Texts are dealt into blocks of a bounded size by a hash; per block only its different words and grams are
+    sent to be counted, and only their counts and code lengths come back.
     """
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(folds).alias("held_out"), utf8().alias("utf8"))
     grams = kept(gram_counts(read.where("not held_out").select("utf8")), "grams")
-    trie = train(grams, settings)
     learned = {r["gram"]: r["n"] for r in grams.where("gram < 0").collect()}
     texts_learned = learned.get(TEXTS, 0)
     tokens = learned.get(WORDS, 0) + texts_learned
@@ -220,11 +302,15 @@ def score(docs: DataFrame, folds: int = 10, settings: Settings = Settings()) ->
     size = read.agg(F.sum(F.octet_length("utf8"))).first()[0] or 0
     blocks = max(8, -(-size // settings.block_bytes))
     blocked = read.withColumn("block", F.pmod(F.xxhash64("doc_id", "utf8"), F.lit(blocks))).repartition("block")
-    words = blocked.groupBy("block").applyInArrow(block_words, "block long, word binary, n long")
-    everywhere = Window.partitionBy("word")
+    words = blocked.groupBy("block").applyInArrow(block_words, "block long, word binary, gram long, n long")
+    everywhere = Window.partitionBy("word", "gram")
     first = F.row_number().over(everywhere.orderBy("block")) == 1
-    counted = kept(words.select("block", "word", F.sum("n").over(everywhere).alias("c"), first.alias("first")), "words")
+    counted = kept(words.select("block", "word", "gram", F.sum("n").over(everywhere).alias("c"), first.alias("first")), "words")
     kinds = counted.where("first and c > 0").count() + (texts_learned > 0)
+    coded = kept(lengths(grams, counted.where("first and gram is not null").select("gram"), settings), "code_lengths")
+    of_words = counted.where("gram is null").select("block", "word", "gram", F.log10(F.col("c") + 0.1).alias("value"))
+    of_grams = counted.where("gram is not null").select("block", "word", "gram").join(coded, "gram")
+    of_grams = of_grams.select("block", "word", "gram", F.col("length").alias("value"))
     norm = float(np.log10(tokens + 0.1 * (kinds + 1)))
     end = float(np.log10(texts_learned + 0.1))
     fields = pa.schema(
@@ -235,21 +321,23 @@ def score(docs: DataFrame, folds: int = 10, settings: Settings = Settings()) ->
     )
 
     def score_block(texts: pa.Table, counts: pa.Table) -> pa.Table:
-        known = dict(zip(counts.column("word").to_pylist(), np.log10(counts.column("c").to_numpy() + 0.1).tolist(), strict=True))
-        row = trie.rows() if texts.num_rows else None
+        is_gram = pc.is_valid(counts.column("gram"))
+        coded, words = counts.filter(is_gram), counts.filter(pc.invert(is_gram))
+        values = dict(zip(words.column("word").to_pylist(), words.column("value").to_pylist(), strict=True))
+        grams, code = coded.column("gram").cast(pa.uint32()).combine_chunks(), coded.column("value").to_numpy()
         made: dict[str, list] = {name: [] for name in fields.names[2:]}
         for value in texts.column("utf8"):
-            text = value.as_py().lower()
-            found = text.split()
-            values = np.fromiter(map(known.__getitem__, found), np.float64, len(found))
-            context, symbol = symbols(text)
+            found = value.as_py().lower().split()
+            scores = np.fromiter(map(values.__getitem__, found), np.float64, len(found))
             made["n_tokens"].append(len(found) + 1)
-            made["n_known"].append(int((values > 0).sum()) + (texts_learned > 0))
+            made["n_known"].append(int((scores > 0).sum()) + (texts_learned > 0))
             made["train_tokens"].append(tokens)
-            made["base_score"].append(float(values.sum()) + end - (len(found) + 1) * norm)
-            made["score"].append(float(trie.lengths[row[context], symbol].sum(dtype=np.float64)))
+            made["base_score"].append(float(scores.sum()) + end - (len(found) + 1) * norm)
+        for found, starts in grams_of(texts.column("utf8")):
+            at = pc.index_in(found, value_set=grams).to_numpy()
+            made["score"].extend(np.add.reduceat(code[at], starts).tolist())
         return pa.table({"doc_id": texts.column("doc_id"), "held_out": texts.column("held_out"), **made}, schema=fields)
 
-    pairs = blocked.groupBy("block").cogroup(counted.select("block", "word", "c").groupBy("block"))
+    pairs = blocked.groupBy("block").cogroup(of_words.unionByName(of_grams).groupBy("block"))
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return pairs.applyInArrow(score_block, schema)

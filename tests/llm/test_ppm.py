@@ -101,6 +101,12 @@ def test_rare_contexts_are_left_to_shorter_ones(spark):
     assert len(trie.contexts[3]) < 5 and len(trie.contexts[1]) == 5  # a, b, c, d and the start
 
 
+def test_rare_contexts_are_kept(spark):
+    """Contexts far rarer than one in 20,000 symbols count, in a text that is learned and in one that is not."""
+    rows = [(i, "ab " * 6000 + f"q{i}zx") for i in range(1, 9)] + [(20, "xyzzy quux"), (21, "xyzza"), (None, "xyzzy quuz q3zx"), (None, "zyx ab")]
+    check(ppm.score(spark.createDataFrame(rows, "doc_id long, text string")).collect(), rows)
+
+
 def test_grams_over_batches(monkeypatch):
     monkeypatch.setattr(ppm.Grams, "MOST", 3)
     grams, total = ppm.Grams(), Counter()
