@@ -1,8 +1,8 @@
 """URL filters: given rules first, then a path-template tree per host.
 
-A path becomes a template: segments that look like numbers or ids, and segments under a parent with too many
-children, turn into wildcards. The tree is built level by level over templates with their counts, not over
-urls: sibling branches whose shares of blocked and allowed urls do not differ significantly are merged.
+A path becomes a template: segments that look like numbers or ids turn into wildcards. The tree is built level by level over
+templates with their counts, not over urls, as deep as templates part: a child whose shares of blocked and allowed urls do
+not differ significantly from those of its siblings together is variable, and so are branches that do not differ among the others.
 A leaf is rejected if the smoothed share of blocked urls among its labelled ones, those a rule decides, is high. Everything
 is DataFrame expressions, aggregates and joins.
 """
@@ -10,9 +10,10 @@ is DataFrame expressions, aggregates and joins.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from string import ascii_lowercase, ascii_uppercase
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import kept
@@ -25,14 +26,11 @@ RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com
 class Tree:
     """Parameters of the template tree.
 
-    ``depth``: levels of the tree; what follows forms one segment. ``fan``: a child with less than one part in ``fan`` of its
-    parent's urls is variable once the parent has more than ``fan`` children, so at most ``fan`` stay
-    named. ``z``: how many standard errors shares must differ by. ``prior``: urls that the overall
-    share counts as. ``purity``: the smoothed blocked share from which a template is rejected.
+    ``z``: how many standard errors shares must differ by; for a child among many siblings more, as by chance one of
+    many differs. ``prior``: urls that the overall share counts as. ``purity``: the smoothed blocked share from
+    which a template is rejected.
     """
 
-    depth: int = 6
-    fan: int = 20
     z: float = 1.96
     prior: float = 5.0
     purity: float = 0.9
@@ -60,46 +58,65 @@ def ruled(urls: DataFrame, rules: tuple[tuple[str, str], ...]) -> DataFrame:
     return urls.withColumns({"rule": rule, "ruled": verdict})
 
 
-def segments(path: str, depth: int) -> Column:
-    """The segments of a path with numbers and ids made wildcards, those beyond ``depth`` as one."""
+def segments(path: str, depth: int | None = None) -> Column:
+    """The segments of a path with numbers and ids made wildcards; if ``depth`` is given, those beyond it as one."""
     clean = F.regexp_replace(path, r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}", "<id>")
     clean = F.regexp_replace(clean, r"(?<![0-9A-Za-z])(?=[0-9a-f]*[0-9])[0-9a-f]{8,}(?![0-9A-Za-z])", "<id>")
     clean = F.regexp_replace(clean, r"[0-9]+", "<n>")
     found = F.filter(F.split(clean, "/"), lambda s: s != "")
+    if depth is None:
+        return found
     rest = F.when(F.size(found) > depth, F.array(F.lit("**"))).otherwise(F.array().cast("array<string>"))
     return F.concat(F.slice(found, 1, depth), rest)
 
 
-def differ(a: str, b: str, n: str, m: str, z: float) -> Column:
+def differ(a: Column, b: Column, n: Column, m: Column, z: Column) -> Column:
     """Whether the shares a / n and b / m are more than z standard errors apart."""
-    share = (F.col(a) + F.col(b)) / (F.col(n) + F.col(m))
-    error = F.sqrt(share * (1 - share) * (1 / F.col(n) + 1 / F.col(m)))
-    return F.abs(F.col(a) / F.col(n) - F.col(b) / F.col(m)) > z * error
+    share = (a + b) / (n + m)
+    error = F.sqrt(share * (1 - share) * (1 / n + 1 / m))
+    return F.abs(a / n - b / m) > z * error
 
 
 def next_level(templates: DataFrame, level: int, tree: Tree) -> DataFrame:
     """``templates`` (host, template, segments, branch, n, blocked, allowed) with the branch of one more level."""
-    at = ["host", "branch"]
-    counts = [F.sum(c).alias(c) for c in ("n", "blocked", "allowed")]
+    at, labels, share = ["host", "branch"], ["blocked", "allowed"], ["blocked_share", "allowed_share"]
+    counts = [F.sum(c).alias(c) for c in ("n", *labels)]
     deep = templates.where(F.size("segments") > level).withColumn("segment", F.col("segments")[level])
     nodes = deep.groupBy(*at, "segment").agg(*counts)
-    parents = nodes.groupBy(*at).agg(F.count("*").alias("children"), F.sum("n").alias("all"))
-    variable = (F.col("children") > tree.fan) & (F.col("n") * tree.fan < F.col("all"))
-    nodes = nodes.join(parents, at).withColumn("child", F.when(variable, "*").otherwise(F.col("segment")))
-    children = nodes.groupBy(*at, "child").agg(*counts)
-    # At most ``fan`` named children and one wildcard: the windows below see no more rows than that.
-    order = Window.partitionBy(*at).orderBy(F.col("blocked") / F.col("n"), F.col("allowed") / F.col("n"), "child")
-    before = {f"{c}_before": F.lag(c).over(order) for c in ("n", "blocked", "allowed")}
-    apart = [differ(c, f"{c}_before", "n", "n_before", tree.z) for c in ("blocked", "allowed")]
-    new = F.when(F.col("n_before").isNull() | apart[0] | apart[1], 1).otherwise(0)
-    merged = children.withColumns(before).withColumn("new", new).withColumn("group", F.sum("new").over(order))
-    members = Window.partitionBy(*at, "group")
-    named = F.array_join(F.array_sort(F.collect_list("child").over(members)), "|")
-    names = merged.select(*at, "child", F.concat(F.col("branch"), F.lit("/"), named).alias("longer"))
-    grown = nodes.select(*at, "segment", "child").join(names, [*at, "child"]).select(*at, "segment", "longer")
+    parents = nodes.groupBy(*at).agg(F.count("*").alias("children"), *[F.sum(c).alias(f"all_{c}") for c in ("n", *labels)])
+    strict = F.sqrt(tree.z**2 + 2 * F.log("children"))
+    others = F.col("all_n") - F.col("n")
+    apart = [differ(F.col(c), F.col(f"all_{c}") - F.col(c), F.col("n"), others, strict) for c in labels]
+    named = F.when(F.col("children") > 1, apart[0] | apart[1]).otherwise(False)
+    # Named children with the same shares are one class, the variable ones another: classes are few however many children there are.
+    nodes = nodes.join(parents, at).withColumn("named", named)
+    nodes = nodes.select(*at, "segment", "n", *labels, *[F.when(F.col("named"), F.col(c) / F.col("n")).otherwise(-1.0).alias(s) for c, s in zip(labels, share)])
+    classes = nodes.groupBy(*at, *share).agg(*counts)
+    row = F.struct((F.col("blocked") / F.col("n")).alias("x"), (F.col("allowed") / F.col("n")).alias("y"), *share, "n", *labels)
+    ordered = classes.groupBy(*at).agg(F.array_sort(F.collect_list(row)).alias("rows"))
+
+    def joined(group: Column, r: Column) -> Column:
+        """The groups so far, with a class in the last one of them or in one more."""
+        new = differ(r["blocked"], group["blocked"], r["n"], group["n"], F.lit(tree.z)) | differ(r["allowed"], group["allowed"], r["n"], group["n"], F.lit(tree.z))
+        new = F.when(group["n"] > 0, new).otherwise(True)
+        sums = [F.when(new, r[c]).otherwise(group[c] + r[c]).alias(c) for c in ("n", *labels)]
+        number = group["number"] + F.when(new, 1).otherwise(0)
+        made = F.struct(r[share[0]].alias(share[0]), r[share[1]].alias(share[1]), number.alias("number"))
+        return F.struct(*sums, number.alias("number"), F.concat(group["made"], F.array(made)).alias("made"))
+
+    none = F.from_json(F.lit("[]"), f"array<struct<{share[0]}:double,{share[1]}:double,number:int>>")
+    start = F.struct(*[F.lit(0).cast("long").alias(c) for c in ("n", *labels)], F.lit(0).alias("number"), none.alias("made"))
+    merged = ordered.select(*at, F.explode(F.aggregate("rows", start, joined, lambda g: g["made"])).alias("made")).select(*at, "made.*")
+    names = merged.select(*at, *share, F.concat_ws("/", "branch", F.col("number").cast("string")).alias("longer"))
+    grown = nodes.join(names, [*at, *share]).select(*at, "segment", "longer")
     moved = templates.withColumn("segment", F.when(F.size("segments") > level, F.col("segments")[level]))
-    joined = moved.join(grown, [*at, "segment"], "left")
-    return joined.withColumn("branch", F.coalesce("longer", "branch")).drop("longer", "segment")
+    return moved.join(grown, [*at, "segment"], "left").withColumn("branch", F.coalesce("longer", "branch")).drop("longer", "segment")
+
+
+def undecided(templates: DataFrame, level: int) -> DataFrame:
+    """The branches of ``templates`` that a further level can part: those of more than one template, one of them longer."""
+    branches = templates.groupBy("host", "branch").agg(F.count("*").alias("templates"), F.max(F.size("segments")).alias("longest"))
+    return branches.where((F.col("templates") > 1) & (F.col("longest") > level)).select("host", "branch")
 
 
 def leaves(urls: DataFrame, tree: Tree) -> DataFrame:
@@ -113,9 +130,16 @@ def leaves(urls: DataFrame, tree: Tree) -> DataFrame:
     templates = kept(counts, "templates")
     parts = F.filter(F.split("template", "/"), lambda s: s != "")
     built = templates.select("*", parts.alias("segments"), F.lit("").alias("branch"))
-    deepest = templates.agg(F.max(F.size(parts))).first()[0] or 0
-    for level in range(deepest):
-        built = kept(next_level(built, level, tree), "branches")
+    # A template alone in its branch stays so: each level goes on with the others only.
+    ended, level = [], 0
+    while True:
+        going = kept(undecided(built, level), "undecided")
+        ended.append(built.join(going, ["host", "branch"], "left_anti"))
+        if going.isEmpty():
+            break
+        built = kept(next_level(built.join(going, ["host", "branch"], "left_semi"), level, tree), "branches")
+        level += 1
+    built = reduce(DataFrame.unionByName, ended)
     total = templates.agg(F.sum("blocked"), F.sum(F.col("blocked") + F.col("allowed"))).first()
     base = total[0] / total[1] if total[1] else 0.0
     ends = ["host", "branch"]
@@ -133,7 +157,7 @@ def judge_urls(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, tre
     other; a null page_id stays null. With no labelled url nothing is rejected. Other columns are not read.
     """
     urls = ruled(parsed(pages), rules)
-    urls = urls.withColumn("template", F.concat(F.lit("/"), F.array_join(segments("path", tree.depth), "/")))
+    urls = urls.withColumn("template", F.concat(F.lit("/"), F.array_join(segments("path"), "/")))
     rejected = kept(leaves(urls, tree).where("rejected").select("host", "template", "rejected"), "rejected")
     judged = urls.join(rejected, ["host", "template"], "left")
     verdict = F.coalesce("ruled", F.when(F.col("rejected"), "block").otherwise("allow"))

@@ -60,6 +60,29 @@ def test_branches_that_differ_stay_apart(spark):
     assert all(got[i] == ("block" if "/de/" in u else "allow") for i, u in enumerate(rows))
 
 
+def test_a_blocked_section_among_many_stays_apart(spark):
+    """However many sections a host has: /de is blocked by a rule, the others have no labels, or are allowed but for a few."""
+    names = ["de", *(chr(97 + i // 5) + chr(107 + i % 5) for i in range(1, 40))]
+    for sections in (3, 25, 40):
+        rows = [f"http://a.test/{s}/news/{i}" for i in range(8) for s in names[:sections]]
+        df = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+        got = {r.page_id: r.verdict for r in urls.judge_urls(df, (("block", "a.test/de/"),)).collect()}
+        assert all(got[i] == ("block" if "/de/" in u else "allow") for i, u in enumerate(rows)), sections
+    rows = [f"http://a.test/{s}/{k}/{i}" for i in range(20) for s in names[:30] for k in ("x", "y")]
+    rules = (("allow", "a.test/"), ("block", "a.test/de/x"))
+    df = spark.createDataFrame([*enumerate(rows)], "page_id long, url string")
+    got = {r.page_id: r.verdict for r in urls.judge_urls(df, rules).collect()}
+    assert all(got[i] == ("block" if "/de/x" in u else "allow") for i, u in enumerate(rows))
+
+
+def test_paths_part_at_any_depth(spark):
+    deep = "a/b/c/d/e/f/g"
+    rows = [f"http://a.test/{deep}/{s}/{i}" for i in range(30) for s in ("de", "en", "fr")]
+    df = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    got = {r.page_id: r.verdict for r in urls.judge_urls(df, (("block", f"a.test/{deep}/de/"),)).collect()}
+    assert all(got[i] == ("block" if "/de/" in u else "allow") for i, u in enumerate(rows))
+
+
 def test_segments(spark):
     paths = ["/a/12/b3.html", "/x/0f8fad5b-d9cb-469f-a165-70867728950e/", "/c/deadbeef01/q", "/1/2/3/4/5/6/7/8", "", "/"]
     df = spark.createDataFrame([(p,) for p in paths], "path string")
