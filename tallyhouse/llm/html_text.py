@@ -2,7 +2,8 @@
 
 A small tolerant reader turns a page into text blocks and containers. Each page scores its containers and
 votes for the path of the best one, written as tags and classes without numbers. Spark counts the
-votes per host; pages are then read again and give the text of the container on a path their host agrees on.
+votes per host; pages are then read again and give the text of the container on a path their host agrees on. Where the best
+container is a part of an article, the article stands for it.
 """
 
 from __future__ import annotations
@@ -54,6 +55,9 @@ DROPPED_WORDS = frozenset(
 COMMENT_WORDS = frozenset({"comment", "comments"})
 ARTICLE_WORDS = frozenset("article content entry post story text".split())
 
+#: An element's text without links over that of one in it, from which the rest counts as text of the article too.
+MORE = 1.25
+
 
 def attributes(rest: str) -> dict[str, str]:
     return {m[1].lower(): (m[2] or "").strip("\"'") for m in ATTRIBUTE.finditer(rest)} if rest.strip(" /\n\t\r") else {}
@@ -94,10 +98,11 @@ def label(tag: str, attrs: dict[str, str]) -> str:
 
 
 class Container:
-    __slots__ = ("path", "first", "last", "score", "bonus")
+    __slots__ = ("path", "tag", "above", "first", "last", "score", "whole", "bonus")
 
-    def __init__(self, path: str, first: int, bonus: float):
-        self.path, self.first, self.last, self.score, self.bonus = path, first, first, 0.0, bonus
+    def __init__(self, path: str, tag: str, above: Container | None, first: int, bonus: float):
+        self.path, self.tag, self.above, self.first, self.last, self.bonus = path, tag, above, first, first, bonus
+        self.score = self.whole = 0.0
 
 
 class Page:
@@ -185,13 +190,12 @@ class Page:
         if not text:
             return
         self.blocks.append(text)
-        worth = max(0.0, len(text) - 2.0 * linked)
+        whole = worth = max(0.0, len(text) - 2.0 * linked)
         for _, container, _, _ in reversed(self.open):
             if container is not None:
                 container.score += worth
+                container.whole += whole
                 worth /= 2
-                if worth < 0.01:
-                    break
 
     def start(self, tag: str, attrs: dict[str, str]) -> None:
         if tag in BLOCK:
@@ -211,7 +215,8 @@ class Page:
                 path = f"~{xxhash.xxh64_hexdigest(path)}"
         if tag in CONTAINER:
             bonus = 1.5 if tag in ("article", "main") else 1.25 if words_of(attrs) & ARTICLE_WORDS else 1.0
-            container = Container(path, len(self.blocks), bonus)
+            around = next((o[1] for o in reversed(self.open) if o[1] is not None), None)
+            container = Container(path, tag, around, len(self.blocks), bonus)
             self.containers.append(container)
         self.open.append((tag, container, path, before))
 
@@ -256,7 +261,23 @@ class Page:
 
     def best(self) -> Container | None:
         scored = [c for c in self.containers if c.score > 0]
-        return max(scored, key=lambda c: (c.score * c.bonus, -c.first)) if scored else None
+        return self.entire(max(scored, key=lambda c: (c.score * c.bonus, -c.first))) if scored else None
+
+    @staticmethod
+    def entire(part: Container) -> Container:
+        """The article or main around a container, if there is one; else the widest element around it, the body not among them, of
+        which each step holds clearly more text than the one before."""
+        around = part
+        while around is not None:
+            if around.tag in ("article", "main"):
+                return around
+            around = around.above
+        found, around = part, part.above
+        while around is not None and around.tag != "body":
+            if around.whole >= MORE * found.whole:
+                found = around
+            around = around.above
+        return found
 
     def text(self, paths: list[str]) -> str:
         """The text of the best container on the first of the paths that the page has; else of its own best one, else of all."""
@@ -265,7 +286,7 @@ class Page:
         for path in paths if chosen is None else ():
             found = [c for c in self.containers if c.path == path and c.last > c.first]
             if found:
-                chosen = max(found, key=lambda c: (c.score, -c.first))
+                chosen = self.entire(max(found, key=lambda c: (c.score, -c.first)))
                 break
         chosen = chosen or own
         return "\n\n".join(self.blocks[chosen.first : chosen.last] if chosen else self.blocks)

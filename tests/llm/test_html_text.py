@@ -83,3 +83,16 @@ def test_query(spark):
         blocks = [" ".join(html.unescape(re.sub("<br>", " ", b).replace("<b>", "")).split()) for b in re.split(r"</?(?:h1|p)>", article)]
         assert (r.text, r.url) == ("\n\n".join(b for b in blocks if b), page.url) and r.n_chars == len(r.text)
     assert not pages
+
+
+def test_articles_over_several_containers_stay_whole(spark):
+    a, b = "First part of the story. " * 30, "Second part. " * 20
+    pages = [
+        f"<body><article><section><div><p>{a}</p></div></section><section><div><p>{b}</p></div></section></article></body>",
+        f"<body><main><h1>Title</h1><p>Lead.</p><div class='text'><p>{a}{b}</p></div></main></body>",
+        f"<body><div id=page><div><div><p>{a}</p></div></div><div><div><p>{b}</p></div></div></div></body>",
+    ]
+    expected = [f"{a.strip()}\n\n{b.strip()}", f"Title\n\nLead.\n\n{a}{b.strip()}", f"{a.strip()}\n\n{b.strip()}"]
+    rows = [(10 * k + i, f"http://h{k}.test/{i}", page) for k, page in enumerate(pages) for i in range(4)]
+    got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {i: expected[i // 10] for i, _, _ in rows}
