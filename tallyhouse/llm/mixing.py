@@ -136,11 +136,11 @@ def plan(sized: DataFrame, mix: Mix) -> Plan:
     edge = kept(edge.withColumn("upto", F.sum("words").over(order)).where("upto <= left").select("sid", "doc_id", "block", "words"), "edge")
 
     fills = filled(with_copies(marked, edge), blocks, mix)
-    return Plan(sources, blocks, smaller, kept(edge.unionByName(fills), "single"), kept(split(in_blocks, blocks, fills, mix), "shards"))
+    return Plan(sources, blocks, smaller, kept(edge.unionByName(fills.drop("copy")), "single"), kept(split(in_blocks, blocks, fills, mix), "shards"))
 
 
 def filled(rows: DataFrame, blocks: DataFrame, mix: Mix) -> DataFrame:
-    """Single documents that fill the gaps to the targets: sid, doc_id, block, words.
+    """Single documents that fill the gaps to the targets: sid, doc_id, block, words, and which copy of its rows each makes.
 
     Each time every source takes the largest document of its last block and its reserve that its gap still holds and
     that may be taken once more. The candidates are a small part of all rows, the picks a few per source.
@@ -151,13 +151,14 @@ def filled(rows: DataFrame, blocks: DataFrame, mix: Mix) -> DataFrame:
     spare = rows.where("doc_id is not null").join(late, ["sid", "block"]).groupBy("sid", "doc_id", "block")
     spare = spare.agg(F.sum("size").alias("words"), F.max("copies").alias("copies"))
     spare = kept(spare.where((F.col("copies") < mix.most) & (F.col("words") > 0)).join(gaps, "sid"), "spare")
-    fills = spare.select("sid", "doc_id", "block", "words").limit(0)
+    spare = spare.withColumn("copy", F.col("copies") + 1)
+    fills = spare.select("sid", "doc_id", "block", "words", "copy").limit(0)
     for _ in range(mix.fills):
         done = fills.groupBy("sid").agg(F.sum("words").alias("done"))
         open_ = spare.join(fills.select("sid", "doc_id"), ["sid", "doc_id"], "left_anti").join(done, "sid", "left")
         fits = open_.where(F.col("words") <= F.col("gap") - F.coalesce("done", F.lit(0)))
-        pick = fits.groupBy("sid").agg(F.max(F.struct("words", (-F.col("doc_id")).alias("low"), "block")).alias("p"))
-        picks = pick.select("sid", (-F.col("p.low")).alias("doc_id"), F.col("p.block").alias("block"), F.col("p.words").alias("words"))
+        pick = fits.groupBy("sid").agg(F.max(F.struct("words", (-F.col("doc_id")).alias("low"), "block", "copy")).alias("p"))
+        picks = pick.select("sid", (-F.col("p.low")).alias("doc_id"), "p.block", "p.words", "p.copy")
         fills = kept(fills.unionByName(picks), "fills")
     return fills
 
@@ -169,8 +170,10 @@ def split(in_blocks: DataFrame, blocks: DataFrame, fills: DataFrame, mix: Mix) -
     tokens as block copies drawn: a few times ``blocks``, and a few per source.
     """
     whole = in_blocks.where("passes > 0").select("sid", "block", F.explode(F.expr("sequence(1L, passes)")).alias("copy"))
-    part = blocks.where("state >= 0").select("sid", "block").unionByName(fills.select("sid", "block")).distinct()
-    extra = part.join(in_blocks.select("sid", "block", "passes"), ["sid", "block"]).select("sid", "block", (F.col("passes") + 1).alias("copy"))
+    part = blocks.where("state >= 0").join(in_blocks.select("sid", "block", "passes"), ["sid", "block"])
+    part = part.select("sid", "block", (F.col("passes") + 1).alias("copy"))
+    # A fill may be a second copy of a row that its block, or the row alone, has taken already.
+    extra = part.unionByName(fills.select("sid", "block", "copy")).distinct()
     urn = whole.unionByName(extra).agg(F.array_sort(F.collect_list(F.struct("sid", "block", "copy"))).alias("tokens"))
     nodes = urn.select(F.lit(0).alias("first"), F.lit(mix.shards).alias("width"), "tokens")
     wide, level = mix.shards, 0

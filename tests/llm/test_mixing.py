@@ -91,6 +91,15 @@ def test_mixed_rows_are_those_taken(spark):
     assert sorted(map(str, again)) == sorted(map(str, (tuple(r) for r in got.collect())))
 
 
+def test_fills_that_were_taken_already_are_mixed_twice(spark):
+    """Few blocks and targets below the sources' sizes: fills fall on rows that the last block has taken."""
+    df, mix = frame(spark, rows_of(120, ["a", "b", "c"])), mixing.Mix(share=0.5, blocks=2, shards=3)
+    times = Counter(r.doc_id for r in mixing.mixed(df, mix).collect())
+    taken = {r.doc_id: r for r in mixing.taken(df, mix).collect()}
+    assert any(r.size and r.taken == 2 * r.size for r in taken.values())
+    assert all(times[i] * r.size == r.taken for i, r in taken.items() if r.size)
+
+
 @pytest.mark.parametrize("shards", [1, 2, 5, 64])
 def test_splitting_tree(spark, shards):
     """Every block copy goes to one shard, shards are of equal size, and sources mix as the law of the urn says."""
