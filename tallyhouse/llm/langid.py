@@ -86,8 +86,9 @@ def document_frequencies(docs: DataFrame, settings: Settings) -> tuple[np.ndarra
 
 def sample(docs: DataFrame, settings: Settings) -> tuple[list[str], DataFrame]:
     """The languages learned, and about ``per_language`` different texts of each, picked by the text's hash."""
-    found = docs.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(settings.languages).collect()
-    rates = {r["lang"]: settings.per_language / r["count"] for r in found}
+    sizes = docs.groupBy("lang").agg(F.count("*").alias("rows"), F.count_distinct(F.xxhash64("text")).alias("texts"))
+    found = sizes.orderBy(F.col("rows").desc(), "lang").limit(settings.languages).collect()
+    rates = {r["lang"]: settings.per_language / r["texts"] for r in found}
     if not rates:
         return [], docs.limit(0)
     steps = 1 << 30

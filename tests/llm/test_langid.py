@@ -75,3 +75,10 @@ def test_ngram_counts_against_plain_hashes():
             h = h * 0x9E3779B1 % m
             expected[((h ^ (h >> 15)) * 0x85EBCA77 % m) >> 18] += 1
     assert found.tolist() == expected.tolist()
+
+
+def test_copies_leave_the_sample_its_size(spark):
+    rows = [("en", "the same text")] * 2800 + [("en", f"text {i}") for i in range(200)] + [("fr", f"texte {i}") for i in range(100)]
+    languages, picked = langid.sample(spark.createDataFrame(rows, "lang string, text string"), langid.Settings(per_language=150))
+    counted = {r["lang"]: r["count"] for r in picked.groupBy("lang").count().collect()}
+    assert languages == ["en", "fr"] and 110 < counted["en"] < 190 and counted["fr"] == 100
