@@ -9,10 +9,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import html_text, langid, mixing, pieces, ppm, repetition, secret_scan, simhash, topk, urls
+from tallyhouse.llm import align, exact_dedup, html_text, langid, mixing, periods, pieces, ppm, repetition, secret_scan, simhash, topk, urls
 from tallyhouse.llm.common import table
 
 TOKENIZER = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
@@ -55,6 +56,18 @@ def op10_repetition(spark: SparkSession, folder: str) -> DataFrame:
     return repetition.judge(table(spark, folder, "documents"))
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align.align(table(spark, folder, "documents"), Path(BYTE_TOKENIZER).read_bytes(), Path(TOKENIZER).read_bytes())
+
+
+def op12_periods(spark: SparkSession, folder: str) -> DataFrame:
+    return periods.digests(periods.find_runs(periods.with_planted_runs(table(spark, folder, "documents"))))
+
+
+def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.deduplicate(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -69,6 +82,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_simhash,
             op9_ppm,
             op10_repetition,
+            op11_alignment,
+            op12_periods,
+            op13_exact_dedup,
         )
     }
 
@@ -88,7 +104,14 @@ TOPK_SQL = """
         FROM scores)
     SELECT * FROM ranked WHERE rank <= 10"""
 
+#: Groups of texts that are equal without blanks, and of each the longest text, then the smallest id.
+EXACT_SQL = r"""
+    WITH texts AS (SELECT doc_id, coalesce(text, '') AS text, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS bare FROM documents)
+    SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY bare) AS group_size,
+           row_number() OVER best = 1 AS kept, sha256(bare) AS text_sha256
+    FROM texts WINDOW best AS (PARTITION BY bare ORDER BY length(text) DESC, doc_id)"""
+
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that SQL can express on whole tables; the tests hold the others against brute force."""
-    return {"op2_topk": TOPK_SQL}
+    return {"op2_topk": TOPK_SQL, "op13_exact_dedup": EXACT_SQL}

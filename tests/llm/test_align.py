@@ -1,0 +1,147 @@
+"""Alignment of two tokenizers against sets of ends and plain counts."""
+
+import hashlib
+import os
+from collections import Counter
+from pathlib import Path
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from tallyhouse.llm import align
+from tallyhouse.llm.queries import BYTE_TOKENIZER, TOKENIZER, op11_alignment
+
+os.environ["TOKENIZERS_PARALLELISM"] = "false"
+COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+
+
+@pytest.fixture(scope="module")
+def libraries():
+    a = Tokenizer.from_file(BYTE_TOKENIZER)
+    a.encode_special_tokens = True
+    return a, sentencepiece.SentencePieceProcessor(model_file=TOKENIZER)
+
+
+def plain_tokens(libraries, text):
+    """Ids with their bytes, from both libraries on the whole text."""
+    if not text:
+        return [], []
+    a, b = libraries
+    letters = {v: k for k, v in align.byte_letters().items()}
+    letters = {c: i for i, c in letters.items()}
+    ta = [(i, bytes(letters[c] for c in a.id_to_token(i))) for i in a.encode(" " + text, add_special_tokens=False).ids]
+    tb = [(i, align.Pieces.as_bytes(b.id_to_piece(i))) for i in b.encode(text)]
+    whole = (" " + text).encode()
+    return (ta, tb) if b"".join(x for _, x in ta) == whole == b"".join(x for _, x in tb) else ([], [])
+
+
+def plain_groups(ta, tb):
+    """Groups as lists of ids, by walking along both."""
+    out, i, j = [], 0, 0
+    while i < len(ta):
+        ga, gb, x, y = [], [], 0, 0
+        while not ga or x != y:
+            if not ga or x < y:
+                ga.append(ta[i][0])
+                x += len(ta[i][1])
+                i += 1
+            else:
+                gb.append(tb[j][0])
+                y += len(tb[j][1])
+                j += 1
+        out.append((ga, gb))
+    return out
+
+
+def plain(libraries, texts):
+    tokens = [plain_tokens(libraries, t) for t in texts]
+    grouped = [plain_groups(*x) for x in tokens]
+    count = Counter((ga[-1], gb[-1]) for gs in grouped for ga, gb in gs)
+    most = Counter()
+    for (_, y), n in count.items():
+        most[y] = max(most[y], n)
+    for (ta, tb), gs in zip(tokens, grouped):
+        shown = ";".join(",".join(map(str, ga)) + "|" + ",".join(map(str, gb)) for ga, gb in gs)
+        links = [(ga[-1], gb[-1]) for ga, gb in gs]
+        digest = hashlib.sha256(shown.encode()).hexdigest() if gs else ""
+        yield len(ta), len(tb), len(gs), len(links), sum(count[x] == most[x[1]] for x in links), sum(count[x] for x in links), digest
+
+
+def models():
+    return Path(BYTE_TOKENIZER).read_bytes(), Path(TOKENIZER).read_bytes()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.sets(st.integers(1, 400)), st.sets(st.integers(1, 400))), min_size=1, max_size=4))
+def test_common_ends(lists):
+    # Both lists of a text end at its last byte, as tokens that spell it do.
+    pairs = [(np.array(sorted(x | {401})), np.array(sorted(y | {401}))) for x, y in lists]
+    for (x, y), (i, j) in zip(pairs, align.common_ends([x for x, _ in pairs], [y for _, y in pairs])):
+        assert x[i].tolist() == y[j].tolist() == sorted(set(x.tolist()) & set(y.tolist()))
+
+
+def test_lower_bounds_of_uneven_lists():
+    rng = np.random.default_rng(1)
+    for n, m in ((1, 0), (1, 1), (3, 5000), (700, 700), (33, 100_000), (5000, 40)):
+        short, long = (np.unique(rng.integers(0, 200_000, k)) for k in (n, m))
+        assert align.lower_bounds(short, long).tolist() == np.searchsorted(long, short).tolist()
+
+
+def test_byte_level_gives_the_ids_of_its_library(libraries):
+    mine = align.ByteLevel(models()[0])
+    assert mine.fast
+    texts = ["  two  blanks ", "it's I'LL 12 ½ ①", "naïve Straße 　x y", "<|endoftext|>", "\n\n\t a\r\n", "한국어 日本語 🙂‍↕️ é", " " * 3000 + "x", "a" * 5000]
+    for text in texts:
+        ids = libraries[0].encode(text, add_special_tokens=False).ids
+        assert mine.encode(text) == ids
+    mine.fast = None
+    assert [mine.encode(t) for t in texts] == [libraries[0].encode(t, add_special_tokens=False).ids for t in texts]
+
+
+ODD = [
+    None, "", " ", "a", "a b", "marked ▁ text", "<|endoftext|> </s> <s> <unk> <0x41>", "naïve Straße 日本語 🙂", "  two   blanks  ",
+    "line\nline\r\n\ttab", "\x00\x01 controls \x7f", "x" * 3000, "word " * 20_000, "a b", "a b", "ends on a blank ", "½ ① ﬁ Å é é",
+]
+
+
+@pytest.mark.parametrize("size", [1 << 30, 40])
+def test_odd_rows(spark, libraries, size, monkeypatch):
+    monkeypatch.setattr(align, "BLOCK_LINKS", size)
+    rows = [(None if i == 4 else i, t, "x", 7) for i, t in enumerate(ODD)] + [(3, "a", "y", 7)]
+    got = align.align(spark.createDataFrame(rows, "doc_id int, text string, block string, pairs int"), *models())
+    assert got.columns == COLUMNS
+    expected = Counter((r[0], *x) for r, x in zip(rows, plain(libraries, [r[1] for r in rows])))
+    assert Counter(tuple(r) for r in got.collect()) == expected
+
+
+def test_empty_table_and_texts_without_tokens(spark):
+    docs = spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string")
+    assert align.align(docs.limit(0), *models()).collect() == []
+    assert sorted(tuple(r) for r in align.align(docs, *models()).collect()) == [(1, 0, 0, 0, 0, 0, 0, ""), (2, 0, 0, 0, 0, 0, 0, "")]
+
+
+def test_groups(spark, libraries):
+    docs = spark.createDataFrame(list(enumerate(ODD)), "doc_id long, text string")
+    for r in align.groups(docs, *models()).collect():
+        ta, tb = plain_tokens(libraries, ODD[r.doc_id])
+        assert (r.a_ids, r.b_ids) == ([i for i, _ in ta], [i for i, _ in tb])
+        cuts = lambda ids, ends: [ids[s:e + 1] for s, e in zip([0] + [x + 1 for x in ends], ends)]
+        assert list(zip(cuts(r.a_ids, r.a_ends), cuts(r.b_ids, r.b_ends))) == plain_groups(ta, tb)
+
+
+def test_query(spark, libraries):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    got = op11_alignment(spark, folder)
+    assert got.columns == COLUMNS
+    expected = {(d.doc_id, *x) for d, x in zip(docs, plain(libraries, [d.text for d in docs]))}
+    assert {tuple(r) for r in got.collect()} == expected and len(expected) == len(docs)
+
+
+def test_names_of_the_tokenizers():
+    assert BYTE_TOKENIZER == public_tokenizers.path("byte_bpe_50k.json") and align.PATTERN == public_tokenizers.PATTERN

@@ -1,0 +1,121 @@
+"""Runs of words against a plain search over all periods."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+import numpy as np
+from tallyhouse.llm import periods
+from tallyhouse.llm.queries import op12_periods
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plain_runs(words):
+    """Every stretch in which words q apart are identical, smallest period first; longer periods of a stretch are not its smallest."""
+    n, found = len(words), {}
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i + q < n:
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            if j + q - i >= max(6, 4 * q):
+                found.setdefault((i, j + q - i), q)
+            i = j + 1
+    return sorted((s, length, q) for (s, length), q in found.items())
+
+
+def plain_words(doc_id, text):
+    words = WORD.findall(text or "")
+    n = len(words)
+    if doc_id is None or not n:
+        return words
+    h = zlib.crc32(str(doc_id).encode())
+    g = h // 10
+    if h % 10 == 0:
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+    return words
+
+
+def plain_collapsed(words, runs):
+    gone = {i for s, length, q in runs for i in range(s + q, s + length)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def plain_row(words):
+    runs = plain_runs(words)
+    best = min(runs, key=lambda r: (-r[1], r[0], r[2]), default=(None, None, None))
+    milli = 1000 * best[1] // best[2] if runs else None
+    lines = "".join(f"{s},{length},{q}\n" for s, length, q in runs)
+    sha = [hashlib.sha256(x.encode()).hexdigest() for x in (lines, plain_collapsed(words, runs))]
+    return (len(runs), best[0], best[1], best[2], milli, *sha)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 2), max_size=90), max_size=5))
+def test_runs_of_short_alphabets(texts):
+    found = periods.of_texts([[b"%d" % x for x in text] for text in texts])
+    assert [[tuple(r) for r in runs.tolist()] for runs in found] == [plain_runs(text) for text in texts]
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_nested_and_adjacent_runs(seed):
+    rng = random.Random(seed)
+    words = []
+    for _ in range(rng.randint(1, 6)):
+        unit = [rng.randint(0, 3) for _ in range(rng.randint(1, 9))]
+        unit = unit * rng.randint(1, 5) + [rng.randint(0, 3)] * rng.randint(0, 8)
+        words += unit * rng.randint(1, 7) + unit[: rng.randint(0, len(unit))]
+    assert [tuple(r) for r in periods.runs_of(np.array(words)).tolist()] == plain_runs(words)
+
+
+def test_long_texts():
+    n = 200_000
+    assert periods.runs_of(np.zeros(n, np.int64)).tolist() == [[0, n, 1]]
+    assert periods.runs_of(np.arange(n) % 40_000).tolist() == [[0, n, 40_000]]
+    assert not len(periods.runs_of(np.arange(n)))
+
+
+ODD = [
+    (1, None), (2, ""), (3, " \n\t\x0b\x0c\r "), (4, "a a a a a"), (5, "a a a a a a"), (6, "x " + "a b " * 4 + "y"),
+    (7, "été là " * 9), (None, "b b b b b b b"), (None, None), (5, "a a a a a a"), (8, "a\x1fb a\x1fb a\x1fb a\x1fb a\x1fb a\x1fb"),
+    (9, "           "), (10, "w " * 2_000), (-3, "tick tock " * 40),
+] + [(i, " ".join(f"w{j}" for j in range(i % 37))) for i in range(100, 400)]
+
+
+def test_odd_rows(spark):
+    docs = spark.createDataFrame([(d, t, "x", 1) for d, t in ODD], "doc_id long, text string, runs string, n_words int")
+    got = periods.digests(periods.find_runs(periods.with_planted_runs(docs))).collect()
+    key = lambda r: tuple((x is not None, x) for x in r)
+    assert sorted((tuple(r)[:8] for r in got), key=key) == sorted(((d, *plain_row(plain_words(d, t))) for d, t in ODD), key=key)
+
+
+def test_texts_and_empty_table(spark):
+    docs = spark.createDataFrame([(1, "go " * 9 + "home")], "doc_id int, text string")
+    row = periods.find_runs(docs).first()
+    assert [tuple(r) for r in row.runs] == [(0, 9, 1)] and bytes(row.collapsed) == b"go home" and row.n_words == 10
+    assert op12_columns(periods.digests(periods.find_runs(periods.with_planted_runs(docs.limit(0))))) == []
+
+
+def op12_columns(df):
+    assert df.columns[:8] == ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"]
+    return df.collect()
+
+
+def test_query(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    got = {r.doc_id: tuple(r)[1:8] for r in op12_columns(op12_periods(spark, folder))}
+    assert got == {d.doc_id: plain_row(plain_words(d.doc_id, d.text)) for d in docs}
+    assert sum(r[0] > 0 for r in got.values()) > len(got) / 20
