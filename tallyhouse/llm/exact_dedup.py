@@ -24,6 +24,8 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "300",
     "spark.sql.streaming.metricsEnabled": "false",
 }
+#: Rows for which the stream gets one more partition of state, up to the session's shuffle partitions; each is a database of its own.
+ROWS_PER_PARTITION, LEAST_PARTITIONS = 250_000, 8
 BLANKS = " \t\n\x0b\x0c\r"
 ARRIVAL = "doc_id long, digest string, n_chars long, file string, row long"
 
@@ -62,12 +64,15 @@ def absorb(spark: SparkSession, folder: str, checkpoint: str) -> None:
     """Let the stream take all arrivals in ``folder`` that it has not taken yet, then stop.
 
     The state in ``checkpoint`` is that of all arrivals there ever were, so a later call finds repeats of earlier texts. A call
-    that was broken off goes on where it was.
+    that was broken off goes on where it was. The first call decides on the number of partitions of the state.
     """
+    rows = spark.read.schema(ARRIVAL).parquet(folder).count()  # from the files' footers
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = min(most, max(LEAST_PARTITIONS, -(-rows // ROWS_PER_PARTITION)))
     session = spark.newSession()  # settings of the state do not reach the caller's session
     for key, value in STATE.items():
         session.conf.set(key, value)
-    session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+    session.conf.set("spark.sql.shuffle.partitions", str(partitions))
     stream = session.readStream.schema(ARRIVAL).parquet(folder)
     query = (
         stream.groupBy("digest")
