@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import sys
+import warnings
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from functools import reduce
 
@@ -30,9 +32,9 @@ import oracle  # noqa: E402
 try:
     import corpus_pipeline
     from tallyhouse.llm import queries as text_queries
-except ModuleNotFoundError as missing:  # both are optional; a fault inside them is not hidden
-    if missing.name not in ("corpus_pipeline", "tallyhouse.llm", "tallyhouse.llm.queries"):
-        raise
+except ImportError as missing:  # the text part is optional, and so are the libraries it needs; the rest goes on without it
+    if getattr(missing, "name", None) not in ("corpus_pipeline", "tallyhouse.llm", "tallyhouse.llm.queries"):
+        warnings.warn(f"text queries are left out: {missing}", stacklevel=1)
     text_queries = None
 
 ORDER, PAYMENT = model.ORDER_COLUMNS, model.PAYMENT_COLUMNS
@@ -53,7 +55,7 @@ def _ingest_csv(s: Samples) -> DataFrame:
 
 def _seed_if_empty(s: Samples) -> DataFrame:
     """An empty table takes the batch, and the table it became takes nothing of the next one."""
-    batch = s.orders_base.select(*ORDER)
+    batch = s.raw_orders.select(*ORDER)
     seeded = loads.seed_if_empty(s.spark.createDataFrame([], batch.schema), batch)
     return loads.seed_if_empty(seeded, s.orders_load.select(*ORDER))
 
@@ -118,7 +120,7 @@ def _with_old_fact(s: Samples) -> Warehouse:
     warehouse = _warehouse(s)
     with tracked_run(warehouse, DAYS, datetime(2001, 7, 31, 6, 0)) as run:
         filled = warehouse.write_fact_days(conform(s.fact_undated, schemas.FACT_ORDERS), run.run_id)
-        warehouse.write_days_list([(day, run.run_id) for day in filled], run.run_id)
+        warehouse.write_days_list(filled, run.run_id)
     return warehouse
 
 
@@ -129,6 +131,67 @@ def _pipeline_fact_rerun(s: Samples) -> DataFrame:
     return warehouse.fact()
 
 
+def _overlapping_runs(s: Samples) -> DataFrame:
+    """The fact after two runs over an older one, at once: the second to be committed builds on the first."""
+    warehouse = _with_old_fact(s)
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda hour: run_pipeline(warehouse, ORDERS_AS_OF, now=RUN_AT.replace(hour=hour)), (7, 8)))
+    return warehouse.fact()
+
+
+def _overlapping_loads(s: Samples) -> DataFrame:
+    """Raw orders after a daily batch was loaded by two loads at once."""
+    warehouse = Warehouse(s.spark, new_folder(s.spark))
+    warehouse.append(conform(s.orders_base.select(*ORDER, "ingested_at"), schemas.RAW_ORDERS), "raw.orders")
+    batch = s.orders_load.select(*ORDER)
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda _: loads.load_batch(warehouse, "raw.orders", batch, "orders_daily.csv", RUN_AT), range(2)))
+    return warehouse.read("raw.orders", schemas.RAW_ORDERS).select(*ORDER)
+
+
+def _runs_by_deltas(s: Samples) -> DataFrame:
+    """Quarantine and clean tables after two loads with a run each: the second load has new keys, further copies of old
+    orders, payments of old orders, and orders of old payments."""
+    warehouse = Warehouse(s.spark, new_folder(s.spark))
+    for rest in (False, True):
+        with warehouse.load() as load:
+            for table, df, schema, of in (
+                ("raw.orders", s.raw_orders, schemas.RAW_ORDERS, "CASE WHEN ingested_at = order_date THEN 7 ELSE 1 END"),
+                ("raw.payments", s.raw_payments, schemas.RAW_PAYMENTS, "5"),
+            ):
+                key = df.columns[0]
+                late = F.expr(f"try_cast(substr({key}, 2) AS BIGINT) % {of} = 0")
+                load.append(conform(df.where(late if rest else ~late), schema), table)
+        run_pipeline(warehouse, ORDERS_AS_OF, now=RUN_AT)
+    parts = []
+    for table, schema, amount in (
+        ("raw.quarantine_orders", schemas.QUARANTINE_ORDERS, "order_total"),
+        ("raw.quarantine_payments", schemas.QUARANTINE_PAYMENTS, "payment_amount"),
+        ("staging.orders_clean", schemas.RAW_ORDERS, "order_total"),
+        ("staging.payments_clean", schemas.RAW_PAYMENTS, "payment_amount"),
+    ):
+        rows = warehouse.newest(table, schema)
+        reason = F.col("reason") if "reason" in rows.columns else F.lit(None).cast("string")
+        parts.append(rows.select(F.lit(table).alias("name"), F.col(rows.columns[0]).alias("id"), F.col(amount).alias("amount"), reason.alias("reason")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _published_totals(s: Samples) -> DataFrame:
+    """Daily totals of a published fact, as its list of days has them."""
+    warehouse = Warehouse(s.spark, new_folder(s.spark))
+    with tracked_run(warehouse, DAYS, RUN_AT) as run:
+        days = warehouse.write_fact_days(conform(s.fact_events, schemas.FACT_ORDERS), run.run_id)
+        warehouse.write_days_list(days, run.run_id)
+    return warehouse.fact_totals()
+
+
+def _run_counts(s: Samples) -> DataFrame:
+    """The metrics a run logs, from counts taken while its tables were written."""
+    warehouse = _warehouse(s)
+    run_pipeline(warehouse, ORDERS_AS_OF, now=RUN_AT)
+    return warehouse.log("analytics.pipeline_metrics", schemas.PIPELINE_METRICS).drop("run_timestamp")
+
+
 def _failed_run(s: Samples) -> Warehouse:
     """A good run, then one that the quality gate stops."""
     warehouse = _warehouse(s)
@@ -251,7 +314,7 @@ REGISTERED: dict[str, Callable[[Samples], DataFrame]] = {
     "quarantine_orders": lambda s: s.quarantine_orders,
     "quarantine_payments": lambda s: s.quarantine_payments,
     "orders_clean": lambda s: s.orders_clean.select(*ORDER),
-    "orders_clean_keep_first": lambda s: model.clean_orders(s.raw_orders, "keep_first").select(*ORDER),
+    "orders_clean_keep_first": lambda s: model.clean_orders(s.raw_orders, "keep_first", s.repeated).select(*ORDER),
     "payments_clean": lambda s: s.payments_clean.select(*PAYMENT),
     "dedupe_keep_first": lambda s: keys.first_per_key(s.raw_orders, ["order_id"], ["ingested_at"]).select(*ORDER),
     "key_violations": lambda s: keys.key_violations(s.raw_orders, ["order_id"]),
@@ -262,6 +325,10 @@ REGISTERED: dict[str, Callable[[Samples], DataFrame]] = {
     "fact_orders_upsert": _upserted,
     "pipeline_fact": _pipeline_fact,
     "pipeline_fact_rerun": _pipeline_fact_rerun,
+    "pipeline_overlapping_runs": _overlapping_runs,
+    "overlapping_loads": _overlapping_loads,
+    "pipeline_deltas": _runs_by_deltas,
+    "pipeline_counts": _run_counts,
     "dim_customer": lambda s: model.dim_customer(s.raw_customers),
     "dim_product": lambda s: model.dim_product(s.raw_products),
     "dim_date": lambda s: model.dim_date(s.orders_clean),
@@ -278,6 +345,11 @@ REGISTERED: dict[str, Callable[[Samples], DataFrame]] = {
     "orders_per_day": lambda s: reports.orders_per_day(s.fact_events),
     "payment_status_dist": lambda s: reports.payment_status_dist(s.fact_events),
     "top_cities": lambda s: reports.top_cities(s.fact_full, model.dim_customer(s.raw_customers)),
+    "published_kpi": lambda s: reports.kpi_of_totals(_published_totals(s)),
+    "published_daily_revenue": lambda s: reports.daily_revenue_of_totals(_published_totals(s)),
+    "published_orders_per_day": lambda s: reports.orders_per_day_of_totals(_published_totals(s)),
+    "published_payment_status": lambda s: reports.payment_status_of_totals(_published_totals(s)),
+    "published_anomaly_daily": lambda s: reports.revenue_anomaly_of_totals(_published_totals(s)),
     "daily_revenue_in_order": lambda s: _placed(reports.daily_revenue(s.fact_events)),
     "orders_per_day_in_order": lambda s: _placed(reports.orders_per_day(s.fact_events)),
     "payment_status_in_order": lambda s: _placed(reports.payment_status_dist(s.fact_events)),

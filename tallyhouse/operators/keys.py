@@ -84,13 +84,15 @@ def duplicates(
     keys = list(keys)
     repeated = repeated_keys(df, keys) if repeated is None else repeated
     order = _total_order(df, keys, order_by)
-    # Different rows spread by content and equal rows by input partition; a task that is run again repeats both.
+    # Different rows spread by content and equal rows by input partition. The ranking is evaluated once, so it does not matter
+    # that another evaluation could spread rows in another way.
     spread = df.withColumn("_spread", F.xxhash64(F.spark_partition_id(), *df.columns))
     rows = with_repeated(spread, keys, repeated)
     slices = F.floor((F.col("copies") - 1) / F.lit(ROWS_PER_SLICE)) + 1
     rows = rows.withColumn("_slice", F.pmod("_spread", slices))
-    ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(*order)))
-    later = ranked.filter(F.col("_rank") > 1).select(*df.columns)
-    firsts = ranked.filter(F.col("_rank") == 1).select(*df.columns)
-    across = firsts.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    return later.unionByName(across.filter(F.col("_rank") > 1).select(*df.columns))
+    within = F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(*order))
+    # The first rows of a key's slices meet in a slice of their own; only the first of them stays.
+    rows = rows.withColumn("_meets", F.when(within == 1, F.lit(-1)).otherwise(F.col("_slice")))
+    across = F.row_number().over(Window.partitionBy(*keys, "_meets").orderBy(*order))
+    ranked = rows.withColumn("_rank", across).filter((F.col("_meets") >= 0) | (F.col("_rank") > 1))
+    return ranked.select(*df.columns)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Sequence
+from collections.abc import Callable, Collection, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -20,15 +20,21 @@ def _without_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def new_rows(
-    target: DataFrame, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str], keep: Keep = staged
+    target: DataFrame | Callable[[DataFrame], DataFrame],
+    batch: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    keep: Keep = staged,
 ) -> DataFrame:
     """Rows of ``batch`` to append to ``target``: unknown keys only, first row per key.
 
     The batch, reduced to one row per key, is written once with ``keep``, which runs a job. Spark then knows how small it is,
-    sends it to the target's keys, and reads the target once.
+    sends it to the target's keys, and reads the target once. ``target`` may be a function from the reduced batch to the part
+    of the target that can hold its keys.
     """
     keys = list(keys)
     first = keep(first_per_key(_without_null_keys(batch, keys), keys, order_by), "batch")
+    target = target if isinstance(target, DataFrame) else target(first)
     known = target.select(*keys).join(first.select(*keys), keys, "left_semi").distinct()
     return first.join(known, keys, "left_anti").select(*batch.columns)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -29,10 +29,19 @@ class AnomalyRule:
         )
 
 
+def paid_value() -> Column:
+    """What an order of the fact brought: its payment if that is paid, else 0."""
+    return F.when(F.col("payment_status") == "paid", F.col("payment_amount")).otherwise(F.lit(0).cast("decimal(10,2)"))
+
+
 def daily_paid_revenue(fact: DataFrame) -> DataFrame:
     """Paid revenue and number of orders of every day."""
-    paid = F.when(F.col("payment_status") == "paid", F.col("payment_amount")).otherwise(F.lit(0).cast("decimal(10,2)"))
-    return fact.groupBy("order_day").agg(F.sum(paid).alias("revenue"), F.count("*").alias("orders"))
+    return fact.groupBy("order_day").agg(F.sum(paid_value()).alias("revenue"), F.count("*").alias("orders"))
+
+
+def daily_series(totals: DataFrame) -> DataFrame:
+    """``daily_paid_revenue`` from totals of the days."""
+    return totals.select("order_day", F.col("paid").alias("revenue"), "orders")
 
 
 def trailing_zscore(
@@ -58,26 +67,19 @@ def trailing_zscore(
 
 
 def scored_days(fact: DataFrame, rows: int = 14) -> DataFrame:
-    return trailing_zscore(daily_paid_revenue(fact), "order_day", "revenue", rows)
+    return scored_series(daily_paid_revenue(fact), rows)
 
 
-def history_start(known: Collection[date | None], as_of: date, days: int, rows: int = 14) -> date:
-    """The first day that scoring the window's days needs: the earliest of the ``rows`` data days before the window."""
-    start = cutoff(as_of, days)
-    return min(sorted(day for day in known if day is not None and day < start)[-rows:], default=start)
+def scored_series(series: DataFrame, rows: int = 14) -> DataFrame:
+    return trailing_zscore(series, "order_day", "revenue", rows)
 
 
-def recent_history(
-    fact: DataFrame, as_of: date, days: int, rows: int = 14, known: Collection[date | None] | None = None
-) -> DataFrame:
+def recent_history(fact: DataFrame, as_of: date, days: int, rows: int = 14) -> DataFrame:
     """The part of ``fact`` that scoring the window's days needs: the window and the ``rows`` data days before it.
 
-    ``known`` are the days that have data, where the caller knows them, as the warehouse does for its fact; a fact partitioned
-    by day is then read for these days only. Without it the day column of all history is read first.
+    The day column of all history is read first; a warehouse scores its lists of daily totals instead.
     """
     start = cutoff(as_of, days)
-    if known is not None:
-        return fact.filter(F.col("order_day") >= F.lit(history_start(known, as_of, days, rows)))
     prior = fact.filter(F.col("order_day") < F.lit(start)).select("order_day").distinct()
     first = prior.orderBy(F.desc("order_day")).limit(rows).agg(F.min("order_day")).scalar()
     return fact.filter(F.col("order_day") >= F.coalesce(first, F.lit(start)))
@@ -89,13 +91,20 @@ def anomalies_in_window(
     days: int,
     rule: AnomalyRule = AnomalyRule(),
     rows: int = 14,
-    known: Collection[date | None] | None = None,
 ) -> DataFrame:
     """Anomalous days of the window, with unrounded statistics."""
-    scored = scored_days(recent_history(fact, as_of, days, rows, known), rows)
+    return anomalies_of(scored_days(recent_history(fact, as_of, days, rows), rows), as_of, days, rule)
+
+
+def anomalies_of(scored: DataFrame, as_of: date, days: int, rule: AnomalyRule = AnomalyRule()) -> DataFrame:
+    """The anomalous ones of scored days, of the window only."""
     return scored.filter((F.col("order_day") >= F.lit(cutoff(as_of, days))) & rule.condition())
 
 
 def flagged_days(fact: DataFrame, rule: AnomalyRule = AnomalyRule(), rows: int = 14) -> DataFrame:
     """All days with ``is_anomaly``; a day that cannot be scored is not an anomaly."""
-    return scored_days(fact, rows).withColumn("is_anomaly", F.coalesce(rule.condition(), F.lit(False)))
+    return flagged(scored_days(fact, rows), rule)
+
+
+def flagged(scored: DataFrame, rule: AnomalyRule = AnomalyRule()) -> DataFrame:
+    return scored.withColumn("is_anomaly", F.coalesce(rule.condition(), F.lit(False)))

@@ -10,14 +10,15 @@ from pyspark.sql import DataFrame
 from tallyhouse import schemas
 from tallyhouse.functions import cutoff
 from tallyhouse.operators.contracts import run_contracts, warehouse_contracts
-from tallyhouse.operators.keys import assert_key, repeated_keys
+from tallyhouse.operators.keys import assert_key
 from tallyhouse.operators.merge import moved_days, rebuilt_days
 from tallyhouse.operators.quality import check_gate
-from tallyhouse.operators.trends import AnomalyRule, history_start
-from tallyhouse.plans import model, reports
-from tallyhouse.plans.runs import run_metrics, tracked_run
+from tallyhouse.operators.trends import AnomalyRule
+from tallyhouse.plans import deltas, model, reports
+from tallyhouse.plans.runs import metrics_row, tracked_run
 from tallyhouse.schemas import conform
-from tallyhouse.sources.warehouse import Warehouse
+from tallyhouse.sources.manifests import RunEntry, overlap
+from tallyhouse.sources.warehouse import FACT_DAYS, Warehouse
 
 
 @dataclass(frozen=True)
@@ -26,6 +27,7 @@ class Settings:
     max_errors: int = 999_999
     keep_runs: int | None = 1
     on_duplicate: str = "drop_all"
+    max_layers: int = 16
     anomaly: AnomalyRule = field(default_factory=AnomalyRule)
 
 
@@ -34,63 +36,57 @@ def run_pipeline(
 ) -> str:
     """Run the pipeline once over the raw layer and return the run id.
 
-    ``as_of`` and ``now`` are taken once, so every step of the run sees the same day.
-    Short intermediate tables are written and read back: Spark then knows their
-    size when it plans the joins on them. Only ``keep_runs`` runs keep their full
-    rebuilds, all do with None; logs keep every run.
+    ``as_of`` and ``now`` are taken once, so every step of the run sees the same day. The run sees the loads that were committed
+    when it began. Quarantine and clean tables gain a layer for the loads that are new since the last run; the first run, one with
+    another setting, and one after ``max_layers`` of them makes one layer of all. Only ``keep_runs`` runs keep their outputs, all
+    do with None; logs keep every run.
     """
     now = now or datetime.now()
     as_of = as_of or now.date()
-    days = settings.window_days
+    days, key = settings.window_days, ["order_id"]
 
     with tracked_run(warehouse, days, now) as run:
 
         def keep(df, table):
             return warehouse.write_run(df, table, run.run_id)
 
-        raw_orders = warehouse.read("raw.orders", schemas.RAW_ORDERS)
-        raw_payments = warehouse.read("raw.payments", schemas.RAW_PAYMENTS)
-
-        # Quarantine.
-        key = ["order_id"]
-        repeated = keep(repeated_keys(raw_orders, key), "work.repeated_orders")
-        bad_orders = keep(model.quarantined_orders(raw_orders, repeated, now), "raw.quarantine_orders")
-        bad_payments = keep(model.quarantined_payments(raw_payments, raw_orders, now), "raw.quarantine_payments")
-
-        # Clean tables.
-        orders = keep(model.clean_orders(raw_orders, settings.on_duplicate, repeated), "staging.orders_clean")
-        payments = keep(model.clean_payments(raw_payments, bad_payments), "staging.payments_clean")
-        metrics = run_metrics(days, now, raw_orders, bad_orders, orders, raw_payments, bad_payments, payments)
-        counted = keep(metrics, "analytics.pipeline_metrics").first()
-        check_gate({name: counted[name] for name in ("quarantined_orders", "quarantined_payments")}, settings.max_errors)
+        refined = deltas.refine(warehouse, run, settings.on_duplicate, settings.max_layers)
+        run.covers, run.mode, run.layers, run.counts = len(run.base.loads), settings.on_duplicate, refined.layers, refined.counts
+        keep(metrics_row(warehouse.spark, days, now, run.counts), "analytics.pipeline_metrics")
+        check_gate({name: run.counts[name] for name in ("quarantined_orders", "quarantined_payments")}, settings.max_errors)
 
         # Window of the fact, checked before anything is published.
-        placed = keep(model.placed_orders(orders, as_of, days), "work.window_orders")
-        window = keep(model.with_payments(placed, model.payments_of(placed, payments)), "work.fact_window")
+        placed = keep(model.placed_orders(refined.orders, as_of, days), "work.window_orders")
+        window = model.with_payments(placed, model.payments_of(placed, refined.payments))
+        window, counted = warehouse.write_counted(window, "work.fact_window", run.run_id, key)
         assert_key(window, key, "the fact window")
 
         # Dimensions.
-        customers = warehouse.read("raw.customers", schemas.RAW_CUSTOMERS)
-        products = warehouse.read("raw.products", schemas.RAW_PRODUCTS)
+        customers = warehouse.read("raw.customers", schemas.RAW_CUSTOMERS, run.base.loads)
+        products = warehouse.read("raw.products", schemas.RAW_PRODUCTS, run.base.loads)
         keep(model.dim_customer(customers), "analytics.dim_customer")
         keep(model.dim_product(products), "analytics.dim_product")
-        keep(model.dim_date(orders), "analytics.dim_date")
-
-        # The days of the fact that change, written beside the old ones, and the anomalies of the fact as it will be.
-        before = warehouse.fact_days()
-        rebuild = (warehouse.fact_of(before), window, key, "order_day", as_of, days)
-        moved = moved_days(*rebuild)
-        changed = conform(rebuilt_days(*rebuild, moved, checked=True), schemas.FACT_ORDERS)
-        filled = warehouse.write_fact_days(changed, run.run_id)
-        start = cutoff(as_of, days)
-        stale = {day for day, _ in before if day is not None and day >= start} | moved | filled
-        after = [(day, run_id) for day, run_id in before if day not in stale] + [(day, run.run_id) for day in filled]
-        warehouse.write_days_list(after, run.run_id)
-        known = [day for day, _ in after]
-        scored = history_start(known, as_of, days)
-        recent = warehouse.fact_of([(day, run_id) for day, run_id in after if day is not None and day >= scored])
-        log = reports.anomaly_log(recent, as_of, days, run.run_id, now, settings.anomaly, known)
-        keep(log.drop("run_id"), "analytics.revenue_anomaly_log")
+        keep(model.dim_date(refined.order_days), "analytics.dim_date")
+
+        def publish(base: RunEntry | None) -> None:
+            """The days of the fact that change, written beside the old ones, and the anomalies of the fact as it will be."""
+            before, start = warehouse.fact_days(base) if base else [], cutoff(as_of, days)
+            # Only days whose range of keys reaches into that of the window can lose a row to it.
+            opened = [d for d in before if (d.order_day is None or d.order_day < start) and overlap(d.keys, counted.ranges["order_id"])]
+            moved = moved_days(warehouse.fact_of(opened), window, key, "order_day", as_of, days)
+            affected = warehouse.fact_of([d for d in opened if d.order_day in moved])
+            changed = conform(rebuilt_days(affected, window, key, "order_day", as_of, days, moved, checked=True), schemas.FACT_ORDERS)
+            filled = warehouse.write_fact_days(changed, run.run_id)
+            replaced = moved | {d.order_day for d in filled}
+            stale = {d.order_day for d in before if d.order_day is not None and d.order_day >= start} | replaced
+            after = [d for d in before if d.order_day not in stale] + filled
+            warehouse.write_days_list(after, run.run_id)
+            totals = warehouse.newest(FACT_DAYS, schemas.FACT_DAYS, RunEntry(run.run_id, now, now, days))
+            log = reports.anomaly_log_of_totals(totals, as_of, days, run.run_id, now, settings.anomaly)
+            keep(log.drop("run_id"), "analytics.revenue_anomaly_log")
+
+        publish(run.base.newest_run())
+        run.rebase = publish
     if settings.keep_runs is not None:
         warehouse.drop_old_runs(settings.keep_runs)
     return run.run_id

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame
@@ -10,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse import schemas
 from tallyhouse.functions import moment, ratio, to_scale
-from tallyhouse.operators.trends import AnomalyRule, anomalies_in_window, flagged_days
+from tallyhouse.operators.trends import AnomalyRule, anomalies_in_window, anomalies_of, daily_series, flagged, flagged_days, scored_series
 
 
 def kpi_summary(fact: DataFrame) -> DataFrame:
@@ -65,15 +64,21 @@ def anomaly_log(
     run_id: str,
     detected_at: datetime,
     rule: AnomalyRule = AnomalyRule(),
-    known: Collection[date | None] | None = None,
 ) -> DataFrame:
     """Rows a run adds to the anomaly log: anomalous days of its window."""
-    return anomalies_in_window(fact, as_of, days, rule, known=known).select(
-        F.lit(run_id).alias("run_id"),
-        moment(detected_at).alias("detected_at"),
-        "order_day",
-        *_rounded_scores(),
-    )
+    return _logged(anomalies_in_window(fact, as_of, days, rule), run_id, detected_at)
+
+
+def anomaly_log_of_totals(
+    totals: DataFrame, as_of: date, days: int, run_id: str, detected_at: datetime, rule: AnomalyRule = AnomalyRule()
+) -> DataFrame:
+    """``anomaly_log`` from totals of the days, without the fact."""
+    return _logged(anomalies_of(scored_series(daily_series(totals)), as_of, days, rule), run_id, detected_at)
+
+
+def _logged(anomalies: DataFrame, run_id: str, detected_at: datetime) -> DataFrame:
+    stamp = [F.lit(run_id).alias("run_id"), moment(detected_at).alias("detected_at")]
+    return anomalies.select(*stamp, "order_day", *_rounded_scores())
 
 
 def revenue_anomaly_daily(fact: DataFrame, rule: AnomalyRule = AnomalyRule()) -> DataFrame:
@@ -102,3 +107,30 @@ def metrics_trend(metrics: DataFrame) -> DataFrame:
         percent("quarantined_orders", "raw_orders_count").alias("orders_quarantine_pct"),
         percent("quarantined_payments", "raw_payments_count").alias("payments_quarantine_pct"),
     ).orderBy("run_timestamp")
+
+
+# The same reports from totals of the days, as a warehouse keeps them for its fact; they read a row per day.
+
+
+def kpi_of_totals(totals: DataFrame) -> DataFrame:
+    orders = F.coalesce(F.sum("orders"), F.lit(0).cast("long"))
+    revenue = F.coalesce(F.sum("revenue"), F.lit(0).cast("decimal(20,2)"))
+    return totals.agg(orders.alias("total_orders"), revenue.cast("decimal(20,2)").alias("total_revenue"))
+
+
+def daily_revenue_of_totals(totals: DataFrame) -> DataFrame:
+    return totals.select("order_day", "revenue").orderBy(F.desc_nulls_first("order_day"))
+
+
+def orders_per_day_of_totals(totals: DataFrame) -> DataFrame:
+    return totals.select("order_day", F.col("orders").alias("order_count")).orderBy(F.asc_nulls_last("order_day"))
+
+
+def payment_status_of_totals(totals: DataFrame) -> DataFrame:
+    counted = totals.select(F.explode("statuses").alias("payment_status", "orders"))
+    summed = counted.groupBy("payment_status").agg(F.sum("orders").alias("count"))
+    return summed.orderBy(F.desc("count"), "payment_status")
+
+
+def revenue_anomaly_of_totals(totals: DataFrame, rule: AnomalyRule = AnomalyRule()) -> DataFrame:
+    return flagged(scored_series(daily_series(totals)), rule).select("order_day", *_rounded_scores(), "is_anomaly")

@@ -40,8 +40,19 @@ QUARANTINE_PAYMENTS = T.StructType(PAYMENTS_CSV.fields + _VERDICT.fields)
 FACT_ORDERS = _schema(
     order_id=STRING, customer_id=STRING, order_day=DATE, order_total=MONEY, payment_status=STRING, payment_amount=MONEY
 )
-# Which run wrote each day of the fact.
-FACT_DAYS = _schema(order_day=DATE, version=STRING)
+# Which run wrote each day of the fact, totals of the day, and the range of its keys.
+FACT_DAYS = _schema(
+    order_day=DATE,
+    version=STRING,
+    orders=LONG,
+    revenue=T.DecimalType(20, 2),
+    paid=T.DecimalType(20, 2),
+    lowest=STRING,
+    highest=STRING,
+    statuses=T.MapType(STRING, LONG),
+)
+# How many clean orders each day has.
+ORDER_DAYS = _schema(order_date=DATE, orders=LONG)
 DIM_CUSTOMER = CUSTOMERS_CSV
 DIM_PRODUCT = PRODUCTS_CSV
 DIM_DATE = _schema(date_day=DATE, year=INT, month=INT, day=INT, day_of_week=INT)

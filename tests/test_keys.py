@@ -57,6 +57,16 @@ def test_duplicates_of_hot_key_copies_and_null_keys(monkeypatch, skewed, skewed_
     assert bag(duplicates(skewed, ["k"], ["v"], repeated_keys(skewed, ["k"]))) == expected
 
 
+def test_a_shuffled_input_is_ranked_once(monkeypatch, spark, skewed_rows):
+    """A hot key in an input out of a shuffle, cut into many slices: every row but the first once, from one evaluation."""
+    monkeypatch.setattr(keys_module, "ROWS_PER_SLICE", 3)
+    counts = [(k, n) for k, n in Counter(r[0] for r in skewed_rows).items() if n > 1]
+    shuffled = spark.createDataFrame(skewed_rows, "k string, v int, t string").repartition(13)
+    found = duplicates(shuffled, ["k"], ["v"], spark.createDataFrame(counts, "k string, copies long"))
+    assert bag(found) == brute_duplicates(skewed_rows)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Repartition") == 1
+
+
 def test_every_key_is_sliced_by_its_count(monkeypatch, spark):
     """No list of hot keys: each of 400 equal ones is cut up."""
     monkeypatch.setattr(keys_module, "ROWS_PER_SLICE", 5)

@@ -1,0 +1,166 @@
+"""Loads and runs that overlap: one row per key, no lost file, and clean-ups that spare what is going on."""
+
+from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime
+
+import pytest
+from test_loads import NOW, ORDERS_HEADER, PAYMENTS_HEADER, base_files, write  # noqa: F401
+from test_pipeline import AS_OF, PREVIOUS, add_orders, add_payments, at, fact_rows, publish, small_warehouse
+
+from tallyhouse import schemas
+from tallyhouse.plans.loads import bootstrap, load_daily
+from tallyhouse.plans.pipeline import Settings, run_pipeline
+from tallyhouse.plans.runs import RunOvertaken, tracked_run
+from tallyhouse.sources.manifests import Layer, LoadEntry, Manifest, Manifests, Part, RunEntry, overlap
+from tallyhouse.sources.warehouse import Warehouse
+
+
+@pytest.fixture
+def before_commit(monkeypatch):
+    """Do something when the next commit is about to be made, as another session would."""
+
+    def install(other):
+        plain = Manifests.commit
+
+        def commit(self, change):
+            monkeypatch.setattr(Manifests, "commit", plain)
+            other()
+            return plain(self, change)
+
+        monkeypatch.setattr(Manifests, "commit", commit)
+
+    return install
+
+
+def ids(warehouse):
+    orders = warehouse.read("raw.orders", schemas.RAW_ORDERS).collect()
+    payments = warehouse.read("raw.payments", schemas.RAW_PAYMENTS).collect()
+    return Counter(r.order_id for r in orders), Counter(r.payment_id for r in payments)
+
+
+@pytest.fixture
+def daily(tmp_path):
+    one = write(tmp_path / "o1.csv", ORDERS_HEADER, "O3,C1,2024-01-03 00:00:00,2", "O4,C1,2024-01-03 00:00:00,2")
+    two = write(tmp_path / "o2.csv", ORDERS_HEADER, "O4,C1,2024-01-03 00:00:00,9", "O5,C1,2024-01-03 00:00:00,9")
+    paid = write(tmp_path / "p.csv", PAYMENTS_HEADER, "Y3,O3,paid,2")
+    return one, two, paid
+
+
+def test_a_manifest_is_written_once(spark, tmp_path):
+    manifests = Manifests(spark, str(tmp_path / "m"))
+    moment = datetime(2024, 1, 1, 1, 2, 3, 4)
+    first = Manifest(1, (LoadEntry("L", {"t": Part("f", 2, {"a": ("x", "yy"), "b": None}, {"a": 0, "b": 2})}),))
+    second = Manifest(1, (), (RunEntry("R", moment, moment, 7, 1, "drop_all", (Layer("R", {"order_id": 0}),), {"n": 1}),))
+    assert manifests.newest() == Manifest() and manifests.put(first) and not manifests.put(second)
+    assert manifests.newest() == first and Manifest.of(second.text()) == second
+    assert manifests.commit(lambda newest: second) == manifests.newest() and manifests.numbers() == [1, 2]
+    manifests.trim(1)
+    assert manifests.numbers() == [2]
+
+
+def test_ranges_are_ordered_by_length_first():
+    assert overlap(("O9", "O10"), ("O10", "O11")) and not overlap(("O2", "O9"), ("O10", "O99"))
+    assert not overlap(None, ("a", "b")) and Part("f", 1, {"a": None}, {"a": 1}).may_hold("a", None, True)
+
+
+def test_two_loads_of_one_file_at_once(spark, tmp_path, base_files, daily, before_commit):  # noqa: F811
+    one, two, paid = daily
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    bootstrap(warehouse, base_files, NOW)
+    before_commit(lambda: load_daily(warehouse, one, paid, NOW))
+    load_daily(warehouse, two, paid, NOW)
+    assert ids(warehouse) == (Counter(["O1", "O1", "O2", "O3", "O4", "O5"]), Counter(["Y1", "Y2", "Y3"]))
+    assert len(warehouse.loads()) == 3
+    totals = {r.order_id: float(r.order_total) for r in warehouse.read("raw.orders", schemas.RAW_ORDERS).collect()}
+    assert totals["O4"] == 2  # the row of the load that was committed first
+    before_commit(lambda: load_daily(warehouse, one, paid, NOW))
+    load_daily(warehouse, one, paid, NOW)
+    assert ids(warehouse)[0] == Counter(["O1", "O1", "O2", "O3", "O4", "O5"])
+
+
+def test_loads_in_threads(spark, tmp_path, base_files, daily):  # noqa: F811
+    one, two, paid = daily
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    bootstrap(warehouse, base_files, NOW)
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda csv: load_daily(warehouse, csv, paid, NOW), [one, two, one, two]))
+    assert ids(warehouse) == (Counter(["O1", "O1", "O2", "O3", "O4", "O5"]), Counter(["Y1", "Y2", "Y3"]))
+
+
+def test_two_first_loads_at_once(spark, tmp_path, base_files, before_commit):  # noqa: F811
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    before_commit(lambda: bootstrap(warehouse, base_files, NOW))
+    assert bootstrap(warehouse, base_files, NOW) == []
+    assert ids(warehouse) == (Counter(["O1", "O1", "O2"]), Counter(["Y1", "Y2"]))
+
+
+def test_an_error_after_the_commit_takes_nothing_back(spark, tmp_path, monkeypatch):
+    warehouse = small_warehouse(spark, tmp_path)
+    plain = Manifests.put
+
+    def put(self, manifest):
+        plain(self, manifest)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(Manifests, "put", put)
+    with pytest.raises(RuntimeError):
+        add_orders(warehouse, [("C", "c", "2024-01-30", 1)])
+    with pytest.raises(RuntimeError):
+        run_pipeline(warehouse, AS_OF, now=at(AS_OF))
+    monkeypatch.undo()
+    assert ids(warehouse)[0]["C"] == 1 and ("C", "2024-01-30", None) in fact_rows(warehouse)
+    assert [r.status for r in warehouse.runs().collect()] == ["success"]
+
+
+def test_two_runs_at_once(spark, tmp_path, before_commit):
+    """The run that is committed second builds its fact on that of the first, and neither clean-up costs a file."""
+    warehouse = small_warehouse(spark, tmp_path)
+    publish(warehouse, PREVIOUS)
+    before_commit(lambda: run_pipeline(warehouse, AS_OF, now=at(AS_OF, 7)))
+    run_pipeline(warehouse, AS_OF, Settings(window_days=2), now=at(AS_OF, 6))
+    rows = [r.order_id for r in warehouse.fact().collect()]
+    assert sorted(rows) == ["A", "B", "OLDER", "UNDATED"]
+    assert Counter(r.status for r in warehouse.runs().collect()) == {"success": 3}
+    assert warehouse.newest("staging.orders_clean", schemas.RAW_ORDERS).count() == 3
+    run_pipeline(warehouse, AS_OF, now=at(AS_OF, 8))
+    assert sorted(r.order_id for r in warehouse.fact().collect()) == ["A", "B", "OLDER", "UNDATED"]
+
+
+def test_a_run_that_has_seen_less_gives_way(spark, tmp_path, before_commit):
+    warehouse = small_warehouse(spark, tmp_path)
+
+    def other():
+        add_orders(warehouse, [("C", "c", "2024-01-30", 1)])
+        run_pipeline(warehouse, AS_OF, now=at(AS_OF, 7))
+
+    before_commit(other)
+    with pytest.raises(RunOvertaken):
+        run_pipeline(warehouse, AS_OF, now=at(AS_OF, 6))
+    assert ("C", "2024-01-30", None) in fact_rows(warehouse)
+    assert Counter(r.status for r in warehouse.runs().collect()) == {"success": 1, "failed": 1}
+
+
+def test_a_load_during_a_run_waits_for_the_next_run(spark, tmp_path, before_commit):
+    warehouse = small_warehouse(spark, tmp_path)
+    before_commit(lambda: add_payments(warehouse, [("pOLD", "OLD", 5)]))
+    run_pipeline(warehouse, AS_OF, now=at(AS_OF, 6))
+    assert warehouse.newest("staging.payments_clean", schemas.RAW_PAYMENTS).count() == 2
+    run_pipeline(warehouse, AS_OF, now=at(AS_OF, 7))
+    assert warehouse.newest("staging.payments_clean", schemas.RAW_PAYMENTS).count() == 3
+
+
+def test_clean_up_spares_a_run_that_is_going(spark, tmp_path):
+    warehouse = small_warehouse(spark, tmp_path)
+    run_pipeline(warehouse, AS_OF, now=at(AS_OF, 5))
+    with pytest.raises(RuntimeError, match="stop"):
+        with tracked_run(warehouse, 7, at(AS_OF, 6)) as going:
+            warehouse.write_run(spark.range(1), "work.window_orders", going.run_id)
+            run_pipeline(warehouse, AS_OF, now=at(AS_OF, 7))
+            run_pipeline(warehouse, AS_OF, now=at(AS_OF, 8))
+            assert warehouse.exists(warehouse.path("work.window_orders", going.run_id))
+            assert len(warehouse.fact_days(going.base.newest_run())) == 2
+            assert warehouse.fact_of(warehouse.fact_days(going.base.newest_run())).count() == 2
+            raise RuntimeError("stop")
+    last = run_pipeline(warehouse, AS_OF, now=at(AS_OF, 9))
+    assert warehouse._folders(warehouse.path("work.window_orders")) == [f"run_id={last}"]
