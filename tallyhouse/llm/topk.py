@@ -20,8 +20,10 @@ from tallyhouse.llm.common import kept
 
 LEVELS = 256
 ROUNDS = 8
-#: Largest component after scaling; beyond it scores could leave 64 bits.
-MOST = 1 << 27
+#: Largest component after scaling; one beyond it counts as this.
+MOST = 1 << 61
+#: Scores are 64-bit numbers; a greater sum is shown as the last one there is.
+LAST = (1 << 63) - 1
 
 
 def scaled(vectors: DataFrame, vector: str, by: int) -> Column:
@@ -29,7 +31,7 @@ def scaled(vectors: DataFrame, vector: str, by: int) -> Column:
     x = F.col(vector).cast("array<double>")
     odd = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
     limit = lambda c: F.greatest(F.lit(float(-MOST)), F.least(F.lit(float(MOST)), c * by))
-    return F.when(~odd, F.transform(x, lambda c: F.floor(limit(c)).cast("int")))
+    return F.when(~odd, F.transform(x, lambda c: F.floor(limit(c)).cast("long")))
 
 
 def matrix(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -39,12 +41,17 @@ def matrix(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
         best[vec_id] = max(best.get(vec_id, ()), tuple(vector)) if vec_id in best else tuple(vector)
     ids = np.array(sorted(best), np.int64)
     width = max(1, max((len(v) for v in best.values()), default=1))
-    data = np.zeros((len(ids), width), np.int32)
+    data = np.zeros((len(ids), width), np.int64)
     for i, vec_id in enumerate(ids.tolist()):
         data[i, : len(best[vec_id])] = best[vec_id]
     return ids, data
 
 
+def narrow(data: np.ndarray) -> np.ndarray:
+    """The numbers in 32 bits where they fit."""
+    return data.astype(np.int32) if not data.size or (data.min() >= -(1 << 31) and data.max() < 1 << 31) else data
+
+
 @dataclass
 class Block:
     """The index of one block.
@@ -63,22 +70,25 @@ class Block:
 
     @classmethod
     def build(cls, ids: np.ndarray, data: np.ndarray) -> Block:
-        low = data.min(axis=0).astype(np.int64)
+        low = data.min(axis=0)
         step = (data.max(axis=0) - low + 1) / LEVELS
-        order = np.argsort(-data.astype(np.int64), axis=0, kind="stable").T
+        order = np.argsort(-data, axis=0, kind="stable").T
         level = np.minimum((np.take_along_axis(data.T, order, axis=1) - low[:, None]) / step[:, None], LEVELS - 1).astype(np.uint8)
         upto = np.stack([len(ids) - np.searchsorted(row[::-1], np.arange(LEVELS + 1)) for row in level.astype(np.int32)])
-        return cls(ids, data, order.astype(np.uint32), level, upto.astype(np.int64), low, step)
+        return cls(ids, narrow(data), order.astype(np.uint32), level, upto.astype(np.int64), low, step)
 
     FIELDS = {"ids": np.int64, "data": np.int32, "order": np.uint32, "level": np.uint8, "upto": np.int64, "low": np.int64, "step": np.float64}
 
     def stored(self) -> dict[str, bytes]:
-        return {name: np.ascontiguousarray(getattr(self, name), kind).tobytes() for name, kind in self.FIELDS.items()}
+        kinds = self.FIELDS | {"data": self.data.dtype}
+        return {name: np.ascontiguousarray(getattr(self, name), kind).tobytes() for name, kind in kinds.items()}
 
     @classmethod
     def load(cls, row: pd.Series) -> Block:
-        arrays = {name: np.frombuffer(row[name], kind) for name, kind in cls.FIELDS.items()}
-        n, width = len(arrays["ids"]), len(arrays["low"])
+        n, width = len(row["ids"]) // 8, len(row["low"]) // 8
+        wide = len(row["data"]) > 4 * n * width
+        kinds = cls.FIELDS | ({"data": np.int64} if wide else {})
+        arrays = {name: np.frombuffer(row[name], kind) for name, kind in kinds.items()}
         for name, shape in (("data", (n, width)), ("order", (width, n)), ("level", (width, n)), ("upto", (width, LEVELS + 1))):
             arrays[name] = arrays[name].reshape(shape)
         return cls(**arrays)
@@ -94,7 +104,14 @@ class Block:
         if valid.sum() > k:
             possible = self.possible(q, valid, k)
         rows = np.flatnonzero(possible)
-        scores = self.data[rows].astype(np.int64) @ q
+        # The last 64 bits of a sum are right whatever happens on the way, so only its own size matters.
+        ends = np.maximum(np.abs(self.low.astype(np.float64)), np.abs(self.low + self.step * LEVELS))
+        if float(ends @ np.abs(q.astype(np.float64))) < float(1 << 62):
+            scores = self.data[rows].astype(np.int64) @ q
+        else:
+            whole = q.tolist()
+            exact = [sum(a * b for a, b in zip(row, whole)) for row in self.data[rows].tolist()]
+            scores = np.array([max(-LAST, min(LAST, x)) for x in exact], np.int64)
         best = np.lexsort((self.ids[rows], -scores))[:k]
         return self.ids[rows[best]], scores[best]
 
@@ -158,7 +175,8 @@ def search(
 ) -> DataFrame:
     """The k best inner products of every query with all other rows: query_id, rank, vec_id, score.
 
-    ``vectors`` has vec_id and a vector, whose components become floor(by * x), at most 2^27 either way. ``queries`` picks the
+    ``vectors`` has vec_id and a vector, whose components become floor(by * x), at most 2^61 either way; a score
+    beyond 64 bits is shown as the last number of its sign there is. ``queries`` picks the
     query rows by vec_id. Every row but the query's own is a candidate; ties go to the smaller vec_id. Vectors
     that are null or hold null or non-finite components, and rows without vec_id, take no part. Rows that share a vec_id count
     as one, with the greatest of their vectors. A vector counts as zero beyond its length. Fewer candidates than k

@@ -20,7 +20,8 @@ def brute(rows, is_query, k):
     out = set()
     for q, a in usable.items():
         if is_query(q):
-            best = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in usable.items() if i != q)[:k]
+            score = lambda b: max(-topk.LAST, min(topk.LAST, sum(x * y for x, y in zip(a, b))))  # noqa: E731, B023
+            best = sorted((-score(b), i) for i, b in usable.items() if i != q)[:k]
             out |= {(q, rank, i, -s) for rank, (s, i) in enumerate(best, 1)}
     return out
 
@@ -79,3 +80,32 @@ def test_query(spark):
 def test_query_against_sql(spark):
     folder = "/root/testdata/sf0.01"
     assert difference(op2_topk(spark, folder), connect(folder), oracle_sql()["op2_topk"]) == ""
+
+
+def test_large_components(spark):
+    """Components from 1e5 to 1e9 and beyond, repeated ids and unequal lengths, against whole numbers of any size."""
+    import math
+    import random
+
+    rng = random.Random(5)
+    rows = [(i, [rng.choice([-1, 1]) * 10 ** rng.uniform(-1, rng.choice([5, 9])) for _ in range(rng.choice([2, 3, 4]))]) for i in range(0, 700, 7)]
+    rows += [(0, [1.0, 0.0]), (1, [200000.0, 0.0]), (2, [150000.0, 0.0]), (3, [1e300, 1.0]), (4, [-1e300, 1.0])]
+    best = {}
+    for i, v in rows:
+        v = tuple(max(-(1 << 61), min(1 << 61, math.floor(1024 * x))) for x in v)
+        best[i] = max(best.get(i, v), v)
+    last = (1 << 63) - 1
+    expected = {}
+    for q, v in best.items():
+        if q % 100 == 0:
+            scores = [(-max(-last, min(last, sum(a * b for a, b in zip(v, w)))), i) for i, w in best.items() if i != q]
+            expected |= {(q, r + 1): (i, -score) for r, (score, i) in enumerate(sorted(scores)[:10])}
+    for block in (16384, 20):
+        got = topk.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 100 == 0, 10, block_rows=block)
+        assert {(r.query_id, r.rank): (r.vec_id, r.score) for r in got.collect()} == expected
+
+
+def test_scores_that_were_clipped_once(spark):
+    rows = [(0, [1.0, 0.0]), (1, [200000.0, 0.0]), (2, [150000.0, 0.0])]
+    got = topk.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, 10).collect()
+    assert [(r.vec_id, r.score) for r in got] == [(1, 209715200000), (2, 157286400000)]
