@@ -9,11 +9,13 @@ entries look up the ball around their whole fingerprint instead, which finds tru
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,17 +43,19 @@ def fingerprint(text: bytes, width: int) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id and the 64-bit fingerprint of every text, as a signed long; a text without words has 0."""
+def fingerprints(docs: DataFrame, width: int, also: Sequence[str] = ()) -> DataFrame:
+    """doc_id and the 64-bit fingerprint of every text, as a signed long; a text without words has 0. ``also`` names further
+    columns of longs to hand on."""
 
     def task():
         def rows(batch: pa.RecordBatch) -> dict:
             found = [fingerprint(x.as_py(), width) for x in batch.column("utf8")]
-            return {"doc_id": batch.column("doc_id"), "fp": found}
+            return {"doc_id": batch.column("doc_id"), "fp": found} | {name: batch.column(name) for name in also}
 
         return rows
 
-    return by_batch(docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("utf8")), task, "doc_id long, fp long")
+    columns = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("utf8"), *also)
+    return by_batch(columns, task, ", ".join(["doc_id long", "fp long", *[f"{name} long" for name in also]]))
 
 
 def ball(width: int, radius: int) -> list[int]:
@@ -154,14 +158,21 @@ def near_groups(docs: DataFrame, width: int, bits: int) -> DataFrame:
     empty texts share fingerprint 0. A null doc_id names no component; where a component has no other, its
     component_id is null. Repeated rows are kept. Other columns are not read. An empty table gives no rows.
     """
-    found = kept(fingerprints(docs, width), "fingerprints")
+    found, labels = labelled(docs, width, bits)
+    return found.join(labels, "fp").select("doc_id", "fp", "component_id")
+
+
+def labelled(docs: DataFrame, width: int, bits: int, also: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """The fingerprint of every row, and of every fingerprint its component: by one of its fingerprints, and by its smallest doc_id."""
+    found = kept(fingerprints(docs, width, also), "fingerprints")
     entries = kept(found.groupBy("fp").agg(F.min("doc_id").alias("least")), "entries")
     rooted = kept(roots(links(entries.select("fp"), bits)), "roots")
     named = rooted.join(entries.withColumnRenamed("fp", "node"), "node").groupBy("root").agg(F.min("least").alias("component"))
-    grouped = rooted.join(named, "root").select(F.col("node").alias("fp"), "component")
+    grouped = rooted.join(named, "root").select(F.col("node").alias("fp"), "root", "component")
     # Written, so that both sides of the last join come straight from a shuffle, where Spark splits a hot fingerprint.
-    labels = kept(entries.join(grouped, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id")), "labels")
-    return found.join(labels, "fp").select("doc_id", "fp", "component_id")
+    component = F.coalesce("component", "least").alias("component_id")
+    labels = entries.join(grouped, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), component)
+    return found, kept(labels, "labels")
 
 
 def digests(groups: DataFrame) -> DataFrame:
@@ -169,18 +180,21 @@ def digests(groups: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, width: int, bits: int) -> DataFrame:
-    """``docs`` with the row of the smallest doc_id of each near-duplicate group, and one row for each doc_id.
+    """``docs`` with one row of each near-duplicate group: the one of the smallest doc_id, a missing one last, then by its place.
 
-    Only the ids of rows that go are joined with the texts. Rows without doc_id cannot be told apart and stay.
+    A row is known by its place, the file and row it is read from, so rows that share a doc_id, or have none, are told apart:
+    of each group exactly one row stays, whatever the ids, and rows of other groups are not looked at. A table that does not come
+    from files is written first. Only the places of rows that go are joined with the texts.
     """
-    groups = near_groups(docs, width, bits).where(F.col("doc_id").isNotNull())
-    marked = groups.groupBy("doc_id").agg(
-        F.min(F.when(F.col("doc_id") == F.col("component_id"), 0).otherwise(1)).alias("goes"), F.count("*").alias("times")
-    )
-    marked = kept(marked.where((F.col("goes") == 1) | (F.col("times") > 1)), "marked")
-    key = docs["doc_id"].cast("long") == F.col("marked_id")
-    once = docs.join(marked.select(F.col("doc_id").alias("marked_id")), key, "left_anti")
-    repeated = marked.where(F.col("goes") == 0).select(F.col("doc_id").alias("marked_id"))
-    if repeated.isEmpty():
-        return once
-    return once.unionByName(docs.join(repeated, key, "left_semi").dropDuplicates(["doc_id"]))
+    place = [F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+    names = docs.columns
+    try:
+        placed = docs.select("*", *place)
+    except AnalysisException:
+        placed = kept(docs, "texts").select("*", *place)
+    found, labels = labelled(placed, width, bits, ["_file", "_row"])
+    grouped = found.join(labels.select("fp", "root"), "fp")
+    first = grouped.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "_file", "_row")).alias("first"))
+    stays = (F.col("_file") == F.col("first._file")) & (F.col("_row") == F.col("first._row"))
+    goes = kept(grouped.join(first, "root").where(~stays).select("_file", "_row"), "going")
+    return placed.join(goes, ["_file", "_row"], "left_anti").select(*names)

@@ -101,7 +101,21 @@ def test_one_of_each(spark):
     df = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, component_id string, goes int")
     got = simhash.one_of_each(df, 3, 2)
     assert got.columns == df.columns
-    assert sorted(str(r.doc_id) for r in got.collect()) == ["1", "2", "7", "None"]
+    assert sorted(str(r.doc_id) for r in got.collect()) == ["1", "2", "7"]
+
+
+def test_one_of_each_loses_no_text_of_a_shared_or_missing_id(spark, tmp_path):
+    texts = ["first words of one", "some other matter here", "first words of one", "no id at all", "no id at all", "yet another text", "some other matter here"]
+    ids = [1, 1, 1, None, None, None, 4]
+    spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string").repartition(4).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    for df in (docs, docs.select("doc_id", "text"), docs.union(docs)):
+        got = simhash.one_of_each(df, 3, 2).collect()
+        assert sorted((str(r.doc_id), r.text) for r in got) == sorted(
+            [("1", texts[0]), ("1", texts[1]), ("None", texts[3]), ("None", texts[5])]
+        )
+        assert sorted(map(str, simhash.one_of_each(df, 3, 2).collect())) == sorted(map(str, got))  # a rerun keeps the same rows
+    assert "texts-" not in simhash.one_of_each(docs.select("doc_id", "text"), 3, 2)._jdf.queryExecution().toString()
 
 
 def test_empty_table(spark):
