@@ -7,28 +7,28 @@ penalties; a part of the sample that it is not fitted on sets the temperature of
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import by_batch
 
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 UNKNOWN = "und"
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``per_language``: expected number of different sample texts per language. ``languages``: the most languages learned, the
-    most frequent ones. ``features``: hash buckets of n-grams."""
+    """``per_language``: expected number of different sample texts per language, less where all languages together would have more
+    than ``sample_texts``. ``features``: hash buckets of n-grams."""
 
     per_language: int = 600
-    languages: int = 256
+    sample_texts: int = 150_000
     features: int = 1 << 14
     lengths: tuple[int, ...] = (1, 2, 3)
     epochs: int = 3
@@ -85,10 +85,11 @@ def document_frequencies(docs: DataFrame, settings: Settings) -> tuple[np.ndarra
 
 
 def sample(docs: DataFrame, settings: Settings) -> tuple[list[str], DataFrame]:
-    """The languages learned, and about ``per_language`` different texts of each, picked by the text's hash."""
-    sizes = docs.groupBy("lang").agg(F.count("*").alias("rows"), F.count_distinct(F.xxhash64("text")).alias("texts"))
-    found = sizes.orderBy(F.col("rows").desc(), "lang").limit(settings.languages).collect()
-    rates = {r["lang"]: settings.per_language / r["texts"] for r in found}
+    """All languages there are, and about ``per_language`` different texts of each, picked by the text's hash."""
+    sizes = docs.groupBy("lang").agg(F.count_distinct(F.xxhash64("text")).alias("texts"))
+    found = sizes.select("lang", "texts").collect()
+    each = min(settings.per_language, settings.sample_texts / max(1, len(found)))
+    rates = {r["lang"]: each / r["texts"] for r in found}
     if not rates:
         return [], docs.limit(0)
     steps = 1 << 30

@@ -82,3 +82,16 @@ def test_copies_leave_the_sample_its_size(spark):
     languages, picked = langid.sample(spark.createDataFrame(rows, "lang string, text string"), langid.Settings(per_language=150))
     counted = {r["lang"]: r["count"] for r in picked.groupBy("lang").count().collect()}
     assert languages == ["en", "fr"] and 110 < counted["en"] < 190 and counted["fr"] == 100
+
+
+def test_numeric_signs_are_no_letters():
+    assert not any(langid.LETTER.search(x) for x in ("½ ²", "１２ ① 3", "_ 7 Ⅷ", "٣", "\u0301", "🙂"))
+    assert all(langid.LETTER.search(x) for x in ("é", "日", "ª", "ʰ", "１a"))
+
+
+def test_every_language_is_learned(spark):
+    rows = [(f"l{i:03d}", f"text {i} {j}") for i in range(300) for j in range(2)]
+    languages, picked = langid.sample(spark.createDataFrame(rows, "lang string, text string"), langid.Settings())
+    assert len(languages) == 300 and picked.count() == 600
+    few = langid.sample(spark.createDataFrame(rows, "lang string, text string"), langid.Settings(sample_texts=300))
+    assert len(few[0]) == 300 and 220 < few[1].count() < 380
