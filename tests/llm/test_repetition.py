@@ -78,3 +78,26 @@ def test_query(spark):
     for r in op10_repetition(spark, "/root/testdata/sf0.001").collect():
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == plain(docs.pop(r.doc_id))[0]
     assert not docs
+
+
+def test_planted_repeats_between_clean_text_and_the_base_rule():
+    """A passage said twice in a text of its own words: long ones go although the base rule keeps them, short ones stay."""
+    words, powers, rules = repetition.Words(), repetition.Powers(), repetition.Rules()
+    caught = kept = 0
+    for seed in range(40):
+        passage = [f"p{seed}x{i}" for i in range(20 + seed % 5)]
+        own = [f"w{seed}x{i}" for i in range(80)]
+        planted = " ".join(own[:30] + passage + own[30:60] + passage + own[60:])
+        clean = " ".join(own + passage + own[:3] + [f"v{i}" for i in range(60)])
+        figures = repetition.measure(planted.encode(), words, powers, rules)
+        assert not figures[5]  # the base rule alone keeps it
+        caught += not figures[6]
+        kept += repetition.measure(clean.encode(), words, powers, rules)[6]
+    assert caught == kept == 40
+
+
+def test_clean_documents_stay(spark):
+    """The bounds reject few of the sample documents that the base rule keeps."""
+    judged = repetition.judge(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    passed, good = judged.where("not base_failed").count(), judged.where("kept").count()
+    assert 0.99 * passed <= good <= passed
