@@ -19,7 +19,7 @@ from pyspark.sql import types as T  # noqa: E402
 from tallyhouse import schemas  # noqa: E402
 from tallyhouse.operators import contracts, keys, merge, quality, trends  # noqa: E402
 from tallyhouse.plans import loads, model, reports  # noqa: E402
-from tallyhouse.plans.pipeline import Settings, published_contracts, run_pipeline  # noqa: E402
+from tallyhouse.plans.pipeline import Settings, published_contracts, published_tables, run_pipeline  # noqa: E402
 from tallyhouse.plans.runs import run_metrics, tracked_run  # noqa: E402
 from tallyhouse.plans.samples import EVENTS_AS_OF, ORDERS_AS_OF, WINDOW_DAYS, Samples  # noqa: E402
 from tallyhouse.schemas import conform  # noqa: E402
@@ -227,6 +227,24 @@ def _contracts(s: Samples) -> DataFrame:
     return reduce(DataFrame.unionByName, published_contracts(warehouse))
 
 
+CONTRACTS = """
+-- A check that passes, one that fails, and one without a row.
+SELECT 'orders_are_days' AS check_name, CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS status, count(*) AS failing_rows
+FROM {fact_orders} WHERE order_day IS NULL AND order_id IS NULL;
+SELECT 'no_quarantine' AS check_name, CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS status, count(*) AS failing_rows
+FROM {quarantine_orders} q JOIN {raw_orders} r ON q.order_id = r.order_id AND q.order_total = r.order_total;
+SELECT 'nothing' AS check_name, 'FAIL' AS status, 1 AS failing_rows FROM {pipeline_runs} WHERE status = 'failed';
+"""
+
+
+def _contracts_from_file(s: Samples) -> DataFrame:
+    """A user's file of contracts on a warehouse after a run."""
+    warehouse, path = _warehouse(s), new_folder(s.spark, "contracts")
+    run_pipeline(warehouse, ORDERS_AS_OF, now=RUN_AT)
+    s.spark.createDataFrame([(CONTRACTS,)], "value string").coalesce(1).write.text(path)
+    return reduce(DataFrame.unionByName, contracts.file_contracts(s.spark, path, published_tables(warehouse)))
+
+
 def _placed(df: DataFrame) -> DataFrame:
     """A sorted result with the place of each row, as it comes out."""
     return df.coalesce(1).withColumn("place", F.monotonically_increasing_id())
@@ -358,6 +376,7 @@ REGISTERED: dict[str, Callable[[Samples], DataFrame]] = {
     "run_states": _run_states,
     "run_outputs": _run_outputs,
     "contracts": _contracts,
+    "contracts_from_file": _contracts_from_file,
     "pipeline_metrics": _pipeline_metrics,
     "metrics_trend": lambda s: reports.metrics_trend(_yearly_metrics(s)),
     "latest_metrics": lambda s: contracts.latest_metrics(_yearly_metrics(s)),

@@ -3,7 +3,7 @@
     spark-submit tallyhouse/jobs.py bootstrap WAREHOUSE FOLDER
     spark-submit tallyhouse/jobs.py load-daily WAREHOUSE ORDERS_CSV PAYMENTS_CSV
     spark-submit tallyhouse/jobs.py run WAREHOUSE
-    spark-submit tallyhouse/jobs.py checks WAREHOUSE
+    spark-submit tallyhouse/jobs.py checks WAREHOUSE [--file CONTRACTS_SQL]
 
 ``run`` takes its window from --window-days, else from the environment's WINDOW_DAYS, else 7. The exit status is 0 if all went
 well and 1 if a contract, the quality gate or a key check failed; any other error ends the command as it is.
@@ -27,6 +27,7 @@ from tallyhouse.operators.keys import KeyViolation  # noqa: E402
 from tallyhouse.operators.quality import QualityGateBreached  # noqa: E402
 from tallyhouse.plans.loads import bootstrap, load_daily  # noqa: E402
 from tallyhouse.plans.pipeline import Settings, check_warehouse, run_pipeline  # noqa: E402
+from tallyhouse.plans.runs import RunOvertaken  # noqa: E402
 from tallyhouse.sources.warehouse import Warehouse  # noqa: E402
 
 
@@ -48,7 +49,7 @@ def parser() -> argparse.ArgumentParser:
     run.add_argument("--as-of", type=date.fromisoformat, default=None)
     run.add_argument("--max-errors", type=int, default=Settings.max_errors)
     run.add_argument("--on-duplicate", choices=["drop_all", "keep_first"], default=Settings.on_duplicate)
-    command("checks")
+    command("checks").add_argument("--file", default=None, help="Spark SQL statements to run in place of the library's checks")
     return top
 
 
@@ -70,11 +71,11 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
             settings = Settings(window_days=asked.window_days, max_errors=asked.max_errors, on_duplicate=asked.on_duplicate)
             print("run:", run_pipeline(warehouse, asked.as_of, settings))
         else:
-            show(check_warehouse(warehouse))
+            show(check_warehouse(warehouse, asked.file))
     except ContractsFailed as failed:
         show(failed.results)
         return 1
-    except (QualityGateBreached, KeyViolation) as failed:
+    except (QualityGateBreached, KeyViolation, RunOvertaken) as failed:
         print(failed)
         return 1
     return 0

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import ratio
@@ -67,9 +68,37 @@ def warehouse_contracts(fact: DataFrame, metrics: DataFrame, anomaly_log: DataFr
     ]
 
 
+COLUMNS = ["check_name", "status", "failing_rows"]
+
+
+def statements(text: str) -> list[str]:
+    """The statements of a contract file: each ends with a semicolon at the end of a line; lines that begin with -- are notes."""
+    lines = [line for line in text.splitlines() if not line.lstrip().startswith("--")]
+    return [part.strip() for part in re.split(r";[ \t]*(?:\n|$)", "\n".join(lines)) if part.strip()]
+
+
+def file_contracts(spark: SparkSession, path: str, tables: dict[str, DataFrame]) -> list[DataFrame]:
+    """The checks of a file of Spark SQL statements, which name tables in braces: SELECT ... FROM {fact_orders}.
+
+    Every statement has to return check_name, status (PASS or FAIL) and failing_rows, one row per check; a statement that
+    returns no row checks nothing. Another status fails the run.
+    """
+    text = "\n".join(row.value for row in spark.read.text(path, wholetext=True).collect())
+    found = []
+    for statement in statements(text):
+        named = {name: df for name, df in tables.items() if f"{{{name}}}" in statement}
+        checks = spark.sql(statement, **named)
+        if sorted(checks.columns) != sorted(COLUMNS):
+            raise ValueError(f"a contract returns {', '.join(COLUMNS)}, not {', '.join(checks.columns)}: {statement}")
+        known = F.when(F.col("status").isin("PASS", "FAIL"), F.col("status"))
+        status = F.coalesce(known, F.raise_error(F.concat(F.lit("a contract's status is PASS or FAIL, not "), F.coalesce("status", F.lit("NULL")))))
+        found.append(checks.select("check_name", status.alias("status"), F.col("failing_rows").cast("long").alias("failing_rows")))
+    return found
+
+
 def run_contracts(checks: Sequence[DataFrame]) -> list[tuple[str, str, int]]:
     """Run all checks in one job, then raise ``ContractsFailed`` if any failed."""
-    rows = [tuple(row) for row in reduce(DataFrame.unionByName, checks).collect()]
+    rows = [tuple(row) for row in reduce(DataFrame.unionByName, checks).collect()] if checks else []
     if any(status == "FAIL" for _, status, _ in rows):
         raise ContractsFailed(rows)
     return rows

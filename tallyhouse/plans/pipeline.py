@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from tallyhouse import schemas
 from tallyhouse.functions import cutoff
-from tallyhouse.operators.contracts import run_contracts, warehouse_contracts
+from tallyhouse.operators.contracts import file_contracts, run_contracts, warehouse_contracts
 from tallyhouse.operators.keys import assert_key
 from tallyhouse.operators.merge import moved_days, rebuilt_days
 from tallyhouse.operators.quality import check_gate
@@ -21,6 +21,24 @@ from tallyhouse.sources.manifests import RunEntry, overlap
 from tallyhouse.sources.warehouse import FACT_DAYS, Warehouse
 
 
+RAW = {
+    "raw.orders": schemas.RAW_ORDERS,
+    "raw.payments": schemas.RAW_PAYMENTS,
+    "raw.customers": schemas.RAW_CUSTOMERS,
+    "raw.products": schemas.RAW_PRODUCTS,
+}
+NEWEST = {
+    "raw.quarantine_orders": schemas.QUARANTINE_ORDERS,
+    "raw.quarantine_payments": schemas.QUARANTINE_PAYMENTS,
+    "staging.orders_clean": schemas.RAW_ORDERS,
+    "staging.payments_clean": schemas.RAW_PAYMENTS,
+    "analytics.dim_customer": schemas.DIM_CUSTOMER,
+    "analytics.dim_product": schemas.DIM_PRODUCT,
+    "analytics.dim_date": schemas.DIM_DATE,
+}
+LOGGED = {"analytics.pipeline_metrics": schemas.PIPELINE_METRICS, "analytics.revenue_anomaly_log": schemas.ANOMALY_LOG}
+
+
 @dataclass(frozen=True)
 class Settings:
     window_days: int = 7
@@ -101,6 +119,16 @@ def published_contracts(warehouse: Warehouse) -> list[DataFrame]:
     )
 
 
-def check_warehouse(warehouse: Warehouse) -> list[tuple[str, str, int]]:
-    """Run the contracts on the published tables; raise if one fails."""
-    return run_contracts(published_contracts(warehouse))
+def published_tables(warehouse: Warehouse) -> dict[str, DataFrame]:
+    """All tables of a warehouse by the name that contract files call them."""
+    found = {name.split(".")[1]: warehouse.newest(name, schema) for name, schema in NEWEST.items()}
+    raw = {name.replace(".", "_"): warehouse.read(name, schema) for name, schema in RAW.items()}
+    logs = {name.split(".")[1]: warehouse.log(name, schema) for name, schema in LOGGED.items()}
+    return found | raw | logs | {"fact_orders": warehouse.fact(), "fact_totals": warehouse.fact_totals(), "pipeline_runs": warehouse.runs()}
+
+
+def check_warehouse(warehouse: Warehouse, file: str | None = None) -> list[tuple[str, str, int]]:
+    """Run the contracts on the published tables, or those of a file; raise if one fails."""
+    if file is None:
+        return run_contracts(published_contracts(warehouse))
+    return run_contracts(file_contracts(warehouse.spark, file, published_tables(warehouse)))

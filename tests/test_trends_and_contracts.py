@@ -156,3 +156,26 @@ def test_all_contracts_run_before_failing(spark):
 def test_more_than_five_anomalies_fail(spark):
     assert contracts.anomalies_at_most(spark.range(5), 5, "n").first()["status"] == "PASS"
     assert contracts.anomalies_at_most(spark.range(6), 5, "n").first()["status"] == "FAIL"
+
+
+def test_contracts_from_a_file(spark, tmp_path):
+    path = tmp_path / "contracts.sql"
+    path.write_text("""
+-- two checks; this note ends in a semicolon;
+SELECT 'a;b' AS check_name, 'PASS' AS status, count(*) AS failing_rows
+FROM {some} WHERE v > 9;
+SELECT 'bad' AS check_name, 'FAIL' AS status, count(*) AS failing_rows FROM {some};
+
+SELECT 'none' AS check_name, 'FAIL' AS status, 1 AS failing_rows FROM {some} WHERE false""")
+    tables = {"some": spark.range(3).withColumnRenamed("id", "v"), "other": spark.range(1)}
+    checks = contracts.file_contracts(spark, str(path), tables)
+    assert sorted(tuple(r) for c in checks for r in c.collect()) == [("a;b", "PASS", 0), ("bad", "FAIL", 3)]
+    with pytest.raises(contracts.ContractsFailed, match="bad: 3"):
+        contracts.run_contracts(checks)
+    assert contracts.run_contracts(checks[:1]) == [("a;b", "PASS", 0)] and contracts.run_contracts([]) == []
+    path.write_text("SELECT 1 AS check_name;")
+    with pytest.raises(ValueError, match="a contract returns"):
+        contracts.file_contracts(spark, str(path), tables)
+    path.write_text("SELECT 'x' AS check_name, 'MAYBE' AS status, 1 AS failing_rows;")
+    with pytest.raises(Exception, match="MAYBE"):
+        contracts.run_contracts(contracts.file_contracts(spark, str(path), tables))
