@@ -22,7 +22,8 @@ STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "300",
-    "spark.sql.streaming.metricsEnabled": "false",
+    # A partition's database is closed and its local files go when its task has committed.
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
 #: Rows for which the stream gets one more partition of state, up to the session's shuffle partitions; each is a database of its own.
 ROWS_PER_PARTITION, LEAST_PARTITIONS = 250_000, 8
@@ -102,7 +103,9 @@ def grouped(spark: SparkSession, located: DataFrame, store: str, digest: Callabl
     groups = spark.read.parquet(path)
     # Whole texts are read again where a digest was hit. Equal ones of a task go on as one.
     texts = located.withColumn("content", normalised()).withColumn("digest", digest(F.col("content")))
-    hit = texts.join(groups.where("n > 1").select("digest"), "digest", "left_semi")
+    # The list of those digests is written, so that Spark sends it to the texts where it is short.
+    again = kept(groups.where("n > 1").select("digest"), "again")
+    hit = texts.join(again, "digest", "left_semi")
     contents = hit.select("digest", "content").distinct().groupBy("digest").agg(F.count("*").alias("contents"))
     shared = kept(contents.where("contents > 1").select("digest"), "shared")
     if shared.isEmpty():
