@@ -103,9 +103,8 @@ def grouped(spark: SparkSession, located: DataFrame, store: str, digest: Callabl
     groups = spark.read.parquet(path)
     # Whole texts are read again where a digest was hit. Equal ones of a task go on as one.
     texts = located.withColumn("content", normalised()).withColumn("digest", digest(F.col("content")))
-    # The list of those digests is written, so that Spark sends it to the texts where it is short.
-    again = kept(groups.where("n > 1").select("digest"), "again")
-    hit = texts.join(again, "digest", "left_semi")
+    # At every size the texts go to the digests, not a list of digests to the texts; a hot digest is cut up at run time.
+    hit = texts.join(groups.where("n > 1").select("digest").hint("merge"), "digest", "left_semi")
     contents = hit.select("digest", "content").distinct().groupBy("digest").agg(F.count("*").alias("contents"))
     shared = kept(contents.where("contents > 1").select("digest"), "shared")
     if shared.isEmpty():
