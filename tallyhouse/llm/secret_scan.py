@@ -1,16 +1,19 @@
 """Secret scans by assignment-aware lexing.
 
-Three fixed patterns find the base spans. Beside them, a small lexer reads what looks like source or
-configuration (``name = "literal"``, ``"name": "literal"``, ``name: literal``, ``name="literal"``, joined
-literals, ``other = name``) into pairs of a name and a literal. Constants are propagated: a
-literal counts under every name it is handed on to. A literal is scored by how sensitive its names are and how random it looks.
+Three fixed patterns find the base spans. Beside them, a small lexer reads what looks like source or configuration (``name = "literal"``,
+``"name": "literal"``, ``name: literal``, ``name = other + "literal"``, ``name = other or "literal"``, ``name = call("literal")``) into
+names and the alternatives they are bound to. Constants are propagated over the whole text, whichever comes first: a literal counts
+under every name it is handed on to, and a name within a join stands for its literal. A literal is scored by how sensitive its names
+are and how random it looks. Every step takes time in proportion to the text.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from bisect import bisect_left, bisect_right
+from collections import Counter, defaultdict
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,14 +33,18 @@ ASSIGN = re.compile(rf"""({NAMES})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")  # whole runs, as [0-9a-f]+ finds them, without the short ones
 
-#: A name with the sign that binds it, and what is bound: quoted pieces joined by +, or one bare word.
-QUOTED = r"""(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)"""
-PAIR = re.compile(
-    r"""(?<![\w.-])["']?(?P<name>[A-Za-z_][\w.-]{0,80})["']?[\x20\t]*(?P<sign>:=|=>|[:=](?![:=~]))[\x20\t]*"""
-    rf"""(?P<value>{QUOTED}(?:[\x20\t]*\+[\x20\t]*{QUOTED})*|[^\s"'`,;<>(){{}}\[\]]+)"""
+#: A name with the sign that binds it.
+PAIR = re.compile(r"""(?<![\w.-])["']?(?P<name>[A-Za-z_][\w.-]*+)["']?[\x20\t]*+(?::=|=>|[:=](?![:=~]))[\x20\t]*+""")
+QUOTED = r"""(?:"(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+'|`[^`\n]*+`)"""
+#: What is bound: a quoted literal, a name that a call, a default or a quote joined to it follows, or one bare word.
+TERM = re.compile(
+    rf"""(?P<quoted>{QUOTED})|(?P<name>[A-Za-z_][\w.]*+(?=\(|[\x20\t]*+(?:\|\||\?\?)|\+["'`]))|(?P<bare>[^\s"'`,;<>(){{}}\[\]]+)"""
 )
-PIECE = re.compile(QUOTED)
+CALL = re.compile(rf"""\((?:{QUOTED}|[^()"'`\n]|\((?:{QUOTED}|[^()"'`\n])*+\))*+\)""")
+ARGUMENT = re.compile(rf"""(?<=[(,])[\x20\t]*+(?:(?P<quoted>{QUOTED})|(?P<name>[A-Za-z_][\w.]*+))(?=[\x20\t]*+[,)])""")
+JOIN = re.compile(r"""(?P<plus>[\x20\t]*\+[\x20\t]*(?=["'`])|[\x20\t]+\+[\x20\t]+)|[\x20\t]*(?:\|\||\?\?)[\x20\t]*|[\x20\t]+or[\x20\t]+""")
 NAME = re.compile(r"[A-Za-z_][\w.-]*\Z")
+CHAINED = re.compile(r"[\x20\t]*+(?::=|=(?![=~>]))")
 PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 #: How sensitive the parts of a name are.
@@ -60,19 +67,28 @@ def name_score(name: str) -> float:
     return min(score, 1.0) * (0.4 if HARMLESS & set(parts) else 1.0)
 
 
-def entropy(text: str) -> float:
-    n = len(text)
-    return -sum(c / n * math.log2(c / n) for c in Counter(text).values())
+class Shape:
+    """What of a literal tells whether it is a key or password; shapes of joined literals add up."""
 
+    __slots__ = ("flawed", "kinds", "characters")
 
-def literal_score(text: str) -> float:
-    """How much a literal looks like a key or password and not like a word: 0 to 1."""
-    if len(text) < 8 or any(c.isspace() for c in text) or PLACEHOLDER.search(text):
-        return 0.0
-    kinds = sum(map(bool, (re.search(r"[a-z]", text), re.search(r"[A-Z]", text), re.search(r"[0-9]", text), re.search(r"[^A-Za-z0-9]", text))))
-    if not re.search(r"[0-9]", text) and kinds < 3:
-        return 0.0
-    return min(1.0, entropy(text) / 4.0) * (0.7 + 0.1 * min(kinds, 3))
+    def __init__(self, text: str = ""):
+        self.flawed = bool(text) and (any(c.isspace() for c in text) or PLACEHOLDER.search(text) is not None)
+        self.kinds = {k for k, pattern in enumerate(("[0-9]", "[a-z]", "[A-Z]", "[^A-Za-z0-9]")) if re.search(pattern, text)}
+        self.characters = Counter(text)
+
+    def add(self, other: Shape) -> None:
+        self.flawed |= other.flawed
+        self.kinds |= other.kinds
+        self.characters.update(other.characters)
+
+    def score(self) -> float:
+        """How much it looks like a key or password and not like a word: 0 to 1."""
+        n = self.characters.total()
+        if n < 8 or self.flawed or 0 not in self.kinds and len(self.kinds) < 3:
+            return 0.0
+        entropy = -sum(c / n * math.log2(c / n) for c in self.characters.values())
+        return min(1.0, entropy / 4.0) * (0.7 + 0.1 * min(len(self.kinds), 3))
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -86,36 +102,129 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-class Literal:
-    """A literal's text, where its pieces stand, and the names it goes by."""
-
-    __slots__ = ("text", "spans", "names")
-
-    def __init__(self, text: str, spans: list[tuple[int, int]], name: str):
-        self.text, self.spans, self.names = text, spans, {name}
-
-
-def pairs(text: str) -> list[Literal]:
-    """The literals that are bound to names, each with all names it reaches."""
-    bound: dict[str, Literal] = {}
-    literals: list[Literal] = []
-    for m in PAIR.finditer(text):
-        name, value = m["name"], m["value"]
-        if value[0] in "\"'`":
-            pieces = [(x.start() + m.start("value") + 1, x.end() + m.start("value") - 1) for x in PIECE.finditer(value)]
-            literal = Literal("".join(text[a:b] for a, b in pieces), [p for p in pieces if p[0] < p[1]], name)
-        elif value in bound:  # a constant handed on
-            bound[value].names.add(name)
-            bound[name] = bound[value]
-            continue
-        elif NAME.match(value) and not re.search("[0-9]", value):
-            continue  # a name never bound, or plain prose
+#: A part of what is bound: a literal's start and end, or a word that may be a name, by its start and end as well.
+Part = tuple[bool, int, int]
+
+
+def expression(text: str, at: int) -> tuple[list[list[Part]], int]:
+    """The alternatives of what is bound at ``at``, each the parts it joins, and where to look for the next pair."""
+    alternatives: list[list[Part]] = [[]]
+    resume = None
+    while (m := TERM.match(text, at)) is not None:
+        at = m.end()
+        if m["quoted"] is not None:
+            alternatives[-1].append((True, m.start() + 1, at - 1))
+        elif text.startswith("(", at):
+            resume = resume or at  # what a call names inside itself is read as pairs too
+            call = CALL.match(text, at)
+            if call is None:
+                break
+            for a in ARGUMENT.finditer(text, call.start(), call.end()):
+                quoted = a["quoted"] is not None
+                start, end = a.span("quoted" if quoted else "name")
+                alternatives.append([(quoted, start + quoted, end - quoted)])
+            alternatives.append([])
+            at = call.end()
+        else:
+            alternatives[-1].append((False, m.start(), at))
+            if NAME.match(m[0]) and CHAINED.match(text, at):
+                resume = resume or m.start()  # a = b = "literal"
+                break
+        join = JOIN.match(text, at)
+        if join is None:
+            break
+        if join["plus"] is None:
+            alternatives.append([])
+        at = join.end()
+    return [a for a in alternatives if a], resume or at
+
+
+class Bindings:
+    """The names bound in a text, what each is bound to, and which binding a name within another one stands for."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.names: list[str] = []
+        self.alternatives: list[list[list[Part]]] = []
+        self.where: defaultdict[str, list[int]] = defaultdict(list)
+        at = 0
+        while (m := PAIR.search(text, at)) is not None:
+            found, at = expression(text, m.end())
+            if found:
+                self.where[m["name"]].append(len(self.names))
+                self.names.append(m["name"])
+                self.alternatives.append(found)
+        self.shapes: dict[tuple[int, int], Shape] = {}
+        self.constants: dict[int, Part | None] = {}
+
+    def bound(self, part: Part, by: int) -> int | None:
+        """The binding a word stands for: the last one before binding ``by``, else the first one after it."""
+        at = self.where.get(self.text[part[1] : part[2]])
+        if part[0] or at is None:
+            return None
+        before, after = bisect_left(at, by), bisect_right(at, by)
+        return at[before - 1] if before else at[after] if after < len(at) else None
+
+    def literal(self, part: Part) -> Part | None:
+        """A quoted part, or a bare word that is no plain word."""
+        _, start, end = part
+        if part[0]:
+            return part if start < end else None
+        word = self.text[start:end].rstrip(".")
+        plain = NAME.match(word) and not re.search("[0-9]", word)
+        return (True, start, start + len(word)) if word and not plain else None
+
+    def constant(self, i: int) -> Part | None:
+        """The literal that binding ``i`` is, by itself or by the names it is handed on from."""
+        seen = []
+        found = None
+        while i not in self.constants:
+            self.constants[i] = None  # a ring of names has no literal
+            seen.append(i)
+            single = [a[0] for a in self.alternatives[i] if len(a) == 1]
+            targets = [self.bound(p, i) for p in single]
+            literals = [x for p, t in zip(single, targets, strict=True) if t is None and (x := self.literal(p))]
+            onward = next((t for t in targets if t is not None), None)
+            if literals or onward is None:
+                found = literals[0] if literals else None
+                break
+            i = onward
         else:
-            value = value.rstrip(".")
-            literal = Literal(value, [(m.start("value"), m.start("value") + len(value))], name)
-        bound[name] = literal
-        literals.append(literal)
-    return literals
+            found = self.constants[i]
+        self.constants.update(dict.fromkeys(seen, found))
+        return found
+
+    def worth(self, parts: list[Part]) -> float:
+        """How much joined literals look like a secret."""
+        whole = Shape()
+        for _, start, end in parts:
+            if (start, end) not in self.shapes:
+                self.shapes[start, end] = Shape(self.text[start:end])
+            whole.add(self.shapes[start, end])
+        return whole.score()
+
+    def secrets(self, least: float) -> set[tuple[int, int]]:
+        """The spans of literals that score enough under the most sensitive name they reach."""
+        own = [name_score(n) for n in self.names]
+        reached: dict[int, float] = {}
+        for i in sorted((i for i, w in enumerate(own) if w), key=lambda i: -own[i]):
+            going = [i] if i not in reached else []
+            while going:  # names are met from the most sensitive one on, so the first to reach a binding decides
+                j = going.pop()
+                if j not in reached:
+                    reached[j] = own[i]
+                    going += [t for a in self.alternatives[j] if len(a) == 1 and (t := self.bound(a[0], j)) is not None]
+        spans = set()
+        for i, sensitive in reached.items():
+            for parts in self.alternatives[i]:
+                targets = [self.bound(p, i) for p in parts]
+                if len(parts) == 1 and targets[0] is not None:
+                    continue  # a constant handed on is judged where it is bound
+                literals = [self.literal(p) if t is None else self.constant(t) for p, t in zip(parts, targets, strict=True)]
+                literals = [x for x in literals if x is not None]
+                if literals and self.worth(literals) * sensitive >= least:
+                    spans.update((a, b) for _, a, b in literals)
+        return spans
 
 
 def scan(text: str, least: float = 0.55) -> list[tuple[int, int, int]]:
@@ -123,11 +232,15 @@ def scan(text: str, least: float = 0.55) -> list[tuple[int, int, int]]:
     base = base_spans(text)
     if "=" not in text and ":" not in text:
         return base
-    more = set()
-    for literal in pairs(text):
-        worth = literal_score(literal.text)
-        if worth and worth * max(map(name_score, literal.names)) >= least:
-            more.update((a, 3, b) for a, b in literal.spans if not any(s < b and a < e for s, _, e in base))
+    covered = sorted((s, e) for s, _, e in base)
+    starts = [s for s, _ in covered]
+    ends = list(accumulate((e for _, e in covered), max))
+
+    def free(a: int, b: int) -> bool:
+        before = bisect_left(starts, b)
+        return not before or ends[before - 1] <= a
+
+    more = {(a, 3, b) for a, b in Bindings(text).secrets(least) if free(a, b)}
     return sorted({*base, *more}) if more else base
 
 

@@ -1,7 +1,10 @@
 """Secret spans against the patterns as they are written, and the lexer on small sources."""
 
 import hashlib
+import random
 import re
+import string
+import time
 
 import pytest
 
@@ -56,6 +59,19 @@ def literals(text):
         ("the secret: nobody knows it, and token: of love", []),
         ('password_hint = "A1b2 c3"', []),
         ("export SESSION_SECRET=p0$tgr3s!Db", ["p0$tgr3s!Db"]),
+        ('prefix = "sk_live_"\napi.signing_key_secret = prefix + "a8F3k2Zq"', ["sk_live_", "a8F3k2Zq"]),  # a name in a join
+        ('db_pwd = value9\nvalue9 = "x9$Kq!72LmPz"', ["x9$Kq!72LmPz"]),  # bound later
+        ("a = db_value\ndb_pwd = a\ndb_value = 'x9$Kq!72LmPz'", ["x9$Kq!72LmPz"]),
+        ('db_pwd = os.environ.get("DB_PWD") or "x9$Kq!72LmPz"', ["x9$Kq!72LmPz"]),  # a default
+        ('db_pwd = os.getenv("DB_PWD", "x9$Kq!72LmPz")', ["x9$Kq!72LmPz"]),
+        ("const dbPwd = process.env.PWD || 'x9$Kq!72LmPz';", ["x9$Kq!72LmPz"]),
+        ("var dbPwd = config.pwd ?? 'x9$Kq!72LmPz';", ["x9$Kq!72LmPz"]),
+        ('conn = connect(host="db", passphrase="x9$Kq!72LmPz")', ["x9$Kq!72LmPz"]),
+        ('raw = "x9$Kq!72LmPz"\ndb_pwd = decode(raw)', ["x9$Kq!72LmPz"]),
+        ('db_pwd = x = "x9$Kq!72LmPz"', ["x9$Kq!72LmPz"]),
+        ("db_pwd = a\na = b\nb = a", []),  # a ring
+        ("x" * 200 + '_passphrase = "x9$Kq!72LmPz"', ["x9$Kq!72LmPz"]),
+        ('title = get("x9$Kq!72LmPz") or other', []),
     ],
 )
 def test_literals(text, found):
@@ -67,6 +83,40 @@ def test_base_spans_stay_and_are_not_listed_twice():
     assert [k for _, k, _ in secret_scan.scan(text)] == [0, 2]
 
 
+def test_long_texts_take_time_in_proportion():
+    started = time.monotonic()
+    for line in ('pwd = a + "x1"\n', "a = b = ", 'pwd = f(', "k=v'", "pwd || ", "secret = key\nkey = secret\n", 'a="', "a.", "a+", "pwd = f((x)", "pwd + "):
+        secret_scan.scan(line * (400_000 // len(line)))
+        secret_scan.scan('a = "' + "x1Y$" * 20_000 + '"\n' + line * (200_000 // len(line)))
+    assert time.monotonic() - started < 60
+
+
+def planted(kind, name, value):
+    return {
+        0: f'{name} = "{value}"',
+        1: f'first = "{value[:7]}"\n{name} = first + "{value[7:]}"',
+        2: f'{name} = held\nother = 3\nheld = "{value}"',
+        3: f'{name} = os.environ.get("{name.upper()}") or "{value}"',
+        4: f'{name} = env("{name.upper()}", "{value}")',
+        5: f'{{"host": "db1", "{name}": "{value}"}}',
+    }[kind]
+
+
+def test_recall_on_planted_sources():
+    rng = random.Random(5)
+    signs = string.ascii_letters + string.digits + "!$%&*"
+    names = ["db_pwd", "clientCredentials", "auth_pass", "signing.passphrase", "PRIVATE_KEY", "session_auth_salt"]
+    found = clean = 0
+    for i in range(600):
+        value = "".join(rng.choice(signs) for _ in range(15)) + "7"
+        text = f"import os\n# settings\nport = 5432\n{planted(i % 6, rng.choice(names), value)}\nprint('done')\n"
+        spans = literals(text)
+        found += "".join(spans) == value
+        plain = f"import os\ntitle = 'Chapter 12b'\nversion: 1.22.333-rc4\n{planted(i % 6, 'build_label', value)}\n"
+        clean += not literals(plain)
+    assert found >= 0.9 * 600 and clean >= 0.95 * 600
+
+
 def test_masking(spark):
     rows = [(1, "a password=abcdefghijkl b", 99, "en"), (2, None, 7, "de"), (3, "clean", 5, None)]
     got = secret_scan.mask_secrets(spark.createDataFrame(rows, "doc_id long, text string, n_chars long, lang string")).orderBy("doc_id").collect()
