@@ -3,7 +3,8 @@
 A small tolerant reader turns a page into text blocks and containers. Each page scores its containers and
 votes for the path of the best one, written as tags and classes without numbers. Spark counts the
 votes per host; pages are then read again and give the text of the container on a path their host agrees on. Where the best
-container is a part of an article, the article stands for it.
+container is a part of an article, the article stands for it. A page is read in time in proportion to its length, however deep it is
+nested and whatever is left open.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ ATTRIBUTE = re.compile(r"""([a-zA-Z_:][\w:.-]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'
 NAME_PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe xmp template svg math".split())
+RAW = frozenset("script style textarea title iframe xmp svg".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -43,18 +44,25 @@ CLOSES = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
-DROPPED_TAGS = RAW | frozenset("head nav aside footer form button select option dialog menu audio video canvas object figure-nav".split())
+DROPPED_TAGS = RAW | frozenset("head nav aside footer form button select option dialog menu audio video canvas object template".split())
 DROPPED_ROLES = frozenset("navigation banner complementary contentinfo search dialog alert alertdialog menu menubar form".split())
 #: Words in a class or id that mark what is not the article.
 DROPPED_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr notice "
-    "notification alert popup modal overlay sidebar sidenav menu nav navbar navigation breadcrumb breadcrumbs masthead topbar footer "
-    "comment comments disqus replies respond share sharing social related recommended newsletter subscribe subscription signup login "
-    "search toolbar widget pagination pager skip hidden".split()
+    "ad ads advert adverts advertisement advertising adsense sponsor sponsored cookie cookies consent gdpr popup modal sidebar sidenav "
+    "menu nav navbar navigation breadcrumb breadcrumbs masthead topbar footer comment comments disqus replies respond newsletter "
+    "subscribe subscription pagination pager hidden".split()
 )
+#: Words that mark it outside an article; inside one, where prose may go by such names, the element's text decides.
+DOUBTED_WORDS = frozenset(
+    "promo promotion banner notice notification alert overlay share sharing social related recommended signup login search toolbar widget skip".split()
+)
+#: Classes that begin so say nothing of the kind.
+IDLE_WORDS = frozenset("has with without no is overflow".split())
 COMMENT_WORDS = frozenset({"comment", "comments"})
 ARTICLE_WORDS = frozenset("article content entry post story text".split())
 
+#: Characters of text from which a doubted element is prose, if no more than a third of them are in links.
+PROSE = 200
 #: An element's text without links over that of one in it, from which the rest counts as text of the article too.
 MORE = 1.25
 
@@ -77,18 +85,22 @@ def boilerplate(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
     return "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in style or attrs.get("role", "").lower() in DROPPED_ROLES
 
 
-def marked_off(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
-    """Whether an element is none of the article by what it is called; a class like has-sidebar says nothing of the kind."""
+def mark(tag: str, attrs: dict[str, str], in_article: bool) -> str:
+    """Whether an element is none of the article by what it is called: "off", "doubted", or nothing of the kind."""
+    if tag == "noscript":
+        return "doubted"
     if not attrs or tag in ("html", "body"):
-        return False
+        return ""
     words: set[str] = set()
     for name in [*attrs.get("class", "").split(), attrs.get("id", "")]:
         parts = [w.lower() for w in NAME_PART.findall(name)]
-        if parts and parts[0] not in ("has", "with", "without", "no", "is"):
+        if parts and parts[0] not in IDLE_WORDS:
             words.update(parts)
     if tag in ("article", "main"):
-        return bool(words & COMMENT_WORDS)
-    return bool(words & DROPPED_WORDS) or (not in_article and "header" in words)
+        return "off" if words & COMMENT_WORDS else ""
+    if words & DROPPED_WORDS or (not in_article and "header" in words):
+        return "off"
+    return ("doubted" if in_article else "off") if words & DOUBTED_WORDS else ""
 
 
 def label(tag: str, attrs: dict[str, str]) -> str:
@@ -105,22 +117,43 @@ class Container:
         self.score = self.whole = 0.0
 
 
+class Doubt:
+    """An element whose text decides whether it counts."""
+
+    __slots__ = ("above", "length", "linked", "dropped")
+
+    def __init__(self, above: Doubt | None):
+        self.above, self.length, self.linked, self.dropped = above, 0, 0, False
+
+
+class Element:
+    __slots__ = ("tag", "container", "path", "off", "doubt")
+
+    def __init__(self, tag: str, container: Container | None, path: str, off: int, doubt: Doubt | None):
+        self.tag, self.container, self.path, self.off, self.doubt = tag, container, path, off, doubt
+
+
 class Page:
     """The text blocks of a page in order, without boilerplate, and its containers with the blocks they span."""
 
     def __init__(self, text: str):
         self.blocks: list[str] = []
         self.containers: list[Container] = []
-        self.open: list[tuple[str, Container | None, str, int | None]] = []  # tag, container, path, what ``off`` was before it
+        self.open: list[Element] = []
+        self.depths: defaultdict[str, list[int]] = defaultdict(list)  # where in ``open`` each tag is
+        self.around: list[Container] = []  # the open containers
         self.off = 0  # how many open elements are marked off
-        self.piece: list[str] = []
-        self.linked = self.links = 0
-        self.articles = 0
+        self.doubt: Doubt | None = None
+        self.doubts: list[Doubt] = []
+        self.pieces: list[tuple[str, bool, Doubt | None]] = []  # text, whether it is linked, the doubt it stands in
+        self.read_blocks: list[tuple[list[tuple[str, bool, Doubt | None]], Container | None]] = []
         self.read(text)
+        self.settle()
 
     def read(self, text: str) -> None:
         at, dropped, skip_to = 0, 0, 0
-        for m in TOKEN.finditer(text):
+        last = text.rfind(">") + 1  # no tag ends after it
+        for m in TOKEN.finditer(text, 0, last):
             if m.start() < skip_to:
                 continue
             if not dropped and m.start() > at:
@@ -128,16 +161,18 @@ class Page:
             at = m.end()
             tag = m["tag"]
             if tag is None:
+                if at == last and m[0].startswith("<!--") and not m[0].endswith("-->"):
+                    at = len(text)  # a comment that never ends
                 continue
             tag = tag.lower()
             if dropped:  # inside boilerplate only its own nesting counts
-                if tag == self.open[-1][0] and tag not in VOID and not m["rest"].endswith("/"):
+                if tag == self.open[-1].tag and tag not in VOID and not m["rest"].endswith("/"):
                     dropped += -1 if m["end"] else 1
                     if not dropped:
-                        self.open.pop()
-                elif m["end"] and tag in BLOCK and any(tag == o[0] for o in self.open[:-1]):
+                        self.close_last()
+                elif m["end"] and tag in BLOCK and self.depths[tag]:
                     dropped = 0  # never closed: it ends with what is around it
-                    self.open.pop()
+                    self.close_last()
                     self.end(tag)
                 elif tag in RAW and not m["end"]:
                     at = skip_to = self.after(text, tag, m.end())
@@ -153,112 +188,136 @@ class Page:
             if tag in VOID:
                 if tag == "hr":
                     self.flush()
-                else:
-                    self.piece.append(" " if tag == "br" else "")
+                elif tag == "br":
+                    self.add(" ")
                 continue
-            if boilerplate(tag, attrs, self.articles > 0):
+            if boilerplate(tag, attrs, bool(self.depths["article"] or self.depths["main"])):
                 if tag in BLOCK or tag in DROPPED_TAGS:
                     self.flush()
-                self.open.append((tag, None, "", None))
+                self.push(Element(tag, None, "", self.off, self.doubt))
                 dropped = 1
                 continue
             self.start(tag, attrs)
         if not dropped and at < len(text):
-            self.add(text[at:])
+            self.add(text[at:].split("<!--", 1)[0])
         while self.open:
             self.close_last()
         self.flush()
 
     @staticmethod
     def after(text: str, tag: str, at: int) -> int:
-        end = re.compile(rf"</{re.escape(tag)}[^>]*>", re.I).search(text, at)
+        end = re.compile(rf"</{re.escape(tag)}[^>]*+>", re.I).search(text, at)
         return end.end() if end else len(text)
 
     def add(self, raw: str) -> None:
-        if self.off:
-            return
-        self.piece.append(raw)
-        if self.links:
-            self.linked += len(raw)
+        """A text node. References are decoded here, as none spans a tag."""
+        if not self.off:
+            self.pieces.append((html.unescape(raw), bool(self.depths["a"]), self.doubt))
 
     def flush(self) -> None:
-        """End the block at hand, and credit it to the containers around it, the farther the less."""
-        if not self.piece:
-            return
-        text = " ".join(html.unescape("".join(self.piece)).split())
-        linked, self.piece, self.linked = self.linked, [], 0
-        if not text:
-            return
-        self.blocks.append(text)
-        whole = worth = max(0.0, len(text) - 2.0 * linked)
-        for _, container, _, _ in reversed(self.open):
-            if container is not None:
-                container.score += worth
-                container.whole += whole
-                worth /= 2
+        """End the block at hand."""
+        if self.pieces:
+            self.read_blocks.append((self.pieces, self.around[-1] if self.around else None))
+            self.pieces = []
+
+    def push(self, element: Element) -> None:
+        self.depths[element.tag].append(len(self.open))
+        self.open.append(element)
 
     def start(self, tag: str, attrs: dict[str, str]) -> None:
         if tag in BLOCK:
             self.flush()
-        before = None
-        if marked_off(tag, attrs, self.articles > 0):
-            before, self.off = self.off, self.off + 1
-        elif tag in ("article", "main") and not self.articles:
-            before, self.off = self.off, 0  # an article counts, whatever the element around it is called
-        self.links += tag == "a"
-        self.articles += tag in ("article", "main")
-        above = self.open[-1][2] if self.open else ""
-        container, path = None, above
+        in_article = bool(self.depths["article"] or self.depths["main"])
+        off, doubt = self.off, self.doubt
+        marked = mark(tag, attrs, in_article)
+        if marked == "off":
+            self.off += 1
+        elif tag in ("article", "main") and not in_article:
+            self.off = 0  # an article counts, whatever the element around it is called
+        elif marked == "doubted" and not self.off:
+            self.doubt = Doubt(self.doubt)
+            self.doubts.append(self.doubt)
+        path = self.open[-1].path if self.open else ""
+        container = None
         if tag in BLOCK:
-            path = f"{above}/{label(tag, attrs)}"
+            path = f"{path}/{label(tag, attrs)}"
             if len(path) > 240:
                 path = f"~{xxhash.xxh64_hexdigest(path)}"
         if tag in CONTAINER:
             bonus = 1.5 if tag in ("article", "main") else 1.25 if words_of(attrs) & ARTICLE_WORDS else 1.0
-            around = next((o[1] for o in reversed(self.open) if o[1] is not None), None)
-            container = Container(path, tag, around, len(self.blocks), bonus)
+            container = Container(path, tag, self.around[-1] if self.around else None, len(self.read_blocks), bonus)
             self.containers.append(container)
-        self.open.append((tag, container, path, before))
+            self.around.append(container)
+        self.push(Element(tag, container, path, off, doubt))
 
     def close_last(self) -> None:
-        tag, container, _, before = self.open[-1]
-        if tag in BLOCK:
+        element = self.open[-1]
+        if element.tag in BLOCK:
             self.flush()
         self.open.pop()
-        self.links -= tag == "a"
-        self.articles -= tag in ("article", "main")
-        if before is not None:
-            self.off = before
-        if container is not None:
-            container.last = len(self.blocks)
+        self.depths[element.tag].pop()
+        self.off, self.doubt = element.off, element.doubt
+        if element.container is not None:
+            element.container.last = len(self.read_blocks)
+            self.around.pop()
+
+    def close_to(self, depth: int) -> None:
+        while len(self.open) > depth:
+            self.close_last()
 
     def end(self, tag: str) -> None:
         """An end tag closes everything in its element; one without an open element closes nothing."""
-        if tag == "p" and not any(o[0] == "p" for o in self.open):
+        if self.depths[tag]:
+            self.close_to(self.depths[tag][-1])
+        elif tag == "p":
             self.flush()
-            return
-        if any(o[0] == tag for o in self.open):
-            while self.open[-1][0] != tag:
-                self.close_last()
-            self.close_last()
+
+    def innermost(self, tags: set[str]) -> int:
+        return max((self.depths[t][-1] for t in tags if self.depths[t]), default=-1)
 
     def imply(self, tag: str) -> None:
         """Close what a start tag closes by itself."""
+        if tag in BLOCK and self.depths["p"] and self.innermost({"p"}) > self.innermost({"td", "th", "table"}):
+            self.close_to(self.depths["p"][-1])
         kinds, fence = CLOSES.get(tag, (set(), set()))
-        if tag in BLOCK and any(o[0] == "p" for o in self.open[-12:]):
-            kinds, fence = kinds | {"p"}, fence | {"td", "th", "table"}
-        if not kinds:
-            return
-        for depth in range(len(self.open) - 1, -1, -1):
-            name = self.open[depth][0]
-            if name in kinds:
-                while len(self.open) > depth:
-                    self.close_last()
-                if tag != "tr":
-                    return
-            elif name in fence:
+        while kinds and (depth := self.innermost(kinds)) > self.innermost(fence):
+            self.close_to(depth)
+            if tag != "tr":
                 return
 
+    def settle(self) -> None:
+        """Judge what is doubted, make the blocks of what is left, and credit them to the containers around, the farther the less."""
+        for pieces, _ in self.read_blocks:
+            for text, linked, doubt in pieces:
+                if doubt is not None:
+                    n = len(" ".join(text.split()))
+                    doubt.length += n
+                    doubt.linked += n if linked else 0
+        for doubt in reversed(self.doubts):  # inner ones before those around them
+            doubt.dropped = doubt.length < PROSE or 3 * doubt.linked > doubt.length
+            if doubt.above is not None and not doubt.dropped:
+                doubt.above.length += doubt.length
+                doubt.above.linked += doubt.linked
+        for doubt in self.doubts:
+            doubt.dropped = doubt.dropped or doubt.above is not None and doubt.above.dropped
+        blocks_before = [0]
+        for pieces, container in self.read_blocks:
+            left = [(text, linked) for text, linked, doubt in pieces if doubt is None or not doubt.dropped]
+            block = " ".join("".join(text for text, _ in left).split())
+            if block:
+                self.blocks.append(block)
+                if container is not None:
+                    worth = max(0.0, len(block) - 2.0 * sum(len(text) for text, linked in left if linked))
+                    container.score += worth
+                    container.whole += worth
+            blocks_before.append(len(self.blocks))
+        for container in reversed(self.containers):
+            container.first, container.last = blocks_before[container.first], blocks_before[container.last]
+            if container.above is not None:
+                container.above.score += container.score / 2
+                container.above.whole += container.whole
+        del self.read_blocks, self.doubts
+
     def best(self) -> Container | None:
         scored = [c for c in self.containers if c.score > 0]
         return self.entire(max(scored, key=lambda c: (c.score * c.bonus, -c.first))) if scored else None

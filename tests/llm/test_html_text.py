@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 import pytest
 
@@ -41,6 +42,22 @@ def wrap(body):
         (wrap(f"<div class='has-menu'><div class='text'><p>{P}</p></div><div class='menu'>a b</div></div>"), P),
         (wrap(f"<article><p>{P}</p><section id='comments'><article class='comment'><p>{P}{P}</p></article></section></article>"), P),
         (wrap(f"<article><p>one <span class='ad'>buy</span> two</p><p>{P}</p></article>"), f"one two\n\n{P}"),
+        (wrap(f"<article><p>a &<b>amp;</b> b &am<!-- -->p; c</p><p>{P}</p></article>"), f"a &amp; b &amp; c\n\n{P}"),
+        (wrap(f"<article><p>If <math><mi>x</mi></math> holds</p><p>{P}</p></article>"), f"If x holds\n\n{P}"),
+        (wrap(f"<article><p>{P}</p><noscript><p>Turn scripts on.</p></noscript></article>"), P),
+        (wrap(f"<noscript><article><p>{P}</p><p>{P}</p><p>{P}</p></article></noscript>"), f"{P}\n\n{P}\n\n{P}"),
+        (wrap(f"<article><p>{P}</p><template><p>{P}</p></template></article>"), P),
+        (wrap(f"<article><p>{P}</p><section class='related-work'>{f'<p>{P}</p>' * 3}</section></article>"), "\n\n".join([P] * 4)),
+        (wrap(f"<article><p>{P}</p><section class='related'>{f'<p><a href=x>{P}</a></p>' * 5}</section></article>"), P),
+        (wrap(f"<article><p>{P}</p><div class='share'><a href=x>Mail</a> to a friend</div><p>{P}</p></article>"), f"{P}\n\n{P}"),
+        (wrap(f"<article><p>a <em class='notice'>{P}{P}{P}</em> b</p></article>"), f"a {P}{P}{P} b"),
+        (wrap(f"<article><p>a <em class='notice'>short</em> b</p><p>{P}</p></article>"), f"a b\n\n{P}"),
+        (wrap(f"<article><div class='notice'><p>{P * 4}</p><div class='share'>Mail it</div></div><p>{P}</p></article>"), f"{P * 4}\n\n{P}"),
+        (wrap(f"<div class='overflow-hidden'><div class='text'><p>{P}</p></div></div>"), P),
+        (wrap("<article><p>" + "<i>" * 20 + f"{P}<div>{P}</div></article>"), f"{P}\n\n{P}"),
+        (wrap(f"<article><ul><li><p>one<li><p>two</ul><p>{P}</p></article>"), f"one\n\ntwo\n\n{P}"),
+        (wrap(f"<article><p>{P}</p></article><!-- open <p>x"), P),
+        (wrap(f"<article><p>{P}</p></article>") + "<!-- open", P),
         (wrap(f"<nav><ul><li>never closed<article><p>{P}</p></article>"), ""),
     ],
 )
@@ -56,6 +73,28 @@ def test_long_and_hostile_pages():
     own("<" * 100000)
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>" * 100_000 + P,
+        "<b>" * 50_000 + "x</i>" * 50_000,
+        "<ul>" + "<div>" * 50_000 + "<li>x" * 50_000,
+        "<li><ul>" + "<div>" * 50_000 + "<li>" + "<b>" * 50_000,
+        "<p>" + "<i>" * 50_000 + "<div>x" * 50_000,
+        "<article>" + "<div class=share>x" * 100_000,
+        "<nav>" + "</div>" * 100_000,
+        '<a href="' * 100_000,
+        "<table>" + "<tr><td>x" * 50_000,
+        "<!--" * 100_000,
+        "<script>" * 100_000,
+    ],
+)
+def test_time_in_proportion(page):
+    started = time.monotonic()
+    own(page)
+    assert time.monotonic() - started < 6
+
+
 def test_host_consensus(spark):
     """A page whose side column is longer than its text follows the path that its host agrees on."""
     side = "<section class='box'>" + f"<p>{P}</p>" * 9 + "</section>"
