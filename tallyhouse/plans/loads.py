@@ -15,6 +15,7 @@ from tallyhouse.schemas import conform, limit_ids
 from tallyhouse.session import Keep, scratch
 from tallyhouse.sources import lineage
 from tallyhouse.sources.csv import CORRUPT, read_csv, read_csv_split
+from tallyhouse.sources.csv_ranges import read_csv_ranges
 from tallyhouse.sources.warehouse import Load, Warehouse, by_length
 
 # table: (file, columns of the file, raw schema, key, has lineage columns)
@@ -32,12 +33,13 @@ def seed_if_empty(target: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def read_batch(
-    load: Load, table: str, path: str, now: datetime, multiline: bool, set_aside: bool
+    load: Load, table: str, path: str, now: datetime, multiline: bool, set_aside: bool, keep: Keep
 ) -> tuple[DataFrame, DataFrame | None]:
     """A CSV file as rows of a raw table, and with ``set_aside`` the lines that do not parse, which else fail the load."""
     spark, csv_schema = load.warehouse.spark, RAW_TABLES[table][1]
     if not set_aside:
-        return lineage.stamp(limit_ids(read_csv(spark, path, csv_schema, multiline)), now, load.run_id), None
+        rows = read_csv_ranges(spark, path, csv_schema, keep) if multiline else read_csv(spark, path, csv_schema)
+        return lineage.stamp(limit_ids(rows), now, load.run_id), None
     rows, bad = read_csv_split(spark, path, csv_schema, multiline)
     bad = lineage.stamp(bad.withColumnRenamed(CORRUPT, "line"), now, load.run_id)
     return lineage.stamp(limit_ids(rows), now, load.run_id), bad.withColumn("source_file", F.lit(file_name(path)))
@@ -58,17 +60,16 @@ def bootstrap(
     """Load the base CSV files into raw tables that are still empty, all or none; return the tables loaded.
 
     All tables but orders must satisfy their key; repeated orders are for the quality rules to find. ``multiline`` allows line
-    breaks in quoted cells, as a bulk COPY does; one task then reads a file, so give large tables as folders of files, or switch
-    it off. ``set_aside`` sends lines that do not parse to ``raw.<table>_rejected`` in place of failing.
+    breaks in quoted cells, as a bulk COPY does, for one more pass that counts quotes. ``set_aside`` sends lines that do not parse to
+    ``raw.<table>_rejected`` in place of failing; with ``multiline`` one task then reads a file.
     """
     now = now or datetime.now()
     loaded = []
-    with warehouse.load(run_id) as load:
+    with warehouse.load(run_id) as load, scratch(warehouse.spark) as keep:
         for table, (file, _, raw_schema, key, with_lineage) in RAW_TABLES.items():
-            target = load.read(table, raw_schema)
-            batch, bad = read_batch(load, table, f"{folder.rstrip('/')}/{file}", now, multiline, set_aside)
-            if seed_if_empty(target, batch) is target:
-                continue
+            if not load.read(table, raw_schema).isEmpty():
+                continue  # its file is not opened
+            batch, bad = read_batch(load, table, f"{folder.rstrip('/')}/{file}", now, multiline, set_aside, keep)
             if bad is not None:
                 load.append(bad, f"{table}_rejected")
             if with_lineage:
@@ -125,7 +126,7 @@ def load_daily(
             raise FileNotFoundError(path)
     with warehouse.load(run_id) as load, scratch(warehouse.spark) as keep:
         for table, path in sources.items():
-            batch, bad = read_batch(load, table, path, now, multiline, set_aside)
+            batch, bad = read_batch(load, table, path, now, multiline, set_aside, keep)
             if bad is not None:
                 load.append(bad, f"{table}_rejected")
             load.append(rows_to_add(load, table, batch, file_name(path), keep), table, RAW_TABLES[table][3])

@@ -157,8 +157,8 @@ def test_both_tables_grow_together_or_neither(spark, tmp_path, base_files, monke
     payments_csv = write(tmp_path / "p.csv", PAYMENTS_HEADER, "Y3,O3,paid,2")
     plain = Load.append
 
-    def failing(self, df, table):
-        plain(self, df, table)
+    def failing(self, df, table, *more):
+        plain(self, df, table, *more)
         if table == "raw.payments":
             raise RuntimeError("lost")
 
