@@ -14,6 +14,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 BYTES_AT_ONCE = 1 << 21
 #: A block of texts is closed at this many links, or this many texts.
 BLOCK_LINKS, BLOCK_TEXTS = 500_000, 20_000
+#: Strings that are put together at once; each byte of theirs takes 17 bytes meanwhile.
+JOINED_AT_ONCE = 200_000
 #: Elements of the shorter list that start from one place found before.
 STRIDE = 32
 #: An id of the second tokenizer takes the lower bits of a pair.
@@ -48,6 +51,30 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class Strings:
+    """Byte strings by number, one after another in one array."""
+
+    def __init__(self, strings: list[bytes]):
+        self.sizes = np.array([len(x) for x in strings], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.letters = np.frombuffer(b"".join(strings), np.uint8)
+
+    @classmethod
+    def of(cls, tokens: dict[int, bytes]) -> Strings:
+        return cls([tokens.get(i, b"") for i in range(max(tokens) + 1)])
+
+    def joined(self, numbers: np.ndarray) -> bytes:
+        """The strings of these numbers in a row."""
+        parts = []
+        for start in range(0, len(numbers), JOINED_AT_ONCE):
+            mine = numbers[start : start + JOINED_AT_ONCE]
+            sizes = self.sizes[mine]
+            at = np.repeat(self.starts[mine] - (np.cumsum(sizes) - sizes), sizes)
+            at += np.arange(len(at))
+            parts.append(self.letters[at].tobytes())
+        return b"".join(parts)
+
+
 class ByteLevel:
     """Ids and bytes of a byte-level BPE tokenizer given as JSON.
 
@@ -56,25 +83,35 @@ class ByteLevel:
     """
 
     def __init__(self, spec: bytes, pattern: str = PATTERN):
+        self.spec = spec
         model = json.loads(spec)["model"]
         letters = byte_letters()
         self.bytes = {i: bytes(letters[c] for c in piece) for piece, i in model["vocab"].items()}
         merged = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
         single = len(model["vocab"]) - len(merged)
         ranked = all(model["vocab"][piece] == single + i for i, piece in enumerate(merged))
-        self.slow = Tokenizer.from_str(spec.decode())
-        self.slow.encode_special_tokens = True
         ranks = {token: i for i, token in self.bytes.items()}
-        self.fast = tiktoken.Encoding("byte_level", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}) if ranked else None
+        # A special token that is never allowed: without one, the library looks for the empty one at every place of a text.
+        special = {"<|endoftext|>": max(self.bytes) + 1}
+        self.fast = tiktoken.Encoding("byte_level", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special) if ranked else None
 
-    def encode(self, text: str) -> list[int]:
+    @cached_property
+    def slow(self) -> Tokenizer:
+        made = Tokenizer.from_str(self.spec.decode())
+        made.encode_special_tokens = True
+        return made
+
+    def ids(self, text: str) -> np.ndarray:
         if self.fast:
             try:
-                return self.fast.encode_ordinary(text)
+                return self.fast.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
             except BaseException as refused:  # the pattern's engine gives up on some very long runs with a panic
                 if isinstance(refused, (KeyboardInterrupt, SystemExit, MemoryError)):
                     raise
-        return self.slow.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        return np.array(self.slow.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
+
+    def encode(self, text: str) -> list[int]:
+        return self.ids(text).tolist()
 
 
 class Pieces:
@@ -83,15 +120,15 @@ class Pieces:
     def __init__(self, model: bytes):
         self.encoder = Encoder(model, eos=False)
         sp = self.encoder.sp
-        self.bytes = {i: self.as_bytes(sp.id_to_piece(i)) for i in range(sp.get_piece_size())}
+        self.bytes = {i: self.as_bytes(piece) for i, piece in enumerate(sp.id_to_piece(list(range(sp.get_piece_size()))))}
 
     @staticmethod
     def as_bytes(piece: str) -> bytes:
         byte = re.fullmatch(r"<0x([0-9A-F]{2})>", piece)
         return bytes([int(byte[1], 16)]) if byte else piece.replace("▁", " ").encode()
 
-    def encode(self, text: str) -> list[int]:
-        return self.encoder(text).tolist()
+    def all(self, texts: list[str]) -> list[np.ndarray]:
+        return [ids.astype(np.int64) for ids in self.encoder.all(texts)]
 
 
 def lower_bounds(short: np.ndarray, long: np.ndarray) -> np.ndarray:
@@ -150,28 +187,24 @@ class Aligner:
 
     def __init__(self, a: bytes, b: bytes, pattern: str = PATTERN):
         self.a, self.b = ByteLevel(a, pattern), Pieces(b)
-        self.size_a, self.size_b = (
-            np.array([len(kind.bytes.get(i, b"")) for i in range(max(kind.bytes) + 1)], np.int64) for kind in (self.a, self.b)
-        )
+        self.bytes_a, self.bytes_b = Strings.of(self.a.bytes), Strings.of(self.b.bytes)
         #: An id with what may follow it in the text of groups: another of its kind, the other kind, the next group, nothing.
-        self.shown = [b"%d%s" % (i, x) for i in range(max(len(self.size_a), len(self.size_b))) for x in (b",", b"|", b";", b"")]
+        most = max(len(self.bytes_a.sizes), len(self.bytes_b.sizes))
+        self.shown = Strings([b"%d%s" % (i, x) for i in range(most) for x in (b",", b"|", b";", b"")])
 
-    def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of both tokenizers, none where either does not spell the blank and the text."""
+    def tokens(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ids of both tokenizers for every text, none where either does not spell the blank and the text."""
         none = np.zeros(0, np.int64)
-        if not text:
-            return none, none
-        whole = " " + text
-        a, b = self.a.encode(whole), self.b.encode(text)
-        spelt = whole.encode()
-        if b"".join(map(self.a.bytes.__getitem__, a)) != spelt or b"".join(map(self.b.bytes.__getitem__, b)) != spelt:
-            return none, none
-        return np.array(a, np.int64), np.array(b, np.int64)
+        for text, b in zip(texts, self.b.all([text or "" for text in texts])):
+            whole = f" {text}"
+            spelt, a = whole.encode(), self.a.ids(whole) if text else none
+            yield (a, b) if self.bytes_a.joined(a) == spelt == self.bytes_b.joined(b) else (none, none)
 
     def align(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """For every text: both kinds of ids, and the places of the tokens that end each group."""
-        ids = [self.tokens(text) for text in texts]
-        ends = common_ends([np.cumsum(self.size_a[a]) for a, _ in ids], [np.cumsum(self.size_b[b]) for _, b in ids])
+        ids = list(self.tokens(texts))
+        sizes_a, sizes_b = self.bytes_a.sizes, self.bytes_b.sizes
+        ends = common_ends([np.cumsum(sizes_a[a]) for a, _ in ids], [np.cumsum(sizes_b[b]) for _, b in ids])
         return [(*x, *y) for x, y in zip(ids, ends)]
 
     def groups(self, a: np.ndarray, b: np.ndarray, end_a: np.ndarray, end_b: np.ndarray) -> bytes:
@@ -185,7 +218,7 @@ class Aligner:
         before = np.repeat(np.r_[0, end_b[:-1] + 1], np.diff(np.r_[-1, end_a]))
         codes[np.arange(len(a)) + before] = 4 * a + after_a
         codes[np.arange(len(b)) + np.repeat(end_a + 1, np.diff(np.r_[-1, end_b]))] = 4 * b + after_b
-        return b"".join(map(self.shown.__getitem__, codes.tolist()))
+        return self.shown.joined(codes)
 
 
 def some_texts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

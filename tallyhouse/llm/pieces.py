@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from itertools import count
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +23,6 @@ from tallyhouse.llm.common import by_batch
 
 MARK = "▁"
 CHUNK = re.compile(r" *[^ ]+| +")
-NO_IDS = np.zeros(0, np.int32)
 
 
 def processor(model: bytes) -> sentencepiece.SentencePieceProcessor:
@@ -39,6 +38,17 @@ def chunks_apart(sp: sentencepiece.SentencePieceProcessor) -> bool:
     return not crossing and as_is and sp.piece_to_id(MARK) != sp.unk_id()
 
 
+def chunks(text: str) -> list[str]:
+    """The chunks of a text, without the marker that each begins with."""
+    if not text:
+        return []
+    text = text.replace(MARK, " ")
+    # The library puts one marker before the text, so every chunk begins with one, which is left out here.
+    if "  " in text or text[0] == " " or text[-1] == " ":
+        return [c[1:] for c in CHUNK.findall(" " + text)]
+    return text.split(" ")
+
+
 class ChunkTable:
     """The ids of distinct chunks, one after another in one array, by the chunk's number."""
 
@@ -69,20 +79,13 @@ class ChunkTable:
         self.used = total
         self.chars += sum(map(len, new))
 
-    def encode(self, text: str) -> np.ndarray:
-        """The ids of a text, as the library gives them for the whole of it."""
-        if not text:
-            return NO_IDS
-        text = text.replace(MARK, " ")
-        # The library puts one marker before the text, so every chunk begins with one, which is left out here.
-        if "  " in text or text[0] == " " or text[-1] == " ":
-            chunks = [c[1:] for c in CHUNK.findall(" " + text)]
-        else:
-            chunks = text.split(" ")
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of every text, as the library gives them for the whole of it; new chunks of all texts are segmented in one call."""
         if len(self.numbers) > self.most or self.chars > self.most_chars:
             self.clear()
-        known = len(self.numbers)
-        numbers = np.fromiter(map(self.numbers.__getitem__, chunks), np.int64, len(chunks))
+        found = [chunks(text) for text in texts]
+        known, counts = len(self.numbers), np.fromiter(map(len, found), np.int64, len(found))
+        numbers = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(found)), np.int64, int(counts.sum()))
         if len(self.numbers) > known:
             new, last = [], reversed(self.numbers)
             for _ in range(len(self.numbers) - known):
@@ -91,7 +94,12 @@ class ChunkTable:
         sizes = self.sizes[numbers]
         ends = np.cumsum(sizes)
         shift = np.repeat(self.starts[numbers] - (ends - sizes), sizes)
-        return self.ids[shift + np.arange(int(ends[-1]))]
+        ids = self.ids[shift + np.arange(len(shift))]
+        cuts = np.r_[0, ends][np.r_[0, np.cumsum(counts)]].tolist()
+        return [ids[start:stop] for start, stop in zip(cuts, cuts[1:])]
+
+    def encode(self, text: str) -> np.ndarray:
+        return self.encode_all([text])[0]
 
 
 class Encoder:
@@ -102,8 +110,12 @@ class Encoder:
         self.end = np.array([self.sp.eos_id()] if eos else [], np.int32)
         self.table = ChunkTable(self.sp) if chunks_apart(self.sp) else None
 
+    def all(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.table.encode_all(texts) if self.table else [np.array(self.sp.encode(text), np.int32) for text in texts]
+        return [np.concatenate([ids, self.end]) for ids in found]
+
     def __call__(self, text: str) -> np.ndarray:
-        return np.r_[self.table.encode(text) if self.table else np.array(self.sp.encode(text), np.int32), self.end]
+        return self.all([text])[0]
 
 
 def listed(found: list[np.ndarray]) -> pa.ListArray:

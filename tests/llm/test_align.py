@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tallyhouse.llm import align
+from tallyhouse.llm import align, pieces
 from tallyhouse.llm.queries import BYTE_TOKENIZER, TOKENIZER, op11_alignment
 
 os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -103,6 +103,30 @@ def test_byte_level_gives_the_ids_of_its_library(libraries):
     assert [mine.encode(t) for t in texts] == [libraries[0].encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_new_words_of_many_texts_are_segmented_in_one_call(libraries, monkeypatch):
+    calls, segment = [], pieces.ChunkTable.segment
+    monkeypatch.setattr(pieces.ChunkTable, "segment", lambda self, new, at: calls.append(len(new)) or segment(self, new, at))
+    texts = [f"word{i} other{i} word" for i in range(50)] + [None, "", "a ▁ mark", "word1 naïve"]
+    for text, (ta, tb, ea, eb) in zip(texts, align.Aligner(*models()).align(texts), strict=True):
+        a, b = plain_tokens(libraries, text)
+        assert (ta.tolist(), tb.tolist()) == ([i for i, _ in a], [i for i, _ in b])
+        assert [(x[-1], y[-1]) for x, y in plain_groups(a, b)] == list(zip(ta[ea].tolist(), tb[eb].tolist()))
+    assert len(calls) == 1  # before, one for each text with new words
+
+
+def test_strings_are_joined_over_slices(monkeypatch):
+    monkeypatch.setattr(align, "JOINED_AT_ONCE", 3)
+    made = align.Strings([b"", b"a", b"bc", b"", "é".encode()])
+    for numbers in ([], [0], [1, 2, 4], [4, 0, 2, 1, 3, 3, 3, 2], [2] * 9):
+        assert made.joined(np.array(numbers, np.int64)) == b"".join([b"", b"a", b"bc", b"", "é".encode()][i] for i in numbers)
+
+
+def test_file_of_the_byte_level_library_is_read_only_where_needed(libraries):
+    mine = align.ByteLevel(models()[0])
+    assert mine.ids("plain <|endoftext|> text").tolist() == libraries[0].encode("plain <|endoftext|> text", add_special_tokens=False).ids
+    assert "slow" not in vars(mine)
+
+
 ODD = [
     None, "", " ", "a", "a b", "marked ▁ text", "<|endoftext|> </s> <s> <unk> <0x41>", "naïve Straße 日本語 🙂", "  two   blanks  ",
     "line\nline\r\n\ttab", "\x00\x01 controls \x7f", "x" * 3000, "word " * 20_000, "a b", "a b", "ends on a blank ", "½ ① ﬁ Å é é",

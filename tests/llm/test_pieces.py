@@ -46,6 +46,15 @@ def test_full_table_begins_anew():
             assert table.encode(text).tolist() == sp.encode(text)
 
 
+def test_texts_at_once():
+    sp = pieces.processor(MODEL)
+    texts = ["", "one two", " two  three ", "", "▁ marked▁ text", "  ", "naïve 日本語 🙂", "one", "line\nline\ttab", ""]
+    for most in (300_000, 3):
+        table = pieces.ChunkTable(sp, most=most)
+        for some in (texts, texts[::-1], [], [""]):
+            assert [x.tolist() for x in table.encode_all(some)] == [sp.encode(x) for x in some]
+
+
 def test_model_allows_chunks():
     assert pieces.chunks_apart(pieces.processor(MODEL))
 
